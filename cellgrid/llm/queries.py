@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import fingerprint, line_dedup, mixing, url_filter
+from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, simhash, token_store, url_filter
+from cellgrid.llm._shared import shared_dir
 
 #: Labels of hosts on the block list.
 BLOCKED_NAMES = ["ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills", "free-bets"]
@@ -39,6 +40,21 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's file; the driver reads it and sends its contents to the tasks."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, their number, and whether decoding gives the text back."""
+    model = tokenizer_file("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    out = piece_codec.decode_ids(piece_codec.encode_texts(docs, model), model, out="decoded")
+    return out.select("doc_id", "ids", F.size("ids").cast("bigint").alias("n_pieces"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fingerprint.fingerprint_edits(table(spark, sf_dir, "documents"))
     return out.select(
@@ -48,6 +64,20 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = simhash.near_components(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as f:
+        encode = token_store.tokenizer_ids(spark, f.read(), end_id=2)
+    docs = table(spark, sf_dir, "documents")
+    ids = docs.select("doc_id", encode(F.coalesce("text", F.lit(""))).alias("ids"))
+    token_store.write_ids(ids, path := shared_dir(spark))
+    return token_store.read_ids(spark, path, with_ids=False)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS)
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
@@ -57,7 +87,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
         "op2_line_dedup": op2_line_dedup,
+        "op3_sentencepiece": op3_sentencepiece,
         "op4_fingerprints": op4_fingerprints,
+        "op6_simhash": op6_simhash,
+        "op7_token_store": op7_token_store,
         "op8_mixing": op8_mixing,
     }
 
