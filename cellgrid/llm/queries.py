@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, simhash, token_store, url_filter
+from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, simhash, substring, token_store, url_filter
 from cellgrid.llm._shared import shared_dir
 
 #: Labels of hosts on the block list.
@@ -83,6 +83,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("bigint").alias("taken"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), width=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -92,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simhash": op6_simhash,
         "op7_token_store": op7_token_store,
         "op8_mixing": op8_mixing,
+        "op9_substring_dedup": op9_substring_dedup,
     }
 
 
@@ -155,5 +161,19 @@ FROM summed
 """
 
 
+OP9_SQL = """
+WITH words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []::VARCHAR[]) AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 34)) AS i FROM words WHERE len(w) >= 35),
+keyed AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM starts),
+repeated AS (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1),
+covered AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 34)) AS i FROM keyed JOIN repeated USING (k)),
+each AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM each ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op8_mixing": OP8_SQL}
+    return {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op8_mixing": OP8_SQL, "op9_substring_dedup": OP9_SQL}
