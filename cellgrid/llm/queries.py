@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, simhash, substring, token_store, url_filter
+from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, simhash, substring, token_store, topk_search, url_filter
 from cellgrid.llm._shared import shared_dir
 
 #: Labels of hosts on the block list.
@@ -64,6 +64,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(20)) == 0, k=20)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_components(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"), "component_id")
@@ -94,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": op2_line_dedup,
         "op3_sentencepiece": op3_sentencepiece,
         "op4_fingerprints": op4_fingerprints,
+        "op5_topk": op5_topk,
         "op6_simhash": op6_simhash,
         "op7_token_store": op7_token_store,
         "op8_mixing": op8_mixing,
@@ -133,6 +138,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+OP5_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64.0::DOUBLE * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 20
+"""
+
 OP8_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source AS src, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size, length(coalesce(text, '')) AS chars
@@ -176,4 +192,4 @@ FROM words LEFT JOIN kept USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op8_mixing": OP8_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL, "op9_substring_dedup": OP9_SQL}
