@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, simhash, substring, token_store, topk_search, url_filter
+from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, quality, simhash, substring, token_store, topk_search, url_filter
 from cellgrid.llm._shared import shared_dir
 
 #: Labels of hosts on the block list.
@@ -92,6 +92,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -103,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_store": op7_token_store,
         "op8_mixing": op8_mixing,
         "op9_substring_dedup": op9_substring_dedup,
+        "op10_quality": op10_quality,
     }
 
 
