@@ -88,3 +88,11 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.0, most_epochs:
     fits = (upto - F.col("size") / 2.0 <= F.col("budget")) & (F.col("size") > 0)
     edge = joined.where(open_ & ~whole).withColumn("taken", F.when(fits, 1).otherwise(0))
     return plain.unionByName(edge).select("doc_id", "size", "source_size", "target", (F.col("epochs") + F.col("taken")).cast("int").alias("copies"))
+
+
+def repeat_documents(docs: DataFrame, weights: list[float], doc_id: str = "doc_id", **settings) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it (rows that share an id equally often)."""
+    copies = mix(docs, weights, doc_id=doc_id, **settings).groupBy("doc_id").agg(F.max("copies").alias("__copies"))
+    taken = copies.where("__copies > 0").withColumnRenamed("doc_id", "__id")
+    joined = docs.join(taken, F.col(doc_id).cast("bigint").eqNullSafe(F.col("__id")))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)

@@ -123,7 +123,15 @@ def _links(names: list[str], keys: list[str], bits: int, total: int):
             near = _linked(fps[a], fps[b], bits, total)
             yield fps[a[near]], fps[b[near]]
         for i in np.flatnonzero(sizes > 8):
-            yield from _forest(fps[begins[i] : begins[i] + sizes[i]], bits, total)
+            own = fps[begins[i] : begins[i] + sizes[i]]
+            if len(own) <= 1024:
+                # all at once; what many links connect is left to the forest
+                a, b = np.nonzero(np.triu(np.bitwise_count(own[:, None, 0] ^ own[None, :, 0]) <= bits, 1))
+                near = _linked(own[a], own[b], bits, total)
+                if near.sum() <= 2 * len(own):
+                    yield own[a[near]], own[b[near]]
+                    continue
+            yield from _forest(own, bits, total)
 
     def out(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
         for a, b in found:
@@ -200,16 +208,16 @@ def star_labels(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def near_components(docs: DataFrame, width: int = 4, bits: int = 4, blocks: int = 2, seeds: tuple[int, ...] = (42,), total: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp0.., component_id`` for each row: the smallest doc_id that links lead to, its own included.
+def near_components(docs: DataFrame, width: int = 4, bits: int = 4, blocks: int = 2, seeds: tuple[int, ...] = (42,), total: int | None = None, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, fp0.., component, component_id`` for each row: the smallest doc_id that links lead to, its own included.
 
-    One fingerprint for each of ``seeds``; links hold ``bits`` for each of them in turn and ``total`` for all. Equal
+    ``component`` is the component's smallest fingerprint; columns named in ``carry`` come along. One fingerprint for each of ``seeds``; links hold ``bits`` for each of them in turn and ``total`` for all. Equal
     texts, repeated rows and texts without words meet as equal fingerprints. Null ids take part but name no component
     unless it has no other (then null). An empty table gives no rows.
     """
     names = [f"fp{i}" for i in range(len(seeds))]
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    rows = stored(rows.select("doc_id", *[fingerprint(F.col("text"), width, s).alias(n) for s, n in zip(seeds, names)]))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), *carry)
+    rows = stored(rows.select("doc_id", *carry, *[fingerprint(F.col("text"), width, s).alias(n) for s, n in zip(seeds, names)]))
     classes = stored(rows.groupBy(*names).agg(F.min("doc_id").alias("least")))
     links = []
     for i in range(len(names)):
@@ -221,5 +229,14 @@ def near_components(docs: DataFrame, width: int = 4, bits: int = 4, blocks: int
     labels = labels.select(*[F.col(f"node.{n}").alias(n) for n in names], "label")
     labelled = classes.join(labels, names, "left").withColumn("label", F.coalesce("label", F.struct(*names)))
     component = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = labelled.join(component, "label").select(*names, "component_id")
-    return rows.join(named, names).select("doc_id", *names, "component_id")
+    named = labelled.join(component, "label").select(*names, F.col("label").alias("component"), "component_id")
+    return rows.join(named, names).select("doc_id", *carry, *names, "component", "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", **settings) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row of the smallest id (nulls last) stays."""
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_components(numbered, doc_id=doc_id, carry=("__row",), **settings)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))["__row"]
+    kept = found.groupBy("component").agg(first.alias("__row")).select("__row")
+    return numbered.join(kept, "__row", "left_semi").select(*docs.columns)
