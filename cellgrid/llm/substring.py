@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellgrid.llm._shared import stored
+from cellgrid.llm._shared import discard, shared_dir, stored
 
 GRAM = 8
 
@@ -139,8 +139,7 @@ def _segments_of(width: int, gram: int, bitmap, shift: int):
             ids, keys = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "row_key"))
             for at, data, starts in _pieces(batch.column("text")):
                 first, last, doc, own, h, begin, end = _segments(data, starts, width, gram)
-                slot = h >> np.uint64(shift)
-                hit = np.flatnonzero(bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1))
+                hit = np.flatnonzero(_hits(bits, shift, h))
                 if not len(hit):
                     continue
                 text = data.tobytes()
@@ -258,39 +257,71 @@ def _windows_of(width: int):
     return run
 
 
+class Bitmap:
+    """A bit for each anchor of a table, broadcast: at least 64 bits for each, and ``most_bits`` in all at most.
+
+    Where that makes bits shared, more anchors seem to be in the table; the size stays bounded.
+    """
+
+    def __init__(self, anchors: DataFrame, most_bits: int):
+        bits = max(64, min(most_bits, 1 << (anchors.count() * 64).bit_length()))
+        self.shift = 64 - (bits.bit_length() - 1)
+        slot = F.shiftrightunsigned("anchor", self.shift)
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
+        found = anchors.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
+        words = np.zeros(bits // 64, np.int64)
+        words[found["w"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+        self.words = anchors.sparkSession.sparkContext.broadcast(words.tobytes())
+
+
+def _hits(words: np.ndarray, shift: int, anchors: np.ndarray) -> np.ndarray:
+    slot = anchors >> np.uint64(shift)
+    return words[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1) != 0
+
+
+def _in_bitmap(shared, shift: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.frombuffer(shared.value, np.uint64)
+        for batch in batches:
+            yield batch.filter(pa.array(_hits(words, shift, batch.column("anchor").to_numpy().view(np.uint64))))
+
+    return run
+
+
 def repeated_windows(docs: DataFrame, width: int, gram: int = GRAM, large: int = 20_000, most_bits: int = 1 << 29) -> DataFrame:
     """Spans ``doc, row_key, lo, hi`` of numbers of the words at which repeated windows start.
 
     ``docs`` has ``doc, row_key`` (bigint) and ``text`` (binary).
     """
-    spark = docs.sparkSession
-    gram = min(gram, width)
+    spark, gram = docs.sparkSession, min(gram, width)
     anchors = docs.select("text").mapInArrow(_anchors_of(width, gram), "anchor bigint")
-    twice = stored(anchors.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor"))
-    bits = max(64, min(most_bits, 1 << (twice.count() * 64).bit_length()))
-    shift = 64 - (bits.bit_length() - 1)
-    slot = F.shiftrightunsigned("anchor", shift)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(slot, F.lit(64)).cast("int"))
-    set_words = twice.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    bitmap = np.zeros(bits // 64, np.int64)
-    bitmap[set_words["w"].to_numpy(np.int64)] = set_words["bits"].to_numpy(np.int64)
-    shared = spark.sparkContext.broadcast(bitmap.tobytes())
-    found = docs.mapInArrow(_segments_of(width, gram, shared, shift), "anchor bigint, words binary, doc bigint, row_key bigint, at bigint, n int")
-    keys = ["anchor", "k1", "k2"]
-    found = stored(found.withColumns({"k1": F.xxhash64("words"), "k2": F.xxhash64(F.lit("segment"), "words")}))
-    distinct = found.groupBy(*keys).agg(F.count("*").alias("times"), F.max("n").alias("n"), F.max("words").alias("words"))
+    twice = Bitmap(stored(anchors.groupBy("anchor").agg(F.count("*").alias("times")).where("times > 1").select("anchor")), most_bits)
+    found = docs.mapInArrow(_segments_of(width, gram, twice.words, twice.shift), "anchor bigint, words binary, doc bigint, row_key bigint, at bigint, n int")
+    found = found.withColumns({"k1": F.xxhash64("words"), "k2": F.xxhash64(F.lit("segment"), "words")})
+    place, keys = shared_dir(spark), ["anchor", "k1", "k2"]
+    # the words are by far the largest column, and are read again for shards of several segments alone
+    found.write.option("compression", "zstd").parquet(place)
+    found = spark.read.schema(found.schema).parquet(place)
+    distinct = found.groupBy(*keys).agg(F.count("*").alias("times"), F.max("n").alias("n"))
     by_anchor = Window.partitionBy("anchor")
-    sized = distinct.withColumns({"different": F.count("*").over(by_anchor), "total": F.sum("times").over(by_anchor)}).where("total > 1")
-    sized = stored(sized)
+    sized = distinct.withColumns({"different": F.count("*").over(by_anchor), "total": F.sum("times").over(by_anchor)})
+    sized = stored(sized.where("total > 1"))
     alone = sized.where("different = 1").select(*keys, F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
-    some = sized.where(f"different between 2 and {large}").select(*keys, "times", "words")
-    some = some.repartition("anchor").sortWithinPartitions("anchor").mapInPandas(_match(width), "anchor bigint, k1 bigint, k2 bigint, lo int, hi int")
-    many = sized.where(f"different > {large}").select(*keys, "times", "words")
+    several = Bitmap(sized.where("different > 1").select("anchor").distinct(), most_bits)
+    some = found.select(*keys, "words").mapInArrow(_in_bitmap(several.words, several.shift), "anchor bigint, k1 bigint, k2 bigint, words binary")
+    some = some.groupBy(*keys).agg(F.count("*").alias("times"), F.max("words").alias("words")).withColumn("different", F.count("*").over(by_anchor))
+    some = some.where("different > 1")
+    few = some.where(f"different <= {large}").drop("different").sortWithinPartitions("anchor")
+    few = few.mapInPandas(_match(width), "anchor bigint, k1 bigint, k2 bigint, lo int, hi int")
+    many = some.where(f"different > {large}").drop("different")
     windows = many.mapInPandas(_windows_of(width), "anchor bigint, k1 bigint, k2 bigint, lo int, times bigint, w1 bigint, w2 bigint")
     counted = windows.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1")
     many = windows.join(counted, ["w1", "w2"]).select(*keys, "lo", F.col("lo").alias("hi"))
-    spans = alone.unionByName(some).unionByName(many)
-    return found.select(*keys, "doc", "row_key", "at").join(spans, keys).select("doc", "row_key", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi"))
+    spans = alone.unionByName(few).unionByName(many)
+    spans = found.select(*keys, "doc", "row_key", "at").join(spans, keys)
+    spans = stored(spans.select("doc", "row_key", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi")))
+    discard(spark, place)
+    return spans
 
 
 def _without(text: pd.Series, spans: pd.Series, width: pd.Series) -> pd.DataFrame:
