@@ -1,17 +1,15 @@
 """Exact top-k search by inner product with three-phase uniform threshold (Cao and Wang, 2004).
 
 The components of all vectors are cut into ``lists`` slices. Each slice is a list of partial scores of its own, dealt out
-over the tasks apart from the others; a score is the sum of its parts. Parts count from the least part of their query and
-list, so none is negative.
+over the tasks apart from the others; a score is the sum of its parts.
 
-1. Each list gives its best parts for each query. What is seen of an object adds up to a bound below its score; the k-th
-   such bound is safe as a cutoff.
-2. Each list gives all parts of at least cutoff / lists: an object that no list gives is below the cutoff. Sums of what
-   is known, and of the limit for what isn't, bound the scores of the others from both sides.
-3. Objects whose upper bound reaches the k-th lower bound get their exact score from their vectors.
+1. Each list gives its locally best parts for each query. The k-th best score of the objects seen is a safe cutoff.
+2. The cutoff is broadcast, and each list gives all parts of at least cutoff / lists. An object that no list gives has a
+   score below the cutoff, whatever the signs of its parts, so what is collected suffices.
+3. The scores of what was collected are resolved from the vectors, and the best k are taken.
 
 Equal vectors are one object with its k + 1 smallest ids, which is all that any query can return of them. Queries are
-taken in blocks of at most ``block``, whose matrix is broadcast.
+taken in blocks of at most ``block``, whose matrix is broadcast; only numbers of objects and queries are dealt out.
 """
 
 from __future__ import annotations
@@ -56,37 +54,54 @@ def _parts(batches: Iterator[pa.RecordBatch], matrices: list[np.ndarray]) -> Ite
 
 
 def _best(shared, k: int):
-    """Phase 1: ``query, list, least, cids, parts`` of the k best parts that a task has."""
+    """Phase 1: pairs ``cid, query`` of the k best parts that a task has of each list."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[int, tuple] = {}
         for one, ids, s in _parts(batches, shared.value):
-            least = s.min(axis=0)
             values, names = s, np.broadcast_to(ids[:, None], s.shape)
             if one in kept:
                 values, names = np.concatenate([kept[one][0], values]), np.concatenate([kept[one][1], names])
-                least = np.minimum(least, kept[one][2])
             if len(values) > k:
                 top = np.argpartition(values, len(values) - k, axis=0)[-k:]
                 values, names = np.take_along_axis(values, top, axis=0), np.take_along_axis(names, top, axis=0)
-            kept[one] = values, names, least
-        for one, (values, names, least) in kept.items():
-            n, q = values.shape
-            offsets = pa.array(np.arange(q + 1, dtype=np.int32) * n)
-            columns = [np.arange(q, dtype=np.int32), np.full(q, one, np.int32), least]
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(x.T).ravel())) for x in (names, values)]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *lists], names=["query", "list", "least", "cids", "parts"])
+            kept[one] = values, names
+        for values, names in kept.values():
+            query = np.broadcast_to(np.arange(values.shape[1], dtype=np.int32), values.shape)
+            yield pa.RecordBatch.from_arrays([pa.array(names.ravel()), pa.array(query.ravel())], names=["cid", "query"])
 
     return run
 
 
 def _reaching(shared, limits):
-    """Phase 2: ``query, cid, part`` of all parts that reach their query's and list's limit."""
+    """Phase 2: pairs ``cid, query`` of all parts that reach their query's limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for one, ids, s in _parts(batches, shared.value):
-            row, query = np.nonzero(s >= limits.value[one])
-            yield pa.RecordBatch.from_arrays([pa.array(query.astype(np.int32)), pa.array(ids[row]), pa.array(s[row, query])], names=["query", "cid", "part"])
+        for _, ids, s in _parts(batches, shared.value):
+            row, query = np.nonzero(s >= limits.value)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(query.astype(np.int32))], names=["cid", "query"])
+
+    return run
+
+
+def _scores(shared, limits=None):
+    """Exact scores ``query, cid, score`` of rows ``cid, ints, queries``; those under a query's limit are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            queries = batch.column("queries")
+            size = np.diff(queries.offsets.to_numpy())
+            query, at = queries.flatten().to_numpy(), np.repeat(np.arange(len(size)), size)
+            vectors = batch.column("ints").flatten().to_numpy().reshape(len(size), -1)
+            score = np.zeros(len(query), np.int64)
+            step = max(1, CELLS // max(1, vectors.shape[1]))
+            for i in range(0, len(query), step):
+                some = slice(i, i + step)
+                for m, own in zip(shared.value, np.split(vectors, np.cumsum([m.shape[1] for m in shared.value])[:-1], axis=1)):
+                    score[some] += np.einsum("ij,ij->i", m[query[some]], own[at[some]])
+            good = np.arange(len(query)) if limits is None else np.flatnonzero(score >= limits.value[query])
+            columns = [query[good], batch.column("cid").to_numpy()[at[good]], score[good]]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["query", "cid", "score"])
 
     return run
 
@@ -100,45 +115,27 @@ def _in_block(objects: DataFrame, sliced: DataFrame, queries: DataFrame, low: in
     step = -(-matrix.shape[1] // lists) or 1
     shared = spark.sparkContext.broadcast([np.ascontiguousarray(matrix[:, i * step : (i + 1) * step]) for i in range(lists)])
 
-    first = stored(sliced.mapInArrow(_best(shared, keep), "query int, list int, least bigint, cids array<bigint>, parts array<bigint>"))
-    least = first.groupBy("query", "list").agg(F.min("least").alias("least"))
-    seen = first.select("query", "list", F.explode(F.arrays_zip("cids", "parts")).alias("x")).select("query", "list", "x.cids", "x.parts")
-    best = Window.partitionBy("query", "list").orderBy(F.col("parts").desc(), "cids")
-    seen = seen.withColumn("n", F.row_number().over(best)).where(F.col("n") <= keep)
-    seen = seen.join(least, ["query", "list"]).groupBy("query", "cids").agg(F.sum(F.col("parts") - F.col("least")).alias("bound"))
-    lowest = Window.partitionBy("query").orderBy(F.col("bound").desc(), "cids")
-    cutoff = seen.withColumn("n", F.row_number().over(lowest)).where(F.col("n") == keep).select("query", "bound")
-    table = least.join(cutoff, "query", "left").toArrow()  # a row for each query of the block and list
-
-    base, share = np.zeros((lists, len(numbers)), np.int64), np.zeros(len(numbers), np.int64)
-    at = table.column("list").to_numpy(), table.column("query").to_numpy()
-    base[at] = table.column("least").to_numpy()
-    # parts are integers: one of them reaches the mean rounded up; with fewer objects than asked for, all are taken
-    share[at[1]] = -(-table.column("bound").fill_null(0).to_numpy() // lists)
-    limits = base + share
-    columns = {"query": np.arange(len(numbers), dtype=np.int32), "q": numbers, "lowest": base.min(axis=0), "highest": limits.max(axis=0)}
-    known = F.broadcast(spark.createDataFrame(pa.table(columns | {"q_ints": block.column("ints")})))
-    reaching = sliced.mapInArrow(_reaching(shared, spark.sparkContext.broadcast(limits)), "query int, cid bigint, part bigint")
-    got = reaching.groupBy("query", "cid").agg(F.sum("part").alias("got"), F.count("*").alias("n"))
-    # a part that its list did not give lies between the least and the limit
-    missing = lists - F.col("n")
-    bound = lambda c: F.col("got") + missing * F.col(c)
-    scored = got.join(known.select("query", "lowest", "highest"), "query").select("query", "cid", bound("lowest").alias("low"), bound("highest").alias("high"))
-    scored = stored(scored)
-    by_low = Window.partitionBy("query").orderBy(F.col("low").desc(), "cid")
-    second = scored.withColumn("n", F.row_number().over(by_low)).where(F.col("n") == keep).select("query", F.col("low").alias("kth"))
-    remaining = scored.join(F.broadcast(second), "query", "left").where("kth is null or high >= kth").select("query", "cid")
-
-    pairs = remaining.join(objects, "cid").join(known.select("query", "q", "q_ints"), "query")
-    score = F.aggregate(F.zip_with("ints", "q_ints", lambda a, b: a * b), F.lit(0).cast("bigint"), lambda a, b: a + b)
-    exact = pairs.select("q", "ids", score.alias("score"))
-    nearest = Window.partitionBy("q").orderBy(F.col("score").desc(), F.col("ids")[0])
-    exact = exact.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= keep)
-    one = exact.select("q", "score", F.explode("ids").alias("vec_id"))
-    order = Window.partitionBy("q").orderBy(F.col("score").desc(), "vec_id")
+    def exact(pairs: DataFrame, limits=None) -> DataFrame:
+        # a row for each object: its vector once, with the queries (of this block) that ask for it
+        asked = pairs.groupBy("cid").agg(F.collect_set("query").alias("queries")).join(objects.select("cid", "ints"), "cid")
+        return asked.mapInArrow(_scores(shared, limits), "query int, cid bigint, score bigint")
+
+    seen = exact(sliced.mapInArrow(_best(shared, keep), "cid bigint, query int"))
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "cid")
+    nth = seen.withColumn("n", F.row_number().over(order)).where(F.col("n") == keep).select("query", "score").toArrow()
+    cutoff = np.full(len(numbers), -(1 << 62), np.int64)  # with fewer objects than asked for, all are taken
+    cutoff[nth.column("query").to_numpy()] = nth.column("score").to_numpy()
+    limits = spark.sparkContext.broadcast(-(-cutoff // lists))  # parts are integers: one reaches the mean rounded up
+    found = exact(sliced.mapInArrow(_reaching(shared, limits), "cid bigint, query int"), spark.sparkContext.broadcast(cutoff))
+    best = found.join(objects.select("cid", "ids"), "cid")
+    nearest = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("ids")[0])
+    best = best.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= keep)
+    one = best.select("query", "score", F.explode("ids").alias("vec_id"))
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     one = one.withColumn("n", F.row_number().over(order)).where(F.col("n") <= keep)
-    ranked = F.array_sort(F.collect_list(F.struct("n", "vec_id", "score")))
-    return one.groupBy("q").agg(ranked.alias("ranked"))
+    ranked = one.groupBy("query").agg(F.array_sort(F.collect_list(F.struct("n", "vec_id", "score"))).alias("ranked"))
+    names = spark.createDataFrame(pa.table({"query": np.arange(len(numbers), dtype=np.int32), "q": numbers}))
+    return ranked.join(F.broadcast(names), "query").select("q", "ranked")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0, lists: int = 2, block: int = 4096, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
