@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -126,7 +128,7 @@ def _group(segment: int, part: int, docs: list[tuple[int, np.ndarray]], lanes: i
     return {"segment": segment, "part": part, "n_ids": len(ids), "lanes": lanes, "scale": table.scale, "frequencies": table.packed(), "blocks": blocks}
 
 
-def write_ids(ids: DataFrame, path: str, lanes: int = 512, block: int = 1 << 16, group: int = 1 << 21, every: int = 64, rows: int = 2000) -> DataFrame:
+def write_ids(ids: DataFrame, path: str, lanes: int = 1024, block: int = 1 << 17, group: int = 1 << 21, every: int = 64, rows: int = 2000) -> DataFrame:
     """Write ``ids(doc_id bigint, ids binary)`` as coded files in ascending doc_id order; returns what :func:`read_ids` does.
 
     ``ids`` holds little-endian 32-bit integers, all at least 0 and under 2**24. Rows of one doc_id keep no set order
@@ -214,8 +216,9 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
 
 # ---- ids from a tokenizers file
 
-#: Words and pieces longer than LONGEST are not remembered, nor more of either than MOST.
-LONGEST, MOST = 40, 300_000
+#: Words and pieces longer than LONGEST are not remembered, nor more than so many of either; texts are taken ROWS at a
+#: time. That bounds what a worker holds.
+LONGEST, MOST_WORDS, MOST_PIECES, ROWS = 40, 400_000, 600_000, 1000
 
 #: Words of these characters alone (printable ASCII, U+00C0 to U+00FF) fall into pieces by the pattern below.
 PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
@@ -236,7 +239,7 @@ def _byte_letters() -> dict[int, str]:
 class Words(dict):
     """The ids of words that a tokenizer has encoded, as bytes.
 
-    ``extra`` holds those of the batch at hand that are not remembered. Words of plain letters are cut into pieces, each
+    Words of plain letters are cut into pieces, each
     of which the tokenizer's model encodes once; it encodes all others whole. As a check, the first pieces are also
     encoded in full; if that differs, the tokenizer has other rules and every word is encoded whole.
     """
@@ -247,41 +250,65 @@ class Words(dict):
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.extra: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
         tried = ["the", "The", "it's", "\u00c9t\u00e9", "a1b", "x!!,", "n\u00d7m", "_a-b"]
         self.plain = all(self.in_pieces(w) == self.whole([w])[0] for w in tried)
 
-    def __missing__(self, word: bytes) -> bytes:
-        return self.extra[word]
-
     def whole(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def in_pieces(self, word: str) -> bytes:
         out = []
         for piece in PIECES.findall(word.lower()):
             if (ids := self.pieces.get(piece)) is None:
-                ids = np.array([t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))], "<u4").tobytes()
-                if len(self.pieces) < MOST and len(piece) <= LONGEST:
+                letters = piece if piece.isascii() else piece.translate(self.letters)
+                ids = _packed([t.id for t in self.tokenizer.model.tokenize(letters)])
+                if len(self.pieces) < MOST_PIECES and len(piece) <= LONGEST:
                     self.pieces[piece] = ids
             out.append(ids)
         return b"".join(out)
 
-    def learn(self, words: set[bytes]) -> None:
-        self.extra, others = {}, []
-        keep = MOST - len(self)
-        for word in words:
-            if self.plain and PLAIN.fullmatch(text := word.decode()):
-                self.extra[word] = self.in_pieces(text)
-            else:
-                others.append(word)
-        for at in range(0, len(others), 10_000):
-            some = others[at : at + 10_000]
-            self.extra.update(zip(some, self.whole([w.decode() for w in some])))
-        if keep > 0:
-            self.update((w, i) for w, i in list(self.extra.items())[:keep] if len(w) <= LONGEST)
+    def look_up(self, words: list[str]) -> list[bytes]:
+        """The ids of different words."""
+        found = list(map(self.get, words))
+        others = []
+        for i, ids in enumerate(found):
+            if ids is None:
+                if self.plain and PLAIN.fullmatch(words[i]):
+                    found[i] = self.in_pieces(words[i])
+                    self._keep(words[i], found[i])
+                else:
+                    others.append(i)
+        if others:
+            for i, ids in zip(others, self.whole([words[i] for i in others])):
+                found[i] = ids
+                self._keep(words[i], ids)
+        return found
+
+    def encode(self, texts: pa.Array, end: bytes) -> pa.Array:
+        """The ids of texts without nulls, ``end`` after each: every different word is looked up once."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = pc.dictionary_encode(split.flatten())
+        ids = [*self.look_up(coded.dictionary.to_pylist()), end]
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
+        word = np.insert(coded.indices.to_numpy().astype(np.int64), ends, len(ids) - 1)
+        sizes = size[word]
+        upto = np.cumsum(sizes)
+        out = flat[np.repeat(first[word] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
+        offsets = np.concatenate([[0], 4 * upto[ends + np.arange(len(ends))]]).astype(np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        if len(self) < MOST_WORDS and len(word) <= LONGEST:
+            self[word] = ids
+
+
+def _packed(ids: list[int]) -> bytes:
+    """Little-endian 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 #: The words of the tokenizer that this Python worker used last.
@@ -303,9 +330,7 @@ def tokenizer_ids(spark: SparkSession, definition: str, end_id: int):
             _LAST.clear()
             _LAST[key] = Words(shared.value)
         words = _LAST[key]
-        parts = [t.split() if t else [] for t in texts.cast(pa.binary()).to_pylist()]
-        words.learn({w for p in parts for w in p if w not in words})
-        look = words.__getitem__
-        return pa.array([b"".join(map(look, p)) + end for p in parts], pa.binary())
+        texts = texts.fill_null("")
+        return pa.concat_arrays([words.encode(texts.slice(at, ROWS), end) for at in range(0, len(texts), ROWS)] or [pa.array([], pa.binary())])
 
     return encode
