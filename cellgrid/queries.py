@@ -23,7 +23,7 @@ VIEWS = {
     "image": "SELECT 'R0' AS roi, event_type AS element, user_id::INT AS y, ((day(ts) - 1) * 24 + hour(ts))::INT AS x, sum(round(value * 100)::BIGINT)::DOUBLE AS value FROM events GROUP BY ALL",
     "extent": "SELECT DISTINCT 'R0' AS roi, event_type AS element, (SELECT max(user_id) + 1 FROM events)::INT AS height, 720::INT AS width FROM events",
     "dense": "SELECT roi, element, y, x, coalesce(value, 0.0) AS value FROM (SELECT * FROM (SELECT roi, element, unnest(range(height))::INT AS y FROM extent), (SELECT unnest(range(720))::INT AS x)) LEFT JOIN image USING (roi, element, y, x)",
-    "emb": "SELECT 'R0' AS roi, 'emb' AS element, vec_id::INT AS y, (i - 1)::INT AS x, round(embedding[i]::DOUBLE * 10000) AS value FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)",
+    "emb": "SELECT 'R0' AS roi, 'emb' AS element, vec_id::INT AS y, (i - 1)::INT AS x, round(embedding[i]::DOUBLE * 10000) + 0.0 AS value FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)",
     "grid": "SELECT y::INT AS y, x::INT AS x, ((y // 10) * 30 + x // 24 + 1)::INT AS label, 4 * (y % 10 - 5) * (y % 10 - 5) + (x % 24 - 12) * (x % 24 - 12) AS d FROM (SELECT unnest(range((SELECT max(user_id) + 1 FROM events))) AS y), (SELECT unnest(range(720)) AS x)",
     "cell": "SELECT 'R0' AS roi, 'cell' AS element, y, x, label FROM grid WHERE d <= 90",
     "nucleus": "SELECT 'R0' AS roi, 'nucleus' AS element, y, x, label FROM grid WHERE d <= 30 AND label % 7 <> 0",

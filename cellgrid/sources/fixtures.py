@@ -40,7 +40,7 @@ def dense_image(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embedded_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A dense signed image: a row per vector, a column per component."""
     e = _table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("int").alias("y"), F.posexplode("embedding").alias("x", "e"))
-    return e.select(F.lit("R0").alias("roi"), F.lit("emb").alias("element"), "y", "x", F.round(F.col("e").cast("double") * 10000).alias("value"))
+    return e.select(F.lit("R0").alias("roi"), F.lit("emb").alias("element"), "y", "x", (F.round(F.col("e").cast("double") * 10000) + 0.0).alias("value"))
 
 
 def mask(spark: SparkSession, sf_dir: str, nucleus: bool = False) -> DataFrame:
