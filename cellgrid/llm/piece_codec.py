@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+import struct
 import uuid
 from dataclasses import dataclass, field
 
@@ -87,62 +88,67 @@ class Segmenter:
 
     def segment(self, text: str) -> list[int]:
         """The ids of the best segmentation."""
-        best, back = [0] + [-math.inf] * len(text), [(0, -1)] * (len(text) + 1)
-        single, unknown = self.single, self.vocabulary.unknown_score
-        done = 0
-
-        def settle(upto: int) -> None:
-            # a character without a piece of its own can stand alone
-            for k in range(done, upto):
-                if text[k] not in single and best[k] + unknown > best[k + 1]:
-                    best[k + 1], back[k + 1] = best[k] + unknown, (k, -1)
-
-        for end, (size, score, i) in self.automaton.iter(text):
-            if done < end:
-                settle(end)
-                done = end
-            total = best[end + 1 - size] + score
-            if total > best[end + 1]:
-                best[end + 1], back[end + 1] = total, (end + 1 - size, i)
-        settle(len(text))
+        best: list = [0] + [-math.inf] * len(text)
+        back: list[tuple] = [(1, 0, -1)] * (len(text) + 1)
+        if self.single.issuperset(text):
+            # every position is reached by its character's own piece
+            for end, piece in self.automaton.iter(text):
+                total = best[end + 1 - piece[0]] + piece[1]
+                if total > best[end + 1]:
+                    best[end + 1], back[end + 1] = total, piece
+        else:
+            done = 0
+            for end, piece in self.automaton.iter(text):
+                while done < end:
+                    self._alone(text, done, best, back)
+                    done += 1
+                total = best[end + 1 - piece[0]] + piece[1]
+                if total > best[end + 1]:
+                    best[end + 1], back[end + 1] = total, piece
+            for k in range(done, len(text)):
+                self._alone(text, k, best, back)
         out: list[int] = []
         at = len(text)
         while at:
-            start, i = back[at]
+            size, _, i = back[at]
             if i >= 0:
                 out.append(i)
             elif self.vocabulary.bytes_:
-                out.extend(self.vocabulary.bytes_[b] for b in reversed(text[start:at].encode()))
+                out.extend(self.vocabulary.bytes_[b] for b in reversed(text[at - 1].encode()))
             else:
                 out.append(self.vocabulary.unknown)
-            at = start
+            at -= size
         return out[::-1]
 
+    def _alone(self, text: str, k: int, best: list, back: list[tuple]) -> None:
+        """A character without a piece of its own can stand alone."""
+        if text[k] not in self.single and best[k] + self.vocabulary.unknown_score > best[k + 1]:
+            best[k + 1], back[k + 1] = best[k] + self.vocabulary.unknown_score, (1, 0, -1)
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
         if not text:
             return b""
         marked, known = MARK + text.replace(" ", MARK), self.known
         if not self.vocabulary.splits:
-            return np.array(self.segment(marked), "<i4").tobytes()
+            return _packed(self.segment(marked))
         parts = PARTS.findall(marked)
-        for part in set(parts) - known.keys() if len(parts) > 1 else parts:
-            if part not in known:
-                ids = np.array(self.segment(part), "<i4").tobytes()
-                if len(known) >= self.most or len(part) > 64:
-                    return self._slowly(parts)
-                known[part] = ids
-        return b"".join(map(known.__getitem__, parts))
-
-    def _slowly(self, parts: list[str]) -> bytes:
-        """As :meth:`encode`, for a text with parts that are not kept."""
-        own: dict[str, bytes] = {}
-        for part in parts:
-            if part not in self.known and part not in own:
-                own[part] = np.array(self.segment(part), "<i4").tobytes()
-                if len(self.known) < self.most and len(part) <= 64:
-                    self.known[part] = own[part]
-        return b"".join([own[p] if p in own else self.known[p] for p in parts])
+        found = list(map(known.get, parts))
+        if None in found:
+            own: dict[str, bytes] = {}
+            for k, ids in enumerate(found):
+                if ids is None:
+                    part = parts[k]
+                    if part not in own:
+                        own[part] = _packed(self.segment(part))
+                    found[k] = own[part]
+            if len(known) < self.most:
+                known.update((p, i) for p, i in own.items() if len(p) <= 64)
+        return b"".join(found)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
 
 
 PARTS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
