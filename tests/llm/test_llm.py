@@ -434,3 +434,39 @@ def test_pipeline(spark):
     fps = final.drop_duplicates("doc_id").text.map(lambda t: hashlib.sha256(t.encode()).hexdigest())
     assert fps.is_unique  # no exact copies are left
     assert final.groupby("doc_id").size().max() <= 3
+
+
+@pytest.mark.parametrize("words, shared, alike", [(94, 80, True), (94, 79, False), (22, 16, True), (22, 15, False), (454, 400, True), (454, 398, False)])
+def test_near_dedup_tests_the_similarity(spark, words, shared, alike):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(words + shared)
+    texts = []
+    for i in range(300):
+        base = [f"w{x}" for x in rng.integers(0, 10**9, 2 * words)]
+        texts += [base[:words], base[: shared + 4] + base[words : 2 * words - shared - 4]]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    assert all((len(a & b) >= 0.8 * len(a | b)) == alike for a, b in zip(sets[::2], sets[1::2]))
+    df = pd.DataFrame({"doc_id": range(600), "text": [" ".join(t) for t in texts], "lang": "en", "source": "s1", "n_chars": 1})
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, spark.createDataFrame(df), SF).collect()}
+    assert kept == set(range(0, 600, 2 if alike else 1))
+
+
+def test_near_dedup_equals_brute_force(spark, awkward, documents, monkeypatch):
+    from cellgrid.llm import near_text
+
+    docs = [(r.doc_id, r.text or "") for r in documents.itertuples()]
+    found = [set(near_text.shingles(t.encode(), 5).tolist()) for _, t in docs]
+    least = list(range(len(docs)))
+    alike = [(i, j) for i in range(len(docs)) for j in range(i) if len(found[i] & found[j]) >= 0.8 * len(found[i] | found[j])]
+    for _ in docs:
+        for i, j in alike:
+            least[i] = least[j] = min(least[i], least[j])
+    order = sorted(range(len(docs)), key=lambda i: docs[i][0])
+    want = {min(docs[i][0] for i in order if least[i] == k) for k in set(least)}
+    for large in (4000, 2):  # also in chunks
+        monkeypatch.setattr(near_text, "LARGE", large)
+        assert {r.doc_id for r in near_text.keep_one(spark.createDataFrame(documents)).collect()} == want
+    kept = near_text.keep_one(awkward)
+    assert kept.columns == awkward.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 5, 6, 7]
+    assert near_text.keep_one(awkward.limit(0)).count() == 0
