@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellgrid.operators.tiles import halo_tiles
 from cellgrid.sources.storage import stored
 
 
@@ -18,22 +19,40 @@ def stack_channels(pixels: DataFrame, names: list[str]) -> DataFrame:
     return pixels.where(F.col("element").isin(*names)).groupBy("roi", "y", "x").agg(F.array(*per).alias("values"))
 
 
-def segment_objects(pixels: DataFrame, fn: Callable[[np.ndarray], dict[str, np.ndarray]], names: list[str]) -> DataFrame:
-    """Label masks from ``fn``: an array (channels, height, width) of one ROI in, integer masks by name out.
+def segment_objects(pixels: DataFrame, fn: Callable[[np.ndarray], dict[str, np.ndarray]], names: list[str], tile: int = 512, halo: int = 64, instances: bool = False) -> DataFrame:
+    """Label masks from ``fn``: an array (channels, height, width) in, integer masks by name out.
 
-    An ROI is the unit that such a model takes; it is cut to a bounded size before.
+    ``fn`` gets each tile with ``halo`` pixels around it, so that what it takes is bounded whatever the image's size.
+    Labels are classes, which a tile gives to its own pixels. With ``instances`` they are objects: the tile that holds an
+    object's first pixel gives all of it (an object must not reach further than ``halo`` beyond that tile), and objects are
+    numbered from 1 per ROI and element, in order of tiles. Of two objects at a pixel the smaller number wins.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        image = np.zeros((len(names), pdf.y.max() + 1, pdf.x.max() + 1))
-        image[:, pdf.y, pdf.x] = np.stack(pdf["values"].to_numpy()).T
+        y0, x0 = int(pdf.ty.iloc[0]) * tile, int(pdf.tx.iloc[0]) * tile
+        ya, xa = max(0, y0 - halo), max(0, x0 - halo)
+        image = np.zeros((len(names), pdf.y.max() + 1 - ya, pdf.x.max() + 1 - xa))
+        image[:, pdf.y - ya, pdf.x - xa] = np.stack(pdf["values"].to_numpy()).T
         parts = []
         for name, labels in fn(image).items():
             y, x = np.nonzero(labels)
-            parts.append(pd.DataFrame({"roi": pdf.roi.iloc[0], "element": name, "y": y, "x": x, "label": labels[y, x]}))
+            label = labels[y, x]
+            own = (y + ya >= y0) & (y + ya < y0 + tile) & (x + xa >= x0) & (x + xa < x0 + tile)
+            if instances:
+                _, first, at = np.unique(label, return_index=True, return_inverse=True)  # pixels come row by row
+                own = own[first][at]
+            parts.append(pd.DataFrame({"roi": pdf.roi.iloc[0], "ty": pdf.ty.iloc[0], "tx": pdf.tx.iloc[0], "element": name, "y": y[own] + ya, "x": x[own] + xa, "label": label[own]}))
         return pd.concat(parts)
 
-    return stack_channels(pixels, names).groupBy("roi").applyInPandas(run, "roi string, element string, y int, x int, label int")
+    tiles = halo_tiles(stack_channels(pixels, names), halo, tile).where("ty >= 0 and tx >= 0")
+    found = tiles.groupBy("roi", "ty", "tx").applyInPandas(run, "roi string, ty bigint, tx bigint, element string, y int, x int, label int")
+    if instances:
+        found = stored(found)
+        key = ["roi", "element", "ty", "tx", "label"]
+        number = F.row_number().over(Window.partitionBy("roi", "element").orderBy("ty", "tx", "label"))
+        numbers = found.select(*key).distinct().withColumn("number", number)
+        found = found.join(numbers, key).groupBy("roi", "element", "y", "x").agg(F.min("number").alias("label"))
+    return found.select("roi", "element", "y", "x", "label")
 
 
 def min_labels(edges: DataFrame, most_rounds: int = 100) -> DataFrame:

@@ -209,3 +209,36 @@ def test_steps(spark):
         plan.run_steps({"a": one}, [(lambda x: x, ["b"], ["c"])])
     with pytest.raises(ValueError):
         plan.run_steps({"a": one}, [(lambda x: [x, x], ["a"], ["c"])])
+
+
+def test_segmentation_takes_bounded_tiles(spark):
+    image = np.random.default_rng(5).integers(0, 9, (2, 70, 53)).astype(float)
+    df = pixels(spark, image[0], "A").unionByName(pixels(spark, image[1], "B"))
+
+    def bright(part):
+        assert part.shape[1] <= 24 and part.shape[2] <= 24
+        return {"bright": (part[0] > part[1]).astype("int32")}
+
+    got = segment.segment_objects(df, bright, ["A", "B"], tile=16, halo=4)
+    assert (array(got, (70, 53)) == (image[0] > image[1])).all() and got.count() == (image[0] > image[1]).sum()
+
+
+def test_segmented_objects_across_seams(spark):
+    image = np.zeros((70, 53))
+    boxes = [(y, x) for y in range(1, 62, 7) for x in range(2, 46, 7)]
+    for y, x in boxes:
+        image[y : y + 4, x : x + 4] = 1
+
+    def squares(part):
+        # numbers each full square by its first pixel, in no order of the image
+        up, left = np.pad(part[0], ((1, 0), (0, 0)))[:-1], np.pad(part[0], ((0, 0), (1, 0)))[:, :-1]
+        out = np.zeros(part[0].shape, "int32")
+        for i, (y, x) in enumerate(np.argwhere((part[0] > 0) & (up == 0) & (left == 0))):
+            out[y : y + 4, x : x + 4] = i + 1
+        return {"cell": np.where(part[0] > 0, out, 0)}
+
+    got = segment.segment_objects(pixels(spark, image), squares, ["A"], tile=16, halo=5, instances=True)
+    found = array(got, (70, 53))
+    assert ((found > 0) == (image > 0)).all() and got.count() == (image > 0).sum()
+    assert sorted(int(found[y, x]) for y, x in boxes) == list(range(1, len(boxes) + 1))
+    assert all((found[y : y + 4, x : x + 4] == found[y, x]).all() for y, x in boxes)
