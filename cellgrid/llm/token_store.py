@@ -240,7 +240,7 @@ class Words(dict):
     """The ids of words that a tokenizer has encoded, as bytes.
 
     Words of plain letters are cut into pieces, each
-    of which the tokenizer's model encodes once; it encodes all others whole. As a check, the first pieces are also
+    of which the tokenizer's model encodes once; it encodes all others, and words that hold an added token, whole. As a check, the first pieces are also
     encoded in full; if that differs, the tokenizer has other rules and every word is encoded whole.
     """
 
@@ -249,7 +249,8 @@ class Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings that the library finds in a text before it cuts it into pieces, before or after lower-casing
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces: dict[str, bytes] = {}
         self.letters = _byte_letters()
         tried = ["the", "The", "it's", "\u00c9t\u00e9", "a1b", "x!!,", "n\u00d7m", "_a-b"]
@@ -258,6 +259,9 @@ class Words(dict):
     def whole(self, words: list[str]) -> list[bytes]:
         return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
+    def has_added(self, word: str) -> bool:
+        return any(t in word or t in word.lower() for t in self.added)
+
     def in_pieces(self, word: str) -> bytes:
         out = []
         for piece in PIECES.findall(word.lower()):
@@ -275,7 +279,7 @@ class Words(dict):
         others = []
         for i, ids in enumerate(found):
             if ids is None:
-                if self.plain and PLAIN.fullmatch(words[i]):
+                if self.plain and PLAIN.fullmatch(words[i]) and not self.has_added(words[i]):
                     found[i] = self.in_pieces(words[i])
                     self._keep(words[i], found[i])
                 else:

@@ -312,6 +312,19 @@ def test_words_as_the_tokenizer_has_them(spark, awkward, documents):
     assert [bytes(r.ids) for r in awkward.where("text is null").select(encode("text").alias("ids")).collect()] == [b"\2\0\0\0"]
 
 
+def test_added_tokens_in_a_text(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    with open(path, encoding="utf-8") as f:
+        encode = token_store.tokenizer_ids(spark, f.read(), 2)
+    tokenizer = Tokenizer.from_file(path)
+    odd = ["<|endoftext|>", "a<|endoftext|>b c", "x <|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|EndOfText|>y", "é<|startoftext|>日", "<|endoftext", "it's<|endoftext|>'s"]
+    for r in spark.createDataFrame([(t,) for t in odd], "text string").select("text", encode("text").alias("ids")).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == tokenizer.encode(r.text, add_special_tokens=False).ids + [2], r.text
+    assert {49406, 49407} <= set(tokenizer.encode(odd[2], add_special_tokens=False).ids)
+
+
 def test_files_in_order(spark, tmp_path):
     rng = np.random.default_rng(1)
     docs = [(int(i), rng.integers(0, 300, rng.integers(0, 400)).astype("<u4").tobytes()) for i in rng.permutation(500) * 3 - 100]
