@@ -5,7 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,15 +38,56 @@ def stored(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to shared storage and read it back: cuts the lineage and outlives any executor."""
     path = path or shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._stored_at = path
+    return back
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a folder written by :func:`stored` that no plan reads any more."""
+def discard(what: DataFrame | str, spark: SparkSession | None = None) -> None:
+    """Delete what :func:`stored` has written (the DataFrame it gave, or a folder) and no plan reads any more."""
+    path, spark = (what, spark) if isinstance(what, str) else (what._stored_at, what.sparkSession)
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def crowded(deal: Callable[[DataFrame], DataFrame], nodes: DataFrame, node: str, keys: list[str], large: int, share: int = 16) -> DataFrame:
+    """``keys, chunks``: into how many chunks of about ``large`` rows to cut the groups of ``deal(nodes)`` that hold more.
+
+    Groups are counted on the nodes that a hash picks, one of ``share``. That only balances the work: whatever is cut, all
+    is compared. There are at most 2 x rows / large such groups.
+    """
+    some = deal(nodes.where(F.pmod(F.xxhash64(F.lit("share"), node), F.lit(share)) == 0))
+    rows = F.count("*") * share
+    found = some.groupBy(*keys).agg(F.ceil(rows / large).cast("int").alias("chunks"), F.count("*").alias("n"))
+    return stored(found.where(F.col("n") * share > large).select(*keys, "chunks"))
+
+
+def in_chunks(rows: DataFrame, keys: list[str], node: str) -> DataFrame:
+    """Rows dealt out and sorted by ``keys, i, j``: those of a group with ``chunks`` come to each pair i <= j of its chunks."""
+    chunks = F.coalesce("chunks", F.lit(1))
+    own = F.pmod(F.xxhash64(F.lit("chunk"), node), chunks).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), chunks - 1), lambda x: F.struct(F.least(own, x).alias("i"), F.greatest(own, x).alias("j")))
+    others = [c for c in rows.columns if c not in (*keys, "chunks")]
+    dealt = rows.withColumn("pair", F.explode(pair)).select(*keys, "pair.i", "pair.j", *others)
+    return dealt.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows that come sorted by ``keys``, cut so that no group is divided."""
+    rest = None
+    for pdf in batches:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        if len(pdf):
+            key = pdf[keys].to_numpy()
+            others = np.flatnonzero((key != key[-1]).any(axis=1))
+            open_ = int(others[-1]) + 1 if len(others) else 0
+            if open_:
+                yield pdf.iloc[:open_].reset_index(drop=True)
+            rest = pdf.iloc[open_:]
+    if rest is not None and len(rest):
+        yield rest.reset_index(drop=True)
+
+
 def words(text: Column) -> Column:
     """Words of a text; none for an empty one."""
     return F.array_remove(F.split(text, GAP), "")
@@ -55,14 +99,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
 
 
+def bigints(values: list[int]) -> Column:
+    """An array of constants, one literal in the plan however many there are."""
+    return F.from_json(F.lit(f"[{','.join(map(str, values))}]"), "array<bigint>")
+
+
 class Ranges:
     """Consecutive ranges of a bigint column with about as many rows each; a row's range is found without a join.
 
-    ``lows`` and ``highs`` are the least and greatest value of each range, in order. There are at most ``most`` of
-    them, whatever the input; equal values share a range.
+    ``lows`` and ``highs`` are the least and greatest value of each range, in order; equal values share a range. There
+    are at most ``most`` of them (a literal of 1 MB), so that ranges have over ``rows`` rows beyond 262 million.
     """
 
-    def __init__(self, ids: DataFrame, rows: int = 2000, most: int = 4096):
+    def __init__(self, ids: DataFrame, rows: int = 2000, most: int = 1 << 17):
         (name,) = ids.columns
         total = ids.count()
         n = max(1, min(most, math.ceil(total / rows)))
@@ -81,7 +130,7 @@ class Ranges:
 
     def of(self, value: Column) -> Column:
         """The index of the range that holds a value: a binary search over the lower ends."""
-        lows = F.array(*map(F.lit, self.lows)) if len(self) > 1 else F.array(F.lit(self.lows[0]))
+        lows = bigints(self.lows)
         steps = [1 << s for s in range(max(1, (len(self) - 1).bit_length()) - 1, -1, -1)]
         return F.aggregate(
             F.array(*map(F.lit, steps)),

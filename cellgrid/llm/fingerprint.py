@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellgrid.llm._shared import LONG_MIN, Ranges, words
+from cellgrid.llm._shared import LONG_MIN, Ranges, bigints, words
 
 K = 128
 WIDTH = 5
@@ -80,7 +80,7 @@ def with_next(df: DataFrame, order: str, columns: list[str], rows: int = 2000) -
     df = df.withColumn("__at", at).withColumn("__range", ranges.of(F.col("__at")))
     place = lambda r, copy: F.struct(r.alias("range"), F.lit(copy).alias("copy"))
     own = place(F.col("__range"), False)
-    highs = F.array(*map(F.lit, ranges.highs))
+    highs = bigints(ranges.highs)
     both = F.array(own, place(F.pmod(F.col("__range") + 1, F.lit(n)), True))
     df = df.withColumn("__place", F.explode(F.when(F.col("__at") == F.get(highs, F.col("__range")), both).otherwise(F.array(own))))
     w = Window.partitionBy("__place.range").orderBy(F.when(~F.col("__place.copy"), F.col("__at")).desc_nulls_last(), *columns)

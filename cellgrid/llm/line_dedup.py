@@ -46,7 +46,7 @@ class Runs:
 
     def _drop(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE {table}")
-        discard(self.spark, f"{self.base}/{table.rpartition('_')[2]}")
+        discard(f"{self.base}/{table.rpartition('_')[2]}", self.spark)
 
     def first_seen(self, keys: DataFrame) -> DataFrame:
         """``keys`` (one row for each hash) with ``seen``: the first document that the runs know, or null."""
@@ -105,7 +105,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_o
         if b <= high:
             runs.add(keys.where("seen is null").select(*HASH, "first"))
     runs.close()
-    discard(spark, at)
+    discard(lines)
     return functools.reduce(DataFrame.unionByName, drops)
 
 

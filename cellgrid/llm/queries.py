@@ -75,10 +75,8 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as f:
-        encode = token_store.tokenizer_ids(spark, f.read(), end_id=2)
-    docs = table(spark, sf_dir, "documents")
-    ids = docs.select("doc_id", encode(F.coalesce("text", F.lit(""))).alias("ids"))
-    token_store.write_ids(ids, path := shared_dir(spark))
+        encode = token_store.text_encoder(spark, f.read(), end_id=2)
+    token_store.write_ids(table(spark, sf_dir, "documents"), path := shared_dir(spark), "text", encode)
     return token_store.read_ids(spark, path, with_ids=False)
 
 

@@ -320,7 +320,7 @@ def repeated_windows(docs: DataFrame, width: int, gram: int = GRAM, large: int =
     spans = alone.unionByName(few).unionByName(many)
     spans = found.select(*keys, "doc", "row_key", "at").join(spans, keys)
     spans = stored(spans.select("doc", "row_key", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi")))
-    discard(spark, place)
+    discard(place, spark)
     return spans
 
 

@@ -1,37 +1,39 @@
 """Token ids in binary files, coded by a static range asymmetric numeral system (Duda, 2013).
 
 The documents are dealt into ranges of ascending doc_id. Within a range they form groups of about ``group`` ids. A group
-is one row of a Parquet file: its frequency table, counted over all its ids, and blocks that share the table but are
-coded independently. A block holds whole documents. Its ids are interleaved over ``lanes`` coder states, so that a step
-codes one id of each lane with array operations, and it carries its first states, checkpoints from which decoding can
-start in its midst, and a CRC-32 of its ids.
+is one row of a Parquet file: its documents and their sizes, its frequency table, counted over all its ids, and blocks of
+``block`` ids that share the table but are coded independently. A block's ids are interleaved over ``lanes`` coder states,
+so that a step codes one id of each lane with array operations, and it carries its first states, checkpoints from which
+decoding can start in its midst, and a CRC-32 of its ids.
 
 States have 63 bits and renormalise by 32-bit words; words are stored in the order in which a decoder reads them.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
+import random
 import re
-import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellgrid.llm._shared import LONG_MIN, Ranges
+from cellgrid.llm._runs import Recall, places, sums, text_slices
 
 LOW = np.uint64(1 << 31)
 BITS32 = np.uint64(32)
 
 CHECKPOINT = "struct<step:int,word:int,states:binary>"
-BLOCK = f"struct<doc_ids:array<bigint>,sizes:array<int>,words:binary,states:binary,checkpoints:array<{CHECKPOINT}>,crc32:bigint>"
-SCHEMA = f"segment int, part int, n_ids bigint, lanes int, scale int, frequencies binary, blocks array<{BLOCK}>"
+BLOCK = f"struct<n:int,words:binary,states:binary,checkpoints:array<{CHECKPOINT}>,crc32:bigint>"
+SCHEMA = f"segment int, part int, n_ids bigint, lanes int, scale int, frequencies binary, doc_ids array<bigint>, sizes array<bigint>, blocks array<{BLOCK}>"
 
 
 @dataclass(frozen=True)
@@ -114,68 +116,57 @@ def decode_block(words: bytes, states: bytes, n: int, table: Table, slots: np.nd
     return out[step * lanes :]
 
 
-def _group(segment: int, part: int, docs: list[tuple[int, np.ndarray]], lanes: int, block: int, every: int) -> dict:
+def _group(segment: int, part: int, docs: list[tuple[int | None, np.ndarray]], lanes: int, block: int, every: int) -> dict:
     ids = np.concatenate([d for _, d in docs])
     table = Table.counted(np.bincount(ids))
-    blocks, held, size = [], [], 0
-    for i, (doc, own) in enumerate(docs):
-        held.append((doc, own))
-        size += len(own)
-        if size >= block or i == len(docs) - 1:
-            coded = encode_block(np.concatenate([d for _, d in held]), table, lanes, every)
-            blocks.append({"doc_ids": [k for k, _ in held], "sizes": [len(d) for _, d in held]} | coded)
-            held, size = [], 0
-    return {"segment": segment, "part": part, "n_ids": len(ids), "lanes": lanes, "scale": table.scale, "frequencies": table.packed(), "blocks": blocks}
-
-
-def write_ids(ids: DataFrame, path: str, lanes: int = 1024, block: int = 1 << 17, group: int = 1 << 21, every: int = 64, rows: int = 2000) -> DataFrame:
-    """Write ``ids(doc_id bigint, ids binary)`` as coded files in ascending doc_id order; returns what :func:`read_ids` does.
-
-    ``ids`` holds little-endian 32-bit integers, all at least 0 and under 2**24. Rows of one doc_id keep no set order
-    among themselves; null ids come first. A document without ids is kept; an empty table gives files without rows.
-    ``ids`` is evaluated once; only its doc_id column is read before, to find the ranges.
-    """
-    spark = ids.sparkSession
-    at = F.coalesce("doc_id", F.lit(LONG_MIN))
-    ranges = Ranges(ids.select(at.alias("at")), rows)
-    n = min(len(ranges), max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    dealt = ids.select("doc_id", "ids", ranges.of(at).alias("segment"))
-    dealt = dealt.repartitionById(n, (F.col("segment") * n / len(ranges)).cast("int")).sortWithinPartitions("segment", F.col("doc_id").asc_nulls_first())
-    names = pa.schema([("segment", pa.int32()), ("part", pa.int32()), ("n_ids", pa.int64()), ("lanes", pa.int32()), ("scale", pa.int32()), ("frequencies", pa.binary()), ("blocks", pa.list_(_block_type()))])
+    blocks = [{"n": len(ids[i : i + block])} | encode_block(ids[i : i + block], table, lanes, every) for i in range(0, len(ids), block)]
+    held = {"doc_ids": [k for k, _ in docs], "sizes": [len(d) for _, d in docs], "n_ids": len(ids)}
+    return {"segment": segment, "part": part, "lanes": lanes, "scale": table.scale, "frequencies": table.packed(), "blocks": blocks} | held
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segment, part, held, size = -1, 0, [], 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            if held:
-                yield pa.RecordBatch.from_pylist([_group(segment, part, held, lanes, block, every)], schema=names)
+def write_ids(docs: DataFrame, path: str, content: str = "ids", encode: Callable[[pa.Array], Iterable[pa.Array]] | None = None, lanes: int = 1024, block: int = 1 << 17, group: int = 1 << 21, every: int = 64, rows: int = 8192) -> DataFrame:
+    """Write the ids of ``docs`` as coded files in ascending doc_id order; returns what :func:`read_ids` does.
 
+    ``content`` holds little-endian 32-bit integers, all at least 0 and under 2**24, or texts that ``encode`` makes such
+    integers of (:func:`text_encoder`). The rows are dealt out by ranges of doc_id, about ``rows`` each, and then turned
+    into groups by one task a range, which holds one group and one slice of texts at a time. Null ids come
+    first; rows of one doc_id come in order of a hash of their content, so that reruns agree. Null content counts as no
+    ids, and a document without ids is kept; one of any length may fill many blocks; an empty table gives files without
+    rows. Other columns of ``docs`` are not read.
+    """
+    spark = docs.sparkSession
+    rows_ = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(content).alias("content"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("content")]
+    dealt = rows_.repartitionByRange(max(1, -(-docs.count() // rows)), *order).sortWithinPartitions(*order)
+    checkpoint = pa.struct([("step", pa.int32()), ("word", pa.int32()), ("states", pa.binary())])
+    block_type = pa.struct([("n", pa.int32()), ("words", pa.binary()), ("states", pa.binary()), ("checkpoints", pa.list_(checkpoint)), ("crc32", pa.int64())])
+    fields = [("segment", pa.int32()), ("part", pa.int32()), ("n_ids", pa.int64()), ("lanes", pa.int32()), ("scale", pa.int32()), ("frequencies", pa.binary())]
+    names = pa.schema([*fields, ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("blocks", pa.list_(block_type))])
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segment, part, held, size = TaskContext.get().partitionId(), 0, [], 0
         for batch in batches:
-            for doc, data, s in zip(*(batch.column(c) for c in ("doc_id", "ids", "segment"))):
-                if s.as_py() != segment or size >= group:
-                    yield from flush()
-                    part = part + 1 if s.as_py() == segment else 0
-                    segment, held, size = s.as_py(), [], 0
+            content = batch.column("content")
+            parts = encode(content) if encode else [content]
+            for doc, data in zip(batch.column("doc_id").to_pylist(), itertools.chain.from_iterable(parts)):
+                if size >= group:
+                    yield pa.RecordBatch.from_pylist([_group(segment, part, held, lanes, block, every)], schema=names)
+                    part, held, size = part + 1, [], 0
                 own = np.frombuffer(data.as_buffer(), "<u4") if data.is_valid and len(data.as_buffer()) else np.empty(0, np.uint32)
-                held.append((doc.as_py(), own.copy()))
+                held.append((doc, own.copy()))
                 size += len(own)
-        yield from flush()
+        if held:
+            yield pa.RecordBatch.from_pylist([_group(segment, part, held, lanes, block, every)], schema=names)
 
-    dealt.mapInArrow(encode, SCHEMA).write.parquet(path)
+    dealt.mapInArrow(coded, SCHEMA).write.parquet(path)
     return read_ids(spark, path)
 
 
-def _block_type() -> pa.DataType:
-    checkpoint = pa.struct([("step", pa.int32()), ("word", pa.int32()), ("states", pa.binary())])
-    return pa.struct([("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())), ("words", pa.binary()), ("states", pa.binary()), ("checkpoints", pa.list_(checkpoint)), ("crc32", pa.int64())])
-
-
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` and, unless left out, ``ids`` (binary) of each document in the files.
 
     ``start`` counts the ids of all documents before. Blocks are checked against their CRC-32. Groups are decoded in
-    parallel; their first positions come from sums over the groups of a range and over the ranges, of which
-    :func:`write_ids` makes a bounded number.
+    parallel; their first positions come from sums over the groups of a range and over the ranges, a few numbers each.
     """
     groups = spark.read.schema(SCHEMA).parquet(path)
     sizes = groups.select("segment", "part", "n_ids")
@@ -186,44 +177,37 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
     bases = in_segment.join(segments, "segment").select("segment", "part", (F.col("__at") + F.col("__first")).alias("__base"))
     schema = "segment int, part int, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids
 
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                g = {c: batch.column(c)[row] for c in ("segment", "part", "lanes", "scale", "frequencies", "blocks")}
-                table = Table.unpacked(g["scale"].as_py(), g["frequencies"].as_py())
-                slots, at = table.slots(), 0
+            for g in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
+                table = Table.unpacked(g["scale"], g["frequencies"])
+                slots, whole = table.slots(), []
                 for b in g["blocks"]:
-                    counts = b["sizes"].as_py()
-                    ids = decode_block(b["words"].as_py(), b["states"].as_py(), sum(counts), table, slots, g["lanes"].as_py())
-                    raw, out = ids.astype("<u4").tobytes(), {k: [] for k in ("doc_id", "start", "n_tokens", "ids_crc32", "ids")}
-                    if zlib.crc32(raw) != b["crc32"].as_py():
+                    whole.append(decode_block(b["words"], b["states"], b["n"], table, slots, g["lanes"]).astype("<u4").tobytes())
+                    if zlib.crc32(whole[-1]) != b["crc32"]:
                         raise ValueError(f"damaged block in segment {g['segment']}, part {g['part']}")
-                    place = 0
-                    for doc, n in zip(b["doc_ids"].as_py(), counts):
-                        own = raw[4 * place : 4 * (place + n)]
-                        for k, v in zip(out, (doc, at + place, n, zlib.crc32(own), own)):
-                            out[k].append(v)
-                        place += n
-                    at += place
-                    fixed = {"segment": [g["segment"].as_py()] * len(counts), "part": [g["part"].as_py()] * len(counts)}
-                    types = [pa.int32(), pa.int32(), *[pa.int64()] * 4, pa.binary()]
-                    cols = [pa.array(v, t) for (k, v), t in zip((fixed | out).items(), types) if with_ids or k != "ids"]
-                    yield pa.RecordBatch.from_arrays(cols, names=[k for k in fixed | out if with_ids or k != "ids"])
-
-    docs = groups.mapInArrow(decode, schema).join(bases, ["segment", "part"])
+                raw, n = b"".join(whole), np.array(g["sizes"], np.int64)
+                end = np.cumsum(n)
+                own = [raw[4 * a : 4 * b] for a, b in zip((end - n).tolist(), end.tolist())]
+                columns = [pa.array([g[k]] * len(n), pa.int32()) for k in ("segment", "part")]
+                columns += [pa.array(g["doc_ids"], pa.int64()), pa.array(end - n), pa.array(n), pa.array(list(map(zlib.crc32, own)), pa.int64())]
+                columns += [pa.array(own, pa.binary())] if with_ids else []
+                yield pa.RecordBatch.from_arrays(columns, names=re.findall(r"(\w+) \w+", schema))
+
+    docs = groups.mapInArrow(decoded, schema).join(bases, ["segment", "part"])
     return docs.withColumn("start", F.col("start") + F.col("__base")).drop("segment", "part", "__base")
 
 
 # ---- ids from a tokenizers file
 
-#: Words and pieces longer than LONGEST are not remembered, nor more than so many of either; texts are taken ROWS at a
-#: time. That bounds what a worker holds.
-LONGEST, MOST_WORDS, MOST_PIECES, ROWS = 40, 400_000, 600_000, 1000
+#: Pieces longer than LONGEST bytes are not remembered, nor more than so many; that bounds what a worker holds.
+LONGEST, MOST_PIECES = 40, 600_000
 
 #: Words of these characters alone (printable ASCII, U+00C0 to U+00FF) fall into pieces by the pattern below.
-PLAIN = re.compile("[!-~\u00c0-\u00ff]+")
+PLAIN = "^[!-~\u00c0-\u00ff]+$"
 #: The pre-tokeniser's pattern, after lower-casing, for such words.
-PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+LETTERS = "[a-z\u00df-\u00f6\u00f8-\u00ff]+"
+PIECES = f"'s|'t|'re|'ve|'m|'ll|'d|{LETTERS}|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -236,105 +220,112 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
-class Words(dict):
-    """The ids of words that a tokenizer has encoded, as bytes.
+class Words:
+    """The ids of words by a tokenizer.
 
-    Words of plain letters are cut into pieces, each
-    of which the tokenizer's model encodes once; it encodes all others, and words that hold an added token, whole. As a check, the first pieces are also
-    encoded in full; if that differs, the tokenizer has other rules and every word is encoded whole.
+    Words of plain letters are cut into pieces, each different one of which the tokenizer's model encodes once; the
+    tokenizer encodes all other words, and those that hold an added token's string, whole. That short way is only taken
+    if it agrees with the tokenizer on ``trials`` words: every plain character alone, and random words of them.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, trials: int = 4000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         # strings that the library finds in a text before it cuts it into pieces, before or after lower-casing
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Recall(MOST_PIECES, LONGEST)
         self.letters = _byte_letters()
-        tried = ["the", "The", "it's", "\u00c9t\u00e9", "a1b", "x!!,", "n\u00d7m", "_a-b"]
-        self.plain = all(self.in_pieces(w) == self.whole([w])[0] for w in tried)
-
-    def whole(self, words: list[str]) -> list[bytes]:
-        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def has_added(self, word: str) -> bool:
-        return any(t in word or t in word.lower() for t in self.added)
-
-    def in_pieces(self, word: str) -> bytes:
-        out = []
-        for piece in PIECES.findall(word.lower()):
-            if (ids := self.pieces.get(piece)) is None:
-                letters = piece if piece.isascii() else piece.translate(self.letters)
-                ids = _packed([t.id for t in self.tokenizer.model.tokenize(letters)])
-                if len(self.pieces) < MOST_PIECES and len(piece) <= LONGEST:
-                    self.pieces[piece] = ids
-            out.append(ids)
-        return b"".join(out)
-
-    def look_up(self, words: list[str]) -> list[bytes]:
-        """The ids of different words."""
-        found = list(map(self.get, words))
-        others = []
-        for i, ids in enumerate(found):
-            if ids is None:
-                if self.plain and PLAIN.fullmatch(words[i]) and not self.has_added(words[i]):
-                    found[i] = self.in_pieces(words[i])
-                    self._keep(words[i], found[i])
-                else:
-                    others.append(i)
-        if others:
-            for i, ids in zip(others, self.whole([words[i] for i in others])):
-                found[i] = ids
-                self._keep(words[i], ids)
-        return found
-
-    def encode(self, texts: pa.Array, end: bytes) -> pa.Array:
+        self.plain = self._agrees(trials)
+
+    def _agrees(self, trials: int) -> bool:
+        plain = [chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100))]
+        chance = random.Random(7)
+        tried = [*plain, *("".join(chance.choices(plain, k=chance.randint(2, 9))) for _ in range(trials // 2))]
+        tried += ["".join(chance.choices("aeinst'Td\u00e9.,1", k=chance.randint(2, 12))) for _ in range(trials - len(tried))]
+        tried = [w for w in tried if not any(t.lower() in w.lower() for t in self.added)]
+        short, whole = (list(map(bytes, np.split(f.astype("<u4"), np.cumsum(n)[:-1]))) for f, n in (self._in_pieces(pa.array(tried)), self._whole(pa.array(tried))))
+        return short == whole
+
+    def _whole(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)])
+
+    def _modelled(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        model, letters = self.tokenizer.model, self.letters
+        return _flat([[t.id for t in model.tokenize(p if p.isascii() else p.translate(letters))] for p in pieces.to_pylist()])
+
+    def _in_pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        lower = pc.utf8_lower(words)
+        mixed = pc.invert(pc.match_substring_regex(lower, pattern=f"^{LETTERS}$"))  # the others are one piece each
+        apart = pc.replace_substring_regex(lower.filter(mixed), pattern=f"({PIECES})", replacement="\\0 ")
+        split = pc.split_pattern(pc.replace_with_mask(lower, mixed, pc.ascii_rtrim(apart, " ")), " ")
+        coded = pc.dictionary_encode(split.flatten())
+        flat, first, size = self.pieces.runs(coded.dictionary, self._modelled)
+        at = coded.indices.to_numpy()
+        return flat[places(first[at], size[at])], sums(size[at], split.offsets.to_numpy()[1:] - split.offsets[0].as_py())
+
+    def _of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``flat, first, size`` of different words."""
+        short = pc.match_substring_regex(words, pattern=PLAIN).to_numpy(zero_copy_only=False) & self.plain
+        for t in self.added:
+            short &= ~pc.match_substring(pc.utf8_lower(words), t.lower()).to_numpy(zero_copy_only=False)
+        size, parts = np.zeros(len(words), np.int64), []
+        for chosen, encode in ((short, self._in_pieces), (~short, self._whole)):
+            if chosen.any():
+                flat, size[chosen] = encode(words.filter(pa.array(chosen)))
+                parts.append(flat)
+        first = np.zeros(len(words), np.int64)
+        order = np.concatenate([np.flatnonzero(short), np.flatnonzero(~short)])
+        first[order] = np.cumsum(size[order]) - size[order]
+        return np.concatenate([np.empty(0, np.uint32), *parts]), first, size
+
+    def encode(self, texts: pa.Array, end: int) -> pa.Array:
         """The ids of texts without nulls, ``end`` after each: every different word is looked up once."""
         split = pc.ascii_split_whitespace(texts)
         coded = pc.dictionary_encode(split.flatten())
-        ids = [*self.look_up(coded.dictionary.to_pylist()), end]
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        flat, first, size = self._of(coded.dictionary)
+        flat, first, size = np.append(flat, end), np.append(first, len(flat)), np.append(size, 1)
         ends = split.offsets.to_numpy()[1:] - split.offsets[0].as_py()
-        word = np.insert(coded.indices.to_numpy().astype(np.int64), ends, len(ids) - 1)
-        sizes = size[word]
-        upto = np.cumsum(sizes)
-        out = flat[np.repeat(first[word] - upto + sizes, sizes) + np.arange(upto[-1] if len(upto) else 0)]
-        offsets = np.concatenate([[0], 4 * upto[ends + np.arange(len(ends))]]).astype(np.int32)
+        word = np.insert(coded.indices.to_numpy(), ends, len(size) - 1)
+        out = flat[places(first[word], size[word])].astype("<u4")
+        offsets = np.concatenate([[0], 4 * np.cumsum(sums(size[word], ends + 1 + np.arange(len(ends))))]).astype(np.int32)
         return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(out.tobytes())])
 
-    def _keep(self, word: str, ids: bytes) -> None:
-        if len(self) < MOST_WORDS and len(word) <= LONGEST:
-            self[word] = ids
-
 
-def _packed(ids: list[int]) -> bytes:
-    """Little-endian 32-bit integers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as one array and their sizes."""
+    return np.fromiter(itertools.chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
 
 
 #: The words of the tokenizer that this Python worker used last.
 _LAST: dict[str, Words] = {}
 
 
-def tokenizer_ids(spark: SparkSession, definition: str, end_id: int):
-    """A function from a text column to its ids and ``end_id``, as little-endian 32-bit integers; null counts as empty.
+def text_encoder(spark: SparkSession, definition: str, end_id: int) -> Callable[[pa.Array], Iterator[pa.Array]]:
+    """A function for tasks: from texts to their ids and ``end_id``, as little-endian 32-bit integers, slice by slice.
 
     ``definition`` is the text of a file of the tokenizers library whose normaliser and pre-tokeniser drop white space
-    and never look across it, so that words are encoded apart. The ids of a word are remembered, up to a bound.
+    and never look across it, so that words are encoded apart. A null text counts as empty; texts are encoded whole,
+    however long.
     """
     shared, key = spark.sparkContext.broadcast(definition), str(zlib.crc32(definition.encode()))
-    end = np.array([end_id], "<u4").tobytes()
 
-    @F.arrow_udf("binary")
-    def encode(texts: pa.Array) -> pa.Array:
+    def encode(texts: pa.Array) -> Iterator[pa.Array]:
         if key not in _LAST:
             _LAST.clear()
             _LAST[key] = Words(shared.value)
-        words = _LAST[key]
-        texts = texts.fill_null("")
-        return pa.concat_arrays([words.encode(texts.slice(at, ROWS), end) for at in range(0, len(texts), ROWS)] or [pa.array([], pa.binary())])
+        return (_LAST[key].encode(part, end_id) for part in text_slices(texts.fill_null("")))
 
     return encode
+
+
+def tokenizer_ids(spark: SparkSession, definition: str, end_id: int):
+    """:func:`text_encoder` as a function from a text column to a binary column."""
+    encode = text_encoder(spark, definition, end_id)
+
+    @F.arrow_udf("binary")
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.concat_arrays([*encode(texts), pa.array([], pa.binary())])
+
+    return of
