@@ -59,6 +59,12 @@ def select_channels(parsed: DataFrame, include=(), exclude=(), use=(), ignore=()
     return out.where(~F.col("marker").isin(*ignore)) if ignore else out
 
 
+def unknown_markers(parsed: DataFrame, use: list[str]) -> DataFrame:
+    """``marker``: those asked for that no file has."""
+    asked = parsed.sparkSession.createDataFrame([(m,) for m in use], "marker string")
+    return asked.join(parsed.select("marker"), "marker", "left_anti")
+
+
 def unused_files(parsed: DataFrame, selected: DataFrame) -> DataFrame:
     """Files that fit but were not selected."""
     return parsed.join(selected.select("path"), "path", "left_anti")

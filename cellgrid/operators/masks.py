@@ -1,11 +1,21 @@
-"""Mask algebra on sparse labels ``roi, element, y, x, label``."""
+"""Mask algebra on sparse labels ``roi, element, y, x, label``.
+
+What looks at a neighbourhood works on tiles with a halo, so that a pixel is sent to a few tiles at most, whatever the
+radius.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellgrid.operators.tiles import by_label_tile, moved
+
 AT = ["roi", "y", "x"]
+SIDES = [(-1, 0), (1, 0), (0, -1), (0, 1)]
 
 
 def _named(df: DataFrame, element: str) -> DataFrame:
@@ -30,54 +40,44 @@ def disk(radius: float, strict: bool = False) -> list[tuple[int, int, int]]:
     return [(y, x, y * y + x * x) for y in range(-r, r + 1) for x in range(-r, r + 1) if inside(y * y + x * x)]
 
 
-def _spread(df: DataFrame, offsets: list[tuple[int, int, int]], keep: list[str]) -> DataFrame:
-    """Rows moved by every offset, with its squared length ``d2``."""
-    table = F.array(*[F.struct(F.lit(y).alias("dy"), F.lit(x).alias("dx"), F.lit(d).alias("d2")) for y, x, d in offsets])
-    moved = df.withColumn("o", F.explode(table))
-    return moved.select(*keep, (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), F.col("o.d2").alias("d2"))
-
-
-def _inside(df: DataFrame, extent: DataFrame) -> DataFrame:
-    """Rows within the frame ``roi, height, width``."""
-    frame = extent.select("roi", "height", "width").distinct()
-    return df.join(F.broadcast(frame), "roi").where("y >= 0 and x >= 0 and y < height and x < width").drop("height", "width")
-
-
-SIDES = [(-1, 0, 1), (1, 0, 1), (0, -1, 1), (0, 1, 1)]
-
-
-def _rim(labels: DataFrame) -> DataFrame:
-    """Label pixels next to one of another label, or of none."""
-    near = _spread(labels.select(*AT, "label"), SIDES, ["roi", "label"]).select(*AT, F.col("label").alias("other"))
-    # a pixel with four neighbours of its own label is within; image borders count as rim, which does no harm to growth
-    own = near.join(labels.select(*AT, "label"), AT).where("other = label").groupBy(*AT, "label").agg(F.count("*").alias("same"))
-    return labels.select(*AT, "label").join(own, [*AT, "label"], "left").where("coalesce(same, 0) < 4").drop("same")
+def expand(labels: DataFrame, radius: float, extent: DataFrame, element: str = "expanded", tile: int = 256) -> DataFrame:
+    """Labels grown by ``radius``: background within it takes the nearest label (ties: the smallest)."""
+    rings: dict[int, list[tuple[int, int]]] = {}
+    for dy, dx, d2 in disk(radius):
+        rings.setdefault(d2, []).append((dy, dx))
 
+    def kernel(area: np.ndarray, frame: np.ndarray) -> np.ndarray:
+        out, none = area.copy(), np.iinfo(np.int32).max
+        for d2 in sorted(rings)[1:]:  # from near to far
+            best = np.full_like(area, none)
+            for dy, dx in rings[d2]:
+                near = moved(area, dy, dx)
+                best = np.where(near > 0, np.minimum(best, near), best)
+            out = np.where((out == 0) & (best < none), best, out)
+        return out
 
-def expand(labels: DataFrame, radius: float, extent: DataFrame, element: str = "expanded") -> DataFrame:
-    """Labels grown by ``radius``: background within it takes the nearest label (ties: the smallest)."""
-    reach = _spread(_rim(labels), disk(radius)[:], ["roi", "label"])
-    near = reach.groupBy(*AT).agg(F.min_by("label", F.struct("d2", "label")).alias("label"))
-    new = _inside(near, extent).join(labels.select(*AT), AT, "left_anti")
-    return _named(labels, element).unionByName(_named(new, element))
+    return _named(by_label_tile(labels, extent, int(radius), kernel, tile), element)
 
 
-def boundary(labels: DataFrame, extent: DataFrame) -> DataFrame:
+def _boundary(area: np.ndarray, frame: np.ndarray) -> np.ndarray:
     """Pixels, of label or background, with a 4-neighbour within the image of another value."""
-    own = labels.select(*AT, "label")
-    around = _inside(_spread(own, SIDES, ["roi", "label"]), extent).select(*AT, F.col("label").alias("near"))
-    # from each label pixel to its neighbours: where these hold another label or none, both ends are boundary
-    met = around.join(own, AT, "left").where("label is null or label <> near").select(*AT)
-    back = _inside(_spread(own, SIDES, ["roi", "label"]), extent).withColumnRenamed("label", "near").select(*AT, "near")
-    differs = back.join(own, AT, "left").where("label is null or label <> near")
-    ends = _spread(differs.select(*AT, "near"), SIDES, ["roi", "near"]).select(*AT, F.col("near").alias("label")).join(own, [*AT, "label"])
-    return met.unionByName(ends.select(*AT)).distinct()
+    out = np.zeros(area.shape, bool)
+    for dy, dx in SIDES:
+        out |= moved(frame, dy, dx) & (moved(area, dy, dx) != area)
+    return out & frame
 
 
-def erode(labels: DataFrame, radius: float, extent: DataFrame, element: str = "eroded") -> DataFrame:
+def erode(labels: DataFrame, radius: float, extent: DataFrame, element: str = "eroded", tile: int = 256) -> DataFrame:
     """Labels without the pixels less than ``radius`` away from a boundary pixel."""
-    near = _spread(boundary(labels, extent), disk(radius, strict=True), ["roi"]).select(*AT).distinct()
-    return _named(labels.join(near, AT, "left_anti"), element)
+    offsets = disk(radius, strict=True)
+
+    def kernel(area: np.ndarray, frame: np.ndarray) -> np.ndarray:
+        rim, near = _boundary(area, frame), np.zeros(area.shape, bool)
+        for dy, dx, _ in offsets:
+            near |= moved(rim, dy, dx)
+        return np.where(near, 0, area)
+
+    return _named(by_label_tile(labels, extent, math.ceil(radius) + 1, kernel, tile), element)
 
 
 def _bound(labels: DataFrame, radius: float, extent: DataFrame) -> DataFrame:
@@ -91,18 +91,29 @@ def ring(labels: DataFrame, extent: DataFrame, outer: float = 7, inner: float =
     return _named(_bound(labels, outer, extent).join(_bound(labels, inner, extent).select(*AT), AT, "left_anti"), element)
 
 
-def dilate(points: DataFrame, radius: float, extent: DataFrame) -> DataFrame:
+def _dilated(area: np.ndarray, offsets: list[tuple[int, int, int]]) -> np.ndarray:
+    out = np.zeros_like(area)
+    for dy, dx, _ in offsets:
+        out |= moved(area, dy, dx)
+    return out
+
+
+def _binary(points: DataFrame, radius: float, extent: DataFrame, halo: int, kernel, tile: int) -> DataFrame:
+    if radius < 0:
+        raise ValueError("the radius must not be negative")
+    return by_label_tile(points.select(*AT, F.lit(1).alias("label")), extent, halo, kernel, tile).select(*AT)
+
+
+def dilate(points: DataFrame, radius: float, extent: DataFrame, tile: int = 256) -> DataFrame:
     """Pixels ``roi, y, x`` within ``radius`` of a foreground pixel."""
-    return _inside(_spread(points.select(*AT), disk(radius), ["roi"]).select(*AT).distinct(), extent)
+    offsets = disk(radius)
+    return _binary(points, radius, extent, int(radius), lambda area, frame: _dilated(area, offsets), tile)
 
 
-def shrink(points: DataFrame, radius: float, extent: DataFrame) -> DataFrame:
+def shrink(points: DataFrame, radius: float, extent: DataFrame, tile: int = 256) -> DataFrame:
     """Pixels whose whole disk, as far as it lies in the image, is foreground."""
     offsets = disk(radius)
-    hits = _inside(_spread(points.select(*AT), offsets, ["roi"]).select(*AT), extent).groupBy(*AT).agg(F.count("*").alias("hits"))
-    hits = hits.join(F.broadcast(extent.select("roi", "height", "width").distinct()), "roi")
-    fits = sum((F.when(F.expr(f"y + {y} >= 0 and y + {y} < height and x + {x} >= 0 and x + {x} < width"), 1).otherwise(0) for y, x, _ in offsets), F.lit(0))
-    return hits.where(F.col("hits") == fits).select(*AT)
+    return _binary(points, radius, extent, int(radius), lambda area, frame: np.where(_dilated(((area == 0) & frame).astype(np.int32), offsets) == 0, area, 0), tile)
 
 
 def morph_open(points: DataFrame, radius: float, extent: DataFrame) -> DataFrame:
@@ -115,21 +126,39 @@ def morph_close(points: DataFrame, radius: float, extent: DataFrame) -> DataFram
     return shrink(dilate(points, radius, extent), radius, extent)
 
 
+def _resized(c: str, size: Column, out: Column) -> Column:
+    """Where index ``c`` of ``size`` counts if an axis is resized to ``out``.
+
+    An output interpolates between the two inputs next to its place, after a blur that reaches four standard deviations,
+    each half of what the scale exceeds 1 by; borders are mirrored.
+    """
+    scale = size / out
+    reach = F.floor(F.greatest(scale - 1, F.lit(0.0)) / 2 * 4 + 0.5)
+
+    def counts(i: Column) -> Column:
+        at = F.abs((i + 0.5) * size / out - 0.5)
+        at = F.when(at > size - 1, 2 * (size - 1) - at).otherwise(at)
+        return (i >= 0) & (i < out) & (F.col(c) >= F.floor(at) - reach) & (F.col(c) <= F.ceil(at) + reach)
+
+    some = F.sequence(F.floor((F.col(c) - reach - 2) / scale - 1), F.ceil((F.col(c) + reach + 2) / scale + 1))
+    return F.transform(F.filter(some, counts), lambda i: i.cast("int"))
+
+
 def blob(points: DataFrame, extent: DataFrame, work: tuple[int, int] = (250, 250), radius: float = 5, element: str = "blob") -> DataFrame:
     """A smooth 0/1 mask of foreground pixels, from an opening and closing on a coarse grid.
 
-    A coarse cell is foreground if any pixel that falls into it is; a pixel is, if its cell is in the end.
+    The mask is resized to ``work`` cells and back by linear interpolation (with a blur where it gets smaller); what
+    exceeds 0 is foreground.
     """
     h, w = work
+    if h <= 0 or w <= 0 or radius < 0:
+        raise ValueError("the grid must have cells, and the radius must not be negative")
     frame = extent.select("roi", "height", "width").distinct()
-    cell = lambda c, n, size: F.expr(f"cast(({c} * {n}) div {size} as int)")
-    coarse = points.select(*AT).join(F.broadcast(frame), "roi").select("roi", cell("y", h, "height").alias("y"), cell("x", w, "width").alias("x")).distinct()
+    coarse = points.select(*AT).join(frame, "roi").withColumn("cy", F.explode(_resized("y", F.col("height"), F.lit(h))))
+    coarse = coarse.select("roi", "x", "width", "cy").distinct().withColumn("cx", F.explode(_resized("x", F.col("width"), F.lit(w))))
+    coarse = coarse.select("roi", F.col("cy").alias("y"), F.col("cx").alias("x")).distinct()
     grid = frame.select("roi", F.lit(h).alias("height"), F.lit(w).alias("width"))
-    smooth = morph_close(morph_open(coarse, radius, grid), radius, grid)
-    rows = smooth.join(F.broadcast(frame), "roi")
-    # the pixels of a cell: from ceil(cell * size / n) up to the next cell's first
-    first = lambda c, n, size: f"(({c}) * {size} + {n} - 1) div {n}"
-    span = lambda c, n, size: F.expr(f"sequence(int({first(c, n, size)}), int({first(c + ' + 1', n, size)}) - 1)")
-    some = rows.where(f"{first('y + 1', h, 'height')} > {first('y', h, 'height')} and {first('x + 1', w, 'width')} > {first('x', w, 'width')}")
-    fine = some.withColumn("py", F.explode(span("y", h, "height"))).withColumn("px", F.explode(span("x", w, "width")))
-    return fine.select("roi", F.lit(element).alias("element"), F.col("py").alias("y"), F.col("px").alias("x"), F.lit(1).alias("label"))
+    smooth = morph_close(morph_open(coarse, radius, grid), radius, grid).join(frame, "roi")
+    fine = smooth.withColumn("py", F.explode(_resized("y", F.lit(h), F.col("height")))).select("roi", "x", "width", "py").distinct()
+    fine = fine.withColumn("px", F.explode(_resized("x", F.lit(w), F.col("width")))).select("roi", F.col("py").alias("y"), F.col("px").alias("x")).distinct()
+    return _named(fine.withColumn("label", F.lit(1)), element)

@@ -54,6 +54,12 @@ def excluded(points: DataFrame, shapes: DataFrame, cell: float = 64.0) -> DataFr
     return points_in(points.where("x is not null and y is not null"), shapes, ["roi"], cell=cell).select("roi", "label", "shape_key").distinct()
 
 
+def used_shapes(features: DataFrame, shapes: DataFrame, prefix: str = "qc_exclude") -> DataFrame:
+    """``shape_key, used``: whether shapes of a key belong to the marker of any feature."""
+    keys = features.select(F.concat(F.lit(prefix + "_"), F.substring_index("feature", "_", 1)).alias("shape_key")).distinct().withColumn("hit", F.lit(True))
+    return shapes.select("shape_key").distinct().join(keys, "shape_key", "left").select("shape_key", F.col("hit").isNotNull().alias("used"))
+
+
 def qc_mask(features: DataFrame, points: DataFrame, shapes: DataFrame, prefix: str = "qc_exclude", cell: float = 64.0) -> DataFrame:
     """Features (``roi, label, feature``) with ``keep``: false where a shape of the feature's marker covers the object.
 

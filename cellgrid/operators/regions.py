@@ -6,14 +6,20 @@ row), then an array kernel per object.
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellgrid.operators.tiles import halo_tiles, moved
+
 OBJECT = ["roi", "mask", "label"]
+SIDES = [(-1, 0), (1, 0), (0, -1), (0, 1)]
+DIAGONALS = [(-1, -1), (-1, 1), (1, -1), (1, 1)]
 
 
 def _objects(labels: DataFrame) -> DataFrame:
@@ -82,30 +88,36 @@ def moments(labels: DataFrame) -> DataFrame:
     return raw.withColumns({f"hu{i}": h for i, h in enumerate(hu)} | {"centroid_local-0": cy, "centroid_local-1": cx})
 
 
-def _around(labels: DataFrame, offsets: list[tuple[int, int]]) -> DataFrame:
-    table = F.array(*[F.struct(F.lit(y).alias("dy"), F.lit(x).alias("dx")) for y, x in offsets])
-    return labels.withColumn("o", F.explode(table)).select(*OBJECT, (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), "o")
-
-
-SIDES = [(-1, 0), (1, 0), (0, -1), (0, 1)]
-DIAGONALS = [(-1, -1), (-1, 1), (1, -1), (1, 1)]
-
 # What a border pixel adds to the perimeter, by 1 + 2 per adjacent and 10 per diagonal border pixel.
 PERIMETER = {1.0: (5, 7, 15, 17, 25, 27), math.sqrt(2): (21, 33), (1 + math.sqrt(2)) / 2: (13, 23)}
 
 
-def perimeter(labels: DataFrame) -> DataFrame:
-    """Perimeter of the border pixels' centre line, with 4-neighbourhoods."""
-    own = _objects(labels)
-    at = [*OBJECT, "y", "x"]
-    held = _around(own, SIDES).join(own, at).groupBy(*OBJECT, (F.col("y") - F.col("o.dy")).alias("y"), (F.col("x") - F.col("o.dx")).alias("x")).agg(F.count("*").alias("held"))
-    border = own.join(held, at, "left").where("coalesce(held, 0) < 4").drop("held")
-    side = lambda offsets, name: _around(border, offsets).join(border, at).groupBy(*OBJECT, (F.col("y") - F.col("o.dy")).alias("y"), (F.col("x") - F.col("o.dx")).alias("x")).agg(F.count("*").alias(name))
-    code = border.join(side(SIDES, "s"), at, "left").join(side(DIAGONALS, "d"), at, "left")
-    code = code.withColumn("code", 1 + 2 * F.coalesce("s", F.lit(0)) + 10 * F.coalesce("d", F.lit(0)))
-    count = lambda codes: F.sum(F.when(F.col("code").isin(*codes), 1).otherwise(0))
-    total = sum((count(codes) * weight for weight, codes in PERIMETER.items()), F.lit(0.0))
-    return code.groupBy(*OBJECT).agg(total.alias("perimeter"))
+def perimeter(labels: DataFrame, tile: int = 256) -> DataFrame:
+    """Perimeter of the border pixels' centre line, with 4-neighbourhoods.
+
+    Tiles with a halo of two pixels count their border pixels by kind; the counts of an object's tiles are added up.
+    """
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        area = np.zeros((tile + 4, tile + 4), np.int64)
+        area[pdf.y.to_numpy() - int(first.ty) * tile + 2, pdf.x.to_numpy() - int(first.tx) * tile + 2] = pdf.label.to_numpy()
+        border = np.zeros(area.shape, bool)
+        for y, x in SIDES:
+            border |= moved(area, y, x) != area
+        own = np.where(border, area, 0)
+        code = np.ones(area.shape, np.int64)
+        for step, offsets in ((2, SIDES), (10, DIAGONALS)):
+            for y, x in offsets:
+                code += step * (moved(own, y, x) == own)
+        y, x = np.nonzero(own[2:-2, 2:-2])
+        return pd.DataFrame({"roi": first.roi, "mask": first["mask"], "label": own[y + 2, x + 2], "code": code[y + 2, x + 2]}).groupby([*OBJECT, "code"], as_index=False).size()
+
+    tiles = halo_tiles(_objects(labels), 2, tile).groupBy("roi", "mask", "ty", "tx")
+    counted = tiles.applyInPandas(run, "roi string, mask string, label int, code int, size bigint")
+    # whole counts first, so that the sum doesn't depend on the order of tiles
+    count = lambda codes: F.sum(F.when(F.col("code").isin(*codes), F.col("size")).otherwise(0))
+    total = sum((count(codes) * w for w, codes in PERIMETER.items()), F.lit(0.0))
+    return counted.groupBy(*OBJECT).agg(total.alias("perimeter"))
 
 
 def _quads(labels: DataFrame) -> DataFrame:
@@ -174,22 +186,30 @@ def hull(labels: DataFrame) -> DataFrame:
 
 def _filled_of(pdf: pd.DataFrame) -> pd.DataFrame:
     y, x = pdf.y.to_numpy() - pdf.y.min() + 1, pdf.x.to_numpy() - pdf.x.min() + 1
-    own = np.zeros((y.max() + 2, x.max() + 2), bool)
-    own[y, x] = True
-    out = np.zeros_like(own)
-    out[0, 0] = True
-    while True:  # spread from the frame over the background, by 4-neighbours
-        new = out.copy()
-        new[1:] |= out[:-1]
-        new[:-1] |= out[1:]
-        new[:, 1:] |= out[:, :-1]
-        new[:, :-1] |= out[:, 1:]
-        new &= ~own
-        if (new == out).all():
-            break
-        out = new
+    out = np.ones((y.max() + 2, x.max() + 2), bool)
+    out[y, x] = False
+    # runs of background in each row of the framed box; runs that touch from row to row are one, and run 0 is outside
+    edge = np.diff(np.pad(out.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+    row, begin = np.nonzero(edge == 1)
+    end = np.nonzero(edge == -1)[1]
+    root = list(range(len(row)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    rows = np.searchsorted(row, np.arange(len(out) + 1)).tolist()
+    for r in range(1, len(out)):
+        i, j = rows[r - 1], rows[r]
+        while i < rows[r] and j < rows[r + 1]:
+            if begin[i] < end[j] and begin[j] < end[i]:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+            i, j = (i + 1, j) if end[i] < end[j] else (i, j + 1)
+    outside = sum(int(end[i] - begin[i]) for i in range(len(row)) if find(i) == 0)
     first = pdf.iloc[0]
-    return pd.DataFrame([(first.roi, first["mask"], first.label, int((~out).sum()))], columns=[*OBJECT, "area_filled"])
+    return pd.DataFrame([(first.roi, first["mask"], first.label, out.size - outside)], columns=[*OBJECT, "area_filled"])
 
 
 def filled(labels: DataFrame) -> DataFrame:
@@ -200,3 +220,28 @@ def filled(labels: DataFrame) -> DataFrame:
 def coords(labels: DataFrame) -> DataFrame:
     """The pixels of each object, in order."""
     return _objects(labels).groupBy(*OBJECT).agg(F.sort_array(F.collect_list(F.struct("y", "x"))).alias("coords"))
+
+
+#: Properties by name: the columns, and what computes them.
+PROPERTIES: dict[str, tuple[tuple[str, ...], Callable[[DataFrame], DataFrame]]] = {
+    **{c: ((c,), basic) for c in ("area", "area_bbox", "extent", "equivalent_diameter_area", "axis_major_length", "axis_minor_length", "eccentricity", "orientation")},
+    "centroid": (("centroid-0", "centroid-1"), basic), "bbox": (("bbox-0", "bbox-1", "bbox-2", "bbox-3"), basic),
+    "inertia_tensor_eigvals": (("inertia_tensor_eigvals-0", "inertia_tensor_eigvals-1"), basic),
+    **{c: ((c,), hull) for c in ("area_convex", "solidity", "feret_diameter_max")},
+    "perimeter": (("perimeter",), perimeter), "perimeter_crofton": (("perimeter_crofton",), perimeter_crofton),
+    "euler_number": (("euler_number",), euler_number), "area_filled": (("area_filled",), filled),
+}
+
+DEFAULT = ("area", "centroid", "eccentricity", "solidity", "perimeter", "euler_number")
+
+
+def properties(labels: DataFrame, names: Sequence[str] = DEFAULT) -> DataFrame:
+    """``roi, mask, label`` and the columns of the named properties."""
+    if unknown := [n for n in names if n not in PROPERTIES]:
+        raise ValueError(f"unknown properties {unknown}; there are {sorted(PROPERTIES)}")
+    wanted: dict[Callable, list[str]] = {}
+    for n in names:
+        columns, of = PROPERTIES[n]
+        wanted.setdefault(of, []).extend(columns)
+    parts = [of(labels).select(*OBJECT, *[F.col(f"`{c}`") for c in columns]) for of, columns in wanted.items()]
+    return functools.reduce(lambda a, b: a.join(b, OBJECT), parts)

@@ -16,11 +16,12 @@ def filter_candidates(cands: DataFrame, min_area: float, max_area: float, min_io
 
 
 def mask_intensity(cand_pixels: DataFrame, pixels: DataFrame, min_int: float | None = None) -> DataFrame:
-    """``cand_id, mean_int``: mean value under each candidate's mask (``cand_id, y, x``), above ``min_int`` if given.
+    """``slide, cand_id, mean_int``: mean value under each candidate's mask (``slide, cand_id, y, x``), above ``min_int`` if given.
 
     Candidates without pixels have no mean and are left out.
     """
-    means = cand_pixels.join(pixels.select("y", "x", "value"), ["y", "x"]).groupBy("cand_id").agg(F.avg("value").alias("mean_int"))
+    both = cand_pixels.join(pixels.select("slide", "y", "x", "value"), ["slide", "y", "x"])
+    means = both.groupBy("slide", "cand_id").agg(F.avg("value").alias("mean_int"))
     return means if min_int is None else means.where(F.col("mean_int") > min_int)
 
 
@@ -61,10 +62,10 @@ def nms(boxes: DataFrame, score: str = "predicted_iou", key: str = "ordinal", ce
 
 
 def refine(cands: DataFrame, min_area: float, max_area: float, min_iou: float, min_stability: float, bright: DataFrame | None = None) -> DataFrame:
-    """Corners of the candidates that pass the filters, are bright (``cand_id``, if given) and survive suppression."""
+    """Corners of the candidates that pass the filters, are bright (``slide, cand_id``, if given) and survive suppression."""
     good = filter_candidates(cands, min_area, max_area, min_iou, min_stability)
     if bright is not None:
-        good = good.join(bright.select(F.col("cand_id").alias("ordinal")), "ordinal", "left_semi")
+        good = good.join(bright.select("slide", F.col("cand_id").alias("ordinal")), ["slide", "ordinal"], "left_semi")
     box = [F.col(c) for c in "xywh"]
     return nms(good).select("slide", "ordinal", corners(*box).alias("ring"))
 
@@ -97,11 +98,11 @@ def build_rois(polys: DataFrame, height: int, width: int, level: int) -> DataFra
 
 
 def visual_rois(rois: DataFrame, level: int) -> DataFrame:
-    """``roi, ring``: the corners of each ROI at a pyramid level, cut to integers."""
+    """``slide, roi, ring``: the corners of each ROI at a pyramid level, cut to integers."""
     k = 1 << level
     c = lambda r, s: F.struct((F.col(r) / k).cast("int").alias("row"), (F.col(s) / k).cast("int").alias("col"))
     ring = F.array(c("row_start", "column_start"), c("row_start", "column_stop"), c("row_stop", "column_stop"), c("row_stop", "column_start"))
-    return rois.select("roi", ring.alias("ring"))
+    return rois.select("slide", "roi", ring.alias("ring"))
 
 
 def rgb_stretch(pixels: DataFrame, lo: float | None = None, hi: float | None = None) -> DataFrame:

@@ -22,6 +22,13 @@ def halo_tiles(pixels: DataFrame, radius: int, tile: int) -> DataFrame:
     return pixels.withColumn("ty", near("y")).withColumn("tx", near("x"))
 
 
+def _framed(df: DataFrame, extent: DataFrame, on: list[str], radius: int, tile: int) -> DataFrame:
+    """Halo tiles within the frames ``height, width``."""
+    frame = extent.select(*on, "height", "width").distinct()
+    tiles = halo_tiles(df, radius, tile).join(frame, on)
+    return tiles.where((F.col("ty") >= 0) & (F.col("tx") >= 0) & (F.col("ty") * tile < F.col("height")) & (F.col("tx") * tile < F.col("width")))
+
+
 def by_tile(pixels: DataFrame, elements: DataFrame, radius: int, kernel: Callable[[np.ndarray], np.ndarray], tile: int = 512) -> DataFrame:
     """``kernel`` on each tile with its surroundings: an array in, one of the same shape out.
 
@@ -40,6 +47,36 @@ def by_tile(pixels: DataFrame, elements: DataFrame, radius: int, kernel: Callabl
         y, x = np.mgrid[y0:y1, x0:x1]
         return pd.DataFrame({"roi": first.roi, "element": first.element, "y": y.ravel(), "x": x.ravel(), "value": out.ravel()})
 
-    tiles = halo_tiles(pixels, radius, tile).join(F.broadcast(elements.select(*KEY, "height", "width")), KEY)
-    tiles = tiles.where((F.col("ty") >= 0) & (F.col("tx") >= 0) & (F.col("ty") * tile < F.col("height")) & (F.col("tx") * tile < F.col("width")))
+    tiles = _framed(pixels, elements, KEY, radius, tile)
     return tiles.groupBy(*KEY, "ty", "tx").applyInPandas(run, "roi string, element string, y int, x int, value double")
+
+
+def by_label_tile(labels: DataFrame, extent: DataFrame, radius: int, kernel: Callable[[np.ndarray, np.ndarray], np.ndarray], tile: int = 256) -> DataFrame:
+    """``kernel`` on tiles of sparse labels ``roi, y, x, label``: labels (0 for none) and what lies in the frame in, labels out.
+
+    Both arrays have ``radius`` pixels around the tile. Tiles with nothing in or around them are left out, so a kernel
+    must give none for none. ``extent`` has ``roi, height, width``.
+    """
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        y0, x0, h, w = int(first.ty) * tile, int(first.tx) * tile, int(first.height), int(first.width)
+        area = np.zeros((tile + 2 * radius, tile + 2 * radius), np.int32)
+        area[pdf.y.to_numpy() - y0 + radius, pdf.x.to_numpy() - x0 + radius] = pdf.label.to_numpy()
+        y, x = np.ogrid[y0 - radius : y0 + tile + radius, x0 - radius : x0 + tile + radius]
+        frame = (y >= 0) & (y < h) & (x >= 0) & (x < w)
+        core = slice(radius, radius + tile)
+        out = np.where(frame, kernel(area, frame), 0)[core, core]
+        y, x = np.nonzero(out)
+        return pd.DataFrame({"roi": first.roi, "y": y + y0, "x": x + x0, "label": out[y, x]})
+
+    tiles = _framed(labels.select("roi", "y", "x", "label"), extent, ["roi"], radius, tile)
+    return tiles.groupBy("roi", "ty", "tx").applyInPandas(run, "roi string, y int, x int, label int")
+
+
+def moved(area: np.ndarray, dy: int, dx: int) -> np.ndarray:
+    """``out[y, x] = area[y + dy, x + dx]``; 0 from beyond the array."""
+    h, w = area.shape
+    out = np.zeros_like(area)
+    out[max(0, -dy) : h - max(0, dy), max(0, -dx) : w - max(0, dx)] = area[max(0, dy) : h + min(0, dy), max(0, dx) : w + min(0, dx)]
+    return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -11,22 +12,62 @@ from cellgrid.operators import intensity as measure
 from cellgrid.operators import objects, regions
 
 
-def quantify(pixels: DataFrame, labels: DataFrame, shapes: DataFrame | None = None, mask: str = "cell", metrics=("mean", "median"), channels: list[str] | None = None, prefix: str = "qc_exclude") -> DataFrame:
-    """``roi, label, feature, value, area, centroid-0, centroid-1, keep``: each object's features with its annotated mask.
+def _known(asked: Sequence[str] | None, df: DataFrame, what: str) -> list[str]:
+    """The elements that are asked for, or all; one that is not there is an error. Names are as many as a catalog has."""
+    there = sorted(r.element for r in df.select("element").distinct().collect())
+    if gone := [n for n in asked or () if n not in there]:
+        raise ValueError(f"{what} {gone} not found; there are {there}")
+    return list(asked) if asked else there
 
-    The objects are those of ``mask``; features come from all masks. With ``shapes``, ``keep`` is false for features of
-    a marker one of whose shapes covers the object's centroid.
+
+def quantify(
+    pixels: DataFrame, labels: DataFrame, shapes: DataFrame | None = None, masks: Mapping[str, str] | None = None, annotate: str = "cell",
+    metrics: Sequence[str] = ("mean", "median"), channels: Sequence[str] | None = None, properties: Sequence[str] = regions.DEFAULT, prefix: str = "qc_exclude",
+) -> DataFrame:
+    """``roi, label, feature, value, keep`` and ``<property>_<mask>``: each object's features beside its morphology.
+
+    ``masks`` names the label elements by suffix (all elements under their own names, if left out). An object is a label
+    of any of them; its features are all of channel x metric x mask, null where a mask lacks the label or no pixel lies
+    under it. With ``shapes``, ``keep`` is false for features of a marker one of whose shapes covers the object's
+    centroid in the mask ``annotate``. Masks and channels that are not there are an error that names those that are.
     """
-    morph = regions.basic(labels).where(F.col("mask") == mask).select("roi", "label", "area", "centroid-0", "centroid-1")
+    masks = dict(masks) if masks else {m: m for m in _known(None, labels, "masks")}
+    _known(list(masks.values()), labels, "masks")
+    channels = _known(channels, pixels, "channels")
+    if shapes is not None and (annotate not in masks or "centroid" not in properties):
+        raise ValueError(f"exclusion needs the centroid of {annotate!r}; there are {list(masks)}")
+    suffix = F.coalesce(*[F.when(F.col("element") == e, s) for s, e in masks.items()])
+    labels = labels.where(F.col("element").isin(*masks.values())).withColumn("element", suffix)
+    morphology = regions.properties(labels, properties)
+    columns = [c for c in morphology.columns if c not in regions.OBJECT]
+    obs = objects.obs_table(morphology, columns, list(masks))
+    names = [(c, m, s) for c in channels for m in metrics for s in masks]
+    named = F.array(*[F.struct(F.lit(c).alias("channel"), F.lit(m).alias("metric"), F.lit(s).alias("mask")) for c, m, s in names])
     long = measure.features(measure.intensity(pixels, labels, metrics, channels), list(metrics))
-    long = long.select("roi", "label", F.concat_ws("_", "channel", "metric", "mask").alias("feature"), "value")
-    table = morph.join(long, ["roi", "label"])
+    table = obs.withColumn("f", F.explode(named)).select("*", "f.*").drop("f").join(long, ["roi", "label", "channel", "metric", "mask"], "left")
+    table = table.withColumn("feature", F.concat_ws("_", "channel", "metric", "mask")).drop("channel", "metric", "mask")
     if shapes is None:
         return table.withColumn("keep", F.lit(True))
-    points = morph.select("roi", "label", F.col("`centroid-1`").alias("x"), F.col("`centroid-0`").alias("y"))
+    points = obs.select("roi", "label", F.col(f"`centroid-1_{annotate}`").alias("x"), F.col(f"`centroid-0_{annotate}`").alias("y"))
     return objects.qc_mask(table, points, shapes, prefix)
 
 
+def qc_after(table: DataFrame, points: DataFrame, shapes: DataFrame, prefix: str = "qc_exclude") -> DataFrame:
+    """Exclusion on a table of features that has been stored; warns if no shape belongs to any of its markers."""
+    if objects.used_shapes(table, shapes, prefix).where("used").isEmpty():
+        warnings.warn(f"no exclusion shapes match {prefix}_ and a marker of the table", stacklevel=2)
+    return objects.qc_mask(table.drop("keep"), points, shapes, prefix)
+
+
+def typed(df: DataFrame, kind: str) -> DataFrame:
+    """An output as stored: labels as 32-bit integers without background, images with their type and a channel axis."""
+    if kind == "labels":
+        return df.select("roi", "element", "y", "x", F.col("label").cast("int").alias("label")).where("label <> 0")
+    if kind == "image":
+        return df.select("roi", "element", F.lit(0).alias("c"), "y", "x", "value")
+    raise ValueError(f"{kind!r} is neither labels nor image")
+
+
 def missing_inputs(catalog: DataFrame, steps: Sequence[tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
     """``roi, step, element``: inputs of steps (inputs, outputs) that an ROI neither holds nor gets from earlier steps."""
     made: set[str] = set()

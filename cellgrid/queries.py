@@ -25,6 +25,7 @@ VIEWS = {
     "dense": "SELECT roi, element, y, x, coalesce(value, 0.0) AS value FROM (SELECT * FROM (SELECT roi, element, unnest(range(height))::INT AS y FROM extent), (SELECT unnest(range(720))::INT AS x)) LEFT JOIN image USING (roi, element, y, x)",
     "emb": "SELECT 'R0' AS roi, 'emb' AS element, vec_id::INT AS y, (i - 1)::INT AS x, round(embedding[i]::DOUBLE * 10000) + 0.0 AS value FROM (SELECT vec_id, embedding, unnest(generate_series(1, len(embedding))) AS i FROM embeddings)",
     "grid": "SELECT y::INT AS y, x::INT AS x, ((y // 10) * 30 + x // 24 + 1)::INT AS label, 4 * (y % 10 - 5) * (y % 10 - 5) + (x % 24 - 12) * (x % 24 - 12) AS d FROM (SELECT unnest(range((SELECT max(user_id) + 1 FROM events))) AS y), (SELECT unnest(range(720)) AS x)",
+    "fine": "SELECT roi, element, y, x, value + (y * 7 + x * 13) % 101 AS value FROM dense",
     "cell": "SELECT 'R0' AS roi, 'cell' AS element, y, x, label FROM grid WHERE d <= 90",
     "nucleus": "SELECT 'R0' AS roi, 'nucleus' AS element, y, x, label FROM grid WHERE d <= 30 AND label % 7 <> 0",
     "labels_": "SELECT * FROM cell UNION ALL SELECT * FROM nucleus",
@@ -32,16 +33,19 @@ VIEWS = {
     "parsed0": "SELECT ordinal, path, regexp_extract(path, '[^/]+$') AS base FROM files",
     "parsed": "SELECT ordinal, path, round, marker, printf('%03d', round) || '_' || marker AS channel FROM (SELECT ordinal, path, regexp_extract(base, '^[^_]+_([0-9]+)\\.0\\.4_R000_', 1)::INT AS round, CASE WHEN upper(string_split(base, '_')[4]) LIKE '%DAPI%' THEN 'DAPI' ELSE regexp_replace(string_split(base, '_')[5], '-[^-]*$', '') END AS marker FROM parsed0 WHERE regexp_matches(base, '^[^_]+_[0-9]+\\.0\\.4_R000_[^_]+_.*\\.tiff?'))",
     "deduped": "SELECT * FROM parsed QUALIFY row_number() OVER (PARTITION BY channel ORDER BY ordinal DESC) = 1",
-    "candidates": "SELECT (o_custkey % 10)::VARCHAR AS slide, o_orderkey AS ordinal, (o_custkey * 7 % 2000)::INT AS x, (o_orderkey * 13 % 2000)::INT AS y, (20 + o_orderkey % 60)::INT AS w, (20 + o_custkey % 60)::INT AS h, (o_orderkey * 37 % 1000) / 1000.0::DOUBLE AS predicted_iou, (o_orderkey * 53 % 1000) / 1000.0::DOUBLE AS stability_score FROM orders WHERE o_orderkey % 10 = 0",
-    "rois": "SELECT 'ROI_' || lpad(n_nationkey::VARCHAR, 3, '0') AS roi, (n_nationkey * 9)::INT AS row_start, (n_nationkey * 9 + 30)::INT AS row_stop, (n_nationkey * 80)::INT AS column_start, (n_nationkey * 80 + 100)::INT AS column_stop, CASE WHEN n_nationkey % 4 = 3 THEN 'polygon' ELSE 'rectangle' END AS poly_type FROM nation WHERE n_nationkey < 8",
-    "windows": "SELECT r.*, e.element, greatest(0, row_start - 2) AS y0, least(height, row_stop + 2) AS y1, greatest(0, column_start - 2) AS x0, least(width, column_stop + 2) AS x1 FROM rois r, extent e",
+    "slide_extent": "SELECT 'S' || k AS slide, element, least(8, h - 8 * k)::INT AS height, 720::INT AS width FROM (SELECT element, height AS h, unnest(range((height + 7) // 8)) AS k FROM extent)",
+    "slide_dense": "SELECT 'S' || (y // 8) AS slide, element, (y % 8)::INT AS y, x, value FROM dense",
+    "catalog": "SELECT DISTINCT o_custkey::VARCHAR AS roi, o_orderpriority AS element, (o_orderkey % 3)::INT AS level FROM orders",
+    "candidates": """SELECT 'S' || (o_custkey // 100 % (SELECT (max(height) + 7) // 8 FROM extent)) AS slide, o_orderkey AS ordinal, (o_custkey * 7 % 2000)::INT AS x, (o_orderkey * 13 % 2000)::INT AS y, (20 + o_orderkey % 60)::INT AS w, (20 + o_custkey % 60)::INT AS h, (o_orderkey * 37 % 1000) / 1000.0::DOUBLE AS predicted_iou, (o_orderkey * 53 % 1000) / 1000.0::DOUBLE AS stability_score FROM orders""",
+    "rois": """SELECT 'S' || (s_suppkey % (SELECT (max(height) + 7) // 8 FROM extent)) AS slide, 'ROI_' || lpad(s_suppkey::VARCHAR, 5, '0') AS roi, (s_suppkey % 4)::INT AS row_start, (s_suppkey % 4 + 5)::INT AS row_stop, (s_suppkey * 37 % 680)::INT AS column_start, (s_suppkey * 37 % 680 + 60)::INT AS column_stop, CASE WHEN s_suppkey % 4 = 3 THEN 'polygon' ELSE 'rectangle' END AS poly_type FROM supplier""",
+    "windows": """SELECT r.*, e.element, e.height, greatest(0, row_start - 2) AS y0, least(height, row_stop + 2) AS y1, greatest(0, column_start - 2) AS x0, least(width, column_stop + 2) AS x1 FROM rois r JOIN slide_extent e ON e.slide = r.slide""",
     "shape0": "SELECT n_nationkey AS shape_id, 'qc_exclude_' || ns[(n_nationkey % len(ns) + 1)::INT] AS shape_key, (n_nationkey % 5 * 144 + 10)::DOUBLE AS x0, (n_nationkey % 7 * 20 + 5)::DOUBLE AS y0, (40 + 3 * n_nationkey)::DOUBLE AS w, (10 + n_nationkey % 9)::DOUBLE AS h FROM nation, (SELECT list_sort(list(DISTINCT event_type)) AS ns FROM events)",
     "edges": "SELECT shape_id, shape_key, unnest([{'ax': x0, 'ay': y0, 'bx': x0 + w, 'by': y0 + 3}, {'ax': x0 + w, 'ay': y0 + 3, 'bx': x0 + w - 8, 'by': y0 + h + 3}, {'ax': x0 + w - 8, 'ay': y0 + h + 3, 'bx': x0 + 4, 'by': y0 + h}, {'ax': x0 + 4, 'ay': y0 + h, 'bx': x0, 'by': y0}]) AS e FROM shape0",
     "centroids": "SELECT roi, label, avg(x) AS px, avg(y) AS py FROM cell GROUP BY roi, label",
     "hits": "SELECT DISTINCT roi, label, shape_key FROM (SELECT roi, label, shape_key, shape_id, sum(((e.ay > py) <> (e.by > py) AND CASE WHEN e.by > e.ay THEN (e.bx - e.ax) * (py - e.ay) - (e.by - e.ay) * (px - e.ax) > 0 ELSE (e.bx - e.ax) * (py - e.ay) - (e.by - e.ay) * (px - e.ax) < 0 END)::INT) AS crossings, max(((e.bx - e.ax) * (py - e.ay) = (e.by - e.ay) * (px - e.ax) AND px BETWEEN least(e.ax, e.bx) AND greatest(e.ax, e.bx) AND py BETWEEN least(e.ay, e.by) AND greatest(e.ay, e.by))::INT) AS on_edge FROM centroids, edges GROUP BY ALL) WHERE crossings % 2 = 1 OR on_edge = 1",
-    "stats": "SELECT roi, l.element AS mask, i.element AS channel, label, avg(value) AS mean, median(value) AS median, min(value) AS min, max(value) AS max, sum(value) AS sum, stddev_pop(value) AS std FROM labels_ l JOIN image i USING (roi, y, x) GROUP BY ALL",
+    "stats": "SELECT roi, l.element AS mask, i.element AS channel, label, avg(value) AS mean, median(value) AS median, min(value) AS min, max(value) AS max, sum(value) AS sum, stddev_pop(value) AS std FROM labels_ l JOIN dense i USING (roi, y, x) GROUP BY ALL",
     "mom": "SELECT roi, element AS mask, label, count(*) AS n, sum(y::BIGINT)::BIGINT AS sy, sum(x::BIGINT)::BIGINT AS sx, sum(y::BIGINT * y)::BIGINT AS syy, sum(x::BIGINT * x)::BIGINT AS sxx, sum(x::BIGINT * y)::BIGINT AS sxy, min(y) AS y0, min(x) AS x0, max(y) + 1 AS y1, max(x) + 1 AS x1 FROM labels_ GROUP BY ALL",
-    "axes": "SELECT *, (yy + xx + sqrt((yy - xx) * (yy - xx) + 4 * xy * xy)) / 2 AS l1, greatest((yy + xx - sqrt((yy - xx) * (yy - xx) + 4 * xy * xy)) / 2, 0.0) AS l2 FROM (SELECT *, (syy * n - sy * sy) / (n * n)::DOUBLE AS yy, (sxx * n - sx * sx) / (n * n)::DOUBLE AS xx, (sxy * n - sy * sx) / (n * n)::DOUBLE AS xy FROM mom)",
+    "axes": "SELECT *, CASE WHEN xx = yy AND xy = 0 THEN pi() / 4 ELSE pi() / 2 - 0.5 * atan2(2 * xy, xx - yy) END AS turn, (yy + xx + sqrt((yy - xx) * (yy - xx) + 4 * xy * xy)) / 2 AS l1, greatest((yy + xx - sqrt((yy - xx) * (yy - xx) + 4 * xy * xy)) / 2, 0.0) AS l2 FROM (SELECT *, (syy * n - sy * sy) / (n * n)::DOUBLE AS yy, (sxx * n - sx * sx) / (n * n)::DOUBLE AS xx, (sxy * n - sy * sx) / (n * n)::DOUBLE AS xy FROM mom)",
 }
 
 
@@ -59,8 +63,8 @@ def _with(sql: str) -> str:
                 todo.append(body)
     views = ", ".join(f"{n} AS ({VIEWS[n]})" for n in VIEWS if n in used)
     if sql.lstrip().startswith("WITH "):
-        return f"WITH {views}, {sql.lstrip()[5:]}" if views else sql
-    return f"WITH {views} {sql}" if views else sql
+        return f"WITH RECURSIVE {views}, {sql.lstrip()[5:]}" if views else sql
+    return f"WITH RECURSIVE {views} {sql}" if views else sql
 
 
 def query(name: str, sql: str | None = None):
@@ -91,9 +95,13 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # ---- sources and sinks
 
 
-@query("list_files", "SELECT path, ordinal FROM files WHERE path LIKE '%.tif%'")
+@query("list_files", "SELECT replace(p_brand, '#', '') AS folder, 1::BIGINT AS files, true AS filled FROM part GROUP BY p_brand")
 def list_files(spark, d):
-    return fx.files(spark, d).where(F.col("path").like("%.tif%")).select("path", "ordinal")
+    """Parts are written as a file for each brand, and the files listed."""
+    parts = spark.read.parquet(f"{d}/part.parquet").withColumn("brand", F.regexp_replace("p_brand", "#", ""))
+    parts.repartition("brand").write.partitionBy("brand").parquet(path := storage.shared_dir(spark))
+    found = tables.list_files(spark, path, "*.parquet").withColumn("folder", F.regexp_extract("path", "brand=([^/]+)/", 1))
+    return found.groupBy("folder").agg(F.count("*").alias("files"), (F.min("length") > 0).alias("filled"))
 
 
 @query("image_shape", "SELECT roi, element, max(y) + 1 AS height, max(x) + 1 AS width FROM dense GROUP BY ALL")
@@ -109,9 +117,9 @@ def read_level(spark, d):
     return tables.read_level(cut.pyramid(fx.dense_image(spark, d), 3), 1)
 
 
-@query("levels", "SELECT roi, element, '0,1,2' AS levels FROM extent")
+@query("levels", "SELECT roi, element, string_agg(level, ',' ORDER BY level) AS levels FROM catalog GROUP BY ALL")
 def levels(spark, d):
-    return tables.levels(cut.pyramid(fx.dense_image(spark, d), 3)).withColumn("levels", F.array_join("levels", ","))
+    return tables.levels(fx.orders_catalog(spark, d)).withColumn("levels", F.array_join("levels", ","))
 
 
 @query("strided_level", "SELECT roi, element, (y // 4)::INT AS y, (x // 4)::INT AS x, value FROM dense WHERE y % 4 = 0 AND x % 4 = 0")
@@ -124,16 +132,19 @@ def project_channel_mean(spark, d):
     return tables.project_channel_mean(fx.dense_image(spark, d).withColumns({"z": F.col("element"), "element": F.lit("all")}))
 
 
-@query("roi_roundtrip", "SELECT roi, row_start / 2.0::DOUBLE AS row_start, row_stop / 2.0::DOUBLE AS row_stop, column_start / 2.0::DOUBLE AS column_start, column_stop / 2.0::DOUBLE AS column_stop, poly_type FROM rois")
+@query("roi_roundtrip", "SELECT slide, roi, row_start / 2.0::DOUBLE AS row_start, row_stop / 2.0::DOUBLE AS row_stop, column_start / 2.0::DOUBLE AS column_start, column_stop / 2.0::DOUBLE AS column_stop, poly_type FROM rois")
 def roi_roundtrip(spark, d):
-    tables.write_rois(fx.rois(spark, d), path := storage.shared_dir(spark))
+    tables.write_rois(fx.rois(spark, d), path := storage.shared_dir(spark), f"{path}-csv")
+    assert spark.read.csv(f"{path}-csv", header=True).columns == fx.rois(spark, d).columns
     return tables.read_rois(spark, path, 1).drop("polygon_vertices")
 
 
-@query("shape_swap", "SELECT roi, row_start::DOUBLE AS first_y, column_start::DOUBLE AS first_x, 3 AS n FROM rois")
+@query("shape_swap", "SELECT roi, row_start::DOUBLE AS first_y, column_start::DOUBLE AS first_x, 3 AS n FROM rois WHERE slide <> 'S0'")
 def shape_swap(spark, d):
-    ring = fx.rois(spark, d).select("roi", F.col("roi").alias("shape_key"), F.col("polygon_vertices").alias("ring"))
+    """Shapes are stored by slide, and the layer of one slide is emptied again."""
+    ring = fx.rois(spark, d).select("roi", F.col("slide").alias("shape_key"), F.col("polygon_vertices").alias("ring"))
     tables.write_shapes(ring, path := storage.shared_dir(spark), order="yx")
+    tables.write_shapes(ring.limit(0), path, order="yx", layers=["S0"])
     back = spark.read.parquet(path)
     return back.select("roi", F.col("ring")[0]["y"].alias("first_y"), F.col("ring")[0]["x"].alias("first_x"), F.size("ring").alias("n"))
 
@@ -146,15 +157,15 @@ def element_sink(spark, d):
 
 @query("table_sink", "SELECT roi, mask, channel, label, mean FROM stats")
 def table_sink(spark, d):
-    tables.write_table(intensity.intensity(fx.image(spark, d), both_masks(spark, d), ["mean"]), path := storage.shared_dir(spark), "stats")
+    tables.write_table(intensity.intensity(fx.dense_image(spark, d), both_masks(spark, d), ["mean"]), path := storage.shared_dir(spark), "stats")
     return spark.read.parquet(path).select("roi", "mask", "channel", "label", "mean")
 
 
-@query("assemble_rois", "SELECT w.roi, w.element, count(*) AS n, sum(value) AS total FROM windows w JOIN dense i ON w.element = i.element AND y >= row_start AND y < least(height_(), row_stop) AND x >= column_start AND x < least(720, column_stop) GROUP BY ALL".replace("height_()", "(SELECT max(height) FROM extent)"))
+@query("assemble_rois", "SELECT w.slide, w.roi, w.element, count(*) AS n, sum(value) AS total FROM windows w JOIN slide_dense i ON w.slide = i.slide AND w.element = i.element AND y >= row_start AND y < least(height, row_stop) AND x >= column_start AND x < column_stop GROUP BY ALL")
 def assemble_rois(spark, d):
     roi = fx.rois(spark, d).withColumn("poly_type", F.lit("rectangle"))
-    tables.assemble_rois(cut.cut(fx.dense_image(spark, d), roi, fx.extent(spark, d)), path := storage.shared_dir(spark))
-    return spark.read.parquet(path).groupBy("roi", "element").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    tables.assemble_rois(cut.cut(fx.slide_image(spark, d), roi, fx.slide_extent(spark, d)), path := storage.shared_dir(spark))
+    return spark.read.parquet(path).groupBy("slide", "roi", "element").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
 @query("tile_index", "SELECT roi, element, y, x, value, (y // 64)::INT AS tile_y, (x // 64)::INT AS tile_x FROM image")
@@ -216,6 +227,12 @@ def channels_missing(spark, d):
     return channels.missing_channels(channel_latest(spark, d), fx.files(spark, d).where("ordinal % 3 > 0")).select("marker", "channel", "round", "path")
 
 
+@query("channel_unknown", "SELECT marker FROM (SELECT 'Brand' || p_brand_ AS marker FROM (SELECT DISTINCT p_partkey % 90 AS p_brand_ FROM part)) WHERE marker NOT IN (SELECT marker FROM parsed)")
+def channel_unknown(spark, d):
+    asked = [f"Brand{r.k}" for r in spark.read.parquet(f"{d}/part.parquet").select((F.col("p_partkey") % 90).alias("k")).distinct().collect()]
+    return channels.unknown_markers(channel_parse(spark, d), asked)
+
+
 # ---- ROI candidates
 
 _GOOD = "SELECT * FROM candidates WHERE w * h > 1000 AND w * h < 4000 AND predicted_iou > 0.2 AND stability_score > 0.3"
@@ -226,20 +243,29 @@ def roi_threshold(spark, d):
     return rois.filter_candidates(fx.candidates(spark, d), 1000, 4000, 0.2, 0.3)
 
 
-@query("roi_mask_intensity", "SELECT label AS cand_id, avg(value) AS mean_int FROM cell JOIN dense USING (roi, y, x) WHERE dense.element = 'click' GROUP BY label HAVING avg(value) > 100")
+_MEANS = "SELECT slide, cand_id, avg(value) AS mean_int FROM (SELECT slide, ordinal AS cand_id, (y * 8 // 2000 + d // 3)::INT AS y, (x * 720 // 2000 + d % 3)::INT AS x FROM (SELECT *, unnest(range(9)) AS d FROM candidates)) JOIN slide_dense i USING (slide, y, x) WHERE element = 'click' GROUP BY ALL HAVING avg(value) > 5"
+
+
+def _bright_ones(spark, d):
+    return rois.mask_intensity(fx.candidate_masks(spark, d), fx.slide_image(spark, d).where("element = 'click'"), 5)
+
+
+@query("roi_mask_intensity", f"SELECT slide, cand_id, round(mean_int, 6) AS mean_int FROM ({_MEANS})")
 def roi_mask_intensity(spark, d):
-    return rois.mask_intensity(fx.mask(spark, d).select(F.col("label").alias("cand_id"), "y", "x"), fx.dense_image(spark, d).where("element = 'click'"), 100)
+    return _rounded(_bright_ones(spark, d))
 
 
 _PAIRS = "SELECT a.slide, a.ordinal AS a, b.ordinal AS b FROM candidates a JOIN candidates b ON a.slide = b.slide AND a.ordinal < b.ordinal AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h"
 
 
-@query("bbox_overlap", _PAIRS)
+@query("bbox_overlap", "SELECT a.slide, a.ordinal AS a, (SELECT count(*) FROM candidates b WHERE b.slide = a.slide AND b.ordinal <> a.ordinal AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h) AS overlaps FROM candidates a")
 def bbox_overlap(spark, d):
+    """How many boxes each overlaps, by bands of columns."""
     c = fx.candidates(spark, d)
     a, b = (c.select("slide", *[F.col(n).alias(f"{p}_{n}") for n in ("ordinal", "x", "y", "w", "h")]) for p in "ab")
     near = a.withColumn("cx", F.explode(F.array(*[F.floor(F.col("a_x") / 80) + i for i in (-1, 0, 1)]))).join(b.withColumn("cx", F.floor(F.col("b_x") / 80)), ["slide", "cx"])
-    return near.where((F.col("a_ordinal") < F.col("b_ordinal")) & geometry.boxes_overlap("a_", "b_")).select("slide", F.col("a_ordinal").alias("a"), F.col("b_ordinal").alias("b"))
+    found = near.where((F.col("a_ordinal") != F.col("b_ordinal")) & geometry.boxes_overlap("a_", "b_")).groupBy("slide", F.col("a_ordinal").alias("a")).agg(F.count("*").alias("n"))
+    return a.select("slide", F.col("a_ordinal").alias("a")).join(found, ["slide", "a"], "left").select("slide", "a", F.coalesce("n", F.lit(0)).cast("bigint").alias("overlaps"))
 
 
 @query("bbox_overlap_pairs", _PAIRS)
@@ -247,14 +273,27 @@ def bbox_overlap_pairs(spark, d):
     return rois.overlap_pairs(fx.candidates(spark, d))
 
 
-@query("roi_nms")
+def _suppressed(boxes: str, columns: str) -> str:
+    """Suppression in rounds: a box falls to a kept one of higher rank, and stays once all of those have fallen."""
+    return f"""WITH boxes AS MATERIALIZED ({boxes}),
+ranks AS MATERIALIZED (SELECT a.slide, a.ordinal AS hi, b.ordinal AS lo FROM boxes a JOIN boxes b ON a.slide = b.slide AND (a.predicted_iou > b.predicted_iou OR (a.predicted_iou = b.predicted_iou AND a.ordinal < b.ordinal)) AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h),
+rounds AS (SELECT 0 AS r, slide, ordinal, 0 AS state FROM boxes
+  UNION ALL
+  SELECT s.r + 1, s.slide, s.ordinal, CASE WHEN any_value(s.state) <> 0 THEN any_value(s.state) WHEN coalesce(bool_or(t.state = 1), false) THEN 2 WHEN coalesce(bool_or(t.state = 0), false) THEN 0 ELSE 1 END
+  FROM rounds s LEFT JOIN ranks k ON k.slide = s.slide AND k.lo = s.ordinal LEFT JOIN rounds t ON t.slide = k.slide AND t.ordinal = k.hi
+  WHERE EXISTS (SELECT 1 FROM rounds WHERE state = 0) GROUP BY s.r, s.slide, s.ordinal)
+SELECT {columns} FROM boxes JOIN rounds USING (slide, ordinal) WHERE state = 1 AND r = (SELECT max(r) FROM rounds)"""
+
+
+@query("roi_nms", _suppressed("SELECT * FROM candidates", "boxes.*"))
 def roi_nms(spark, d):
     return rois.nms(fx.candidates(spark, d))
 
 
-@query("roi_refine")
+@query("roi_refine", _suppressed(f"SELECT c.* FROM ({_GOOD}) c JOIN ({_MEANS}) m ON m.slide = c.slide AND m.cand_id = c.ordinal", "slide, ordinal, y::DOUBLE AS top, x::DOUBLE AS left_, (y + h)::DOUBLE AS bottom, (x + w)::DOUBLE AS right_"))
 def roi_refine(spark, d):
-    return rois.refine(fx.candidates(spark, d), 1000, 4000, 0.2, 0.3)
+    out = rois.refine(fx.candidates(spark, d), 1000, 4000, 0.2, 0.3, _bright_ones(spark, d))
+    return out.select("slide", "ordinal", F.col("ring")[0]["row"].alias("top"), F.col("ring")[0]["col"].alias("left_"), F.col("ring")[2]["row"].alias("bottom"), F.col("ring")[2]["col"].alias("right_"))
 
 
 @query("bbox_corners", "SELECT slide, ordinal, y::DOUBLE AS top, x::DOUBLE AS left_, (y + h)::DOUBLE AS bottom, (x + w)::DOUBLE AS right_ FROM candidates")
@@ -304,10 +343,10 @@ def roi_build(spark, d):
     return rois.build_rois(_polys(spark, d), 3000, 5000, 2).drop("ring").select("slide", "ordinal", "roi", "row_start", "row_stop", "column_start", "column_stop")
 
 
-@query("roi_visual", "SELECT roi, row_start // 4 AS top, column_start // 4 AS left_, row_stop // 4 AS bottom, column_stop // 4 AS right_ FROM rois")
+@query("roi_visual", "SELECT slide, roi, row_start // 4 AS top, column_start // 4 AS left_, row_stop // 4 AS bottom, column_stop // 4 AS right_ FROM rois")
 def roi_visual(spark, d):
     v = rois.visual_rois(fx.rois(spark, d), 2)
-    return v.select("roi", F.col("ring")[0]["row"].alias("top"), F.col("ring")[0]["col"].alias("left_"), F.col("ring")[2]["row"].alias("bottom"), F.col("ring")[2]["col"].alias("right_"))
+    return v.select("slide", "roi", F.col("ring")[0]["row"].alias("top"), F.col("ring")[0]["col"].alias("left_"), F.col("ring")[2]["row"].alias("bottom"), F.col("ring")[2]["col"].alias("right_"))
 
 
 @query("rgb_stretch", "SELECT roi, element, y, x, floor(least(greatest((value - lo) / (hi - lo), 0.0), 1.0) * 255)::INT AS red FROM dense JOIN (SELECT roi, element, min(value) AS lo, max(value) AS hi FROM dense GROUP BY ALL) USING (roi, element)")
@@ -315,7 +354,7 @@ def rgb_stretch(spark, d):
     return rois.rgb_stretch(fx.dense_image(spark, d)).select("roi", "element", "y", "x", F.col("rgb")[0].alias("red"))
 
 
-@query("roi_thresholds_auto", "SELECT roi, element, 2 * (greatest(max(y) + 1, max(x) + 1) / 50.0)::DOUBLE::INT AS density, (0.75 * 50 / 2) * (0.75 * 50 / 2)::DOUBLE AS min_area, (1.25 * 50 / 2) * (1.25 * 50 / 2)::DOUBLE AS max_area, round(avg(value), 6) AS min_int FROM dense GROUP BY ALL".replace("(greatest(max(y) + 1, max(x) + 1) / 50.0)::DOUBLE::INT", "floor(greatest(max(y) + 1, max(x) + 1) / 50.0)::INT"))
+@query("roi_thresholds_auto", "SELECT roi, element, 2 * floor(greatest(max(y) + 1, max(x) + 1) / 50.0)::INT AS density, (0.75 * 50 / 2) * (0.75 * 50 / 2)::DOUBLE AS min_area, (1.25 * 50 / 2) * (1.25 * 50 / 2)::DOUBLE AS max_area, round(avg(value), 6) AS min_int FROM dense GROUP BY ALL")
 def roi_thresholds_auto(spark, d):
     return _rounded(rois.auto_thresholds(fx.dense_image(spark, d), 50.0, 1))
 
@@ -323,17 +362,17 @@ def roi_thresholds_auto(spark, d):
 # ---- cutting and pyramids
 
 
-@query("cut_window", "SELECT roi, element, y0, y1, x0, x1 FROM windows")
+@query("cut_window", "SELECT slide, roi, element, y0, y1, x0, x1 FROM windows")
 def cut_window(spark, d):
-    return cut.cut_window(fx.rois(spark, d), fx.extent(spark, d), 2).select("roi", "element", "y0", "y1", "x0", "x1")
+    return cut.cut_window(fx.rois(spark, d), fx.slide_extent(spark, d), 2).select("slide", "roi", "element", "y0", "y1", "x0", "x1")
 
 
-_CUT = "SELECT w.roi, w.element, (y - y0)::INT AS y, (x - x0)::INT AS x, {} AS value FROM windows w JOIN dense i ON w.element = i.element AND y >= y0 AND y < y1 AND x >= x0 AND x < x1"
+_CUT = "SELECT w.slide, w.roi, w.element, (y - y0)::INT AS y, (x - x0)::INT AS x, {} AS value FROM windows w JOIN slide_dense i ON w.slide = i.slide AND w.element = i.element AND y >= y0 AND y < y1 AND x >= x0 AND x < x1"
 
 
 @query("cut_rectangle", _CUT.format("value") + " WHERE poly_type = 'rectangle'")
 def cut_rectangle(spark, d):
-    return cut.cut(fx.dense_image(spark, d), fx.rois(spark, d).where("poly_type = 'rectangle'"), fx.extent(spark, d), 2)
+    return cut.cut(fx.slide_image(spark, d), fx.rois(spark, d).where("poly_type = 'rectangle'"), fx.slide_extent(spark, d), 2)
 
 
 # the triangle's right angle is its top left corner: under the slanted edge, edges included
@@ -342,13 +381,13 @@ _TRIANGLE = "CASE WHEN poly_type = 'rectangle' OR (y >= row_start AND x >= colum
 
 @query("cut_polygon", _CUT.format(_TRIANGLE) + " WHERE poly_type = 'polygon'")
 def cut_polygon(spark, d):
-    return cut.cut(fx.dense_image(spark, d), fx.rois(spark, d).where("poly_type = 'polygon'"), fx.extent(spark, d), 2, -1.0)
+    return cut.cut(fx.slide_image(spark, d), fx.rois(spark, d).where("poly_type = 'polygon'"), fx.slide_extent(spark, d), 2, -1.0)
 
 
 @query("cut_all", _CUT.format(_TRIANGLE) + " WHERE w.element IN ('click', 'view')")
 def cut_all(spark, d):
-    named = fx.extent(spark, d).where("element in ('click', 'view')").select("element")
-    return cut.cut_all(fx.dense_image(spark, d), named, fx.rois(spark, d), fx.extent(spark, d), 2, -1.0)
+    named = fx.slide_extent(spark, d).where("element in ('click', 'view')")
+    return cut.cut_all(fx.slide_image(spark, d), named, fx.rois(spark, d), fx.slide_extent(spark, d), 2, -1.0)
 
 
 @query("pyramid_image", _PYRAMID)
@@ -377,9 +416,11 @@ def normalize(spark, d):
     return out.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
-@query("normalize_fanout", _NORM.format(" || '_norm'", "image", "image"))
+@query("normalize_fanout", _NORM.format(" || '_norm'", "fine", "fine"))
 def normalize_fanout(spark, d):
-    out = enhance.normalize(fx.image(spark, d), 5, 99, pattern="${input}_norm")
+    """Three channels of dense pixels with another value each, as zeros outnumber events by far."""
+    image = fx.dense_image(spark, d).withColumn("value", F.col("value") + (F.col("y") * 7 + F.col("x") * 13) % 101)
+    out = enhance.normalize(image, 5, 99, pattern="${input}_norm")
     return out.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
@@ -419,9 +460,10 @@ def _expanded(radius: float, src: str = "nucleus") -> str:
     return f"SELECT roi, y, x, label FROM {src} UNION ALL SELECT * FROM ({near}) n ANTI JOIN {src} USING (roi, y, x) WHERE y >= 0 AND x >= 0 AND x < 720 AND y < (SELECT max(height) FROM extent)"
 
 
-_FULL = "(SELECT y, x, coalesce(c.label, 0) AS label FROM (SELECT y, x FROM grid) g LEFT JOIN cell c USING (y, x))"
-_RIM = f"(SELECT DISTINCT p.y, p.x FROM {_FULL} p, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) s(sy, sx) JOIN {_FULL} q ON q.y = p.y + sy AND q.x = p.x + sx WHERE p.label <> q.label)"
-_ERODED = f"SELECT roi, y, x, label FROM cell ANTI JOIN (SELECT y + dy AS y, x + dx AS x FROM {_RIM}, {_disk_sql(2, True)}) USING (y, x)"
+# a label's neighbours in its row and column; beside the image there is none, which is no difference
+_SEEN = "SELECT y, x, label, lag(label, 1, label) OVER r AS west, lead(label, 1, label) OVER r AS east, lag(label, 1, label) OVER c AS north, lead(label, 1, label) OVER c AS south FROM (SELECT y, x, CASE WHEN d <= 90 THEN label ELSE 0 END AS label FROM grid) WINDOW r AS (PARTITION BY y ORDER BY x), c AS (PARTITION BY x ORDER BY y)"
+_RIM = f"SELECT y, x FROM ({_SEEN}) WHERE label <> west OR label <> east OR label <> north OR label <> south"
+_ERODED = f"SELECT roi, y, x, label FROM cell ANTI JOIN (SELECT DISTINCT y + dy AS y, x + dx AS x FROM ({_RIM}), {_disk_sql(2, True)}) USING (y, x)"
 
 
 @query("mask_expand", f"SELECT roi, 'expanded' AS element, y, x, label FROM ({_expanded(3)})")
@@ -465,13 +507,22 @@ def morph_close(spark, d):
     return masks.morph_close(fx.mask(spark, d).select("roi", "y", "x"), 2, frame(spark, d))
 
 
-_COARSE = f"SELECT DISTINCT y * 30 // {_H} AS y, x * 60 // 720 AS x FROM image WHERE element = 'click' AND value > 0"
-_SMOOTH = _shrunk(_grown(_grown(_shrunk(_COARSE, "30", "60", 1), "30", "60", 1), "30", "60", 1), "30", "60", 1)
+def _axis(n: int, size: str) -> str:
+    """``i, p``: the pixels that count in cell i of n, and (in ``f``) whether pixel p takes part of cell i."""
+    centre = f"((i + 0.5::DOUBLE) * {size} / {n} - 0.5)"
+    reach = f"floor(greatest({size} / {n}::DOUBLE - 1, 0) / 2 * 4 + 0.5)"
+    back = f"abs((p + 0.5::DOUBLE) * {n} / {size} - 0.5)"
+    back = f"CASE WHEN {back} > {n - 1} THEN {2 * (n - 1)} - {back} ELSE {back} END"
+    return f"SELECT i, p, p >= floor({centre}) - {reach} AND p <= ceil({centre}) + {reach} AS counts, floor({back}) = i OR ceil({back}) = i AS takes FROM (SELECT unnest(range({n})) AS i), (SELECT unnest(range({size})) AS p)"
+
+
+_COARSE = "SELECT DISTINCT r.i AS y, c.i AS x FROM image JOIN rows_ r ON r.p = y AND r.counts JOIN columns_ c ON c.p = x AND c.counts WHERE element = 'click' AND value > 25000"
+_SMOOTH = _shrunk(_grown(_grown(_shrunk("SELECT * FROM coarse_", "30", "60", 1), "30", "60", 1), "30", "60", 1), "30", "60", 1)
 
 
-@query("mask_blob", f"SELECT 'R0' AS roi, 'blob' AS element, g.y, g.x, 1 AS label FROM grid g JOIN ({_SMOOTH}) s ON s.y = g.y * 30 // {_H} AND s.x = g.x * 60 // 720")
+@query("mask_blob", f"WITH rows_ AS MATERIALIZED ({_axis(30, _H)}), columns_ AS MATERIALIZED ({_axis(60, '720')}), coarse_ AS MATERIALIZED ({_COARSE}) SELECT DISTINCT 'R0' AS roi, 'blob' AS element, r.p::INT AS y, c.p::INT AS x, 1 AS label FROM ({_SMOOTH}) s JOIN rows_ r ON r.i = s.y AND r.takes JOIN columns_ c ON c.i = s.x AND c.takes")
 def mask_blob(spark, d):
-    points = fx.image(spark, d).where("element = 'click' and value > 0")
+    points = fx.image(spark, d).where("element = 'click' and value > 25000")
     return masks.blob(points, frame(spark, d), (30, 60), 1)
 
 
@@ -493,7 +544,16 @@ def segment_callable(spark, d):
     return segment.segment_objects(fx.dense_image(spark, d), _bright, ["click", "view"])
 
 
-@query("label_components")
+_LINKED = """WITH found AS MATERIALIZED (SELECT y, x, (y * 720 + x)::BIGINT AS node FROM dense WHERE element = 'click' AND value > 100),
+links AS MATERIALIZED (SELECT a.node AS a, b.node AS b FROM found a, (VALUES (0, 0), (0, 1), (1, 0), (0, -1), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)) o(dy, dx) JOIN found b ON b.y = a.y + dy AND b.x = a.x + dx),
+rounds AS (SELECT 0 AS r, node, node AS root, true AS moved FROM found
+  UNION ALL
+  SELECT s.r + 1, s.node, min(t.root), min(t.root) < s.root FROM rounds s JOIN links l ON l.a = s.node JOIN rounds t ON t.node = l.b
+  WHERE EXISTS (SELECT 1 FROM rounds WHERE moved) GROUP BY s.r, s.node, s.root)
+SELECT 'R0' AS roi, 'components' AS element, y, x, dense_rank() OVER (ORDER BY root)::INT AS label FROM rounds JOIN found USING (node) WHERE r = (SELECT max(r) FROM rounds)"""
+
+
+@query("label_components", _LINKED)
 def label_components(spark, d):
     points = fx.dense_image(spark, d).where("element = 'click' and value > 100").select("roi", "y", "x")
     return segment.label_components(points, fx.WIDTH, 8, 64)
@@ -502,15 +562,26 @@ def label_components(spark, d):
 # ---- steps
 
 
-@query("level_check", "SELECT 'R0' AS roi, 'none' AS element")
+def _priorities(spark, d) -> list[str]:
+    return sorted(r.element for r in fx.orders_catalog(spark, d).select("element").distinct().collect())
+
+
+@query("level_check", "SELECT roi, element FROM (SELECT DISTINCT roi FROM catalog) CROSS JOIN (SELECT DISTINCT element FROM catalog) ANTI JOIN (SELECT roi, element FROM catalog WHERE level = 2) USING (roi, element)")
 def level_check(spark, d):
-    catalog = fx.extent(spark, d).withColumn("level", F.lit(0))
-    return plan.level_check(catalog, 0, ["click", "none"])
+    return plan.level_check(fx.orders_catalog(spark, d), 2, _priorities(spark, d))
 
 
-@query("pipeline_missing", "SELECT 'R0' AS roi, 1 AS step, 'nothing' AS element")
+@query("pipeline_missing", "SELECT roi, step::INT AS step, element FROM (SELECT DISTINCT roi FROM catalog) CROSS JOIN (SELECT element, (row_number() OVER (ORDER BY element) - 1) // 2 AS step FROM (SELECT DISTINCT element FROM catalog)) ANTI JOIN catalog USING (roi, element)")
 def pipeline_missing(spark, d):
-    return plan.missing_inputs(fx.extent(spark, d), [(["click"], ["a"]), (["a", "nothing"], ["b"])])
+    names = _priorities(spark, d)
+    steps = [(names[i : i + 2] + [f"made {i - 2}"] * (i > 0), [f"made {i}"]) for i in range(0, len(names), 2)]
+    return plan.missing_inputs(fx.orders_catalog(spark, d).select("roi", "element").distinct(), steps)
+
+
+@query("output_typing", "SELECT roi, element, y, x, label, c::INT AS c, value FROM (SELECT roi, element, y, x, label, NULL AS c, NULL::DOUBLE AS value FROM labels_ UNION ALL SELECT roi, element, y, x, NULL, 0, value FROM image)")
+def output_typing(spark, d):
+    wide = both_masks(spark, d).withColumn("label", F.col("label").cast("double"))
+    return plan.typed(wide, "labels").unionByName(plan.typed(fx.image(spark, d), "image"), allowMissingColumns=True)
 
 
 @query("pipeline_run", f"SELECT roi, 'ring' AS element, y, x, label FROM ({_expanded(4)}) a ANTI JOIN ({_expanded(1)}) b USING (roi, y, x) SEMI JOIN (SELECT roi, y, x FROM cell) USING (roi, y, x)")
@@ -528,7 +599,7 @@ _REGION = {
     "region_eccentricity": ("round(CASE WHEN l1 = 0 THEN 0.0 ELSE sqrt(1 - l2 / l1) END, 6) AS eccentricity", ["eccentricity"]),
     "region_bbox": ('y0 AS "bbox-0", x0 AS "bbox-1", y1 AS "bbox-2", x1 AS "bbox-3", (y1 - y0) * (x1 - x0) AS area_bbox, round(n / ((y1 - y0) * (x1 - x0))::DOUBLE, 6) AS extent', ["bbox-0", "bbox-1", "bbox-2", "bbox-3", "area_bbox", "extent"]),
     "region_eqdiam": ("round(sqrt(4 * n / pi()), 6) AS equivalent_diameter_area", ["equivalent_diameter_area"]),
-    "region_axes": ('round(xx, 6) AS "inertia_tensor-0-0", round(yy, 6) AS "inertia_tensor-1-1", round(l1, 6) AS "inertia_tensor_eigvals-0", round(l2, 6) AS "inertia_tensor_eigvals-1", round(4 * sqrt(l1), 6) AS axis_major_length, round(4 * sqrt(l2), 6) AS axis_minor_length', ["inertia_tensor-0-0", "inertia_tensor-1-1", "inertia_tensor_eigvals-0", "inertia_tensor_eigvals-1", "axis_major_length", "axis_minor_length"]),
+    "region_axes": ('round(xx, 6) AS "inertia_tensor-0-0", round(-xy, 6) + 0.0 AS "inertia_tensor-0-1", round(yy, 6) AS "inertia_tensor-1-1", round(turn - CASE WHEN turn > pi() / 2 THEN pi() ELSE 0 END, 6) + 0.0 AS orientation, round(l1, 6) AS "inertia_tensor_eigvals-0", round(l2, 6) AS "inertia_tensor_eigvals-1", round(4 * sqrt(l1), 6) AS axis_major_length, round(4 * sqrt(l2), 6) AS axis_minor_length', ["inertia_tensor-0-0", "inertia_tensor-0-1", "inertia_tensor-1-1", "orientation", "inertia_tensor_eigvals-0", "inertia_tensor_eigvals-1", "axis_major_length", "axis_minor_length"]),
 }
 
 
@@ -540,16 +611,38 @@ for _name, (_sql, _columns) in _REGION.items():
     query(_name, f"SELECT roi, mask, label, {_sql} FROM axes")(_region(_name, _columns))
 
 
-@query("region_moments", "SELECT roi, mask, label, sum(v)::DOUBLE AS m10, sum(u * v)::DOUBLE AS m11, sum(u * u)::DOUBLE AS m02, round(var_pop(v) * count(*), 4) AS mu20, round((var_pop(v) + var_pop(u)) / count(*), 6) AS hu0 FROM (SELECT l.roi, l.element AS mask, l.label, (y - y0)::BIGINT AS v, (x - x0)::BIGINT AS u FROM labels_ l JOIN mom m ON m.roi = l.roi AND m.mask = l.element AND m.label = l.label) GROUP BY ALL")
+_M = [(p, q) for p in range(4) for q in range(4)]
+_NU = [(p, q) for p, q in _M if p + q > 1]
+
+
+def _moments_sql() -> str:
+    """Raw and central moments as sums over pixels, from the centroid itself; normalised ones and Hu's from those."""
+    at = "SELECT l.roi, l.element AS mask, l.label, (y - y0)::DOUBLE AS v, (x - x0)::DOUBLE AS u, y - sy / n::DOUBLE AS dv, x - sx / n::DOUBLE AS du FROM labels_ l JOIN mom m ON m.roi = l.roi AND m.mask = l.element AND m.label = l.label"
+    power = lambda c, k: " * ".join([c] * k) or "1.0::DOUBLE"
+    sums = ", ".join(f"sum({power('v', p)} * {power('u', q)}) AS m{p}{q}, sum({power('dv', p)} * {power('du', q)}) AS mu{p}{q}" for p, q in _M)
+    nu = ", ".join(f"mu{p}{q} / pow(m00, {1 + (p + q) / 2}) AS nu{p}{q}" for p, q in _NU)
+    hu = [
+        "nu20 + nu02", "(nu20 - nu02) ** 2 + 4 * nu11 ** 2", "(nu30 - 3 * nu12) ** 2 + (3 * nu21 - nu03) ** 2", "(nu30 + nu12) ** 2 + (nu21 + nu03) ** 2",
+        "(nu30 - 3 * nu12) * (nu30 + nu12) * ((nu30 + nu12) ** 2 - 3 * (nu21 + nu03) ** 2) + (3 * nu21 - nu03) * (nu21 + nu03) * (3 * (nu30 + nu12) ** 2 - (nu21 + nu03) ** 2)",
+        "(nu20 - nu02) * ((nu30 + nu12) ** 2 - (nu21 + nu03) ** 2) + 4 * nu11 * (nu30 + nu12) * (nu21 + nu03)",
+        "(3 * nu21 - nu03) * (nu30 + nu12) * ((nu30 + nu12) ** 2 - 3 * (nu21 + nu03) ** 2) - (nu30 - 3 * nu12) * (nu21 + nu03) * (3 * (nu30 + nu12) ** 2 - (nu21 + nu03) ** 2)",
+    ]
+    columns = [f"m{p}{q}" for p, q in _M] + [f"round(mu{p}{q}, 2) + 0.0 AS mu{p}{q}" for p, q in _M] + [f"round(nu{p}{q}, 6) + 0.0 AS nu{p}{q}" for p, q in _NU]
+    columns += [f"round({h}, 6) + 0.0 AS hu{i}" for i, h in enumerate(hu)]
+    return f"SELECT roi, mask, label, {', '.join(columns)} FROM (SELECT *, {nu} FROM (SELECT roi, mask, label, {sums} FROM ({at}) GROUP BY ALL))"
+
+
+@query("region_moments", _moments_sql())
 def region_moments(spark, d):
-    m = regions.moments(both_masks(spark, d))
-    return m.select("roi", "mask", "label", "m10", "m11", "m02", (F.round("mu20", 4) + 0.0).alias("mu20"), (F.round("hu0", 6) + 0.0).alias("hu0"))
+    digits = {f"mu{p}{q}": 2 for p, q in _M} | {f"nu{p}{q}": 6 for p, q in _NU} | {f"hu{i}": 6 for i in range(7)}
+    m = regions.moments(both_masks(spark, d)).drop("centroid_local-0", "centroid_local-1")
+    return m.withColumns({c: F.round(c, n) + 0.0 for c, n in digits.items()})
 
 
 @query("region_perimeter", """WITH own AS (SELECT element AS mask, label, y, x FROM labels_),
-border AS (SELECT mask, label, y, x FROM own p, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) s(dy, dx) LEFT JOIN own q ON q.mask = p.mask AND q.label = p.label AND q.y = p.y + dy AND q.x = p.x + dx WHERE q.y IS NULL GROUP BY mask, label, y, x),
+border AS (SELECT p.mask AS mask, p.label AS label, p.y AS y, p.x AS x FROM own p, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) s(dy, dx) LEFT JOIN own q ON q.mask = p.mask AND q.label = p.label AND q.y = p.y + dy AND q.x = p.x + dx WHERE q.y IS NULL GROUP BY p.mask, p.label, p.y, p.x),
 code AS (SELECT p.mask, p.label, p.y, p.x, 1 + sum(CASE WHEN q.y IS NULL THEN 0 WHEN dy = 0 OR dx = 0 THEN 2 ELSE 10 END) AS code FROM border p, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)) s(dy, dx) LEFT JOIN border q ON q.mask = p.mask AND q.label = p.label AND q.y = p.y + dy AND q.x = p.x + dx GROUP BY ALL)
-SELECT 'R0' AS roi, mask, label, round(sum(CASE WHEN code IN (5, 7, 15, 17, 25, 27) THEN 1.0::DOUBLE WHEN code IN (21, 33) THEN sqrt(2) WHEN code IN (13, 23) THEN (1 + sqrt(2)) / 2 ELSE 0 END), 6) AS perimeter FROM code GROUP BY mask, label""".replace("SELECT mask, label, y, x FROM own p", "SELECT p.mask AS mask, p.label AS label, p.y AS y, p.x AS x FROM own p").replace("GROUP BY mask, label, y, x)", "GROUP BY p.mask, p.label, p.y, p.x)"))
+SELECT 'R0' AS roi, mask, label, round(sum(CASE WHEN code IN (5, 7, 15, 17, 25, 27) THEN 1.0::DOUBLE WHEN code IN (21, 33) THEN sqrt(2) WHEN code IN (13, 23) THEN (1 + sqrt(2)) / 2 ELSE 0 END), 6) AS perimeter FROM code GROUP BY mask, label""")
 def region_perimeter(spark, d):
     return _rounded(regions.perimeter(both_masks(spark, d)))
 
@@ -562,25 +655,35 @@ def region_euler(spark, d):
     return regions.euler_number(both_masks(spark, d))
 
 
-@query("region_crofton", f"WITH {_QUADS} SELECT 'R0' AS roi, mask, label, round(pi() / 4 * (sum(((p & 1 > 0) <> (p & 2 > 0))::INT) + sum(((p & 1 > 0) <> (p & 4 > 0))::INT) + (sum(((p & 1 > 0) <> (p & 8 > 0))::INT) + sum(((p & 2 > 0) <> (p & 4 > 0))::INT)) / sqrt(2)) / 2, 6) AS perimeter_crofton FROM quads GROUP BY ALL".replace("p & 1 > 0", "(p & 1) > 0").replace("p & 2 > 0", "(p & 2) > 0").replace("p & 4 > 0", "(p & 4) > 0").replace("p & 8 > 0", "(p & 8) > 0"))
+@query("region_crofton", f"WITH {_QUADS} SELECT 'R0' AS roi, mask, label, round(pi() / 4 * (sum((((p & 1) > 0) <> ((p & 2) > 0))::INT) + sum((((p & 1) > 0) <> ((p & 4) > 0))::INT) + (sum((((p & 1) > 0) <> ((p & 8) > 0))::INT) + sum((((p & 2) > 0) <> ((p & 4) > 0))::INT)) / sqrt(2)) / 2, 6) AS perimeter_crofton FROM quads GROUP BY ALL")
 def region_crofton(spark, d):
     return _rounded(regions.perimeter_crofton(both_masks(spark, d)))
 
 
-@query("region_solidity")
+# a row of the hull reaches as far as any line between two points does; points are the middles of the pixels' sides
+_HULL = """WITH ends AS (SELECT roi, element AS mask, label, y, min(x)::DOUBLE AS lo, max(x)::DOUBLE AS hi FROM labels_ GROUP BY ALL),
+points AS (SELECT DISTINCT roi, mask, label, e.y + dy AS y, CASE side WHEN 'lo' THEN lo ELSE hi END + dx AS x FROM ends e, (VALUES ('lo', 0.0::DOUBLE, -0.5::DOUBLE), ('hi', 0.0, 0.5), ('lo', -0.5, 0.0), ('lo', 0.5, 0.0), ('hi', -0.5, 0.0), ('hi', 0.5, 0.0)) o(side, dy, dx)),
+spans AS (SELECT e.roi, e.mask, e.label, e.y, max(CASE WHEN a.y = b.y THEN a.x ELSE a.x + (e.y - a.y) * (b.x - a.x) / (b.y - a.y) END) AS r, min(CASE WHEN a.y = b.y THEN a.x ELSE a.x + (e.y - a.y) * (b.x - a.x) / (b.y - a.y) END) AS l
+  FROM ends e JOIN points a ON a.roi = e.roi AND a.mask = e.mask AND a.label = e.label AND a.y <= e.y JOIN points b ON b.roi = e.roi AND b.mask = e.mask AND b.label = e.label AND b.y >= e.y GROUP BY ALL),
+areas AS (SELECT roi, mask, label, sum(greatest(0, floor(r + 1e-9) - ceil(l - 1e-9) + 1))::BIGINT AS area_convex FROM spans GROUP BY ALL),
+feret AS (SELECT a.roi, a.mask, a.label, max(sqrt((a.y - b.y) * (a.y - b.y) + (a.x - b.x) * (a.x - b.x))) AS feret FROM points a JOIN points b ON a.roi = b.roi AND a.mask = b.mask AND a.label = b.label GROUP BY ALL)
+SELECT roi, mask, label, {} FROM areas JOIN feret USING (roi, mask, label) JOIN mom USING (roi, mask, label)"""
+
+
+@query("region_solidity", _HULL.format("round(n / area_convex::DOUBLE, 6) AS solidity"))
 def region_solidity(spark, d):
     return _rounded(regions.hull(both_masks(spark, d)).select("roi", "mask", "label", "solidity"))
 
 
-@query("region_hull")
+@query("region_hull", _HULL.format("area_convex, round(feret, 6) AS feret_diameter_max"))
 def region_hull(spark, d):
     return _rounded(regions.hull(both_masks(spark, d)).select("roi", "mask", "label", "area_convex", "feret_diameter_max"))
 
 
-# the ellipses have no holes
-@query("region_filled", "SELECT roi, mask, label, n AS area_filled FROM mom")
+# a cell without its nucleus has a hole, which filling closes; where the image ends in a nucleus, the hole is open
+@query("region_filled", "SELECT c.roi, 'difference' AS mask, label, c.n - CASE WHEN (c.y1 - 1) % 10 > 7 THEN 0 ELSE coalesce(m.n, 0) END AS area_filled FROM mom c LEFT JOIN (SELECT label, n FROM mom WHERE mask = 'nucleus') m USING (label) WHERE mask = 'cell'")
 def region_filled(spark, d):
-    return regions.filled(both_masks(spark, d))
+    return regions.filled(mask_subtract(spark, d))
 
 
 @query("region_coords", "SELECT roi, element AS mask, label, arg_min(y, y * 1000 + x) AS first_y, arg_min(x, y * 1000 + x) AS first_x, count(*)::INT AS n FROM labels_ GROUP BY ALL")
@@ -593,7 +696,7 @@ def region_coords(spark, d):
 
 
 def _intensity(*metrics: str):
-    return lambda spark, d: _rounded(intensity.intensity(fx.image(spark, d), both_masks(spark, d), metrics))
+    return lambda spark, d: _rounded(intensity.intensity(fx.dense_image(spark, d), both_masks(spark, d), metrics))
 
 
 for _name, _metrics in {"intensity_mean": ("mean",), "intensity_minmax": ("min", "max"), "intensity_median": ("median",), "intensity_sum": ("sum",), "intensity_std": ("std",), "intensity_all": ("mean", "median", "min", "max", "sum", "std")}.items():
@@ -605,7 +708,7 @@ if "spread" not in intensity.METRICS:
 
 @query("intensity_custom", "SELECT roi, mask, channel, label, max - min AS spread FROM stats WHERE channel IN ('click', 'view')")
 def intensity_custom(spark, d):
-    return intensity.intensity(fx.image(spark, d), both_masks(spark, d), ["spread"], ["click", "view"])
+    return intensity.intensity(fx.dense_image(spark, d), both_masks(spark, d), ["spread"], ["click", "view"])
 
 
 # ---- object tables
@@ -623,7 +726,7 @@ _NAMES = [f"{c}_{m}_{k}" for c in ("click", "view") for m in ("max", "min") for
 
 
 def _long(spark, d):
-    found = intensity.intensity(fx.image(spark, d), both_masks(spark, d), ["max", "min"], ["click", "view"])
+    found = intensity.intensity(fx.dense_image(spark, d), both_masks(spark, d), ["max", "min"], ["click", "view"])
     return intensity.features(found, ["max", "min"])
 
 
@@ -664,7 +767,7 @@ _QC = "SELECT s.roi, s.label, s.channel || '_mean_' || s.mask AS feature, round(
 
 
 def _features(spark, d):
-    found = intensity.intensity(fx.image(spark, d), both_masks(spark, d), ["mean"])
+    found = intensity.intensity(fx.dense_image(spark, d), both_masks(spark, d), ["mean"])
     return _rounded(found.select("roi", "label", F.concat_ws("_", "channel", F.lit("mean"), "mask").alias("feature"), F.col("mean").alias("value")))
 
 
@@ -673,34 +776,49 @@ def qc_feature_mask(spark, d):
     return objects.qc_mask(_features(spark, d), _points(spark, d), fx.shapes(spark, d)).select("roi", "label", "feature", "value", "keep")
 
 
-@query("qc_rerun", _QC)
+@query("qc_rerun", f"SELECT shape_key, count(*) AS excluded FROM ({_QC.replace('SELECT s.roi', 'SELECT h.shape_key, s.roi')}) WHERE NOT keep GROUP BY ALL")
 def qc_rerun(spark, d):
+    """Exclusion on a stored table; how many features each key of shapes takes out."""
     tables.write_table(_features(spark, d), path := storage.shared_dir(spark), "objects")
-    return objects.qc_mask(spark.read.parquet(path), _points(spark, d), fx.shapes(spark, d)).select("roi", "label", "feature", "value", "keep")
+    out = plan.qc_after(spark.read.parquet(path), _points(spark, d), fx.shapes(spark, d))
+    key = F.concat(F.lit("qc_exclude_"), F.substring_index("feature", "_", 1))
+    return out.where("not keep").groupBy(key.alias("shape_key")).agg(F.count("*").alias("excluded"))
+
+
+@query("qc_shapes_used", "SELECT shape_key, shape_key IN (SELECT 'qc_exclude_' || element FROM extent WHERE element <> 'click') AS used FROM shape0 GROUP BY shape_key")
+def qc_shapes_used(spark, d):
+    named = fx.image(spark, d).where("element <> 'click'").select(F.concat("element", F.lit("_mean_cell")).alias("feature"))
+    return objects.used_shapes(named, fx.shapes(spark, d))
+
 
+_OBS = ", ".join(f'max({c}) FILTER (mask = \'{m}\') AS "{n}_{m}"' for m in ("cell", "nucleus") for n, c in (("area", "n"), ("centroid-0", "round(sy / n::DOUBLE, 6)"), ("centroid-1", "round(sx / n::DOUBLE, 6)"), ("eccentricity", "round(CASE WHEN l1 = 0 THEN 0.0 ELSE sqrt(1 - l2 / l1) END, 6)"), ("euler_number", "euler_number")))
 
-_QUANTIFY = """SELECT s.roi, s.label, s.feature, round(s.value, 6) + 0.0 AS value, m.n AS area, round(m.sy / m.n::DOUBLE, 6) AS "centroid-0", round(m.sx / m.n::DOUBLE, 6) AS "centroid-1", h.label IS NULL AS keep
-FROM (SELECT roi, label, channel || '_mean_' || mask AS feature, mean AS value, channel FROM stats UNION ALL SELECT roi, label, channel || '_median_' || mask, median, channel FROM stats) s
-JOIN mom m ON m.roi = s.roi AND m.label = s.label AND m.mask = 'cell'
-LEFT JOIN hits h ON h.roi = s.roi AND h.label = s.label AND h.shape_key = 'qc_exclude_' || string_split(s.channel, '_')[1]"""
+# every object of either mask with every feature; solidity and perimeter have rows of their own elsewhere
+_QUANTIFY = f"""WITH {_QUADS},
+eulers AS (SELECT 'R0' AS roi, mask, label, ((count(*) FILTER (p IN (1, 2, 4, 8)) - count(*) FILTER (p IN (7, 11, 13, 14)) - 2 * count(*) FILTER (p IN (6, 9))) / 4)::INT AS euler_number FROM quads GROUP BY ALL),
+obs AS (SELECT roi, label, {_OBS} FROM axes JOIN eulers USING (roi, mask, label) GROUP BY ALL),
+named AS (SELECT element AS channel, metric, mask FROM extent, (VALUES ('mean'), ('median')) m(metric), (VALUES ('cell'), ('nucleus')) k(mask)),
+long AS (UNPIVOT (SELECT roi, label, channel, mask, mean, median FROM stats) ON mean, median INTO NAME metric VALUE value)
+SELECT obs.*, channel || '_' || metric || '_' || mask AS feature, round(value, 6) + 0.0 AS value, h.label IS NULL AS keep
+FROM obs CROSS JOIN named LEFT JOIN long USING (roi, label, channel, metric, mask)
+LEFT JOIN hits h ON h.roi = obs.roi AND h.label = obs.label AND h.shape_key = 'qc_exclude_' || string_split(channel, '_')[1]"""
 
 
 @query("quantify", _QUANTIFY)
 def quantify(spark, d):
-    out = plan.quantify(fx.image(spark, d), both_masks(spark, d), fx.shapes(spark, d))
-    return _rounded(out.select("roi", "label", "feature", "value", "area", F.col("`centroid-0`"), F.col("`centroid-1`"), "keep"))
+    out = _rounded(plan.quantify(fx.dense_image(spark, d), both_masks(spark, d), fx.shapes(spark, d)))
+    return out.drop(*[f"{c}_{m}" for c in ("solidity", "perimeter") for m in _MASKS])
 
 
 # ---- arrivals
 
 
-@query("stream_cut", _CUT.format(_TRIANGLE).replace("-1.0 END", "0.0 END"))
+@query("stream_cut", _CUT.format(_TRIANGLE.replace("-1.0 END", "0.0 END")))
 def stream_cut(spark, d):
     base = storage.shared_dir(spark)
-    pixels = fx.dense_image(spark, d).select(F.lit("S0").alias("slide"), "element", "y", "x", "value")
-    pixels.repartition("element").write.parquet(f"{base}/in")
-    arrivals.stream_cut(spark, f"{base}/in", "slide string, element string, y int, x int, value double", fx.rois(spark, d), fx.extent(spark, d), f"{base}/out", f"{base}/state", 2).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("roi", "element", "y", "x", "value")
+    fx.slide_image(spark, d).repartition(3, "element").write.parquet(f"{base}/in")
+    arrivals.stream_cut(spark, f"{base}/in", "slide string, element string, y int, x int, value double", fx.rois(spark, d), fx.slide_extent(spark, d), f"{base}/out", f"{base}/state", 2).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("slide", "roi", "element", "y", "x", "value")
 
 
 @query("stream_ready", "SELECT slide FROM (SELECT (user_id % 7)::VARCHAR AS slide, count(DISTINCT event_type) AS n FROM events WHERE user_id % 7 < 5 OR event_type <> 'click' GROUP BY ALL) WHERE n = (SELECT count(DISTINCT event_type) FROM events)")

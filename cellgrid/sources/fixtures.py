@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WIDTH = 720
+#: Rows of a slide.
+STRIP = 8
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,24 +64,53 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").select(F.col("p_partkey").alias("ordinal"), F.when(F.col("p_partkey") % 11 == 0, junk).otherwise(name).alias("path"))
 
 
+def slides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n``: the number of slides, each a strip of the image."""
+    return extent(spark, sf_dir).agg(F.expr(f"cast((max(height) + {STRIP - 1}) div {STRIP} as int)").alias("n"))
+
+
+def slide_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of the slides' elements; the last strip may be lower."""
+    e = extent(spark, sf_dir).withColumn("k", F.explode(F.sequence(F.lit(0), F.expr(f"cast((height - 1) div {STRIP} as int)"))))
+    height = F.least(F.lit(STRIP), F.col("height") - STRIP * F.col("k"))
+    return e.select(F.concat(F.lit("S"), F.col("k").cast("string")).alias("slide"), "element", height.alias("height"), "width")
+
+
+def slide_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense image by slide."""
+    slide = F.concat(F.lit("S"), F.expr(f"cast(y div {STRIP} as string)"))
+    return dense_image(spark, sf_dir).select(slide.alias("slide"), "element", F.expr(f"y % {STRIP}").alias("y"), "x", "value")
+
+
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes of a detector on ten slides."""
-    o = _table(spark, sf_dir, "orders").where("o_orderkey % 10 = 0")
+    """Boxes of a detector: the orders of a hundred customers on a slide."""
+    o = _table(spark, sf_dir, "orders").join(F.broadcast(slides(spark, sf_dir)))
     return o.selectExpr(
-        "cast(o_custkey % 10 as string) as slide", "o_orderkey as ordinal", "cast(o_custkey * 7 % 2000 as int) as x", "cast(o_orderkey * 13 % 2000 as int) as y",
+        "concat('S', cast(o_custkey div 100 % n as string)) as slide", "o_orderkey as ordinal", "cast(o_custkey * 7 % 2000 as int) as x", "cast(o_orderkey * 13 % 2000 as int) as y",
         "cast(20 + o_orderkey % 60 as int) as w", "cast(20 + o_custkey % 60 as int) as h",
         "(o_orderkey * 37 % 1000) / 1000.0D as predicted_iou", "(o_orderkey * 53 % 1000) / 1000.0D as stability_score",
     )
 
 
+def candidate_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``slide, cand_id, y, x``: a patch of 3 x 3 pixels of the slide's image for each candidate."""
+    c = candidates(spark, sf_dir).withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(8))))
+    return c.selectExpr("slide", "ordinal as cand_id", f"cast(y * {STRIP} div 2000 + d div 3 as int) as y", f"cast(x * {WIDTH} div 2000 + d % 3 as int) as x")
+
+
 def rois(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows over the image, from nation keys: rectangles, and a triangle for every fourth."""
-    n = _table(spark, sf_dir, "nation").where("n_nationkey < 8")
-    n = n.selectExpr("concat('ROI_', lpad(cast(n_nationkey as string), 3, '0')) as roi", "cast(n_nationkey * 9 as int) as row_start", "cast(n_nationkey * 9 + 30 as int) as row_stop", "cast(n_nationkey * 80 as int) as column_start", "cast(n_nationkey * 80 + 100 as int) as column_stop", "n_nationkey % 4 = 3 as tri")
+    """A window for each supplier, dealt over the slides: rectangles, and a triangle for every fourth."""
+    n = _table(spark, sf_dir, "supplier").join(F.broadcast(slides(spark, sf_dir)))
+    n = n.selectExpr("concat('S', cast(s_suppkey % n as string)) as slide", "concat('ROI_', lpad(cast(s_suppkey as string), 5, '0')) as roi", "cast(s_suppkey % 4 as int) as row_start", "cast(s_suppkey % 4 + 5 as int) as row_stop", "cast(s_suppkey * 37 % 680 as int) as column_start", "cast(s_suppkey * 37 % 680 + 60 as int) as column_stop", "s_suppkey % 4 = 3 as tri")
     ring = F.expr("array(struct(double(row_start) as row, double(column_start) as col), struct(row_stop - 1.0D as row, double(column_start) as col), struct(double(row_start) as row, column_stop - 1.0D as col))")
     return n.withColumns({"poly_type": F.when(F.col("tri"), "polygon").otherwise("rectangle"), "polygon_vertices": ring}).drop("tri")
 
 
+def orders_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog of many ROIs: a customer's orders stand for elements (by priority) with some of three levels."""
+    return _table(spark, sf_dir, "orders").selectExpr("cast(o_custkey as string) as roi", "o_orderpriority as element", "cast(o_orderkey % 3 as int) as level").distinct()
+
+
 def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quadrilaterals with slanted edges, five per channel, as exclusion shapes in (x, y)."""
     names = image(spark, sf_dir).select("element").distinct().agg(F.sort_array(F.collect_set("element")).alias("names"))

@@ -68,11 +68,19 @@ def swap_axes(ring: Column | str) -> Column:
     return F.transform(ring, lambda v: F.struct(v["col"].cast("double").alias("x"), v["row"].cast("double").alias("y")))
 
 
-def write_shapes(shapes: DataFrame, path: str, order: str = "xy") -> None:
-    """Store polygons by shape key; ``order="yx"`` takes (row, col) vertices."""
+def write_shapes(shapes: DataFrame, path: str, order: str = "xy", layers: list[str] | None = None) -> None:
+    """Store polygons by shape key; ``order="yx"`` takes (row, col) vertices.
+
+    Keys that are stored already are replaced, others stay. Of ``layers`` (keys), those without shapes are deleted.
+    """
     if order == "yx":
         shapes = shapes.withColumn("ring", swap_axes("ring"))
     shapes.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("shape_key").parquet(path)
+    if layers:
+        held = {r.shape_key for r in shapes.select("shape_key").where(F.col("shape_key").isin(layers)).distinct().collect()}
+        for key in set(layers) - held:
+            target = shapes.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/shape_key={key}")
+            target.getFileSystem(shapes.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def write_element(df: DataFrame, path: str, overwrite: bool = False) -> None:

@@ -12,21 +12,23 @@ from cellgrid.operators.cut import cut
 def stream_cut(spark: SparkSession, source: str, schema: str, rois: DataFrame, elements: DataFrame, out: str, checkpoint: str, margin: int = 0) -> StreamingQuery:
     """Cut arriving pixel files (Parquet ``slide, element, y, x, value``; a file holds whole channels) and append them.
 
-    The checkpoint's file log takes each file once. A channel that comes again in another file is dropped: channels that
-    were cut before are in ``out``, and are left out by an anti-join. A batch that is repeated after a failure replaces
-    its own folder.
+    A batch may hold several slides; ROIs and elements name theirs.
+
+    The checkpoint's file log takes each file once. A channel that comes again in another file is dropped: the channels
+    of each batch are noted beside the checkpoint, and are left out by an anti-join. A batch that is repeated after a
+    failure replaces its own folders.
     """
+    noted = f"{checkpoint.rstrip('/')}-channels"
 
     def one(batch: DataFrame, number: int) -> None:
         # of several files in a batch, each channel counts from one alone
         first = batch.groupBy("slide", "element").agg(F.min("file").alias("file"))
         new = batch.join(first, ["slide", "element", "file"])
         if number:
-            done = spark.read.schema("slide string, element string, batch int").parquet(out).where(F.col("batch") < number)
-            new = new.join(done.select("slide", "element").distinct(), ["slide", "element"], "left_anti")
-        parts = cut(new.select("element", "y", "x", "value"), rois, elements, margin)
-        slide = new.select("element", "slide").distinct()
-        parts.join(F.broadcast(slide), "element").write.mode("overwrite").parquet(f"{out}/batch={number}")
+            done = spark.read.schema("slide string, element string, batch int").parquet(noted).where(F.col("batch") < number)
+            new = new.join(done.select("slide", "element"), ["slide", "element"], "left_anti")
+        cut(new, rois, elements, margin).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        new.select("slide", "element").distinct().write.mode("overwrite").parquet(f"{noted}/batch={number}")
 
     pixels = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source).withColumn("file", F.input_file_name())
     return pixels.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from cellgrid.functions import geometry
 from cellgrid.operators import channels, cut, enhance, intensity, masks, objects, regions, rois, segment
 from cellgrid.plans import quantify as plan
+from cellgrid.sources import tables
+from cellgrid.streaming import arrivals
 
 
 def pixels(spark, array, element="A", roi="R0"):
@@ -68,6 +70,76 @@ def test_expand_takes_the_nearest_label(spark):
     assert out[2, 3] == 4 and out[2, 5] == 2 and out[2, 4] == 2  # a tie goes to the smaller label
 
 
+def test_growth_and_erosion_across_tiles(spark):
+    rng = np.random.default_rng(7)
+    area = np.where(rng.random((37, 45)) < 0.02, rng.integers(1, 50, (37, 45)), 0)
+    area[10:22, 12:30] = 60
+    area[15:20, 20:24] = 61
+    y, x = np.nonzero(area)
+    grown, shrunk = area.copy(), area.copy()
+    rim = {(i, j) for i in range(37) for j in range(45) for di, dj in masks.SIDES if 0 <= i + di < 37 and 0 <= j + dj < 45 and area[i + di, j + dj] != area[i, j]}
+    for i in range(37):
+        for j in range(45):
+            d2 = (y - i) ** 2 + (x - j) ** 2
+            if not area[i, j] and d2.min() <= 9:
+                grown[i, j] = min(area[a, b] for a, b, d in zip(y, x, d2) if d == d2.min())
+            if any((i - a) ** 2 + (j - b) ** 2 < 4 for a, b in rim):
+                shrunk[i, j] = 0
+    own, frame = labels(spark, area), extent(spark, 37, 45)
+    assert (array(masks.expand(own, 3, frame, tile=8), area.shape) == grown).all()
+    assert (array(masks.erode(own, 2, frame, tile=8), area.shape) == shrunk).all()
+
+
+def test_opening_and_closing_across_tiles(spark):
+    rng = np.random.default_rng(8)
+    area = rng.random((30, 41)) < 0.7
+    inside = lambda i, j: 0 <= i < 30 and 0 <= j < 41
+    disk = masks.disk(1)
+    grow = lambda a: np.array([[any(inside(i + y, j + x) and a[i + y, j + x] for y, x, _ in disk) for j in range(41)] for i in range(30)])
+    wane = lambda a: np.array([[all(not inside(i + y, j + x) or a[i + y, j + x] for y, x, _ in disk) for j in range(41)] for i in range(30)])
+    points, frame = labels(spark, area.astype(int)), extent(spark, 30, 41)
+    for ours, theirs in ((masks.dilate(points, 1, frame, tile=7), grow(area)), (masks.shrink(points, 1, frame, tile=7), wane(area))):
+        assert (array(ours.withColumn("label", F.lit(1)), area.shape) == theirs).all()
+
+
+def resized(image, shape):
+    """Resizing by linear interpolation with mirrored borders, after a Gaussian blur where it gets smaller."""
+    for axis, n in enumerate(shape):
+        size = image.shape[axis]
+        sigma, at = max(0.0, (size / n - 1) / 2), np.arange(size)
+        mirror = lambda k, size=size: np.abs((k + size - 1) % max(1, 2 * size - 2) - size + 1)
+        if sigma:
+            reach = int(4 * sigma + 0.5)
+            steps = np.arange(-reach, reach + 1)
+            weight = np.exp(-0.5 * (steps / sigma) ** 2)
+            image = sum(w * np.take(image, mirror(at + k), axis) for w, k in zip(weight / weight.sum(), steps))
+        c = (np.arange(n) + 0.5) * size / n - 0.5
+        c = np.abs(c)
+        c = np.where(c > size - 1, 2 * (size - 1) - c, c)
+        low, part = np.floor(c).astype(int), c - np.floor(c)
+        part = part.reshape([-1 if a == axis else 1 for a in range(2)])
+        image = np.take(image, low, axis) * (1 - part) + np.take(image, np.minimum(low + 1, size - 1), axis) * part
+    return image
+
+
+@pytest.mark.parametrize(("shape", "work"), [((60, 90), (20, 25)), ((33, 40), (50, 16)), ((24, 24), (24, 24))])
+def test_blob_resizes_both_ways(spark, shape, work):
+    area = np.zeros(shape)
+    area[5:20, 8:22] = 3
+    area[shape[0] - 4 :, shape[1] - 5 :] = 1
+    area[22, shape[1] // 2] = 1
+    coarse = resized((area > 0).astype(float), work) > 0
+    disk, inside = masks.disk(1), lambda i, j: 0 <= i < work[0] and 0 <= j < work[1]
+    for every in (all, any, any, all):  # opening, closing
+        missing = every is all
+        coarse = np.array([[every(coarse[i + y, j + x] if inside(i + y, j + x) else missing for y, x, _ in disk) for j in range(work[1])] for i in range(work[0])])
+    expected = resized(coarse.astype(float), shape) > 0
+    out = masks.blob(labels(spark, area.astype(int)), extent(spark, *shape), work, 1)
+    assert (array(out, shape) == expected).all() and 0 < expected.sum() < expected.size
+    with pytest.raises(ValueError):
+        masks.blob(labels(spark, area.astype(int)), extent(spark, *shape), (0, 5))
+
+
 def test_normalize(spark):
     ramp = np.linspace(0, 100, 11).reshape(1, 11)
     out = array(enhance.normalize(pixels(spark, ramp), 10, 90), (1, 11), "value")
@@ -78,6 +150,14 @@ def test_normalize(spark):
         enhance.normalize(pixels(spark, np.zeros((3, 3)))).collect()
 
 
+def test_percentiles_are_exact(spark):
+    rng = np.random.default_rng(3)
+    shares = [0.0, 0.01, 0.37, 0.5, 0.995, 1.0]
+    for image in (rng.normal(0, 100, (90, 110)), rng.poisson(0.3, (60, 60)), np.array([[7.0]]), np.array([[1.0, 2.0]])):
+        got = enhance.percentiles(pixels(spark, image.astype(float)), shares).first().p
+        assert np.allclose(got, np.percentile(image, [100 * s for s in shares]), rtol=1e-12)
+
+
 def test_mean_of_images(spark):
     a, b = pixels(spark, np.full((2, 2), 10.0)), pixels(spark, np.full((2, 2), 20.0), "B")
     assert array(enhance.mean_of_images(a.unionByName(b), ["A", "B"]), (2, 2), "value").sum() == 60
@@ -113,19 +193,69 @@ def test_components_across_tiles(spark):
         assert (got == seen).all()
 
 
+ROI = "slide string, roi string, row_start int, row_stop int, column_start int, column_stop int, poly_type string, polygon_vertices array<struct<row:double,col:double>>"
+
+
+def on_slide(df, slide):
+    return df.withColumn("slide", F.lit(slide))
+
+
 def test_cut_margin_and_polygon(spark):
     image = np.add.outer(np.arange(100), np.arange(100)).astype(float)
     vertices = [{"row": 10.0, "col": 10.0}, {"row": 20.0, "col": 10.0}, {"row": 10.0, "col": 20.0}]
-    schema = "roi string, row_start int, row_stop int, column_start int, column_stop int, poly_type string, polygon_vertices array<struct<row:double,col:double>>"
-    table = spark.createDataFrame([("r", 40, 50, 40, 50, "rectangle", vertices), ("e", 95, 100, 0, 5, "rectangle", vertices), ("p", 10, 21, 10, 21, "polygon", vertices)], schema)
-    out = cut.cut(pixels(spark, image), table, extent(spark, 100, 100), margin=2, mask_value=-5.0).toPandas()
+    table = spark.createDataFrame([("s", "r", 40, 50, 40, 50, "rectangle", vertices), ("s", "e", 95, 100, 0, 5, "rectangle", vertices), ("s", "p", 10, 21, 10, 21, "polygon", vertices)], ROI)
+    px, frame = on_slide(pixels(spark, image), "s"), on_slide(extent(spark, 100, 100), "s")
+    out = cut.cut(px, table, frame, margin=2, mask_value=-5.0).toPandas()
     r = out[out.roi == "r"]
     assert len(r) == 14 * 14 and r[(r.y == 0) & (r.x == 0)].value.item() == 76
     assert len(out[out.roi == "e"]) == 7 * 7
     p = out[out.roi == "p"]
     assert (p.value != -5).sum() == 66 and p[(p.y == 2) & (p.x == 12)].value.item() == 30
     with pytest.raises(Exception, match="unknown poly_type"):
-        cut.cut(pixels(spark, image), table.withColumn("poly_type", F.lit("star")), extent(spark, 100, 100)).collect()
+        cut.cut(px, table.withColumn("poly_type", F.lit("star")), frame).collect()
+    with pytest.raises(ValueError):
+        cut.cut(px, table, frame, margin=-1)
+
+
+def two_slides(spark):
+    """Slides of another size and other values, each with an ROI that would fit both."""
+    px = on_slide(pixels(spark, np.full((30, 30), 1.0)), "s").unionByName(on_slide(pixels(spark, np.full((12, 12), 2.0)), "t"))
+    frame = on_slide(extent(spark, 30, 30), "s").unionByName(on_slide(extent(spark, 12, 12), "t"))
+    table = spark.createDataFrame([("s", "a", 5, 20, 5, 20, "rectangle", None), ("t", "b", 5, 20, 5, 20, "rectangle", None)], ROI)
+    return px, frame, table
+
+
+def test_slides_are_cut_apart(spark):
+    px, frame, table = two_slides(spark)
+    got = {(r.slide, r.roi): (r.n, r.v) for r in cut.cut(px, table, frame).groupBy("slide", "roi").agg(F.count("*").alias("n"), F.avg("value").alias("v")).collect()}
+    assert got == {("s", "a"): (225, 1.0), ("t", "b"): (49, 2.0)}
+    assert "CartesianProduct" not in cut.cut(px, table, frame)._jdf.queryExecution().executedPlan().toString()
+    only = spark.createDataFrame([("t", "A")], "slide string, element string")
+    assert {r.slide for r in cut.cut_all(px, only, table, frame).collect()} == {"t"}
+
+
+def test_means_of_candidates_by_slide(spark):
+    px, _, _ = two_slides(spark)
+    masks_ = spark.createDataFrame([(s, 1, 3, 3) for s in "st"], "slide string, cand_id bigint, y int, x int")
+    assert {(r.slide, r.mean_int) for r in rois.mask_intensity(masks_, px).collect()} == {("s", 1.0), ("t", 2.0)}
+    boxes = spark.createDataFrame([(s, 1, 0, 0, 10, 10, 0.9, 0.9) for s in "st"], "slide string, ordinal bigint, x int, y int, w int, h int, predicted_iou double, stability_score double")
+    assert [r.slide for r in rois.refine(boxes, 1, 1000, 0, 0, rois.mask_intensity(masks_, px, 1.5)).collect()] == ["t"]
+
+
+def test_arrivals_of_several_slides(spark, tmp_path):
+    px, frame, table = two_slides(spark)
+    place, schema = f"file://{tmp_path}", "slide string, element string, y int, x int, value double"
+    def arrive(df):
+        df.select("slide", "element", F.col("y").cast("int"), F.col("x").cast("int"), "value").coalesce(1).write.mode("append").parquet(f"{place}/in")
+        arrivals.stream_cut(spark, f"{place}/in", schema, table, frame, f"{place}/out", f"{place}/state").awaitTermination()
+        got = spark.read.parquet(f"{place}/out").groupBy("slide", "roi", "element").agg(F.count("*").alias("n"), F.avg("value").alias("v")).collect()
+        return {(r.slide, r.roi, r.element): (r.n, r.v) for r in got}
+
+    first = {("s", "a", "A"): (225, 1.0), ("t", "b", "A"): (49, 2.0)}
+    assert arrive(px) == first  # two slides in a batch
+    assert arrive(px.withColumn("value", F.lit(9.0))) == first  # the same channels again are dropped
+    catalog = frame.select("slide", "element")
+    assert {r.slide for r in arrivals.ready_slides(catalog.where("slide = 't'"), catalog).collect()} == {"t"}
 
 
 def test_channel_rules(spark):
@@ -138,6 +268,7 @@ def test_channel_rules(spark):
     assert "DAPI" not in pick(exclude=["001_DAPI"])
     assert pick(include=["003_CD3"], exclude=["003_CD3"])["CD3"] == "003_CD3"
     assert set(pick(use=["CD3", "DAPI"], ignore=["DAPI"])) == {"CD3"}
+    assert [r.marker for r in channels.unknown_markers(parsed, ["CD3", "CD99"]).collect()] == ["CD99"]
     with pytest.raises(ValueError):
         channels.select_channels(parsed.limit(0))
 
@@ -203,6 +334,119 @@ def test_clip(spark):
     assert [r.id for r in out] == [1] and {(v.row, v.col) for v in out[0].ring} == {(0.0, 5.0), (10.0, 5.0), (10.0, 20.0), (0.0, 20.0)}
 
 
+def test_quantified_objects(spark):
+    cell, nucleus = np.zeros((20, 20), int), np.zeros((20, 20), int)
+    cell[1:9, 1:9], cell[12:18, 12:18], nucleus[3:6, 3:6], nucleus[14, 14] = 1, 2, 1, 3
+    image = np.arange(400.0).reshape(20, 20)
+    image_b = pixels(spark, image[:10] * 2, "B")  # has no pixel under object 2
+    own = labels(spark, cell).unionByName(labels(spark, nucleus, "nucleus"))
+    px = pixels(spark, image).unionByName(image_b)
+    ring = [{"x": 0.0, "y": 0.0}, {"x": 9.0, "y": 0.0}, {"x": 9.0, "y": 9.0}, {"x": 0.0, "y": 9.0}]
+    shapes = spark.createDataFrame([("R0", "qc_exclude_A", ring)], "roi string, shape_key string, ring array<struct<x:double,y:double>>")
+    got = plan.quantify(px, own, shapes).toPandas()
+    assert len(got) == 3 * 8 and set(got.label) == {1, 2, 3}  # each object of either mask, each feature
+    one = got[(got.label == 1)].set_index("feature")
+    assert one.value["A_mean_cell"] == image[1:9, 1:9].mean() and one.value["B_median_nucleus"] == np.median(image[3:6, 3:6] * 2)
+    assert not one.keep["A_mean_nucleus"] and one.keep["B_mean_cell"]
+    first = one.iloc[0]
+    assert (first.area_cell, first.area_nucleus, first.solidity_cell, first.euler_number_cell, first["centroid-0_nucleus"]) == (64, 9, 1.0, 1, 4.0)
+    assert first.perimeter_cell == 28.0 and first.eccentricity_cell == 0.0
+    two, three = got[got.label == 2].set_index("feature"), got[got.label == 3].set_index("feature")
+    assert pd.isna(two.value["B_mean_cell"]) and two.value["A_mean_cell"] > 0 and pd.isna(two.area_nucleus.iloc[0])
+    assert pd.isna(three.area_cell.iloc[0]) and three.value["A_mean_nucleus"] == image[14, 14]
+    with pytest.raises(ValueError, match="nothing.*cell.*nucleus"):
+        plan.quantify(px, own, masks={"cell": "cell", "x": "nothing"})
+    with pytest.raises(ValueError, match="C.*A.*B"):
+        plan.quantify(px, own, channels=["A", "C"])
+    with pytest.raises(ValueError, match="centroid"):
+        plan.quantify(px, own, shapes, masks={"n": "nucleus"})
+    with pytest.raises(ValueError, match="unknown properties"):
+        plan.quantify(px, own, properties=["colour"])
+    some = plan.quantify(px, own, masks={"c": "cell"}, channels=["A"], metrics=["max"], properties=["area", "bbox", "area_filled"])
+    assert some.columns == ["roi", "label", "area_c", "bbox-0_c", "bbox-1_c", "bbox-2_c", "bbox-3_c", "area_filled_c", "value", "feature", "keep"]
+
+
+def test_exclusion_afterwards_warns(spark):
+    table = spark.createDataFrame([("R0", 1, "A_mean_cell", 1.0)], "roi string, label int, feature string, value double")
+    points = spark.createDataFrame([("R0", 1, 1.0, 1.0)], "roi string, label int, x double, y double")
+    shapes = spark.createDataFrame([("R0", "qc_exclude_Z", [])], "roi string, shape_key string, ring array<struct<x:double,y:double>>")
+    with pytest.warns(UserWarning, match="no exclusion shapes"):
+        plan.qc_after(table, points, shapes)
+
+
+def test_output_types(spark):
+    got = plan.typed(labels(spark, np.eye(3, dtype=int)).withColumn("label", F.col("label").cast("double")), "labels")
+    assert dict(got.dtypes)["label"] == "int" and got.count() == 3
+    assert plan.typed(pixels(spark, np.ones((2, 2))), "image").columns == ["roi", "element", "c", "y", "x", "value"]
+    with pytest.raises(ValueError):
+        plan.typed(got, "table")
+
+
+def test_sinks_and_sources(spark, tmp_path):
+    place = f"file://{tmp_path}"
+    one = pixels(spark, np.arange(6.0).reshape(2, 3))
+    tables.write_element(one, f"{place}/e")
+    with pytest.raises(ValueError, match="stored already"):
+        tables.write_element(one, f"{place}/e")
+    tables.write_element(one.withColumn("value", F.lit(1.0)), f"{place}/e", overwrite=True)
+    assert spark.read.parquet(f"{place}/e").agg(F.sum("value")).first()[0] == 6.0
+    tables.write_table(one, f"{place}/t", "x")
+    with pytest.raises(ValueError, match="stored already"):
+        tables.write_table(one, f"{place}/t", "x")
+    assert {r.path.rpartition(".")[2] for r in tables.list_files(spark, f"{place}/e/roi=R0/element=A", "*.parquet").collect()} == {"parquet"}
+    ring = [{"row": 1.0, "col": 2.0}]
+    shapes = spark.createDataFrame([("R0", "a", ring), ("R0", "b", ring)], "roi string, shape_key string, ring array<struct<row:double,col:double>>")
+    tables.write_shapes(shapes, f"{place}/s", order="yx")
+    tables.write_shapes(shapes.where("shape_key = 'c'"), f"{place}/s", order="yx", layers=["a"])
+    back = spark.read.parquet(f"{place}/s").collect()
+    assert [(r.shape_key, r.ring[0].x, r.ring[0].y) for r in back] == [("b", 2.0, 1.0)]
+    cut_ = on_slide(one, "s")
+    with pytest.raises(ValueError, match="no pixels for R9"):
+        tables.assemble_rois(cut_, f"{place}/a", expected=spark.createDataFrame([("R0",), ("R9",)], "roi string"))
+    tables.assemble_rois(cut_, f"{place}/a", allowed=["A"], tile=2)
+    assert spark.read.parquet(f"{place}/a").count() == 6
+    table = spark.createDataFrame([("s", "r", 4, 8, 4, 8, "polygon", [{"row": 4.0, "col": 8.0}])], ROI)
+    tables.write_rois(table, f"{place}/r", f"{place}/csv")
+    assert tables.read_rois(spark, f"{place}/r", 2).first().polygon_vertices[0].col == 2.0
+    assert spark.read.csv(f"{place}/csv", header=True).first().polygon_vertices == '[{"row":4.0,"col":8.0}]'
+
+
+def test_pyramid_and_parameters(spark):
+    image = np.random.default_rng(2).integers(0, 99, (7, 10)).astype(float)
+    got = cut.pyramid(pixels(spark, image), 3).toPandas()
+    for level in (0, 1, 2):
+        f, own = 1 << level, got[got.level == level].set_index(["y", "x"]).value
+        blocks = {(i, j): image[i * f : (i + 1) * f, j * f : (j + 1) * f].mean() for i in range(-(-7 // f)) for j in range(-(-10 // f))}
+        assert len(own) == len(blocks) and all(own[k] == pytest.approx(v) for k, v in blocks.items())
+    for call in (lambda: cut.pyramid(pixels(spark, image), 0), lambda: cut.pyramid(pixels(spark, image), 2, 1), lambda: cut.upsample(pixels(spark, image), 0)):
+        with pytest.raises(ValueError):
+            call()
+
+
+def test_perimeter_and_filling_of_winding_objects(spark):
+    rng = np.random.default_rng(9)
+    area = np.where(rng.random((40, 37)) < 0.6, 1, 0)
+    area[30:, 20:] = 2
+    got = {r.label: r.perimeter for r in regions.perimeter(labels(spark, area), tile=7).collect()}
+    filled = {r.label: r.area_filled for r in regions.filled(labels(spark, area)).collect()}
+    for k in (1, 2):
+        own = np.pad(area == k, 1)
+        border = own & ~(np.pad(own[2:, 1:-1] & own[:-2, 1:-1] & own[1:-1, 2:] & own[1:-1, :-2], 1))
+        total = 0.0
+        for y, x in np.argwhere(border):
+            code = 1 + 2 * sum(border[y + a, x + b] for a, b in masks.SIDES) + 10 * sum(border[y + a, x + b] for a in (-1, 1) for b in (-1, 1))
+            total += next((w for w, codes in regions.PERIMETER.items() if code in codes), 0)
+        assert got[k] == pytest.approx(total)
+        ys, xs = np.nonzero(own)
+        out, todo = set(), [(ys.min() - 1, xs.min() - 1)]
+        while todo:
+            y, x = todo.pop()
+            if (y, x) not in out and ys.min() - 1 <= y <= ys.max() + 1 and xs.min() - 1 <= x <= xs.max() + 1 and not own[y, x]:
+                out.add((y, x))
+                todo += [(y + a, x + b) for a, b in masks.SIDES]
+        assert filled[k] == (np.ptp(ys) + 3) * (np.ptp(xs) + 3) - len(out)
+
+
 def test_steps(spark):
     one = labels(spark, np.eye(3, dtype=int))
     with pytest.raises(ValueError):
