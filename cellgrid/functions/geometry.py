@@ -5,6 +5,8 @@ A ring is an array of vertex structs. Tests multiply instead of dividing, so tha
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,9 +85,14 @@ def clip_rings(df: DataFrame, height: Column, width: Column, ring: str = "ring")
 
     Exact for convex rings; a concave ring that falls apart stays one ring joined along the frame.
     """
-    for axis, limit, sign in (("row", F.lit(0.0), 1), ("row", height.cast("double"), -1), ("col", F.lit(0.0), 1), ("col", width.cast("double"), -1)):
-        df = df.withColumn(ring, clip_side(F.col(ring), axis, limit, sign))  # a column each, as it is used several times
-    return df.withColumn(ring, F.array_distinct(ring)).where(F.size(ring) >= 3)
+
+    def by(axis: str, limit: Column, sign: int) -> Callable[[Column], Column]:
+        return lambda r: clip_side(r, axis, limit, sign)
+
+    out = F.col(ring)
+    for side in (by("row", F.lit(0.0), 1), by("row", height.cast("double"), -1), by("col", F.lit(0.0), 1), by("col", width.cast("double"), -1)):
+        out = F.get(F.transform(F.array(out), side), F.lit(0))  # bound once, as a side uses its ring several times
+    return df.withColumn(ring, F.array_distinct(out)).where(F.size(ring) >= 3)
 
 
 def cells(ring: Column, cell: float, x: str = "x", y: str = "y") -> Column:
