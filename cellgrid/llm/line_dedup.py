@@ -81,7 +81,8 @@ def repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_o
     """Lines to drop, ``doc, row_key, pos``: a line whose key an earlier document holds.
 
     ``docs`` has ``doc`` (bigint, not null), ``row_key`` (tells rows of one doc apart) and ``text``. ``batches`` ranges
-    of doc are taken one after the other; a new call on later documents would go on with the same runs.
+    of doc, of about as many rows each, are taken one after the other; a new call on later documents would go on with
+    the same runs.
     """
     spark = docs.sparkSession
     lines = docs.select("doc", "row_key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
@@ -89,22 +90,24 @@ def repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_o
     lines = lines.select("doc", "row_key", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"))
     at = shared_dir(spark)
     lines = stored(lines, at)
-    low, high = lines.agg(F.min("doc"), F.max("doc")).first()
-    if low is None:
-        return spark.createDataFrame([], "doc bigint, row_key bigint, pos int")
-    edges = [low + (high - low + 1) * i // batches for i in range(batches)] + [high + 1]
+    # approximate quantiles of the ids; rows without one (counted as the last) don't shift them
+    shares = [i / batches for i in range(1, batches)]
+    inner = lines.where(F.col("doc") < LONG_MAX).agg(F.percentile_approx("doc", F.array(*map(F.lit, shares)), F.lit(10_000))).first()[0] if shares else []
+    edges = [None, *sorted(set(inner or [])), None]
     runs, drops = Runs(spark, fan_out=fan_out), []
-    for a, b in zip(edges, edges[1:]):
-        if a == b:
-            continue
-        batch = lines.where((F.col("doc") >= a) & (F.col("doc") <= b - 1))
-        keys = batch.groupBy(*HASH).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        keys = stored(runs.first_seen(keys))
-        late = keys.where("seen is not null or last > first").select(*HASH, F.coalesce("seen", "first").alias("first"))
-        drops.append(stored(batch.join(late, HASH).where("doc > first").select("doc", "row_key", "pos")))
-        if b <= high:
-            runs.add(keys.where("seen is null").select(*HASH, "first"))
-    runs.close()
+    try:
+        for i, (low, high) in enumerate(zip(edges, edges[1:])):
+            batch = lines if low is None else lines.where(F.col("doc") > low)
+            batch = batch if high is None else batch.where(F.col("doc") <= high)
+            keys = batch.groupBy(*HASH).agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
+            keys = stored(runs.first_seen(keys))
+            late = keys.where("seen is not null or last > first").select(*HASH, F.coalesce("seen", "first").alias("first"))
+            drops.append(stored(batch.join(late, HASH).where("doc > first").select("doc", "row_key", "pos")))
+            if high is not None:
+                runs.add(keys.where("seen is null").select(*HASH, "first"))
+            discard(keys)
+    finally:
+        runs.close()
     discard(lines)
     return functools.reduce(DataFrame.unionByName, drops)
 
@@ -114,7 +117,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_out:
 
     A null or empty text is one empty line. Keys under ``min_chars`` code points stay everywhere, and a line that only
     one document repeats stays there. Rows without an id count as one document after all others; rows of one id as one
-    document. An empty table gives no rows.
+    document. Texts of any length are split whole; columns of the names that are added give way. An empty table gives no
+    rows.
     """
     base = docs.withColumn("__text", F.coalesce(F.col(text), F.lit(""))).withColumns(
         {"__doc": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(LONG_MAX)), "__row": F.xxhash64("__text")}

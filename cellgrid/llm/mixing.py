@@ -64,14 +64,14 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.0, most_epochs:
     ``size`` is the number of words (0 for a null or empty text). Documents are taken whole: the last one of a source
     is in if more than half of it fits the budget. Documents without words have nothing to take: they come with every
     complete epoch and are never sampled. Null ids draw one key, and ties are broken by id and size, so repeated rows
-    are taken one after another. An empty table gives no rows.
+    are taken one after another. Words of texts of any length all count. An empty table gives no rows.
     """
     size = word_count(F.col(text))
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(source).cast("string").alias("src"), size.alias("size"), F.col(text).alias("text"))
     key = -F.ln(draw(F.col("doc_id"), seed)) / quality(F.coalesce("text", F.lit("")), F.col("size"))
     rows = stored(rows.select("doc_id", "src", "size", key.alias("key")))
-    # 1 - exp(-key) spreads keys over (0, 1)
-    rows = rows.withColumn("slice", F.floor((1.0 - F.exp(-F.col("key"))) * slices).cast("int"))
+    # key / (1 + key) spreads keys over (0, 1): the most that a slice expects is a few times the mean, for weights from 0.1 to 1
+    rows = rows.withColumn("slice", F.floor(F.col("key") / (1.0 + F.col("key")) * slices).cast("int"))
     targets = source_targets(rows, weights, share, most_epochs)
     targets = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1))
     targets = stored(targets.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")))

@@ -6,8 +6,8 @@ and so on until a level lets nothing wrong pass. A key's answer is that of the f
 levels were made over every key of the corpus, the answer is exact for all of them, and needs no join.
 
 Everything is DataFrame functions: a level is one row with an array of 64-bit words, read by the plan as a scalar
-subquery. Its size is checked: beyond ``max_bits`` the keys are split by hash into shards with a cascade each, and each
-shard's rows are judged in their own branch.
+subquery. The size of every level is checked: beyond ``max_bits`` the keys are split by hash into more shards, with a
+cascade each. Rows are read once, whatever the number of shards; each shard's levels are asked for its own rows alone.
 """
 
 from __future__ import annotations
@@ -15,12 +15,16 @@ from __future__ import annotations
 import functools
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellgrid.llm._shared import shared_dir, stored
 
 
+#: Levels beyond which a cascade is taken to be broken; each leaves a small share of the keys.
+MOST_LEVELS = 64
+
+
 @dataclass(frozen=True)
 class Level:
     """One Bloom filter: ``bits`` has one row with the array ``words``."""
@@ -69,8 +73,8 @@ def build_cascade(keys: DataFrame, bits_per_key: int = 10, hashes: int = 4, max_
     """Cascades that tell the listed from the other keys of ``keys(key string, listed boolean)``.
 
     ``keys`` is the complete universe: repeated keys count once, a key that is listed once is listed, null keys are
-    left out. ``max_bits`` bounds a level (32 MB as it stands) and so what a plan broadcasts at once; more keys make
-    more shards. An empty list gives cascades that list nothing.
+    left out. ``max_bits`` bounds every level (32 MB as it stands) and so what a plan broadcasts at once: where a level
+    would be larger, all is built anew with twice the shards. An empty list gives cascades that list nothing.
     """
     spark = keys.sparkSession
     base = stored(
@@ -78,16 +82,30 @@ def build_cascade(keys: DataFrame, bits_per_key: int = 10, hashes: int = 4, max_
     )
     n = base.where("listed").count()
     shards = max(1, -(-n * bits_per_key // max_bits))
-    return [_one(base.where(F.pmod(F.xxhash64(F.lit("shard"), "key"), F.lit(shards)) == s), bits_per_key, hashes, s, shards, spark) for s in range(shards)]
-
-
-def _one(keys: DataFrame, bits_per_key: int, hashes: int, shard: int, shards: int, spark) -> Cascade:
+    while True:
+        found = []
+        for s in range(shards):
+            keys = base.where(F.pmod(F.xxhash64(F.lit("shard"), "key"), F.lit(shards)) == s)
+            if (one := _one(keys, bits_per_key, hashes, s, shards, max_bits, spark)) is None:
+                break
+            found.append(one)
+        if len(found) == shards:
+            return found
+        shards *= 2
+
+
+def _one(keys: DataFrame, bits_per_key: int, hashes: int, shard: int, shards: int, max_bits: int, spark: SparkSession) -> Cascade | None:
+    """The cascade of a shard; None if one of its levels would exceed ``max_bits``."""
     levels: list[Level] = []
     inside, outside = keys.where("listed"), keys.where("not listed")
-    while (n := inside.count()) and len(levels) < 64:
+    while n := inside.count():
+        number = len(levels)
+        if number >= MOST_LEVELS:
+            raise RuntimeError(f"the cascade does not end: {n} keys are left after {number} levels")
         # the later levels hold few keys, and err on few
         size, k = max(64, -(-n * (bits_per_key if not levels else 6) // 64) * 64), hashes if not levels else 3
-        number = len(levels)
+        if size > max(64, max_bits):
+            return None
         set_bits = (
             inside.select(F.explode(F.array(*_places(F.col("key"), number, size, k))).alias("p"))
             .groupBy(F.shiftright("p", 6).alias("w"))
@@ -112,13 +130,11 @@ def _in_cascade(key: Column, cascade: Cascade) -> Column:
 def with_listed(df: DataFrame, key: str, cascades: list[Cascade], out: str = "listed") -> DataFrame:
     """``df`` with a boolean column ``out``: whether ``key`` is listed. Null keys are not."""
     shard = F.pmod(F.xxhash64(F.lit("shard"), F.col(key)), F.lit(len(cascades)))
-    parts = [
-        (df if len(cascades) == 1 else df.where(F.coalesce(shard, F.lit(0)) == c.shard)).withColumn(
-            out, F.coalesce(F.col(key).isNotNull() & _in_cascade(F.col(key), c), F.lit(False))
-        )
-        for c in cascades
-    ]
-    return functools.reduce(DataFrame.unionByName, parts)
+    answer = F.lit(False)
+    for c in cascades:
+        own = _in_cascade(F.col(key), c)
+        answer = own if len(cascades) == 1 else F.when(shard == c.shard, own).otherwise(answer)
+    return df.withColumn(out, F.coalesce(F.col(key).isNotNull() & answer, F.lit(False)))
 
 
 def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -139,8 +155,8 @@ def filter_urls(pages: DataFrame, listed_names: list[str], rules: list[tuple[str
 
     A host is listed if one of its dot-separated labels is in ``listed_names``; the cascade over all hosts of ``pages``
     then answers for each row. The verdict is that of the longest rule, else ``block`` for listed hosts and ``allow``
-    for all others. Null urls and urls without ``://`` have an empty host and path, fit no rule and are allowed; an
-    empty table gives no rows; repeated rows are judged alike.
+    for all others. Null urls and urls without ``://`` have an empty host and path, fit no rule and are allowed; urls of
+    any length are judged whole; an empty table gives no rows; repeated rows are judged alike.
     """
     host, path = host_of(F.col(url)), path_of(F.col(url))
     hosts = pages.select(host.alias("key")).distinct()
