@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellgrid.llm._shared import discard, shared_dir, stored
+from cellgrid.llm._shared import crowded, discard, in_chunks, shared_dir, stored, whole_groups
 
 #: For each value of a byte, its bits from the lowest.
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
@@ -140,17 +140,8 @@ def _links(names: list[str], keys: list[str], bits: int, total: int):
                 yield pd.DataFrame(columns).drop_duplicates()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest_key, rest_fp = np.empty((0, len(keys)), np.int64), np.empty((0, len(names)), np.uint64)
-        for pdf in batches:
-            key = np.concatenate([rest_key, pdf[keys].to_numpy(np.int64)])
-            fps = np.concatenate([rest_fp, pdf[names].to_numpy(np.int64).astype(np.uint64)])
-            if not len(key):
-                continue
-            open_ = int((key != key[-1]).any(axis=1).nonzero()[0][-1] + 1) if (key[0] != key[-1]).any() else 0
-            yield from out(pairs(key[:open_], fps[:open_]))
-            rest_key, rest_fp = key[open_:], fps[open_:]
-        if len(rest_key):
-            yield from out(pairs(rest_key, rest_fp))
+        for pdf in whole_groups(batches, keys):
+            yield from out(pairs(pdf[keys].to_numpy(np.int64), pdf[names].to_numpy(np.int64).astype(np.uint64)))
 
     return run
 
@@ -159,8 +150,8 @@ def near_links(fps: DataFrame, bits: int = 4, blocks: int = 2, total: int | None
     """Links ``a0.., b0..`` between the distinct rows of ``fps`` (one or more bigint columns).
 
     Two rows are linked if their first columns differ in at most ``bits`` bits and all columns together in at most
-    ``total`` (no further condition with one column). The links connect exactly what is connected; anchors of over
-    ``large`` rows are compared in pairs of chunks of that size.
+    ``total`` (no further condition with one column). The links connect exactly what is connected; anchors of about
+    ``large`` rows or more are compared in pairs of chunks of that size.
     """
     names = fps.columns
     total = 64 * len(names) if total is None else total
@@ -169,18 +160,14 @@ def near_links(fps: DataFrame, bits: int = 4, blocks: int = 2, total: int | None
     for i, (at, size) in enumerate(_blocks(blocks)):
         value = F.shiftrightunsigned(first, at).bitwiseAND(F.lit((1 << size) - 1))
         rows.append(F.struct(F.lit(i).alias("block"), anchors(value, size, bits // blocks).alias("anchors")))
-    dealt = fps.select(*names, F.explode(F.array(*rows)).alias("at")).select(*names, "at.block", F.explode("at.anchors").alias("anchor"))
-    sized = dealt.withColumn("n", F.count("*").over(Window.partitionBy("block", "anchor")))
+
+    def dealt(some: DataFrame) -> DataFrame:
+        return some.select(*names, F.explode(F.array(*rows)).alias("at")).select(*names, "at.block", F.explode("at.anchors").alias("anchor"))
+
+    at = ["block", "anchor"]
+    cut = in_chunks(dealt(fps).join(crowded(dealt, fps, names[0], at, large), at, "left"), at, names[0])
     schema = ", ".join(f"{x}{i} bigint" for x in "ab" for i in range(len(names)))
-    small = sized.where(f"n between 2 and {large}").select("block", "anchor", *names).sortWithinPartitions("block", "anchor")
-    small = small.mapInPandas(_links(names, ["block", "anchor"], bits, total), schema)
-    chunks = F.ceil(F.col("n") / large).cast("int")
-    big = sized.where(f"n > {large}").withColumn("c", F.pmod(F.xxhash64(*names), chunks).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), chunks - 1), lambda x: F.struct(F.least("c", x).alias("i"), F.greatest("c", x).alias("j")))
-    big = big.withColumn("pair", F.explode(others)).select("block", "anchor", "pair.i", "pair.j", *names)
-    keys = ["block", "anchor", "i", "j"]
-    big = big.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_links(names, keys, bits, total), schema)
-    return small.unionByName(big)
+    return cut.mapInPandas(_links(names, [*at, "i", "j"], bits, total), schema)
 
 
 def star_labels(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -200,7 +187,7 @@ def star_labels(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         new = stored(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), f"{path}/{i}")
         now = new.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        discard(spark, f"{path}/{i - 1}")
+        discard(f"{path}/{i - 1}", spark)
         edges = new
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
