@@ -11,8 +11,8 @@ repeated windows in a row are one maximal span. The reference grows with the cor
 segment goes to the one shard that can match it. What is broadcast is a bitmap of the repeated anchors with a set
 greatest size; once that is too small it lets more segments pass, and the result is the same.
 
-Hashes only choose what meets. Windows are compared as words (in shards of over ``large`` distinct segments, as 128-bit
-hashes of their words, counted by Spark).
+Hashes only choose what meets: windows are compared as words. Shards of over ``large`` distinct segments are too much for
+one task's automaton; their windows are spread over all tasks and counted by Spark, as words too.
 """
 
 from __future__ import annotations
@@ -22,8 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellgrid.llm._shared import discard, shared_dir, stored
@@ -242,7 +241,7 @@ def _match(width: int):
 
 
 def _windows_of(width: int):
-    """Every window of segments: ``anchor, k1, k2, lo, times`` and its own 128-bit hash ``w1, w2``."""
+    """Every window of segments: ``anchor, k1, k2, lo, times, words``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -250,9 +249,8 @@ def _windows_of(width: int):
             for r in pdf.itertuples(index=False):
                 words = r.words.split(b" ")
                 for lo in range(len(words) - width + 1):
-                    h = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words[lo : lo + width])), np.int64)
-                    out.append((r.anchor, r.k1, r.k2, lo, r.times, h[0], h[1]))
-            yield pd.DataFrame(out, columns=["anchor", "k1", "k2", "lo", "times", "w1", "w2"])
+                    out.append((r.anchor, r.k1, r.k2, lo, r.times, b" ".join(words[lo : lo + width])))
+            yield pd.DataFrame(out, columns=["anchor", "k1", "k2", "lo", "times", "words"])
 
     return run
 
@@ -303,24 +301,28 @@ def repeated_windows(docs: DataFrame, width: int, gram: int = GRAM, large: int =
     found.write.option("compression", "zstd").parquet(place)
     found = spark.read.schema(found.schema).parquet(place)
     distinct = found.groupBy(*keys).agg(F.count("*").alias("times"), F.max("n").alias("n"))
-    by_anchor = Window.partitionBy("anchor")
-    sized = distinct.withColumns({"different": F.count("*").over(by_anchor), "total": F.sum("times").over(by_anchor)})
+    distinct = stored(distinct)
+    sized = distinct.groupBy("anchor").agg(F.count("*").alias("different"), F.sum("times").alias("total"))
     sized = stored(sized.where("total > 1"))
-    alone = sized.where("different = 1").select(*keys, F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
-    several = Bitmap(sized.where("different > 1").select("anchor").distinct(), most_bits)
+    alone = distinct.join(sized.where("different = 1").select("anchor"), "anchor").select(*keys, F.lit(0).alias("lo"), (F.col("n") - 1).alias("hi"))
+    shards = sized.where("different > 1")
+    several = Bitmap(shards.select("anchor"), most_bits)
     some = found.select(*keys, "words").mapInArrow(_in_bitmap(several.words, several.shift), "anchor bigint, k1 bigint, k2 bigint, words binary")
-    some = some.groupBy(*keys).agg(F.count("*").alias("times"), F.max("words").alias("words")).withColumn("different", F.count("*").over(by_anchor))
-    some = some.where("different > 1")
-    few = some.where(f"different <= {large}").drop("different").sortWithinPartitions("anchor")
+    some = some.groupBy(*keys).agg(F.count("*").alias("times"), F.max("words").alias("words"))
+    few = some.join(shards.where(f"different <= {large}").select("anchor"), "anchor").repartition("anchor").sortWithinPartitions("anchor")
     few = few.mapInPandas(_match(width), "anchor bigint, k1 bigint, k2 bigint, lo int, hi int")
-    many = some.where(f"different > {large}").drop("different")
-    windows = many.mapInPandas(_windows_of(width), "anchor bigint, k1 bigint, k2 bigint, lo int, times bigint, w1 bigint, w2 bigint")
-    counted = windows.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1")
-    many = windows.join(counted, ["w1", "w2"]).select(*keys, "lo", F.col("lo").alias("hi"))
-    spans = alone.unionByName(few).unionByName(many)
+    spans = alone.unionByName(few)
+    crowded = shards.where(f"different > {large}")
+    if not crowded.isEmpty():
+        many = some.join(crowded.select("anchor"), "anchor")
+        windows = many.mapInPandas(_windows_of(width), "anchor bigint, k1 bigint, k2 bigint, lo int, times bigint, words binary")
+        counted = windows.groupBy("words").agg(F.sum("times").alias("all")).where("all > 1")
+        spans = spans.unionByName(windows.join(counted, "words").select(*keys, "lo", F.col("lo").alias("hi")))
     spans = found.select(*keys, "doc", "row_key", "at").join(spans, keys)
     spans = stored(spans.select("doc", "row_key", (F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi")).alias("hi")))
     discard(place, spark)
+    for used in (distinct, sized):
+        discard(used)
     return spans
 
 
@@ -345,7 +347,8 @@ def remove_repeats(docs: DataFrame, width: int = 35, gram: int = GRAM, large: in
 
     Words are as they stand, and come out joined by one space. A window that starts at any other place of any document
     is repeated; all its places go, and windows are judged on the input. A null or empty text has no words, and texts
-    under ``width`` words lose none. Rows that repeat a document count as two documents. An empty table gives no rows.
+    under ``width`` words lose none. Rows that repeat a document count as two documents. Texts of any length are taken
+    whole; columns of the names that are added give way. An empty table gives no rows.
     """
     base = docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")).cast("binary"))
     base = base.withColumns({"__doc": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(-1)), "__row": F.xxhash64("__text", doc_id)})
