@@ -14,7 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellgrid.llm._shared import WORD, stored, words
+from cellgrid.llm._shared import stored, words
 
 #: At most so many labelled rows are used for fitting.
 MOST_ROWS = 200_000
@@ -24,10 +24,12 @@ def statistics(text: Column) -> dict[str, Column]:
     """Statistics of a text, all finite; a null text counts as empty."""
     text = F.coalesce(text, F.lit(""))
     chars = F.char_length(text)
-    n = F.regexp_count(text, F.lit(WORD))
+    own = words(text)  # split once for both counts
+    n = F.size(own)
     per_char = lambda c: c / F.greatest(chars, F.lit(1))
     per_word = lambda c: c / F.greatest(n, F.lit(1))
     count = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    one = lambda c: chars - F.char_length(F.replace(text, F.lit(c), F.lit("")))
     return {
         "log_words": F.log1p(n.cast("double")),
         "word_chars": per_word(chars),
@@ -35,10 +37,10 @@ def statistics(text: Column) -> dict[str, Column]:
         "digits": per_char(count("[0-9]")),
         "marks": per_word(count("[!?]")),
         "symbols": per_word(count("[#$%&*+=<>@^_~{}\\\\]")),
-        "bars": per_word(count(r"\|")),
+        "bars": per_word(one("|")),
         "stops": per_word(count("[.,;:]")),
-        "lines": per_word(count("\n")),
-        "distinct": per_word(F.size(F.array_distinct(words(text)))),
+        "lines": per_word(one("\n")),
+        "distinct": per_word(F.size(F.array_distinct(own))),
     }
 
 
@@ -128,7 +130,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, limit: float = 0.3, **fitt
     """``doc_id, held_out, score, predicted`` of each row of ``docs``: the probability that its quality is 1.
 
     Labels of held-out rows are not used, and a score depends on the text alone. Null and empty texts are scored as
-    texts without words; repeated rows have one score each; an empty table gives no rows.
+    texts without words, texts of any length whole; repeated rows have one score each; of several labels of an id the
+    greatest counts, and an id without one (or null) is not learned from; an empty table gives no rows.
     """
     stats = stored(docs.select(F.col("doc_id"), *[c.alias(n) for n, c in statistics(F.col("text")).items()]))
     ensemble = fit(_labelled(stats, labels), **fitting)
