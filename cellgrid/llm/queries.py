@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, quality, simhash, substring, token_store, topk_search, url_filter
+from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, prefix_trie, quality, simhash, substring, token_store, topk_search, url_filter
 from cellgrid.llm._shared import shared_dir
 
 #: Labels of hosts on the block list.
@@ -94,6 +94,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_url_filter": op1_url_filter,
@@ -106,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_quality": op10_quality,
+        "op13_prefix_trie": op13_prefix_trie,
     }
 
 
@@ -194,5 +201,36 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+# crc32, bit by bit
+_CRC = "list_reduce([4294967295::BIGINT] || list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::BIGINT), lambda c, b: list_reduce([xor(c, b)] || range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1))))"
+
+OP13_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, conv_id::VARCHAR AS s FROM turns),
+hashed AS (SELECT conv_id, base, xor({_CRC}, 4294967295) % 6 AS h FROM convs),
+mixed AS (
+  SELECT h.conv_id, pos, role, text, 0 AS own FROM hashed h JOIN turns t ON t.conv_id = base AND pos <= h
+  UNION ALL SELECT conv_id, pos, role, text, 1 FROM turns JOIN hashed USING (conv_id) WHERE pos > h),
+placed AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, pos) AS depth, role, text FROM mixed),
+keyed AS (SELECT conv_id, depth, length(text) AS chars, md5(string_agg(md5(length(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM placed
+  UNION ALL SELECT conv_id, 0, 0, '' FROM hashed),
+linked AS (SELECT *, lag(key) OVER w AS parent, lead(key) OVER w IS NULL AS last FROM keyed WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+nodes AS (
+  SELECT depth, key, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS saved,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+  FROM linked GROUP BY depth, key),
+kids AS (SELECT depth - 1 AS depth, parent AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+whole AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM nodes n LEFT JOIN kids k ON k.depth = n.depth AND k.key = n.key),
+sums AS (
+  SELECT k.depth, k.key, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM whole w JOIN keyed k ON k.conv_id = w.conv_id AND k.depth <= w.depth GROUP BY ALL)
+SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, w.ends_sha256
+FROM whole w JOIN sums s ON s.depth = w.depth AND s.key = w.key LEFT JOIN nodes p ON p.depth = w.depth - 1 AND p.key = w.parent
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op13_prefix_trie": OP13_SQL, "op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL, "op9_substring_dedup": OP9_SQL}
