@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellgrid.llm import fingerprint, line_dedup, mixing, piece_codec, prefix_trie, quality, simhash, substring, token_store, topk_search, url_filter
+from cellgrid.llm import collocation, fingerprint, line_dedup, mixing, piece_codec, prefix_trie, quality, secrets, simhash, substring, token_store, topk_search, url_filter
 from cellgrid.llm._shared import shared_dir
 
 #: Labels of hosts on the block list.
@@ -94,6 +94,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.top_phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations")).select(
         "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
@@ -112,6 +120,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_substring_dedup": op9_substring_dedup,
         "op10_quality": op10_quality,
+        "op11_collocations": op11_collocations,
+        "op12_secrets": op12_secrets,
         "op13_prefix_trie": op13_prefix_trie,
     }
 
@@ -201,6 +211,29 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+OP11_SQL = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM starts, (VALUES (1), (2), (3)) t(k) WHERE i + k - 1 <= len(w)),
+f AS (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+split AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS p FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, k)) AS c FROM split),
+scored AS (
+  SELECT c.lang, c.k, c.g, c.a, c.c, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.k = c.c AND x.g = array_to_string(p[1:c.c], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - c.c AND y.g = array_to_string(p[c.c + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+longer AS (
+  SELECT lang, g, max(a) AS a FROM (
+    SELECT lang, array_to_string(p[1:2], ' ') AS g, a FROM split WHERE k = 3 UNION ALL SELECT lang, array_to_string(p[2:3], ' '), a FROM split WHERE k = 3) GROUP BY ALL),
+stay AS (SELECT t.* FROM lowest t LEFT JOIN longer o ON o.lang = t.lang AND o.g = t.g AND t.k = 2 WHERE o.a IS NULL OR 100 * o.a < 50 * t.a)
+SELECT lang, row_number() OVER w AS rank, g AS phrase, a, l, r, n, score::BIGINT AS score FROM stay JOIN sizes USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, g) QUALIFY row_number() OVER w <= 2000
+"""
+
 # crc32, bit by bit
 _CRC = "list_reduce([4294967295::BIGINT] || list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::BIGINT), lambda c, b: list_reduce([xor(c, b)] || range(8), lambda v, i: xor(v >> 1, 3988292384 * (v & 1))))"
 
@@ -233,4 +266,4 @@ FROM whole w JOIN sums s ON s.depth = w.depth AND s.key = w.key LEFT JOIN nodes
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op13_prefix_trie": OP13_SQL, "op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op11_collocations": OP11_SQL, "op13_prefix_trie": OP13_SQL, "op1_url_filter": OP1_SQL, "op2_line_dedup": OP2_SQL, "op5_topk": OP5_SQL, "op8_mixing": OP8_SQL, "op9_substring_dedup": OP9_SQL}
