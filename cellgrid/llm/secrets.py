@@ -21,12 +21,12 @@ RULES: dict[str, tuple[str, int, int]] = {
     "hex": (r"[0-9a-f]+", 0, 24),
 }
 # Runs of one class of characters are as long as they get, so that for these a minimal length finds the same matches.
-FASTER = {"access": r"AKIA[A-Z0-9]{16,}", "hex": r"[0-9a-f]{24,}"}
+FASTER = {"access": r"AKIA[A-Z0-9]{16,}+", "hex": r"[0-9a-f]{24,}+"}
 
 #: The kind of what the models find, and the characters and least length of the strings they judge.
 RANDOM = "random"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-CANDIDATE = r"[A-Za-z0-9+/_-]{16,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+"
 STATES = len(ALPHABET) + 1  # state 0 is before the first character
 #: Log-likelihood ratio (natural logarithm) from which a string is a finding: about one in 20,000 by chance.
 LIMIT = 10.0
@@ -53,17 +53,21 @@ def sums_before(sizes: Column) -> Column:
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """All matches, leftmost first without overlap: structs ``start, end`` (code points, end exclusive), ``value`` (the group)."""
-    p = F.lit(pattern)
-    whole, gaps, value = F.regexp_extract_all(text, p, F.lit(0)), F.split(text, pattern, -1), F.regexp_extract_all(text, p, F.lit(group))
-    sized = F.zip_with(F.slice(gaps, F.lit(1), F.size(whole)), whole, lambda g, w: F.struct(F.char_length(g).alias("gap"), F.char_length(w).alias("size")))
+    whole, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
+    value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else None
+
+    def sized(w: Column) -> Column:
+        return F.zip_with(F.slice(gaps, F.lit(1), F.size(w)), w, lambda g, x: F.struct(F.char_length(g).alias("gap"), F.char_length(x).alias("size"), x.alias("value")))
 
     def placed(z: Column) -> Column:
         before = sums_before(F.transform(z, lambda x: x["gap"] + x["size"]))
-        at = F.zip_with(z, before, lambda x, b: F.struct((b + x["gap"]).alias("start"), (b + x["gap"] + x["size"]).alias("end")))
-        return F.zip_with(at, value, lambda x, v: F.struct(x["start"].alias("start"), x["end"].alias("end"), v.alias("value")))
+        return F.zip_with(z, before, lambda x, b: F.struct((b + x["gap"]).alias("start"), (b + x["gap"] + x["size"]).alias("end"), x["value"].alias("value")))
 
-    none = F.lit(None).cast("array<struct<start:int,end:int,value:string>>")
-    return F.coalesce(F.when(text.rlike(pattern), let(sized, placed)).otherwise(none), F.array().cast("array<struct<start:int,end:int,value:string>>"))
+    found = let(let(whole, sized), placed)
+    if value is not None:
+        found = F.zip_with(found, value, lambda x, v: F.struct(x["start"].alias("start"), x["end"].alias("end"), v.alias("value")))
+    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    return F.when(text.rlike(pattern), found).otherwise(none)
 
 
 def rule_matches(text: Column, kind: str) -> Column:
@@ -87,9 +91,10 @@ def markov_table(samples: DataFrame, smooth: float = 0.5) -> list[float]:
     null and empty ones. Counts are over all samples; ``smooth`` is added to each. Without samples all ratios are 0.
     """
     # each character with the one before it; 0 stands before the first
-    known = samples.where("random is not null").select("random", _codes(F.regexp_replace("text", f"[^{ALPHABET[:-1]}\\-]", "")).alias("c")).where(F.size("c") > 0)
-    steps = known.select("random", F.explode(F.transform("c", lambda x, i: F.struct(F.when(i == 0, 0).otherwise(F.get("c", i - 1)).alias("a"), x.alias("b")))).alias("s")).select("random", "s.*")
-    counts = {(r.random, r.a, r.b): r.n for r in steps.groupBy("random", "a", "b").agg(F.count("*").alias("n")).collect()}  # STATES^2 rows at most, twice
+    known = samples.where("random is not null and text <> ''").select("random", F.regexp_replace("text", f"[^{ALPHABET[:-1]}\\-]", "").alias("s")).where("s <> ''")
+    step = let(_codes(F.col("s")), lambda c: F.transform(c, lambda x, i: F.when(i == 0, x).otherwise(F.get(c, i - 1) * STATES + x)))
+    counted = known.select("random", F.explode(step).alias("step")).groupBy("random", "step").agg(F.count("*").alias("n"))
+    counts = {(r.random, *divmod(r.step, STATES)): r.n for r in counted.collect()}  # STATES^2 rows at most, twice
     share: dict[bool, list[float]] = {}
     for kind in (False, True):
         share[kind] = []
@@ -109,25 +114,30 @@ def random_ratio(string: Column, table: list[float]) -> Column:
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
     """``text, random``: different strings of all documents with their label.
 
-    Random: what the rules find, and hashes of words as base 64, in capitals and in hexadecimal digits. Ordinary: words of
-    at least 8 letters, and identifiers made of two neighbouring ones (joined by case, ``_``, ``-`` or ``/``, some with a
-    number).
+    Random: what the rules find, and hashes of each text as base 64, in capitals and in hexadecimal digits. Ordinary: words of
+    at least 10 letters, and identifiers made of two neighbouring ones of at least 12 (joined by case, ``_``, ``-`` or ``/``,
+    some with a number).
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    found = F.flatten(F.array(*[F.transform(rule_matches(body, k), lambda m: m["value"]) for k in RULES]))
-    long = docs.select(F.array_distinct(F.regexp_extract_all(body, F.lit("[A-Za-z]{8,}"), F.lit(0))).alias("w"), F.array_distinct(found).alias("found"))
-
-    def joined(w: Column, i: Column) -> Column:
-        after = F.get("w", i + 1)
-        forms = F.array(F.concat(w, F.initcap(after)), F.concat_ws("_", w, after), F.concat_ws("-", F.lower(w), F.lower(after)), F.concat(w, F.lit("/"), after, F.lit("_"), (i % 100).cast("string")))
-        return F.coalesce(F.get(forms, F.pmod(F.xxhash64(w), F.lit(4)).cast("int")), w)
-
-    words = long.select(F.explode(F.array_union("w", F.transform("w", joined))).alias("text")).groupBy("text").agg(F.lit(False).alias("random"))
-    digest = F.unhex(F.sha2("text", 256))
-    made = F.array(F.rtrim(F.base64(digest), F.lit("=")), F.upper(F.substring(F.rtrim(F.base64(digest), F.lit("=")), 1, 20)), F.md5("text"))
-    random = words.select(F.explode(made).alias("text"), F.lit(True).alias("random"))
-    ruled = long.select(F.explode("found").alias("text")).groupBy("text").agg(F.lit(True).alias("random"))
-    return words.unionByName(random).unionByName(ruled)
+    values = [F.filter(F.regexp_extract_all(body, F.lit(FASTER.get(k, p)), F.lit(g)), lambda v: F.char_length(v) >= F.lit(6)) for k, (p, g, _) in RULES.items()]
+    found = F.concat(*values)
+    long = F.array_distinct(F.regexp_extract_all(body, F.lit("(?<![A-Za-z])[A-Za-z]{10,}+"), F.lit(0)))
+
+    def joined(w: Column) -> Column:
+        def one(a: Column, i: Column) -> Column:
+            b = F.get(w, i + 1)
+            way = F.pmod(F.xxhash64(a), F.lit(4))
+            by = F.when(way == 0, F.concat(a, F.initcap(b))).when(way == 1, F.concat_ws("_", a, b)).when(way == 2, F.concat_ws("-", F.lower(a), F.lower(b)))
+            return by.otherwise(F.concat(a, F.lit("/"), b, F.lit("_"), (i % 100).cast("string")))
+
+        return F.transform(F.slice(w, F.lit(1), F.size(w) - 1), one)
+
+    names = let(F.filter(long, lambda w: F.char_length(w) >= 12), lambda w: F.when(F.size(w) > 1, joined(w)).otherwise(F.array().cast("array<string>")))
+    digests = [F.base64(F.unhex(F.sha2(F.concat(body, F.lit(salt)), 512))) for salt in ("", "#", "##")]
+    made = let(F.array(*[F.rtrim(d, F.lit("=")) for d in digests]), lambda d: F.concat(d, F.array(F.upper(F.substring(d[0], 1, 20)), F.md5(d[0]))))
+    tagged = lambda strings, random: F.transform(strings, lambda t: F.struct(t.alias("text"), F.lit(random).alias("random")))
+    every = docs.select(F.inline(F.concat(tagged(long, False), tagged(names, False), tagged(found, True), tagged(made, True))))
+    return every.distinct()
 
 
 def scan(docs: DataFrame, table: list[float], limit: float = LIMIT, text: str = "text") -> DataFrame:
