@@ -5,8 +5,7 @@ A ring is an array of vertex structs. Tests multiply instead of dividing, so tha
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,35 +63,74 @@ def covers(ring: Column, px: Column, py: Column, x: str = "x", y: str = "y") ->
     return F.exists(es, on) | (F.size(F.filter(es, crosses)) % 2 == 1)
 
 
-def clip_side(ring: Column, axis: str, limit: Column, sign: int) -> Column:
-    """A ring in (row, col) cut by one side of a frame: what has ``(axis - limit) * sign >= 0`` (Sutherland and Hodgman, 1974)."""
-    other = "col" if axis == "row" else "row"
-
-    def keep(e: Column) -> Column:
-        inside = lambda v: (v[axis] - limit) * sign >= 0
-        t = (limit - e["a"][axis]) / (e["b"][axis] - e["a"][axis])
-        at = {axis: limit, other: e["a"][other] + t * (e["b"][other] - e["a"][other])}
-        cut = F.struct(*[at[c].alias(c) for c in ("row", "col")])
-        a, b = inside(e["a"]), inside(e["b"])
-        none = F.array().cast("array<struct<row:double,col:double>>")
-        return F.when(a & b, F.array(e["b"])).when(a, F.array(cut)).when(b, F.array(cut, e["b"])).otherwise(none)
+def _half(ring: list[tuple[float, float]], axis: int, limit: float, sign: int) -> list[list[tuple[float, float]]]:
+    """The parts of a simple ring with ``(vertex[axis] - limit) * sign > 0``.
 
-    return F.flatten(F.transform(edges(ring), keep))
+    Chains of vertices inside run from one crossing of the line to the next. Along the line, crossings by which the ring
+    enters and leaves alternate, so that the n-th entry and the n-th exit bound the same piece of it: a chain goes on with
+    the chain that enters where its own exit's piece ends.
+    """
+    inside = [(v[axis] - limit) * sign > 0 for v in ring]
+    if all(inside):
+        return [ring]
+    if not any(inside):
+        return []
+    n, chains = len(ring), []
+    for i in range(n):
+        if inside[i] and not inside[i - 1]:  # a chain begins
+            points, j = [_crossing(ring[i - 1], ring[i], axis, limit)], i
+            while inside[j % n]:
+                points.append(ring[j % n])
+                j += 1
+            chains.append([*points, _crossing(ring[j % n], ring[(j - 1) % n], axis, limit)])
+    along = 1 - axis
+    entries = sorted(range(len(chains)), key=lambda c: chains[c][0][along])
+    exits = sorted(range(len(chains)), key=lambda c: chains[c][-1][along])
+    after = {c: entries[k] for k, c in enumerate(exits)}
+    parts, left = [], set(range(len(chains)))
+    while left:
+        c, part = min(left), []
+        while c in left:
+            left.remove(c)
+            part += chains[c]
+            c = after[c]
+        part = list(dict.fromkeys(part))
+        if len(part) > 2:
+            parts.append(part)
+    return parts
+
+
+def _crossing(out: tuple[float, float], in_: tuple[float, float], axis: int, limit: float) -> tuple[float, float]:
+    t = (limit - out[axis]) / (in_[axis] - out[axis])
+    other = out[1 - axis] + t * (in_[1 - axis] - out[1 - axis])
+    return (limit, other) if axis == 0 else (other, limit)
+
+
+def clip_ring(ring: list[tuple[float, float]], height: float, width: float) -> list[list[tuple[float, float]]]:
+    """The parts of a simple ring of (row, col) within [0, height] x [0, width]."""
+    parts = [list(dict.fromkeys(ring))]
+    for axis, limit, sign in ((0, 0.0, 1), (0, height, -1), (1, 0.0, 1), (1, width, -1)):
+        parts = [p for part in parts for p in _half(part, axis, limit, sign)]
+    return [p for p in parts if len(p) > 2]
 
 
 def clip_rings(df: DataFrame, height: Column, width: Column, ring: str = "ring") -> DataFrame:
-    """Rings clipped to [0, height] x [0, width]; rows of which nothing is left are dropped.
+    """Rings (simple ones) clipped to [0, height] x [0, width]: a row for each ``part`` (0 and up) of what is left.
 
-    Exact for convex rings; a concave ring that falls apart stays one ring joined along the frame.
+    A ring that the frame cuts in several gives as many rows; one of which no area is left gives none.
     """
 
-    def by(axis: str, limit: Column, sign: int) -> Callable[[Column], Column]:
-        return lambda r: clip_side(r, axis, limit, sign)
-
-    out = F.col(ring)
-    for side in (by("row", F.lit(0.0), 1), by("row", height.cast("double"), -1), by("col", F.lit(0.0), 1), by("col", width.cast("double"), -1)):
-        out = F.get(F.transform(F.array(out), side), F.lit(0))  # bound once, as a side uses its ring several times
-    return df.withColumn(ring, F.array_distinct(out)).where(F.size(ring) >= 3)
+    @F.pandas_udf("array<array<struct<row:double,col:double>>>")
+    def clipped(rings: pd.Series, heights: pd.Series, widths: pd.Series) -> pd.Series:
+        out = []
+        for r, h, w in zip(rings, heights, widths):
+            parts = clip_ring([(float(v["row"]), float(v["col"])) for v in r], h, w) if r is not None else []
+            out.append([[{"row": y, "col": x} for y, x in part] for part in parts])
+        return pd.Series(out, dtype=object)
+
+    parts = clipped(F.col(ring), height.cast("double"), width.cast("double"))
+    others = [c for c in df.columns if c not in (ring, "part")]
+    return df.select(*others, F.posexplode(parts).alias("part", ring))
 
 
 def cells(ring: Column, cell: float, x: str = "x", y: str = "y") -> Column:

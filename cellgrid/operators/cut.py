@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellgrid.functions.geometry import covers
-
-KEY = ["roi", "element"]
+from cellgrid.functions.keys import element_key
 
 
 def cut_window(rois: DataFrame, elements: DataFrame, margin: int = 0) -> DataFrame:
@@ -55,18 +54,18 @@ def pyramid(df: DataFrame, levels: int, factor: int = 2, labels: bool = False) -
     """
     if levels < 1 or factor < 2:
         raise ValueError("a pyramid has a level, and a factor of 2, at least")
-    value = "label" if labels else "value"
+    value, key = "label" if labels else "value", element_key(df)
     down = lambda c, f: F.expr(f"cast({c} div {f} as int)").alias(c)
-    out = df.select(*KEY, F.lit(0).alias("level"), "y", "x", value)
+    out = df.select(*key, F.lit(0).alias("level"), "y", "x", value)
     if labels:
         for level in range(1, levels):
             f = factor**level
-            out = out.unionByName(df.where(f"y % {f} = 0 and x % {f} = 0").select(*KEY, F.lit(level).alias("level"), down("y", f), down("x", f), value))
+            out = out.unionByName(df.where(f"y % {f} = 0 and x % {f} = 0").select(*key, F.lit(level).alias("level"), down("y", f), down("x", f), value))
         return out
-    sums = df.select(*KEY, "y", "x", F.col("value").alias("total"), F.lit(1).cast("bigint").alias("n"))
+    sums = df.select(*key, "y", "x", F.col("value").alias("total"), F.lit(1).cast("bigint").alias("n"))
     for level in range(1, levels):
-        sums = sums.groupBy(*KEY, down("y", factor), down("x", factor)).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-        out = out.unionByName(sums.select(*KEY, F.lit(level).alias("level"), "y", "x", (F.col("total") / F.col("n")).alias("value")))
+        sums = sums.groupBy(*key, down("y", factor), down("x", factor)).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+        out = out.unionByName(sums.select(*key, F.lit(level).alias("level"), "y", "x", (F.col("total") / F.col("n")).alias("value")))
     return out
 
 

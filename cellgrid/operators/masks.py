@@ -1,4 +1,4 @@
-"""Mask algebra on sparse labels ``roi, element, y, x, label``.
+"""Mask algebra on sparse labels ``[slide,] roi, element, y, x, label``.
 
 What looks at a neighbourhood works on tiles with a halo, so that a pixel is sent to a few tiles at most, whatever the
 radius.
@@ -9,27 +9,34 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellgrid.functions.keys import roi_key, typed_key
 from cellgrid.operators.tiles import by_label_tile, moved
 
-AT = ["roi", "y", "x"]
 SIDES = [(-1, 0), (1, 0), (0, -1), (0, 1)]
 
 
+def _at(*dfs: DataFrame) -> list[str]:
+    return [*roi_key(*dfs), "y", "x"]
+
+
 def _named(df: DataFrame, element: str) -> DataFrame:
-    return df.select("roi", F.lit(element).alias("element"), "y", "x", "label")
+    return df.select(*roi_key(df), F.lit(element).alias("element"), "y", "x", "label")
 
 
 def subtract(a: DataFrame, b: DataFrame, element: str = "difference") -> DataFrame:
     """a's labels where b is background."""
-    return _named(a.join(b.select(*AT), AT, "left_anti"), element)
+    at = _at(a, b)
+    return _named(a.join(b.select(*at), at, "left_anti"), element)
 
 
 def multiply(a: DataFrame, b: DataFrame, element: str = "product") -> DataFrame:
     """Products of the labels where both have one; a product beyond 32 bits is an error."""
-    both = a.select(*AT, F.col("label").alias("l")).join(b.select(*AT, F.col("label").alias("m")), AT)
+    at = _at(a, b)
+    both = a.select(*at, F.col("label").alias("l")).join(b.select(*at, F.col("label").alias("m")), at)
     return _named(both.withColumn("label", (F.col("l").cast("bigint") * F.col("m")).cast("int")), element)
 
 
@@ -40,21 +47,61 @@ def disk(radius: float, strict: bool = False) -> list[tuple[int, int, int]]:
     return [(y, x, y * y + x * x) for y in range(-r, r + 1) for x in range(-r, r + 1) if inside(y * y + x * x)]
 
 
+def nearest(seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each pixel the squared distance of the nearest seed (a positive label) and its label; of equally near ones the smallest.
+
+    Where there is none, the distance is the largest integer. A column's nearest seeds give parabolas along each row, whose
+    lower envelope (Felzenszwalb and Huttenlocher, 2012) is found for all rows together. Work is linear in the pixels. A
+    parabola is weighed with a number above all labels, to which its label is added, so that ties are part of the integers.
+    """
+    h, w = seeds.shape
+    far = np.iinfo(np.int64).max
+    label = seeds.astype(np.int64)
+    weight = int(label.max(initial=0)) + 1
+    rows = np.arange(h)[:, None]
+    above = np.maximum.accumulate(np.where(label > 0, rows, -1), axis=0)
+    below = np.minimum.accumulate(np.where(label > 0, rows, h)[::-1], axis=0)[::-1]
+    cost = np.full((h, w), far)
+    for at, some in ((above, above >= 0), (below, below < h)):
+        y, x = np.nonzero(some)
+        d = y - at[y, x]
+        cost[y, x] = np.minimum(cost[y, x], d * d * weight + label[at[y, x], x])
+    centre = np.zeros((h, w + 1), np.int64)  # the parabolas of each row's envelope, and from where each is lowest
+    start = np.full((h, w + 1), far)
+    top = np.full(h, -1)
+    for q in range(w):
+        todo = np.flatnonzero(cost[:, q] < far)
+        while len(todo):
+            p = centre[todo, top[todo]]
+            empty = top[todo] < 0
+            # the first place where q is as low as p: a quotient rounded up
+            rise = cost[todo, q] + weight * q * q - np.where(empty, 0, cost[todo, p] + weight * p * p)
+            first = np.where(empty, 0, -(-rise // (2 * weight * np.maximum(q - p, 1))))
+            hidden = ~empty & (first <= start[todo, top[todo]])
+            done = todo[~hidden]
+            top[todo[hidden]] -= 1
+            top[done] += 1
+            centre[done, top[done]] = q
+            start[done, top[done]] = np.maximum(first[~hidden], 0)
+            todo = todo[hidden]
+    # the envelope's parabola at each place: how many have begun
+    begun = np.zeros((h, w + 1), np.int64)
+    y, k = np.nonzero(np.arange(w + 1)[None, :] <= top[:, None])
+    np.add.at(begun, (y, np.minimum(start[y, k], w)), 1)
+    begun = np.cumsum(begun, axis=1)[:, :w] - 1
+    p = np.take_along_axis(centre, np.maximum(begun, 0), axis=1)
+    low = np.take_along_axis(cost, p, axis=1)
+    known = (begun >= 0) & (low < far)
+    low = np.where(known, low, 0) + weight * (np.arange(w) - p) ** 2
+    return np.where(known, low // weight, far), np.where(known, low % weight, 0).astype(seeds.dtype)
+
+
 def expand(labels: DataFrame, radius: float, extent: DataFrame, element: str = "expanded", tile: int = 256) -> DataFrame:
     """Labels grown by ``radius``: background within it takes the nearest label (ties: the smallest)."""
-    rings: dict[int, list[tuple[int, int]]] = {}
-    for dy, dx, d2 in disk(radius):
-        rings.setdefault(d2, []).append((dy, dx))
 
     def kernel(area: np.ndarray, frame: np.ndarray) -> np.ndarray:
-        out, none = area.copy(), np.iinfo(np.int32).max
-        for d2 in sorted(rings)[1:]:  # from near to far
-            best = np.full_like(area, none)
-            for dy, dx in rings[d2]:
-                near = moved(area, dy, dx)
-                best = np.where(near > 0, np.minimum(best, near), best)
-            out = np.where((out == 0) & (best < none), best, out)
-        return out
+        d2, label = nearest(area)
+        return np.where(d2 <= radius * radius, label, 0)
 
     return _named(by_label_tile(labels, extent, int(radius), kernel, tile), element)
 
@@ -69,13 +116,10 @@ def _boundary(area: np.ndarray, frame: np.ndarray) -> np.ndarray:
 
 def erode(labels: DataFrame, radius: float, extent: DataFrame, element: str = "eroded", tile: int = 256) -> DataFrame:
     """Labels without the pixels less than ``radius`` away from a boundary pixel."""
-    offsets = disk(radius, strict=True)
 
     def kernel(area: np.ndarray, frame: np.ndarray) -> np.ndarray:
-        rim, near = _boundary(area, frame), np.zeros(area.shape, bool)
-        for dy, dx, _ in offsets:
-            near |= moved(rim, dy, dx)
-        return np.where(near, 0, area)
+        d2, _ = nearest(_boundary(area, frame).astype(np.int32))
+        return np.where(d2 < radius * radius, 0, area)
 
     return _named(by_label_tile(labels, extent, math.ceil(radius) + 1, kernel, tile), element)
 
@@ -88,32 +132,33 @@ def ring(labels: DataFrame, extent: DataFrame, outer: float = 7, inner: float =
     """The labels at ``outer`` without what lies within ``inner``; positive radii grow, negative ones erode."""
     if outer <= inner:
         raise ValueError("the outer radius must exceed the inner one")
-    return _named(_bound(labels, outer, extent).join(_bound(labels, inner, extent).select(*AT), AT, "left_anti"), element)
+    at = _at(labels, extent)
+    return _named(_bound(labels, outer, extent).join(_bound(labels, inner, extent).select(*at), at, "left_anti"), element)
+
+
+def _dilated(area: np.ndarray, radius: float) -> np.ndarray:
+    return (nearest(area)[0] <= radius * radius).astype(np.int32)
 
 
-def _dilated(area: np.ndarray, offsets: list[tuple[int, int, int]]) -> np.ndarray:
-    out = np.zeros_like(area)
-    for dy, dx, _ in offsets:
-        out |= moved(area, dy, dx)
-    return out
+def _shrunk(area: np.ndarray, frame: np.ndarray, radius: float) -> np.ndarray:
+    return np.where(_dilated(((area == 0) & frame).astype(np.int32), radius) == 0, area, 0)
 
 
 def _binary(points: DataFrame, radius: float, extent: DataFrame, halo: int, kernel, tile: int) -> DataFrame:
     if radius < 0:
         raise ValueError("the radius must not be negative")
-    return by_label_tile(points.select(*AT, F.lit(1).alias("label")), extent, halo, kernel, tile).select(*AT)
+    at = _at(points, extent)
+    return by_label_tile(points.select(*at, F.lit(1).alias("label")), extent, halo, kernel, tile).select(*at)
 
 
 def dilate(points: DataFrame, radius: float, extent: DataFrame, tile: int = 256) -> DataFrame:
-    """Pixels ``roi, y, x`` within ``radius`` of a foreground pixel."""
-    offsets = disk(radius)
-    return _binary(points, radius, extent, int(radius), lambda area, frame: _dilated(area, offsets), tile)
+    """Pixels ``[slide,] roi, y, x`` within ``radius`` of a foreground pixel."""
+    return _binary(points, radius, extent, int(radius), lambda area, frame: _dilated(area, radius), tile)
 
 
 def shrink(points: DataFrame, radius: float, extent: DataFrame, tile: int = 256) -> DataFrame:
     """Pixels whose whole disk, as far as it lies in the image, is foreground."""
-    offsets = disk(radius)
-    return _binary(points, radius, extent, int(radius), lambda area, frame: np.where(_dilated(((area == 0) & frame).astype(np.int32), offsets) == 0, area, 0), tile)
+    return _binary(points, radius, extent, int(radius), lambda area, frame: _shrunk(area, frame, radius), tile)
 
 
 def morph_open(points: DataFrame, radius: float, extent: DataFrame) -> DataFrame:
@@ -148,17 +193,26 @@ def blob(points: DataFrame, extent: DataFrame, work: tuple[int, int] = (250, 250
     """A smooth 0/1 mask of foreground pixels, from an opening and closing on a coarse grid.
 
     The mask is resized to ``work`` cells and back by linear interpolation (with a blur where it gets smaller); what
-    exceeds 0 is foreground.
+    exceeds 0 is foreground. The grid of an ROI is one array, so ``work`` bounds what a task holds.
     """
     h, w = work
     if h <= 0 or w <= 0 or radius < 0:
         raise ValueError("the grid must have cells, and the radius must not be negative")
-    frame = extent.select("roi", "height", "width").distinct()
-    coarse = points.select(*AT).join(frame, "roi").withColumn("cy", F.explode(_resized("y", F.col("height"), F.lit(h))))
-    coarse = coarse.select("roi", "x", "width", "cy").distinct().withColumn("cx", F.explode(_resized("x", F.col("width"), F.lit(w))))
-    coarse = coarse.select("roi", F.col("cy").alias("y"), F.col("cx").alias("x")).distinct()
-    grid = frame.select("roi", F.lit(h).alias("height"), F.lit(w).alias("width"))
-    smooth = morph_close(morph_open(coarse, radius, grid), radius, grid).join(frame, "roi")
-    fine = smooth.withColumn("py", F.explode(_resized("y", F.lit(h), F.col("height")))).select("roi", "x", "width", "py").distinct()
-    fine = fine.withColumn("px", F.explode(_resized("x", F.lit(w), F.col("width")))).select("roi", F.col("py").alias("y"), F.col("px").alias("x")).distinct()
+    key = roi_key(points, extent)
+    frame = extent.select(*key, "height", "width").distinct()
+    coarse = points.select(*key, "y", "x").join(frame, key).withColumn("cy", F.explode(_resized("y", F.col("height"), F.lit(h))))
+    coarse = coarse.select(*key, "x", "width", "cy").distinct().withColumn("cx", F.explode(_resized("x", F.col("width"), F.lit(w))))
+    coarse = coarse.select(*key, "cy", "cx").distinct()
+
+    def smoothed(pdf: pd.DataFrame) -> pd.DataFrame:
+        area, whole = np.zeros((h, w), np.int32), np.ones((h, w), bool)
+        area[pdf.cy, pdf.cx] = 1
+        area = _dilated(_shrunk(area, whole, radius), radius)  # opening
+        area = _shrunk(_dilated(area, radius), whole, radius)  # closing
+        y, x = np.nonzero(area)
+        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in key}, "y": y, "x": x})
+
+    smooth = coarse.groupBy(*key).applyInPandas(smoothed, f"{typed_key(key)}, y int, x int").join(frame, key)
+    fine = smooth.withColumn("py", F.explode(_resized("y", F.lit(h), F.col("height")))).select(*key, "x", "width", "py").distinct()
+    fine = fine.withColumn("px", F.explode(_resized("x", F.lit(w), F.col("width")))).select(*key, F.col("py").alias("y"), F.col("px").alias("x")).distinct()
     return _named(fine.withColumn("label", F.lit(1)), element)

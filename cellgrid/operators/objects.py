@@ -8,23 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellgrid.functions.geometry import points_in
+from cellgrid.functions.keys import roi_key
 
 
 def obs_table(morphology: DataFrame, columns: list[str], masks: list[str]) -> DataFrame:
     """One row per label with each mask's columns as ``<column>_<mask>``; null where a mask lacks the label."""
-    per = [F.max(F.when(F.col("mask") == m, F.col(c))).alias(f"{c}_{m}") for m in masks for c in columns]
-    return morphology.where(F.col("mask").isin(*masks)).groupBy("roi", "label").agg(*per)
+    per = [F.max(F.when(F.col("mask") == m, F.col(f"`{c}`"))).alias(f"{c}_{m}") for m in masks for c in columns]
+    return morphology.where(F.col("mask").isin(*masks)).groupBy(*roi_key(morphology), "label").agg(*per)
 
 
 def wide(features: DataFrame, names: list[str]) -> DataFrame:
     """Features as columns ``<channel>_<metric>_<mask>``, from a given list of names."""
     name = F.concat_ws("_", "channel", "metric", "mask")
-    return features.withColumn("feature", name).groupBy("roi", "label").pivot("feature", names).agg(F.first("value"))
+    return features.withColumn("feature", name).groupBy(*roi_key(features), "label").pivot("feature", names).agg(F.first("value"))
 
 
 def reindex(signal: DataFrame, obs: DataFrame) -> DataFrame:
     """The signal of exactly the labels of ``obs``; null where there is none."""
-    return obs.select("roi", "label").join(signal, ["roi", "label"], "left")
+    own = [*roi_key(obs, signal), "label"]
+    return obs.select(*own).join(signal, own, "left")
 
 
 def pack_arrays(df: DataFrame) -> DataFrame:
@@ -50,8 +52,9 @@ def link_region(df: DataFrame, mask: str, masks: list[str]) -> DataFrame:
 
 
 def excluded(points: DataFrame, shapes: DataFrame, cell: float = 64.0) -> DataFrame:
-    """``roi, label, shape_key``: objects (``roi, label, x, y``) that a shape of the key covers, its edges included."""
-    return points_in(points.where("x is not null and y is not null"), shapes, ["roi"], cell=cell).select("roi", "label", "shape_key").distinct()
+    """``[slide,] roi, label, shape_key``: objects (``[slide,] roi, label, x, y``) that a shape of the key covers, its edges included."""
+    key = roi_key(points, shapes)
+    return points_in(points.where("x is not null and y is not null"), shapes, key, cell=cell).select(*key, "label", "shape_key").distinct()
 
 
 def used_shapes(features: DataFrame, shapes: DataFrame, prefix: str = "qc_exclude") -> DataFrame:
@@ -67,4 +70,4 @@ def qc_mask(features: DataFrame, points: DataFrame, shapes: DataFrame, prefix: s
     """
     out = excluded(points, shapes, cell).withColumn("hit", F.lit(True))
     key = F.concat(F.lit(prefix + "_"), F.substring_index("feature", "_", 1))
-    return features.withColumn("shape_key", key).join(out, ["roi", "label", "shape_key"], "left").withColumn("keep", F.col("hit").isNull()).drop("hit", "shape_key")
+    return features.withColumn("shape_key", key).join(out, [*roi_key(features, out), "label", "shape_key"], "left").withColumn("keep", F.col("hit").isNull()).drop("hit", "shape_key")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import math
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellgrid.functions.geometry import boxes_overlap, clip_rings, corners, polygon_bbox, rescale
+from cellgrid.functions.keys import element_key
 from cellgrid.sources.storage import stored
 
 
@@ -39,25 +43,50 @@ def overlap_pairs(boxes: DataFrame, cell: int = 128, key: str = "ordinal") -> Da
     return both.where(home).select("slide", F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"))
 
 
-def nms(boxes: DataFrame, score: str = "predicted_iou", key: str = "ordinal", cell: int = 128) -> DataFrame:
+def nms(boxes: DataFrame, score: str = "predicted_iou", key: str = "ordinal", cell: int = 128, most: int = 50_000) -> DataFrame:
     """Boxes that greedy non-maximum suppression keeps: by score, ties by ``key``, any overlap removes.
 
-    Each round keeps every box that outranks all its live neighbours, and removes those. Rounds work on the overlaps
-    alone, on shared storage.
+    Overlaps go to the tile of their lower-ranked box, which thus sees all that may suppress it; tiles hold ``most`` boxes
+    on average. In order of rank, a tile settles each box of which it knows enough: a kept neighbour removes it, and with
+    all neighbours removed it stays. What waits for another tile is left to the next round, which shifts the tiles by half
+    their side, so that rounds are as many as the tiles that a chain of overlaps crosses, not as the boxes in it.
     """
-    ranked = boxes.select("slide", F.col(key).alias("id"), F.col(score).alias("s"))
-    a, b = ranked.toDF("slide", "a", "sa"), ranked.toDF("slide", "b", "sb")
+    ranked = boxes.select("slide", F.col(key).alias("id"), F.col(score).cast("double").alias("s"), "x", "y")
+    a, b = ranked.toDF("slide", "a", "sa", "xa", "ya"), ranked.toDF("slide", "b", "sb", "xb", "yb")
     pairs = overlap_pairs(boxes, cell, key).join(a, ["slide", "a"]).join(b, ["slide", "b"])
     first = (F.col("sa") > F.col("sb")) | ((F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")))
-    live = stored(pairs.select("slide", F.when(first, F.col("a")).otherwise(F.col("b")).alias("hi"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("lo")))
+    of = lambda n, hi: F.when(first if hi else ~first, F.col(f"{n}a" if n else "a")).otherwise(F.col(f"{n}b" if n else "b"))
+    live = stored(pairs.select("slide", of("", True).alias("hi"), of("", False).alias("lo"), of("s", False).alias("s"), of("x", False).alias("x"), of("y", False).alias("y")))
+    span = live.agg(F.count("*").alias("n"), *[(F.max(c) - F.min(c) + 1).alias(c) for c in ("x", "y")], F.countDistinct("slide").alias("slides")).first()
+    id_type = dict(live.dtypes)["lo"]
     gone = live.select("slide", "lo").limit(0)
+    if span.n:
+        side = max(4 * cell, math.ceil(math.sqrt(span.x * span.y * span.slides * most / span.n)))
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["s", "lo"], ascending=[False, True])
+        kept: dict = {}  # by box: True if it stays, False if not
+        kept.update((h, True) for h in pdf.hi[pdf.top])
+        for lo, his in pdf.groupby("lo", sort=False).hi:
+            states = [kept.get(h) for h in his]
+            if True in states:
+                kept[lo] = False
+            elif None not in states:
+                kept[lo] = True
+        own = [lo for lo in pdf.lo.unique() if lo in kept]
+        return pd.DataFrame({"slide": pdf.slide.iloc[0], "id": own, "kept": [kept[k] for k in own]})
+
+    r = 0
     while not live.isEmpty():
-        beaten = live.select("slide", F.col("lo").alias("hi"))
-        tops = live.join(beaten, ["slide", "hi"], "left_anti").select("slide", "hi").distinct()
-        lost = stored(live.join(tops, ["slide", "hi"]).select("slide", "lo").distinct())
+        tops = live.select("slide", F.col("lo").alias("hi"), F.lit(False).alias("top")).distinct()
+        shift = r % 2 * (side // 2)
+        tile = [F.floor((F.col(c) + shift) / side).alias(f"t{c}") for c in "xy"]
+        known = live.join(tops, ["slide", "hi"], "left").select("slide", "hi", "lo", "s", F.coalesce("top", F.lit(True)).alias("top"), *tile)
+        done = stored(known.groupBy("slide", "tx", "ty").applyInPandas(settle, f"slide string, id {id_type}, kept boolean"))
+        lost = done.where("not kept").select("slide", F.col("id").alias("lo"))
         gone = gone.unionByName(lost)
-        live = live.join(lost, ["slide", "lo"], "left_anti").join(lost.withColumnRenamed("lo", "hi"), ["slide", "hi"], "left_anti")
-        live = stored(live)
+        rest = live.join(done.select("slide", F.col("id").alias("lo")), ["slide", "lo"], "left_anti")
+        live, r = stored(rest.join(lost.withColumnRenamed("lo", "hi"), ["slide", "hi"], "left_anti")), r + 1
     return boxes.join(gone.withColumnRenamed("lo", key), ["slide", key], "left_anti")
 
 
@@ -71,7 +100,7 @@ def refine(cands: DataFrame, min_area: float, max_area: float, min_iou: float, m
 
 
 def clip_polygons(polys: DataFrame, height: int, width: int) -> DataFrame:
-    """Polygons (``ring`` in (row, col)) cut to the frame; those outside are dropped."""
+    """Polygons (``ring`` in (row, col)) cut to the frame, a row for each ``part`` that is left; those outside are dropped."""
     return clip_rings(polys, F.lit(height), F.lit(width))
 
 
@@ -82,7 +111,8 @@ def _order() -> list:
 
 def order_rois(rois: DataFrame) -> DataFrame:
     """ROIs with their ``place`` in reading order, by slide."""
-    return rois.withColumn("place", F.row_number().over(Window.partitionBy("slide").orderBy(*_order())) - 1)
+    order = [*_order(), *(["part"] if "part" in rois.columns else [])]
+    return rois.withColumn("place", F.row_number().over(Window.partitionBy("slide").orderBy(*order)) - 1)
 
 
 def name_rois(rois: DataFrame) -> DataFrame:
@@ -107,18 +137,18 @@ def visual_rois(rois: DataFrame, level: int) -> DataFrame:
 
 def rgb_stretch(pixels: DataFrame, lo: float | None = None, hi: float | None = None) -> DataFrame:
     """``rgb``: values stretched from [lo, hi] (the element's own range if not given) to 0..255, three times."""
-    limits = pixels.groupBy("roi", "element").agg(
+    limits = pixels.groupBy(*element_key(pixels)).agg(
         (F.min("value") if lo is None else F.lit(float(lo))).alias("lo"), (F.max("value") if hi is None else F.lit(float(hi))).alias("hi")
     )
     v = F.try_divide(F.col("value") - F.col("lo"), F.col("hi") - F.col("lo"))
     byte = F.floor(F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0)) * 255).cast("int")
-    return pixels.join(limits, ["roi", "element"]).select("roi", "element", "y", "x", F.when(v.isNotNull(), F.array_repeat(byte, 3)).alias("rgb"))
+    return pixels.join(limits, element_key(pixels)).select(*element_key(pixels), "y", "x", F.when(v.isNotNull(), F.array_repeat(byte, 3)).alias("rgb"))
 
 
 def auto_thresholds(pixels: DataFrame, nominal: float, level: int = 0, lo: float = 0.75, hi: float = 1.25) -> DataFrame:
     """Sampling density, area limits and least intensity for a detector, per element."""
     side = F.greatest(F.max("y") + 1, F.max("x") + 1)
     area = lambda f: F.lit((f * nominal / (1 << level)) ** 2)
-    return pixels.groupBy("roi", "element").agg(
+    return pixels.groupBy(*element_key(pixels)).agg(
         (2 * (side / nominal).cast("int")).alias("density"), area(lo).alias("min_area"), area(hi).alias("max_area"), F.avg("value").alias("min_int")
     )

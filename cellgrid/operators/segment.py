@@ -2,83 +2,136 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellgrid.operators.tiles import halo_tiles
+from cellgrid.functions.keys import roi_key, typed_key
+from cellgrid.operators.tiles import halo_tiles, whole_groups
 from cellgrid.sources.storage import stored
 
 
 def stack_channels(pixels: DataFrame, names: list[str]) -> DataFrame:
-    """``roi, y, x, values``: the values of several elements in the order of ``names``."""
-    per = [F.max(F.when(F.col("element") == n, F.col("value"))) for n in names]
-    return pixels.where(F.col("element").isin(*names)).groupBy("roi", "y", "x").agg(F.array(*per).alias("values"))
+    """``[slide,] roi, y, x, values``: the values of several elements in the order of ``names``."""
+    return _stacked(pixels, names).select(*roi_key(pixels), "y", "x", F.array(*[f"v{i}" for i in range(len(names))]).alias("values"))
 
 
-def segment_objects(pixels: DataFrame, fn: Callable[[np.ndarray], dict[str, np.ndarray]], names: list[str], tile: int = 512, halo: int = 64, instances: bool = False) -> DataFrame:
+def _stacked(pixels: DataFrame, names: list[str]) -> DataFrame:
+    per = [F.max(F.when(F.col("element") == n, F.col("value"))).alias(f"v{i}") for i, n in enumerate(names)]
+    return pixels.where(F.col("element").isin(*names)).groupBy(*roi_key(pixels), "y", "x").agg(*per)
+
+
+#: The model of a Python worker: the token of the call it belongs to, and what its ``load`` gave.
+_MODEL: list = [None, None]
+
+
+def _model(token: str, load: Callable[[], Callable]) -> Callable:
+    """The model of a call, loaded the first time that a worker needs it. A worker keeps one, that of its last call."""
+    if _MODEL[0] != token:
+        _MODEL[:] = [token, load()]
+    return _MODEL[1]
+
+
+Labels = dict[str, np.ndarray]
+
+
+def segment_objects(
+    pixels: DataFrame, fn: Callable[[np.ndarray], Labels] | None, names: list[str], tile: int = 512, halo: int = 64, instances: bool = False,
+    load: Callable[[], Callable[[list[np.ndarray]], list[Labels]]] | None = None, batch: int = 4,
+) -> DataFrame:
     """Label masks from ``fn``: an array (channels, height, width) in, integer masks by name out.
 
-    ``fn`` gets each tile with ``halo`` pixels around it, so that what it takes is bounded whatever the image's size.
+    A model that is dear to load comes as ``load`` instead (and None for ``fn``): each Python worker calls it once, and what
+    it gives takes lists of up to ``batch`` arrays. Tiles come with ``halo`` pixels around them, so that what a task holds
+    is bounded whatever the image's size.
+
     Labels are classes, which a tile gives to its own pixels. With ``instances`` they are objects: the tile that holds an
     object's first pixel gives all of it (an object must not reach further than ``halo`` beyond that tile), and objects are
     numbered from 1 per ROI and element, in order of tiles. Of two objects at a pixel the smaller number wins.
     """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    if (fn is None) == (load is None):
+        raise ValueError("either a function or what loads one")
+    key, token = roi_key(pixels), uuid.uuid4().hex
+    load = load or (lambda: lambda images: [fn(i) for i in images])
+    at, values = [*key, "ty", "tx"], [f"v{i}" for i in range(len(names))]
+
+    def image(pdf: pd.DataFrame) -> np.ndarray:
+        ya, xa = max(0, int(pdf.ty.iloc[0]) * tile - halo), max(0, int(pdf.tx.iloc[0]) * tile - halo)
+        out = np.zeros((len(names), pdf.y.max() + 1 - ya, pdf.x.max() + 1 - xa))
+        out[:, pdf.y - ya, pdf.x - xa] = pdf[values].to_numpy().T
+        return out
+
+    def rows(pdf: pd.DataFrame, found: Labels) -> pd.DataFrame:
         y0, x0 = int(pdf.ty.iloc[0]) * tile, int(pdf.tx.iloc[0]) * tile
         ya, xa = max(0, y0 - halo), max(0, x0 - halo)
-        image = np.zeros((len(names), pdf.y.max() + 1 - ya, pdf.x.max() + 1 - xa))
-        image[:, pdf.y - ya, pdf.x - xa] = np.stack(pdf["values"].to_numpy()).T
         parts = []
-        for name, labels in fn(image).items():
+        for name, labels in found.items():
             y, x = np.nonzero(labels)
             label = labels[y, x]
             own = (y + ya >= y0) & (y + ya < y0 + tile) & (x + xa >= x0) & (x + xa < x0 + tile)
             if instances:
-                _, first, at = np.unique(label, return_index=True, return_inverse=True)  # pixels come row by row
-                own = own[first][at]
-            parts.append(pd.DataFrame({"roi": pdf.roi.iloc[0], "ty": pdf.ty.iloc[0], "tx": pdf.tx.iloc[0], "element": name, "y": y[own] + ya, "x": x[own] + xa, "label": label[own]}))
+                _, first, place = np.unique(label, return_index=True, return_inverse=True)  # pixels come row by row
+                own = own[first][place]
+            parts.append(pd.DataFrame({**{k: pdf[k].iloc[0] for k in at}, "element": name, "y": y[own] + ya, "x": x[own] + xa, "label": label[own]}))
         return pd.concat(parts)
 
-    tiles = halo_tiles(stack_channels(pixels, names), halo, tile).where("ty >= 0 and tx >= 0")
-    found = tiles.groupBy("roi", "ty", "tx").applyInPandas(run, "roi string, ty bigint, tx bigint, element string, y int, x int, label int")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+
+        def segmented() -> Iterator[pd.DataFrame]:
+            for pdf, found in zip(held, _model(token, load)([image(h) for h in held])):
+                yield rows(pdf, found)
+            held.clear()
+
+        for whole in whole_groups(batches, at):
+            for _, pdf in whole.groupby(at, sort=False):
+                held.append(pdf)
+                if len(held) == batch:
+                    yield from segmented()
+        if held:
+            yield from segmented()
+
+    tiles = halo_tiles(_stacked(pixels, names), halo, tile).where("ty >= 0 and tx >= 0")
+    found = tiles.repartition(*at).sortWithinPartitions(*at).mapInPandas(run, f"{typed_key(key)}, ty bigint, tx bigint, element string, y int, x int, label int")
     if instances:
         found = stored(found)
-        key = ["roi", "element", "ty", "tx", "label"]
-        number = F.row_number().over(Window.partitionBy("roi", "element").orderBy("ty", "tx", "label"))
-        numbers = found.select(*key).distinct().withColumn("number", number)
-        found = found.join(numbers, key).groupBy("roi", "element", "y", "x").agg(F.min("number").alias("label"))
-    return found.select("roi", "element", "y", "x", "label")
+        each = [*key, "element", "ty", "tx", "label"]
+        number = F.row_number().over(Window.partitionBy(*key, "element").orderBy("ty", "tx", "label"))
+        numbers = found.select(*each).distinct().withColumn("number", number)
+        found = found.join(numbers, each).groupBy(*key, "element", "y", "x").agg(F.min("number").alias("label"))
+    return found.select(*key, "element", "y", "x", "label")
 
 
 def min_labels(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
-    """``roi, node, label``: the smallest node that edges ``roi, a, b`` lead to, for every node of an edge."""
-    e = edges.select("roi", F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    """``[slide,] roi, node, label``: the smallest node that edges ``[slide,] roi, a, b`` lead to, for every node of an edge."""
+    key = roi_key(edges)
+    e = edges.select(*key, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     e, state = stored(e), None
     for _ in range(most_rounds):
-        both = e.unionByName(e.select("roi", F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("roi", "a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, ["roi", "a"]).where("b > a").select("roi", F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        least = large.groupBy("roi", "a").agg(F.min("b").alias("m"))
-        small = large.join(least, ["roi", "a"]).where("b <> m").select("roi", F.col("b").alias("a"), F.col("m").alias("b"))
-        e = stored(small.unionByName(least.select("roi", "a", F.col("m").alias("b"))).distinct())
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("roi", "a", "b"))).first()
+        both = e.unionByName(e.select(*key, F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy(*key, "a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, [*key, "a"]).where("b > a").select(*key, F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy(*key, "a").agg(F.min("b").alias("m"))
+        small = large.join(least, [*key, "a"]).where("b <> m").select(*key, F.col("b").alias("a"), F.col("m").alias("b"))
+        e = stored(small.unionByName(least.select(*key, "a", F.col("m").alias("b"))).distinct())
+        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64(*key, "a", "b"))).first()
         if now == state:
-            return e.select("roi", F.col("a").alias("node"), F.col("b").alias("label"))
+            return e.select(*key, F.col("a").alias("node"), F.col("b").alias("label"))
         state = now
     raise RuntimeError("components did not settle")
 
 
 def label_components(points: DataFrame, width: int, connectivity: int = 8, tile: int = 256, element: str = "components") -> DataFrame:
-    """Connected components of foreground pixels ``roi, y, x``, numbered from 1 in order of their first pixels.
+    """Connected components of foreground pixels ``[slide,] roi, y, x``, numbered from 1 in order of their first pixels.
 
     Tiles are labelled apart; pixels on both sides of a seam are edges between those labels, and the smallest label wins.
     ``width`` is at least that of the image.
     """
+    key = roi_key(points)
     steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if connectivity == 8 else [])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -101,15 +154,15 @@ def label_components(points: DataFrame, width: int, connectivity: int = 8, tile:
             if (new == label).all():
                 break
             label = new
-        return pd.DataFrame({"roi": pdf.roi.iloc[0], "y": y, "x": x, "part": label})
+        return pd.DataFrame({**{k: pdf[k].iloc[0] for k in key}, "y": y, "x": x, "part": label})
 
-    tiled = points.select("roi", "y", "x", F.floor(F.col("y") / tile).alias("ty"), F.floor(F.col("x") / tile).alias("tx"))
-    parts = stored(tiled.groupBy("roi", "ty", "tx").applyInPandas(run, "roi string, y int, x int, part bigint"))
+    tiled = points.select(*key, "y", "x", F.floor(F.col("y") / tile).alias("ty"), F.floor(F.col("x") / tile).alias("tx"))
+    parts = stored(tiled.groupBy(*key, "ty", "tx").applyInPandas(run, f"{typed_key(key)}, y int, x int, part bigint"))
     seam = parts.where(f"y % {tile} in (0, {tile - 1}) or x % {tile} in (0, {tile - 1})")
     offsets = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in steps])
-    moved = seam.withColumn("o", F.explode(offsets)).select("roi", (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), F.col("part").alias("a"))
-    edges = moved.join(seam.withColumnRenamed("part", "b"), ["roi", "y", "x"]).where("a <> b").select("roi", "a", "b")
-    labels = min_labels(edges).select("roi", F.col("node").alias("part"), F.col("label").alias("root"))
-    whole = parts.join(labels, ["roi", "part"], "left").withColumn("root", F.coalesce("root", "part"))
-    numbers = whole.select("roi", "root").distinct().withColumn("label", F.row_number().over(Window.partitionBy("roi").orderBy("root")))
-    return whole.join(numbers, ["roi", "root"]).select("roi", F.lit(element).alias("element"), "y", "x", "label")
+    moved = seam.withColumn("o", F.explode(offsets)).select(*key, (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"), F.col("part").alias("a"))
+    edges = moved.join(seam.withColumnRenamed("part", "b"), [*key, "y", "x"]).where("a <> b").select(*key, "a", "b")
+    labels = min_labels(edges).select(*key, F.col("node").alias("part"), F.col("label").alias("root"))
+    whole = parts.join(labels, [*key, "part"], "left").withColumn("root", F.coalesce("root", "part"))
+    numbers = whole.select(*key, "root").distinct().withColumn("label", F.row_number().over(Window.partitionBy(*key).orderBy("root")))
+    return whole.join(numbers, [*key, "root"]).select(*key, F.lit(element).alias("element"), "y", "x", "label")

@@ -6,14 +6,14 @@ the image's size.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KEY = ["roi", "element"]
+from cellgrid.functions.keys import element_key, roi_key, typed_key
 
 
 def halo_tiles(pixels: DataFrame, radius: int, tile: int) -> DataFrame:
@@ -34,6 +34,7 @@ def by_tile(pixels: DataFrame, elements: DataFrame, radius: int, kernel: Callabl
 
     Beyond the image the nearest pixel is repeated. ``elements`` has each element's height and width.
     """
+    key = element_key(pixels, elements)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
@@ -45,18 +46,19 @@ def by_tile(pixels: DataFrame, elements: DataFrame, radius: int, kernel: Callabl
         pad = ((ya - (y0 - radius), y1 + radius - yb), (xa - (x0 - radius), x1 + radius - xb))
         out = kernel(np.pad(area, pad, mode="edge"))[radius : radius + y1 - y0, radius : radius + x1 - x0]
         y, x = np.mgrid[y0:y1, x0:x1]
-        return pd.DataFrame({"roi": first.roi, "element": first.element, "y": y.ravel(), "x": x.ravel(), "value": out.ravel()})
+        return pd.DataFrame({**{k: first[k] for k in key}, "y": y.ravel(), "x": x.ravel(), "value": out.ravel()})
 
-    tiles = _framed(pixels, elements, KEY, radius, tile)
-    return tiles.groupBy(*KEY, "ty", "tx").applyInPandas(run, "roi string, element string, y int, x int, value double")
+    tiles = _framed(pixels, elements, key, radius, tile)
+    return tiles.groupBy(*key, "ty", "tx").applyInPandas(run, f"{typed_key(key)}, y int, x int, value double")
 
 
 def by_label_tile(labels: DataFrame, extent: DataFrame, radius: int, kernel: Callable[[np.ndarray, np.ndarray], np.ndarray], tile: int = 256) -> DataFrame:
-    """``kernel`` on tiles of sparse labels ``roi, y, x, label``: labels (0 for none) and what lies in the frame in, labels out.
+    """``kernel`` on tiles of sparse labels ``[slide,] roi, y, x, label``: labels (0 for none) and what lies in the frame in, labels out.
 
     Both arrays have ``radius`` pixels around the tile. Tiles with nothing in or around them are left out, so a kernel
-    must give none for none. ``extent`` has ``roi, height, width``.
+    must give none for none. ``extent`` has ``[slide,] roi, height, width``.
     """
+    key = roi_key(labels, extent)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
@@ -68,10 +70,10 @@ def by_label_tile(labels: DataFrame, extent: DataFrame, radius: int, kernel: Cal
         core = slice(radius, radius + tile)
         out = np.where(frame, kernel(area, frame), 0)[core, core]
         y, x = np.nonzero(out)
-        return pd.DataFrame({"roi": first.roi, "y": y + y0, "x": x + x0, "label": out[y, x]})
+        return pd.DataFrame({**{k: first[k] for k in key}, "y": y + y0, "x": x + x0, "label": out[y, x]})
 
-    tiles = _framed(labels.select("roi", "y", "x", "label"), extent, ["roi"], radius, tile)
-    return tiles.groupBy("roi", "ty", "tx").applyInPandas(run, "roi string, y int, x int, label int")
+    tiles = _framed(labels.select(*key, "y", "x", "label"), extent, key, radius, tile)
+    return tiles.groupBy(*key, "ty", "tx").applyInPandas(run, f"{typed_key(key)}, y int, x int, label int")
 
 
 def moved(area: np.ndarray, dy: int, dx: int) -> np.ndarray:
@@ -80,3 +82,23 @@ def moved(area: np.ndarray, dy: int, dx: int) -> np.ndarray:
     out = np.zeros_like(area)
     out[max(0, -dy) : h - max(0, dy), max(0, -dx) : w - max(0, dx)] = area[max(0, dy) : h + min(0, dy), max(0, dx) : w + min(0, dx)]
     return out
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Rows that come sorted by ``keys``, cut so that no group is divided."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        last = (pdf[keys] != pdf[keys].iloc[-1]).any(axis=1).to_numpy()
+        ends = len(pdf) if not last.any() else int(np.flatnonzero(last)[-1]) + 1  # where the last group begins
+        if last.any():
+            yield pd.concat([*held, pdf.iloc[:ends]], ignore_index=True)
+            held = [pdf.iloc[ends:]]
+        elif held and (held[-1][keys].iloc[-1] != pdf[keys].iloc[0]).any():
+            yield pd.concat(held, ignore_index=True)
+            held = [pdf]
+        else:
+            held.append(pdf)
+    if held:
+        yield pd.concat(held, ignore_index=True)

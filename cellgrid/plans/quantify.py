@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellgrid.functions.keys import roi_key
 from cellgrid.operators import intensity as measure
 from cellgrid.operators import objects, regions
+from cellgrid.sources import tables
+from cellgrid.sources.storage import stored
 
 
 def _known(asked: Sequence[str] | None, df: DataFrame, what: str) -> list[str]:
@@ -24,7 +27,7 @@ def quantify(
     pixels: DataFrame, labels: DataFrame, shapes: DataFrame | None = None, masks: Mapping[str, str] | None = None, annotate: str = "cell",
     metrics: Sequence[str] = ("mean", "median"), channels: Sequence[str] | None = None, properties: Sequence[str] = regions.DEFAULT, prefix: str = "qc_exclude",
 ) -> DataFrame:
-    """``roi, label, feature, value, keep`` and ``<property>_<mask>``: each object's features beside its morphology.
+    """``[slide,] roi, label, feature, value, keep`` and ``<property>_<mask>``: each object's features beside its morphology.
 
     ``masks`` names the label elements by suffix (all elements under their own names, if left out). An object is a label
     of any of them; its features are all of channel x metric x mask, null where a mask lacks the label or no pixel lies
@@ -39,16 +42,18 @@ def quantify(
     suffix = F.coalesce(*[F.when(F.col("element") == e, s) for s, e in masks.items()])
     labels = labels.where(F.col("element").isin(*masks.values())).withColumn("element", suffix)
     morphology = regions.properties(labels, properties)
-    columns = [c for c in morphology.columns if c not in regions.OBJECT]
+    columns = [c for c in morphology.columns if c not in regions.object_key(morphology)]
     obs = objects.obs_table(morphology, columns, list(masks))
     names = [(c, m, s) for c in channels for m in metrics for s in masks]
     named = F.array(*[F.struct(F.lit(c).alias("channel"), F.lit(m).alias("metric"), F.lit(s).alias("mask")) for c, m, s in names])
     long = measure.features(measure.intensity(pixels, labels, metrics, channels), list(metrics))
-    table = obs.withColumn("f", F.explode(named)).select("*", "f.*").drop("f").join(long, ["roi", "label", "channel", "metric", "mask"], "left")
+    table = obs.withColumn("f", F.explode(named)).select("*", "f.*").drop("f").join(long, [*roi_key(obs, long), "label", "channel", "metric", "mask"], "left")
     table = table.withColumn("feature", F.concat_ws("_", "channel", "metric", "mask")).drop("channel", "metric", "mask")
     if shapes is None:
         return table.withColumn("keep", F.lit(True))
-    points = obs.select("roi", "label", F.col(f"`centroid-1_{annotate}`").alias("x"), F.col(f"`centroid-0_{annotate}`").alias("y"))
+    # a small aggregate of its own, as the whole of obs would be worked out twice
+    own = regions.basic(labels.where(F.col("element") == annotate))
+    points = own.select(*roi_key(own), "label", F.col("`centroid-1`").alias("x"), F.col("`centroid-0`").alias("y"))
     return objects.qc_mask(table, points, shapes, prefix)
 
 
@@ -59,45 +64,68 @@ def qc_after(table: DataFrame, points: DataFrame, shapes: DataFrame, prefix: str
     return objects.qc_mask(table.drop("keep"), points, shapes, prefix)
 
 
+def rewrite_qc(spark: SparkSession, path: str, name: str, points: DataFrame, shapes: DataFrame, prefix: str = "qc_exclude") -> None:
+    """Exclusion on the stored table ``name``, which the result replaces at once; if it fails, the table stays as it is."""
+    table = tables.read_stored(spark, path, {"table_name": name}).drop("table_name")
+    tables.write_table(qc_after(table, points, shapes, prefix), path, name, overwrite=True)
+
+
 def typed(df: DataFrame, kind: str) -> DataFrame:
     """An output as stored: labels as 32-bit integers without background, images with their type and a channel axis."""
     if kind == "labels":
-        return df.select("roi", "element", "y", "x", F.col("label").cast("int").alias("label")).where("label <> 0")
+        return df.select(*roi_key(df), "element", "y", "x", F.col("label").cast("int").alias("label")).where("label <> 0")
     if kind == "image":
-        return df.select("roi", "element", F.lit(0).alias("c"), "y", "x", "value")
+        return df.select(*roi_key(df), "element", F.lit(0).alias("c"), "y", "x", "value")
     raise ValueError(f"{kind!r} is neither labels nor image")
 
 
 def missing_inputs(catalog: DataFrame, steps: Sequence[tuple[Sequence[str], Sequence[str]]]) -> DataFrame:
-    """``roi, step, element``: inputs of steps (inputs, outputs) that an ROI neither holds nor gets from earlier steps."""
+    """``[slide,] roi, step, element``: inputs of steps (inputs, outputs) that an ROI neither holds nor gets from earlier steps."""
     made: set[str] = set()
     needed = []
     for i, (inputs, outputs) in enumerate(steps):
         needed += [(i, e) for e in inputs if e not in made]
         made |= set(outputs)
-    everywhere = catalog.select("roi").distinct().withColumn("asked", F.array(*[F.struct(F.lit(s).alias("step"), F.lit(e).alias("element")) for s, e in needed]))
-    asked = everywhere.select("roi", F.inline("asked"))
-    return asked.join(catalog.select("roi", "element"), ["roi", "element"], "left_anti").select("roi", "step", "element")
+    key = roi_key(catalog)
+    everywhere = catalog.select(*key).distinct().withColumn("asked", F.array(*[F.struct(F.lit(s).alias("step"), F.lit(e).alias("element")) for s, e in needed]))
+    asked = everywhere.select(*key, F.inline("asked"))
+    return asked.join(catalog.select(*key, "element"), [*key, "element"], "left_anti").select(*key, "step", "element")
 
 
-def run_steps(elements: Mapping[str, DataFrame], steps: Sequence[tuple[Callable, Sequence[str], Sequence[str]]]) -> dict[str, DataFrame]:
+def run_steps(elements: Mapping[str, DataFrame], steps: Sequence[tuple], keep: Collection[str] = ()) -> dict[str, DataFrame]:
     """Apply steps (function, input names, output names) in order; all ROIs are in each plan.
 
-    A function takes DataFrames and returns one, or as many as there are output names.
+    A function takes DataFrames and returns one, or as many as there are output names. An output that ``keep`` names, or
+    that several later steps read, is written to shared storage, so that it is worked out once; the others are part of the
+    plan of the step that reads them. A name that is made again stands for the later element from there on.
     """
+    if gone := set(keep) - {o for _, _, outputs in steps for o in outputs}:
+        raise ValueError(f"no step makes {sorted(gone)}")
     known = dict(elements)
-    for fn, inputs, outputs in steps:
+    for at, (fn, inputs, outputs) in enumerate(steps):
         if gone := [i for i in inputs if i not in known]:
             raise ValueError(f"no element {gone}")
         made = fn(*[known[i] for i in inputs])
         made = [made] if isinstance(made, DataFrame) else list(made)
         if len(made) != len(outputs):
             raise ValueError(f"{len(made)} results for the names {list(outputs)}")
-        known |= zip(outputs, made)
+        for name, df in zip(outputs, made):
+            known[name] = stored(df) if name in keep or _readers(name, steps[at + 1 :]) > 1 else df
     return known
 
 
+def _readers(name: str, steps: Sequence[tuple]) -> int:
+    """How many steps read an element before one makes it anew."""
+    n = 0
+    for _, inputs, outputs in steps:
+        n += name in inputs
+        if name in outputs:
+            break
+    return n
+
+
 def level_check(catalog: DataFrame, level: int, names: list[str]) -> DataFrame:
-    """``roi, element``: inputs that lack a level (``catalog`` has a row for each level of an element)."""
-    asked = catalog.select("roi").distinct().withColumn("element", F.explode(F.array(*map(F.lit, names))))
-    return asked.join(catalog.where(F.col("level") == level).select("roi", "element"), ["roi", "element"], "left_anti")
+    """``[slide,] roi, element``: inputs that lack a level (``catalog`` has a row for each level of an element)."""
+    key = roi_key(catalog)
+    asked = catalog.select(*key).distinct().withColumn("element", F.explode(F.array(*map(F.lit, names))))
+    return asked.join(catalog.where(F.col("level") == level).select(*key, "element"), [*key, "element"], "left_anti")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ VIEWS = {
     "slide_dense": "SELECT 'S' || (y // 8) AS slide, element, (y % 8)::INT AS y, x, value FROM dense",
     "catalog": "SELECT DISTINCT o_custkey::VARCHAR AS roi, o_orderpriority AS element, (o_orderkey % 3)::INT AS level FROM orders",
     "candidates": """SELECT 'S' || (o_custkey // 100 % (SELECT (max(height) + 7) // 8 FROM extent)) AS slide, o_orderkey AS ordinal, (o_custkey * 7 % 2000)::INT AS x, (o_orderkey * 13 % 2000)::INT AS y, (20 + o_orderkey % 60)::INT AS w, (20 + o_custkey % 60)::INT AS h, (o_orderkey * 37 % 1000) / 1000.0::DOUBLE AS predicted_iou, (o_orderkey * 53 % 1000) / 1000.0::DOUBLE AS stability_score FROM orders""",
-    "rois": """SELECT 'S' || (s_suppkey % (SELECT (max(height) + 7) // 8 FROM extent)) AS slide, 'ROI_' || lpad(s_suppkey::VARCHAR, 5, '0') AS roi, (s_suppkey % 4)::INT AS row_start, (s_suppkey % 4 + 5)::INT AS row_stop, (s_suppkey * 37 % 680)::INT AS column_start, (s_suppkey * 37 % 680 + 60)::INT AS column_stop, CASE WHEN s_suppkey % 4 = 3 THEN 'polygon' ELSE 'rectangle' END AS poly_type FROM supplier""",
+    "rois": """SELECT 'S' || (s_suppkey % (SELECT (max(height) + 7) // 8 FROM extent)) AS slide, 'ROI_' || lpad((s_suppkey // (SELECT (max(height) + 7) // 8 FROM extent))::VARCHAR, 3, '0') AS roi, (s_suppkey % 4)::INT AS row_start, (s_suppkey % 4 + 5)::INT AS row_stop, (s_suppkey * 37 % 680)::INT AS column_start, (s_suppkey * 37 % 680 + 60)::INT AS column_stop, CASE WHEN s_suppkey % 4 = 3 THEN 'polygon' ELSE 'rectangle' END AS poly_type FROM supplier""",
     "windows": """SELECT r.*, e.element, e.height, greatest(0, row_start - 2) AS y0, least(height, row_stop + 2) AS y1, greatest(0, column_start - 2) AS x0, least(width, column_stop + 2) AS x1 FROM rois r JOIN slide_extent e ON e.slide = r.slide""",
     "shape0": "SELECT n_nationkey AS shape_id, 'qc_exclude_' || ns[(n_nationkey % len(ns) + 1)::INT] AS shape_key, (n_nationkey % 5 * 144 + 10)::DOUBLE AS x0, (n_nationkey % 7 * 20 + 5)::DOUBLE AS y0, (40 + 3 * n_nationkey)::DOUBLE AS w, (10 + n_nationkey % 9)::DOUBLE AS h FROM nation, (SELECT list_sort(list(DISTINCT event_type)) AS ns FROM events)",
     "edges": "SELECT shape_id, shape_key, unnest([{'ax': x0, 'ay': y0, 'bx': x0 + w, 'by': y0 + 3}, {'ax': x0 + w, 'ay': y0 + 3, 'bx': x0 + w - 8, 'by': y0 + h + 3}, {'ax': x0 + w - 8, 'ay': y0 + h + 3, 'bx': x0 + 4, 'by': y0 + h}, {'ax': x0 + 4, 'ay': y0 + h, 'bx': x0, 'by': y0}]) AS e FROM shape0",
@@ -139,33 +140,47 @@ def roi_roundtrip(spark, d):
     return tables.read_rois(spark, path, 1).drop("polygon_vertices")
 
 
-@query("shape_swap", "SELECT roi, row_start::DOUBLE AS first_y, column_start::DOUBLE AS first_x, 3 AS n FROM rois WHERE slide <> 'S0'")
+@query("shape_swap", "SELECT slide, roi, poly_type AS shape_key, row_start::DOUBLE AS first_y, column_start::DOUBLE AS first_x, 3 AS n FROM rois WHERE slide <> 'S0' OR poly_type = 'rectangle'")
 def shape_swap(spark, d):
-    """Shapes are stored by slide, and the layer of one slide is emptied again."""
-    ring = fx.rois(spark, d).select("roi", F.col("slide").alias("shape_key"), F.col("polygon_vertices").alias("ring"))
+    """Shapes are stored by ROI and layer, and a layer of one slide is emptied again."""
+    ring = fx.rois(spark, d).select("slide", "roi", F.col("poly_type").alias("shape_key"), F.col("polygon_vertices").alias("ring"))
     tables.write_shapes(ring, path := storage.shared_dir(spark), order="yx")
-    tables.write_shapes(ring.limit(0), path, order="yx", layers=["S0"])
-    back = spark.read.parquet(path)
-    return back.select("roi", F.col("ring")[0]["y"].alias("first_y"), F.col("ring")[0]["x"].alias("first_x"), F.size("ring").alias("n"))
+    tables.write_shapes(ring.limit(0), path, order="yx", layers=["polygon"], rois=ring.where("slide = 'S0'"))
+    back = tables.read_stored(spark, path)
+    return back.select("slide", "roi", "shape_key", F.col("ring")[0]["y"].alias("first_y"), F.col("ring")[0]["x"].alias("first_x"), F.size("ring").alias("n"))
 
 
-@query("element_sink", "SELECT roi, element, y, x, value FROM image")
+@query("element_sink", "SELECT slide, element, y, x, CASE WHEN element = 'click' THEN 1.0 ELSE value END AS value, 'R0' AS roi FROM slide_dense WHERE value > 0")
 def element_sink(spark, d):
-    tables.write_element(fx.image(spark, d), path := storage.shared_dir(spark))
-    return spark.read.schema("y int, x int, value double, roi string, element string").parquet(path).select("roi", "element", "y", "x", "value")
+    """Elements of all slides under one ROI name; those of one channel are replaced."""
+    image = fx.slide_image(spark, d).where("value > 0").withColumn("roi", F.lit("R0"))
+    tables.write_element(image, path := storage.shared_dir(spark), tile=64)
+    tables.write_element(image.where("element = 'click'").withColumn("value", F.lit(1.0)), path, overwrite=True, tile=64)
+    return tables.read_stored(spark, path)
+
+
+@query("element_tile", "SELECT slide, element, y, x, value, 'R0' AS roi FROM slide_dense WHERE value > 0 AND slide = 'S1' AND element = 'view' AND x // 64 = 3")
+def element_tile(spark, d):
+    """One tile of one element of one slide."""
+    image = fx.slide_image(spark, d).where("value > 0").withColumn("roi", F.lit("R0"))
+    tables.write_element(image, path := storage.shared_dir(spark), tile=64)
+    return tables.read_stored(spark, path, {"slide": "S1", "element": "view"}, tiles=[(0, 3)])
 
 
 @query("table_sink", "SELECT roi, mask, channel, label, mean FROM stats")
 def table_sink(spark, d):
     tables.write_table(intensity.intensity(fx.dense_image(spark, d), both_masks(spark, d), ["mean"]), path := storage.shared_dir(spark), "stats")
-    return spark.read.parquet(path).select("roi", "mask", "channel", "label", "mean")
+    return tables.read_stored(spark, path, {"table_name": "stats"}).select("roi", "mask", "channel", "label", "mean")
 
 
 @query("assemble_rois", "SELECT w.slide, w.roi, w.element, count(*) AS n, sum(value) AS total FROM windows w JOIN slide_dense i ON w.slide = i.slide AND w.element = i.element AND y >= row_start AND y < least(height, row_stop) AND x >= column_start AND x < column_stop GROUP BY ALL")
 def assemble_rois(spark, d):
+    """Slides are stored in two turns, with the same names of ROIs."""
     roi = fx.rois(spark, d).withColumn("poly_type", F.lit("rectangle"))
-    tables.assemble_rois(cut.cut(fx.slide_image(spark, d), roi, fx.slide_extent(spark, d)), path := storage.shared_dir(spark))
-    return spark.read.parquet(path).groupBy("slide", "roi", "element").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    path, first = storage.shared_dir(spark), F.col("slide").isin("S0", "S1")
+    for mine in (first, ~first):
+        tables.assemble_rois(cut.cut(fx.slide_image(spark, d).where(mine), roi.where(mine), fx.slide_extent(spark, d).where(mine)), path, expected=roi.where(mine))
+    return tables.read_stored(spark, path).groupBy("slide", "roi", "element").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
 @query("tile_index", "SELECT roi, element, y, x, value, (y // 64)::INT AS tile_y, (x // 64)::INT AS tile_x FROM image")
@@ -260,12 +275,11 @@ _PAIRS = "SELECT a.slide, a.ordinal AS a, b.ordinal AS b FROM candidates a JOIN
 
 @query("bbox_overlap", "SELECT a.slide, a.ordinal AS a, (SELECT count(*) FROM candidates b WHERE b.slide = a.slide AND b.ordinal <> a.ordinal AND a.x < b.x + b.w AND b.x < a.x + a.w AND a.y < b.y + b.h AND b.y < a.y + a.h) AS overlaps FROM candidates a")
 def bbox_overlap(spark, d):
-    """How many boxes each overlaps, by bands of columns."""
+    """How many boxes each overlaps."""
     c = fx.candidates(spark, d)
-    a, b = (c.select("slide", *[F.col(n).alias(f"{p}_{n}") for n in ("ordinal", "x", "y", "w", "h")]) for p in "ab")
-    near = a.withColumn("cx", F.explode(F.array(*[F.floor(F.col("a_x") / 80) + i for i in (-1, 0, 1)]))).join(b.withColumn("cx", F.floor(F.col("b_x") / 80)), ["slide", "cx"])
-    found = near.where((F.col("a_ordinal") != F.col("b_ordinal")) & geometry.boxes_overlap("a_", "b_")).groupBy("slide", F.col("a_ordinal").alias("a")).agg(F.count("*").alias("n"))
-    return a.select("slide", F.col("a_ordinal").alias("a")).join(found, ["slide", "a"], "left").select("slide", "a", F.coalesce("n", F.lit(0)).cast("bigint").alias("overlaps"))
+    pairs = rois.overlap_pairs(c)
+    found = pairs.unionByName(pairs.select("slide", F.col("b").alias("a"), F.col("a").alias("b"))).groupBy("slide", "a").agg(F.count("*").alias("n"))
+    return c.select("slide", F.col("ordinal").alias("a")).join(found, ["slide", "a"], "left").select("slide", "a", F.coalesce("n", F.lit(0)).cast("bigint").alias("overlaps"))
 
 
 @query("bbox_overlap_pairs", _PAIRS)
@@ -328,6 +342,18 @@ def polygon_clip(spark, d):
     return rois.clip_polygons(full, 3000, 5000).select("slide", "ordinal", geometry.polygon_bbox(F.col("ring")).alias("b")).select("slide", "ordinal", "b.*")
 
 
+_LEGS = "SELECT slide, ordinal, y + h AS bottom, x AS c0, x + w // 3 AS c1 FROM candidates UNION ALL SELECT slide, ordinal, y + h, x + w - w // 3, x + w FROM candidates"
+
+
+@query("polygon_parts", f"SELECT slide, ordinal, 0 AS row_start, least(1000, bottom)::INT AS row_stop, c0::INT AS column_start, least(1500, c1)::INT AS column_stop FROM ({_LEGS}) WHERE c0 < 1500")
+def polygon_parts(spark, d):
+    """Boxes as arches whose crown lies above the frame, which leaves two legs of each."""
+    at = lambda r, c: f"struct(double({r}) as row, double({c}) as col)"
+    outline = [("-9", "x"), ("y + h", "x"), ("y + h", "x + w div 3"), ("-3", "x + w div 3"), ("-3", "x + w - w div 3"), ("y + h", "x + w - w div 3"), ("y + h", "x + w"), ("-9", "x + w")]
+    arches = fx.candidates(spark, d).selectExpr("slide", "ordinal", f"array({', '.join(at(*v) for v in outline)}) as ring")
+    return rois.clip_polygons(arches, 1000, 1500).select("slide", "ordinal", geometry.polygon_bbox(F.col("ring")).alias("b")).select("slide", "ordinal", "b.*")
+
+
 @query("roi_sort", f"SELECT slide, ordinal, place::INT AS place FROM ({_PLACED})")
 def roi_sort(spark, d):
     return rois.order_rois(rois.build_rois(_polys(spark, d), 3000, 5000, 2).drop("roi")).select("slide", "ordinal", "place")
@@ -441,12 +467,12 @@ def mean_images(spark, d):
 # ---- masks
 
 
-@query("mask_subtract", "SELECT roi, 'difference' AS element, y, x, label FROM cell ANTI JOIN nucleus USING (roi, y, x)")
+@query("mask_subtract", "SELECT 'R0' AS roi, 'difference' AS element, y, x, label FROM grid WHERE d <= 90 AND NOT (d <= 30 AND label % 7 <> 0)")
 def mask_subtract(spark, d):
     return masks.subtract(fx.mask(spark, d), fx.mask(spark, d, nucleus=True))
 
 
-@query("mask_multiply", "SELECT roi, 'product' AS element, y, x, (c.label * n.label)::INT AS label FROM cell c JOIN nucleus n USING (roi, y, x)")
+@query("mask_multiply", "SELECT 'R0' AS roi, 'product' AS element, y, x, (label * label)::INT AS label FROM grid WHERE d <= 30 AND label % 7 <> 0")
 def mask_multiply(spark, d):
     return masks.multiply(fx.mask(spark, d), fx.mask(spark, d, nucleus=True))
 
@@ -460,10 +486,31 @@ def _expanded(radius: float, src: str = "nucleus") -> str:
     return f"SELECT roi, y, x, label FROM {src} UNION ALL SELECT * FROM ({near}) n ANTI JOIN {src} USING (roi, y, x) WHERE y >= 0 AND x >= 0 AND x < 720 AND y < (SELECT max(height) FROM extent)"
 
 
-# a label's neighbours in its row and column; beside the image there is none, which is no difference
-_SEEN = "SELECT y, x, label, lag(label, 1, label) OVER r AS west, lead(label, 1, label) OVER r AS east, lag(label, 1, label) OVER c AS north, lead(label, 1, label) OVER c AS south FROM (SELECT y, x, CASE WHEN d <= 90 THEN label ELSE 0 END AS label FROM grid) WINDOW r AS (PARTITION BY y ORDER BY x), c AS (PARTITION BY x ORDER BY y)"
-_RIM = f"SELECT y, x FROM ({_SEEN}) WHERE label <> west OR label <> east OR label <> north OR label <> south"
-_ERODED = f"SELECT roi, y, x, label FROM cell ANTI JOIN (SELECT DISTINCT y + dy AS y, x + dx AS x FROM ({_RIM}), {_disk_sql(2, True)}) USING (y, x)"
+# labels follow from their place, so that what lies around a pixel needs no join; h is the height
+_PLACES = "(SELECT y, x, label, d, max(y) OVER () + 1 AS h FROM grid)"
+
+
+def _label_at(y: str, x: str, limit: int = 90, more: str = "true") -> str:
+    label, d = f"((({y}) // 10) * 30 + ({x}) // 24 + 1)", f"(4 * (({y}) % 10 - 5) * (({y}) % 10 - 5) + (({x}) % 24 - 12) * (({x}) % 24 - 12))"
+    return f"(CASE WHEN {y} < 0 OR {x} < 0 OR {y} >= h OR {x} >= 720 THEN NULL WHEN {d} <= {limit} AND {more.format(label)} THEN {label} ELSE 0 END)"
+
+
+def _offsets(radius: float, strict: bool = False) -> str:
+    return "[" + ", ".join(f"{{'a': {y}, 'b': {x}, 'd2': {k}::BIGINT}}" for y, x, k in masks.disk(radius, strict)) + "]"
+
+
+def _near(radius: float) -> str:
+    """The label of the nearest nucleus within a radius, null if there is none."""
+    label = _label_at("y + o.a", "x + o.b", 30, "{} % 7 <> 0")
+    return f"(list_min(list_transform({_offsets(radius)}, lambda o: CASE WHEN {label} > 0 THEN o.d2 * 1000000000 + {label} END)) % 1000000000)::INT"
+
+
+def _rim(y: str, x: str) -> str:
+    return "(" + " OR ".join(f"coalesce({_label_at(f'{y} + {a}', f'{x} + {b}')} <> {_label_at(y, x)}, false)" for a, b in masks.SIDES) + ")"
+
+
+_ERODED = f"SELECT y, x, label FROM {_PLACES} WHERE d <= 90 AND len(list_filter({_offsets(2, True)}, lambda o: {_rim('y + o.a', 'x + o.b')})) = 0"
+_RING = f"SELECT y, x, d, outer_ AS label FROM (SELECT y, x, d, {_near(4)} AS outer_, {_near(1)} AS inner_ FROM {_PLACES}) WHERE outer_ IS NOT NULL AND inner_ IS NULL"
 
 
 @query("mask_expand", f"SELECT roi, 'expanded' AS element, y, x, label FROM ({_expanded(3)})")
@@ -471,12 +518,12 @@ def mask_expand(spark, d):
     return masks.expand(fx.mask(spark, d, nucleus=True), 3, frame(spark, d))
 
 
-@query("mask_erode", f"SELECT roi, 'eroded' AS element, y, x, label FROM ({_ERODED})")
+@query("mask_erode", f"SELECT 'R0' AS roi, 'eroded' AS element, y, x, label FROM ({_ERODED})")
 def mask_erode(spark, d):
     return masks.erode(fx.mask(spark, d), 2, frame(spark, d))
 
 
-@query("mask_ring", f"SELECT roi, 'ring' AS element, y, x, label FROM ({_expanded(4)}) a ANTI JOIN ({_expanded(1)}) b USING (roi, y, x)")
+@query("mask_ring", f"SELECT 'R0' AS roi, 'ring' AS element, y, x, label FROM ({_RING})")
 def mask_ring(spark, d):
     return masks.ring(fx.mask(spark, d, nucleus=True), frame(spark, d), 4, 1)
 
@@ -509,11 +556,13 @@ def morph_close(spark, d):
 
 def _axis(n: int, size: str) -> str:
     """``i, p``: the pixels that count in cell i of n, and (in ``f``) whether pixel p takes part of cell i."""
-    centre = f"((i + 0.5::DOUBLE) * {size} / {n} - 0.5)"
+    centre = f"abs((i + 0.5::DOUBLE) * {size} / {n} - 0.5)"
+    centre = f"(CASE WHEN {centre} > {size} - 1 THEN 2 * ({size} - 1) - {centre} ELSE {centre} END)"
     reach = f"floor(greatest({size} / {n}::DOUBLE - 1, 0) / 2 * 4 + 0.5)"
     back = f"abs((p + 0.5::DOUBLE) * {n} / {size} - 0.5)"
-    back = f"CASE WHEN {back} > {n - 1} THEN {2 * (n - 1)} - {back} ELSE {back} END"
-    return f"SELECT i, p, p >= floor({centre}) - {reach} AND p <= ceil({centre}) + {reach} AS counts, floor({back}) = i OR ceil({back}) = i AS takes FROM (SELECT unnest(range({n})) AS i), (SELECT unnest(range({size})) AS p)"
+    back = f"(CASE WHEN {back} > {n - 1} THEN {2 * (n - 1)} - {back} ELSE {back} END)"
+    blur = f"floor(greatest({n} / {size}::DOUBLE - 1, 0) / 2 * 4 + 0.5)"
+    return f"SELECT i, p, p >= floor({centre}) - {reach} AND p <= ceil({centre}) + {reach} AS counts, i >= floor({back}) - {blur} AND i <= ceil({back}) + {blur} AS takes FROM (SELECT unnest(range({n})) AS i), (SELECT unnest(range({size})) AS p)"
 
 
 _COARSE = "SELECT DISTINCT r.i AS y, c.i AS x FROM image JOIN rows_ r ON r.p = y AND r.counts JOIN columns_ c ON c.p = x AND c.counts WHERE element = 'click' AND value > 25000"
@@ -544,6 +593,27 @@ def segment_callable(spark, d):
     return segment.segment_objects(fx.dense_image(spark, d), _bright, ["click", "view"])
 
 
+def _load_boxes():
+    """A model's stand-in: numbers the blocks of 6 x 8 pixels whose first pixel is bright, in a batch of images."""
+
+    def boxes(image):
+        out = np.zeros(image[0].shape, "int32")
+        for i, (y, x) in enumerate(np.argwhere(image[0] == 3)):
+            out[y : y + 6, x : x + 8] = i + 1
+        return {"box": out}
+
+    return lambda images: [boxes(i) for i in images]
+
+
+@query("segment_instances", "SELECT 'R0' AS roi, 'box' AS element, (y + dy)::INT AS y, (x + dx)::INT AS x, label FROM (SELECT y, x, (row_number() OVER (ORDER BY y // 64, x // 64, y, x))::INT AS label FROM grid WHERE y % 10 = 2 AND x % 24 = 5 AND label % 5 <> 0), (SELECT unnest(range(6)) AS dy), (SELECT unnest(range(8)) AS dx) WHERE y + dy < (SELECT max(height) FROM extent)")
+def segment_instances(spark, d):
+    """Objects that lie over seams of tiles, in order of the tiles that hold their first pixels."""
+    label = F.expr("(y div 10) * 30 + x div 24 + 1")
+    start = (F.col("y") % 10 == 2) & (F.col("x") % 24 == 5) & (label % 5 != 0)
+    image = fx.dense_image(spark, d).where("element = 'click'").withColumn("value", F.when(start, 3.0).otherwise(0.0))
+    return segment.segment_objects(image, None, ["click"], tile=64, halo=16, instances=True, load=_load_boxes)
+
+
 _LINKED = """WITH found AS MATERIALIZED (SELECT y, x, (y * 720 + x)::BIGINT AS node FROM dense WHERE element = 'click' AND value > 100),
 links AS MATERIALIZED (SELECT a.node AS a, b.node AS b FROM found a, (VALUES (0, 0), (0, 1), (1, 0), (0, -1), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)) o(dy, dx) JOIN found b ON b.y = a.y + dy AND b.x = a.x + dx),
 rounds AS (SELECT 0 AS r, node, node AS root, true AS moved FROM found
@@ -584,7 +654,7 @@ def output_typing(spark, d):
     return plan.typed(wide, "labels").unionByName(plan.typed(fx.image(spark, d), "image"), allowMissingColumns=True)
 
 
-@query("pipeline_run", f"SELECT roi, 'ring' AS element, y, x, label FROM ({_expanded(4)}) a ANTI JOIN ({_expanded(1)}) b USING (roi, y, x) SEMI JOIN (SELECT roi, y, x FROM cell) USING (roi, y, x)")
+@query("pipeline_run", f"SELECT 'R0' AS roi, 'ring' AS element, y, x, label FROM ({_RING}) WHERE d <= 90")
 def pipeline_run(spark, d):
     within = lambda a, b: a.join(b.select("roi", "y", "x"), ["roi", "y", "x"], "left_semi").select("roi", "element", "y", "x", "label")
     steps = [(lambda n: masks.ring(n, frame(spark, d), 4, 1), ["nucleus"], ["ring"]), (within, ["ring", "cell"], ["out"])]
@@ -639,10 +709,13 @@ def region_moments(spark, d):
     return m.withColumns({c: F.round(c, n) + 0.0 for c, n in digits.items()})
 
 
-@query("region_perimeter", """WITH own AS (SELECT element AS mask, label, y, x FROM labels_),
+_PERIMETER = """own AS (SELECT element AS mask, label, y, x FROM labels_),
 border AS (SELECT p.mask AS mask, p.label AS label, p.y AS y, p.x AS x FROM own p, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0)) s(dy, dx) LEFT JOIN own q ON q.mask = p.mask AND q.label = p.label AND q.y = p.y + dy AND q.x = p.x + dx WHERE q.y IS NULL GROUP BY p.mask, p.label, p.y, p.x),
 code AS (SELECT p.mask, p.label, p.y, p.x, 1 + sum(CASE WHEN q.y IS NULL THEN 0 WHEN dy = 0 OR dx = 0 THEN 2 ELSE 10 END) AS code FROM border p, (VALUES (0, 1), (1, 0), (0, -1), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)) s(dy, dx) LEFT JOIN border q ON q.mask = p.mask AND q.label = p.label AND q.y = p.y + dy AND q.x = p.x + dx GROUP BY ALL)
-SELECT 'R0' AS roi, mask, label, round(sum(CASE WHEN code IN (5, 7, 15, 17, 25, 27) THEN 1.0::DOUBLE WHEN code IN (21, 33) THEN sqrt(2) WHEN code IN (13, 23) THEN (1 + sqrt(2)) / 2 ELSE 0 END), 6) AS perimeter FROM code GROUP BY mask, label""")
+SELECT 'R0' AS roi, mask, label, round(sum(CASE WHEN code IN (5, 7, 15, 17, 25, 27) THEN 1.0::DOUBLE WHEN code IN (21, 33) THEN sqrt(2) WHEN code IN (13, 23) THEN (1 + sqrt(2)) / 2 ELSE 0 END), 6) AS perimeter FROM code GROUP BY mask, label"""
+
+
+@query("region_perimeter", f"WITH {_PERIMETER}")
 def region_perimeter(spark, d):
     return _rounded(regions.perimeter(both_masks(spark, d)))
 
@@ -702,6 +775,18 @@ def _intensity(*metrics: str):
 for _name, _metrics in {"intensity_mean": ("mean",), "intensity_minmax": ("min", "max"), "intensity_median": ("median",), "intensity_sum": ("sum",), "intensity_std": ("std",), "intensity_all": ("mean", "median", "min", "max", "sum", "std")}.items():
     query(_name, "SELECT roi, mask, channel, label, " + ", ".join(f"round({m}, 6) + 0.0 AS {m}" for m in _metrics) + " FROM stats")(_intensity(*_metrics))
 
+# the sketch's rank is off by its stated error at most; of values that are equal, any rank they share will do
+@query("intensity_sketch", "SELECT roi, l.element AS mask, i.element AS channel, count(*) AS n, true AS within FROM labels_ l JOIN dense i USING (roi, y, x) GROUP BY ALL")
+def intensity_sketch(spark, d):
+    """Approximate medians of whole masks from sketches of tiles, and whether their rank is within the error."""
+    px, lb = fx.dense_image(spark, d), both_masks(spark, d)
+    found = intensity.quantiles(intensity.sketches(px, lb, 64, by=()))
+    each = lb.select("roi", "y", "x", F.col("element").alias("mask")).join(px.select("roi", "y", "x", F.col("element").alias("channel"), F.col("value").alias("v")), ["roi", "y", "x"])
+    ranks = each.join(found, ["roi", "mask", "channel"]).groupBy("roi", "mask", "channel", "n").agg(F.avg((F.col("v") < F.col("value")).cast("int")).alias("below"), F.avg((F.col("v") <= F.col("value")).cast("int")).alias("upto"))
+    error = intensity.RANK_ERROR
+    return ranks.select("roi", "mask", "channel", "n", ((F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)).alias("within"))
+
+
 if "spread" not in intensity.METRICS:
     intensity.register_metric("spread", lambda v: F.max(v) - F.min(v))
 
@@ -776,11 +861,19 @@ def qc_feature_mask(spark, d):
     return objects.qc_mask(_features(spark, d), _points(spark, d), fx.shapes(spark, d)).select("roi", "label", "feature", "value", "keep")
 
 
+@query("qc_rewrite", _QC)
+def qc_rewrite(spark, d):
+    """Exclusion on a stored table, which it replaces."""
+    tables.write_table(_features(spark, d), path := storage.shared_dir(spark), "objects")
+    plan.rewrite_qc(spark, path, "objects", _points(spark, d), fx.shapes(spark, d))
+    return tables.read_stored(spark, path).select("roi", "label", "feature", "value", "keep")
+
+
 @query("qc_rerun", f"SELECT shape_key, count(*) AS excluded FROM ({_QC.replace('SELECT s.roi', 'SELECT h.shape_key, s.roi')}) WHERE NOT keep GROUP BY ALL")
 def qc_rerun(spark, d):
     """Exclusion on a stored table; how many features each key of shapes takes out."""
     tables.write_table(_features(spark, d), path := storage.shared_dir(spark), "objects")
-    out = plan.qc_after(spark.read.parquet(path), _points(spark, d), fx.shapes(spark, d))
+    out = plan.qc_after(tables.read_stored(spark, path), _points(spark, d), fx.shapes(spark, d))
     key = F.concat(F.lit("qc_exclude_"), F.substring_index("feature", "_", 1))
     return out.where("not keep").groupBy(key.alias("shape_key")).agg(F.count("*").alias("excluded"))
 
@@ -791,12 +884,14 @@ def qc_shapes_used(spark, d):
     return objects.used_shapes(named, fx.shapes(spark, d))
 
 
-_OBS = ", ".join(f'max({c}) FILTER (mask = \'{m}\') AS "{n}_{m}"' for m in ("cell", "nucleus") for n, c in (("area", "n"), ("centroid-0", "round(sy / n::DOUBLE, 6)"), ("centroid-1", "round(sx / n::DOUBLE, 6)"), ("eccentricity", "round(CASE WHEN l1 = 0 THEN 0.0 ELSE sqrt(1 - l2 / l1) END, 6)"), ("euler_number", "euler_number")))
+_OBS = ", ".join(f'max({c}) FILTER (mask = \'{m}\') AS "{n}_{m}"' for m in ("cell", "nucleus") for n, c in (("area", "n"), ("centroid-0", "round(sy / n::DOUBLE, 6)"), ("centroid-1", "round(sx / n::DOUBLE, 6)"), ("eccentricity", "round(CASE WHEN l1 = 0 THEN 0.0 ELSE sqrt(1 - l2 / l1) END, 6)"), ("euler_number", "euler_number"), ("solidity", "solidity"), ("perimeter", "perimeter")))
 
-# every object of either mask with every feature; solidity and perimeter have rows of their own elsewhere
-_QUANTIFY = f"""WITH {_QUADS},
+# every object of either mask with every feature
+_CODES, _LENGTHS = _PERIMETER.rsplit("\n", 1)
+_HULLS, _SOLIDITY = _HULL.format("round(n / area_convex::DOUBLE, 6) AS solidity").removeprefix("WITH ").rsplit("\n", 1)
+_QUANTIFY = f"""WITH {_QUADS}, {_CODES}, lengths AS ({_LENGTHS}), {_HULLS}, solids AS ({_SOLIDITY}),
 eulers AS (SELECT 'R0' AS roi, mask, label, ((count(*) FILTER (p IN (1, 2, 4, 8)) - count(*) FILTER (p IN (7, 11, 13, 14)) - 2 * count(*) FILTER (p IN (6, 9))) / 4)::INT AS euler_number FROM quads GROUP BY ALL),
-obs AS (SELECT roi, label, {_OBS} FROM axes JOIN eulers USING (roi, mask, label) GROUP BY ALL),
+obs AS (SELECT roi, label, {_OBS} FROM axes JOIN eulers USING (roi, mask, label) JOIN lengths USING (roi, mask, label) JOIN solids USING (roi, mask, label) GROUP BY ALL),
 named AS (SELECT element AS channel, metric, mask FROM extent, (VALUES ('mean'), ('median')) m(metric), (VALUES ('cell'), ('nucleus')) k(mask)),
 long AS (UNPIVOT (SELECT roi, label, channel, mask, mean, median FROM stats) ON mean, median INTO NAME metric VALUE value)
 SELECT obs.*, channel || '_' || metric || '_' || mask AS feature, round(value, 6) + 0.0 AS value, h.label IS NULL AS keep
@@ -806,19 +901,50 @@ LEFT JOIN hits h ON h.roi = obs.roi AND h.label = obs.label AND h.shape_key = 'q
 
 @query("quantify", _QUANTIFY)
 def quantify(spark, d):
-    out = _rounded(plan.quantify(fx.dense_image(spark, d), both_masks(spark, d), fx.shapes(spark, d)))
-    return out.drop(*[f"{c}_{m}" for c in ("solidity", "perimeter") for m in _MASKS])
+    return _rounded(plan.quantify(fx.dense_image(spark, d), both_masks(spark, d), fx.shapes(spark, d)))
+
+
+# pixels and labels of every window, each from the window's corner
+_IN_WINDOWS = "SELECT w.slide, w.roi, y - y0 AS y, x - x0 AS x, {} FROM windows w JOIN slide_dense i ON w.slide = i.slide AND w.element = i.element AND y >= y0 AND y < y1 AND x >= x0 AND x < x1 WHERE w.element IN ('click', 'view')"
+_SLIDE_CELL = "(SELECT 'S' || (y // 8) AS slide, (y % 8)::INT AS y, x, label FROM cell)"
+
+
+@query("quantify_slides", f"WITH inside AS ({_IN_WINDOWS.format('w.element AS channel, value, w.y0 AS top, w.x0 AS left_')}), seen AS (SELECT i.slide, roi, channel, label, i.y, i.x, value FROM inside i JOIN {_SLIDE_CELL} c ON c.slide = i.slide AND c.y = i.y + top AND c.x = i.x + left_), areas AS (SELECT slide, roi, label, count(*) AS area_cell, round(avg(y), 6) AS cy, round(avg(x), 6) AS cx FROM seen WHERE channel = 'click' GROUP BY ALL) SELECT slide, roi, label, any_value(area_cell) AS area_cell, any_value(cy) + 0.0 AS \"centroid-0_cell\", any_value(cx) + 0.0 AS \"centroid-1_cell\", channel || '_mean_cell' AS feature, round(avg(value), 6) + 0.0 AS value, true AS keep FROM seen JOIN areas USING (slide, roi, label) GROUP BY slide, roi, label, channel")
+def quantify_slides(spark, d):
+    """Objects in the windows of all slides, where names of ROIs repeat from slide to slide."""
+    windows, frames, named = fx.rois(spark, d).withColumn("poly_type", F.lit("rectangle")), fx.slide_extent(spark, d), F.col("element").isin("click", "view")
+    px = cut.cut(fx.slide_image(spark, d).where(named), windows, frames, 2)
+    strip = F.expr(f"y div {fx.STRIP}").cast("string")
+    cells = fx.mask(spark, d).select(F.concat(F.lit("S"), strip).alias("slide"), "element", F.expr(f"y % {fx.STRIP}").alias("y"), "x", F.col("label").alias("value"))
+    lb = cut.cut(cells, windows, frames.where("element = 'click'").withColumn("element", F.lit("cell")), 2)
+    lb = lb.withColumn("label", F.col("value").cast("int")).drop("value")
+    out = plan.quantify(px, lb, channels=["click", "view"], metrics=["mean"], properties=["label", "area", "centroid"])
+    return _rounded(out)
 
 
 # ---- arrivals
 
 
+_PIXELS = "slide string, element string, y int, x int, value double"
+
+
 @query("stream_cut", _CUT.format(_TRIANGLE.replace("-1.0 END", "0.0 END")))
 def stream_cut(spark, d):
     base = storage.shared_dir(spark)
     fx.slide_image(spark, d).repartition(3, "element").write.parquet(f"{base}/in")
-    arrivals.stream_cut(spark, f"{base}/in", "slide string, element string, y int, x int, value double", fx.rois(spark, d), fx.slide_extent(spark, d), f"{base}/out", f"{base}/state", 2).awaitTermination()
-    return spark.read.parquet(f"{base}/out").select("slide", "roi", "element", "y", "x", "value")
+    arrivals.stream_cut(spark, f"{base}/in", _PIXELS, fx.rois(spark, d), fx.slide_extent(spark, d), f"{base}/out", f"{base}/state", 2).awaitTermination()
+    return arrivals.cut_channels(spark, f"{base}/out").drop("batch")
+
+
+@query("stream_assemble", "SELECT w.slide, w.roi, w.element, count(*) AS n, sum(value) AS total FROM windows w JOIN slide_dense i ON w.slide = i.slide AND w.element = i.element AND y >= row_start AND y < least(height, row_stop) AND x >= column_start AND x < column_stop WHERE w.slide <> 'S1' GROUP BY ALL")
+def stream_assemble(spark, d):
+    """Channels come in two turns with a restart between, some twice; one of slide S1 never does, so that this slide isn't assembled."""
+    base, roi = storage.shared_dir(spark), fx.rois(spark, d).withColumn("poly_type", F.lit("rectangle"))
+    image = fx.slide_image(spark, d).where("slide <> 'S1' or element <> 'view'")
+    for turn in (image.where("element <> 'view'"), image.where("element in ('click', 'view')")):
+        turn.repartition(3, "element").write.mode("append").parquet(f"{base}/in")
+        arrivals.stream_cut(spark, f"{base}/in", _PIXELS, roi, fx.slide_extent(spark, d), f"{base}/out", f"{base}/state", files=2, store=f"{base}/store").awaitTermination()
+    return tables.read_stored(spark, f"{base}/store").groupBy("slide", "roi", "element").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
 @query("stream_ready", "SELECT slide FROM (SELECT (user_id % 7)::VARCHAR AS slide, count(DISTINCT event_type) AS n FROM events WHERE user_id % 7 < 5 OR event_type <> 'click' GROUP BY ALL) WHERE n = (SELECT count(DISTINCT event_type) FROM events)")

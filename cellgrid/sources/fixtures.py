@@ -99,9 +99,9 @@ def candidate_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rois(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A window for each supplier, dealt over the slides: rectangles, and a triangle for every fourth."""
+    """A window for each supplier, dealt over the slides: rectangles, and a triangle for every fourth. Names start again in each slide."""
     n = _table(spark, sf_dir, "supplier").join(F.broadcast(slides(spark, sf_dir)))
-    n = n.selectExpr("concat('S', cast(s_suppkey % n as string)) as slide", "concat('ROI_', lpad(cast(s_suppkey as string), 5, '0')) as roi", "cast(s_suppkey % 4 as int) as row_start", "cast(s_suppkey % 4 + 5 as int) as row_stop", "cast(s_suppkey * 37 % 680 as int) as column_start", "cast(s_suppkey * 37 % 680 + 60 as int) as column_stop", "s_suppkey % 4 = 3 as tri")
+    n = n.selectExpr("concat('S', cast(s_suppkey % n as string)) as slide", "concat('ROI_', lpad(cast(s_suppkey div n as string), 3, '0')) as roi", "cast(s_suppkey % 4 as int) as row_start", "cast(s_suppkey % 4 + 5 as int) as row_stop", "cast(s_suppkey * 37 % 680 as int) as column_start", "cast(s_suppkey * 37 % 680 + 60 as int) as column_stop", "s_suppkey % 4 = 3 as tri")
     ring = F.expr("array(struct(double(row_start) as row, double(column_start) as col), struct(row_stop - 1.0D as row, double(column_start) as col), struct(double(row_start) as row, column_stop - 1.0D as col))")
     return n.withColumns({"poly_type": F.when(F.col("tri"), "polygon").otherwise("rectangle"), "polygon_vertices": ring}).drop("tri")
 

@@ -1,16 +1,20 @@
 """Sources and sinks of pixels, ROIs, shapes and object tables.
 
-Pixels are rows ``roi, element, y, x, value``, dense within an element's extent; labels are rows ``roi, element, y, x,
-label`` without background. Elements are the catalog ``roi, element, height, width``. ``level`` is a column where there
-are several, and a partition of stored tables, so that reading one prunes the others.
+Pixels are rows ``slide, roi, element, y, x, value``, dense within an element's extent; labels are rows ``slide, roi,
+element, y, x, label`` without background. Elements are the catalog ``slide, roi, element, height, width``. Tables that
+have no ``slide`` are of one slide. ``level`` is a column where there are several. What is stored is kept by its whole key
+in a :class:`~cellgrid.sources.store.Store`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = ["roi", "element"]
+from cellgrid.functions.keys import element_key, roi_key
+from cellgrid.sources.store import Store
 
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*.tif*") -> DataFrame:
@@ -20,7 +24,7 @@ def list_files(spark: SparkSession, folder: str, glob: str = "*.tif*") -> DataFr
 
 def image_shape(pixels: DataFrame) -> DataFrame:
     """Height and width of each element."""
-    return pixels.groupBy(*KEY).agg((F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
+    return pixels.groupBy(*element_key(pixels)).agg((F.max("y") + 1).alias("height"), (F.max("x") + 1).alias("width"))
 
 
 def read_level(pixels: DataFrame, level: int = 0) -> DataFrame:
@@ -30,21 +34,22 @@ def read_level(pixels: DataFrame, level: int = 0) -> DataFrame:
 
 def levels(pixels: DataFrame) -> DataFrame:
     """The levels of each element, in order."""
-    return pixels.groupBy(*KEY).agg(F.sort_array(F.collect_set("level")).alias("levels"))
+    return pixels.groupBy(*element_key(pixels)).agg(F.sort_array(F.collect_set("level")).alias("levels"))
 
 
 def strided_level(pixels: DataFrame, level: int) -> DataFrame:
     """A level of each element: the stored one, or every 2^k-th pixel of its highest stored level below it."""
-    top = pixels.groupBy(*KEY).agg(F.max("level").alias("top"))
-    own = pixels.join(top, KEY).where(F.col("level") == F.least("top", F.lit(level)))
+    top = pixels.groupBy(*element_key(pixels)).agg(F.max("level").alias("top"))
+    key = element_key(pixels)
+    own = pixels.join(top, key).where(F.col("level") == F.least("top", F.lit(level)))
     k = F.call_function("shiftleft", F.lit(1), F.greatest(F.lit(level) - F.col("top"), F.lit(0)))
     own = own.withColumn("k", k).where("y % k = 0 and x % k = 0")
-    return own.select(*KEY, F.expr("y div k").cast("int").alias("y"), F.expr("x div k").cast("int").alias("x"), "value")
+    return own.select(*key, F.expr("y div k").cast("int").alias("y"), F.expr("x div k").cast("int").alias("x"), "value")
 
 
 def project_channel_mean(pixels: DataFrame) -> DataFrame:
     """Elements with a leading axis ``z`` as the mean over it; others as they are."""
-    return pixels.groupBy(*KEY, "y", "x").agg(F.avg("value").alias("value"))
+    return pixels.groupBy(*element_key(pixels), "y", "x").agg(F.avg("value").alias("value"))
 
 
 def write_rois(rois: DataFrame, path: str, csv: str | None = None) -> None:
@@ -68,44 +73,37 @@ def swap_axes(ring: Column | str) -> Column:
     return F.transform(ring, lambda v: F.struct(v["col"].cast("double").alias("x"), v["row"].cast("double").alias("y")))
 
 
-def write_shapes(shapes: DataFrame, path: str, order: str = "xy", layers: list[str] | None = None) -> None:
-    """Store polygons by shape key; ``order="yx"`` takes (row, col) vertices.
+def write_shapes(shapes: DataFrame, path: str, order: str = "xy", layers: Sequence[str] = (), rois: DataFrame | None = None) -> None:
+    """Store polygons by ROI and shape key; ``order="yx"`` takes (row, col) vertices.
 
-    Keys that are stored already are replaced, others stay. Of ``layers`` (keys), those without shapes are deleted.
+    The shapes of an ROI and key that are stored already are replaced, all others stay. ``layers`` (shape keys) that have no
+    shapes any more are deleted: those of the ROIs in ``rois``, or of all.
     """
     if order == "yx":
         shapes = shapes.withColumn("ring", swap_axes("ring"))
-    shapes.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("shape_key").parquet(path)
-    if layers:
-        held = {r.shape_key for r in shapes.select("shape_key").where(F.col("shape_key").isin(layers)).distinct().collect()}
-        for key in set(layers) - held:
-            target = shapes.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/shape_key={key}")
-            target.getFileSystem(shapes.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    store = Store(shapes.sparkSession, path, [*roi_key(shapes), "shape_key"])
+    drop = store.keys()
+    if drop is not None:
+        drop = drop.where(F.col("shape_key").isin(*layers)) if layers else drop.limit(0)
+        if rois is not None:
+            drop = drop.join(rois.select(*roi_key(shapes)).distinct(), roi_key(shapes), "left_semi")
+    store.write(shapes, overwrite=True, drop=drop)
 
 
-def write_element(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Store elements by ROI and name. Without ``overwrite`` an element that is there already is an error."""
-    if not overwrite:
-        _refuse_existing(df, path, KEY)
-    df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*KEY).parquet(path)
+def write_element(df: DataFrame, path: str, overwrite: bool = False, tile: int = 512) -> None:
+    """Store elements by slide, ROI and name (and level), in tiles. Without ``overwrite`` one that is there already is an error."""
+    key = [*element_key(df), *(["level"] if "level" in df.columns else [])]
+    Store(df.sparkSession, path, key, tile).write(df, overwrite)
 
 
 def write_table(df: DataFrame, path: str, name: str, overwrite: bool = False) -> None:
-    """Store an object table under its name, by ROI; the same policy as for elements."""
-    named = df.withColumn("table_name", F.lit(name))
-    if not overwrite:
-        _refuse_existing(named, path, ["table_name", "roi"])
-    named.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("table_name", "roi").parquet(path)
+    """Store an object table under its name, by slide and ROI; the same policy as for elements. It may be made from the one it replaces."""
+    Store(df.sparkSession, path, ["table_name", *roi_key(df)]).write(df.withColumn("table_name", F.lit(name)), overwrite)
 
 
-def _refuse_existing(df: DataFrame, path: str, keys: list[str]) -> None:
-    spark = df.sparkSession
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
-        return
-    there = spark.read.parquet(path).select(*keys).distinct()
-    if found := df.select(*keys).distinct().join(there, keys, "left_semi").head():
-        raise ValueError(f"{tuple(found)} is stored already; pass overwrite=True to replace it")
+def read_stored(spark: SparkSession, path: str, where: Mapping[str, object] | None = None, tiles: Sequence[tuple[int, int]] | None = None) -> DataFrame:
+    """What the sinks have stored: all, or the keys that ``where`` names (and some ``tiles`` of them), from as few files as hold them."""
+    return Store.open(spark, path).read(where, tiles)
 
 
 def tile_index(pixels: DataFrame, tile: int = 512) -> DataFrame:
@@ -114,10 +112,14 @@ def tile_index(pixels: DataFrame, tile: int = 512) -> DataFrame:
 
 
 def assemble_rois(cut: DataFrame, path: str, expected: DataFrame | None = None, allowed: list[str] | None = None, tile: int = 512) -> None:
-    """Store cut pixels as one table by ROI and element, in tiles. An expected ROI without pixels is an error."""
+    """Store cut pixels as one table by slide, ROI and element, in tiles. An expected ROI without pixels is an error.
+
+    ROIs that are stored already are replaced, those of other slides stay, whatever their names.
+    """
     if allowed is not None:
         cut = cut.where(F.col("element").isin(allowed))
-    if expected is not None and (gone := expected.select("roi").distinct().join(cut.select("roi"), "roi", "left_anti").head()):
-        raise ValueError(f"no pixels for {gone.roi}")
-    tiles = tile_index(cut, tile).repartition(*KEY, "tile_y", "tile_x").sortWithinPartitions(*KEY, "tile_y", "tile_x", "y", "x")
-    tiles.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy(*KEY).parquet(path)
+    if expected is not None:
+        key = roi_key(cut, expected)
+        if gone := expected.select(*key).distinct().join(cut.select(*key), key, "left_anti").head():
+            raise ValueError(f"no pixels for {' '.join(gone)}")
+    write_element(cut, path, overwrite=True, tile=tile)

@@ -1,37 +1,76 @@
-"""Channels that arrive one by one: each is cut once, and a slide is ready when all of its channels are there."""
+"""Channels that arrive one by one: each is cut once, and a slide is assembled once, when all of its channels are there."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cellgrid.operators.cut import cut
+from cellgrid.sources.tables import assemble_rois
+
+ARRIVED = "slide string, element string, file string, ready boolean"
+
+
+def _arrived(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """New channels of a slide, each with the first file that brought it; ``ready`` with the one that completes the slide."""
+    seen = set(state.get[0]) if state.exists else set()
+    rows = pd.concat(list(batches)).sort_values(["file", "element"])
+    out = []
+    for element, file, n in zip(rows.element, rows.file, rows.n_expected):
+        if element not in seen:
+            seen.add(element)
+            out.append((key[0], element, file, len(seen) == n))
+    state.update((sorted(seen),))
+    yield pd.DataFrame(out, columns=["slide", "element", "file", "ready"])
+
 
+def arrivals(spark: SparkSession, source: str, schema: str, elements: DataFrame, files: int = 16) -> DataFrame:
+    """A stream ``slide, element, file, ready`` of the channels that come in Parquet files of pixels, each once.
+
+    State per slide says which of the channels in ``elements(slide, element)`` have come; others are left out, as are
+    channels that come again. An image is dense, so its first pixel stands for it, and a file's others aren't read. A
+    trigger takes up to ``files`` files.
+    """
+    pixels = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(source)
+    first = pixels.where("y = 0 and x = 0").select("slide", "element", F.col("_metadata.file_path").alias("file"))
+    known = elements.select("slide", "element").distinct()
+    known = known.join(known.groupBy("slide").agg(F.count("*").alias("n_expected")), "slide")
+    named = first.join(known, ["slide", "element"])
+    return named.groupBy("slide").applyInPandasWithState(_arrived, ARRIVED, "seen array<string>", "append", GroupStateTimeout.NoTimeout)
 
-def stream_cut(spark: SparkSession, source: str, schema: str, rois: DataFrame, elements: DataFrame, out: str, checkpoint: str, margin: int = 0) -> StreamingQuery:
-    """Cut arriving pixel files (Parquet ``slide, element, y, x, value``; a file holds whole channels) and append them.
 
-    A batch may hold several slides; ROIs and elements name theirs.
+def stream_cut(
+    spark: SparkSession, source: str, schema: str, rois: DataFrame, elements: DataFrame, out: str, checkpoint: str, margin: int = 0, files: int = 16, store: str | None = None,
+) -> StreamingQuery:
+    """Cut arriving pixel files (Parquet ``slide, element, y, x, value``; a file holds whole channels) and append them to ``out``.
 
-    The checkpoint's file log takes each file once. A channel that comes again in another file is dropped: the channels
-    of each batch are noted beside the checkpoint, and are left out by an anti-join. A batch that is repeated after a
-    failure replaces its own folders.
+    A slide all of whose channels have come is assembled in ``store``, in the batch that brings the last one. What a batch
+    does replaces what an earlier try of the same batch did, so that a restart neither loses nor repeats a channel or slide.
     """
-    noted = f"{checkpoint.rstrip('/')}-channels"
 
     def one(batch: DataFrame, number: int) -> None:
-        # of several files in a batch, each channel counts from one alone
-        first = batch.groupBy("slide", "element").agg(F.min("file").alias("file"))
-        new = batch.join(first, ["slide", "element", "file"])
-        if number:
-            done = spark.read.schema("slide string, element string, batch int").parquet(noted).where(F.col("batch") < number)
-            new = new.join(done.select("slide", "element"), ["slide", "element"], "left_anti")
-        cut(new, rois, elements, margin).write.mode("overwrite").parquet(f"{out}/batch={number}")
-        new.select("slide", "element").distinct().write.mode("overwrite").parquet(f"{noted}/batch={number}")
-
-    pixels = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source).withColumn("file", F.input_file_name())
-    return pixels.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        new = batch.collect()  # as many rows as a trigger's files hold channels
+        if not new:
+            return
+        come = spark.createDataFrame([(r.slide, r.element, r.file) for r in new], "slide string, element string, file string")
+        pixels = spark.read.schema(schema).parquet(*sorted({r.file for r in new})).withColumn("file", F.col("_metadata.file_path"))
+        fresh = pixels.join(F.broadcast(come), ["slide", "element", "file"]).drop("file")
+        cut(fresh, rois, elements, margin).write.mode("overwrite").partitionBy("slide").parquet(f"{out}/batch={number}")
+        if store and (ready := sorted({r.slide for r in new if r.ready})):
+            own = cut_channels(spark, out).where(F.col("slide").isin(ready)).where(F.col("batch") <= number).drop("batch")
+            assemble_rois(own, store)
+
+    return arrivals(spark, source, schema, elements, files).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def cut_channels(spark: SparkSession, out: str) -> DataFrame:
+    """What the stream has cut: ``slide, roi, element, y, x, value``, and the ``batch``."""
+    return spark.read.schema("roi string, element string, y int, x int, value double, batch bigint, slide string").parquet(out).select("slide", "roi", "element", "y", "x", "value", "batch")
 
 
 def ready_slides(cut_channels: DataFrame, expected: DataFrame) -> DataFrame:

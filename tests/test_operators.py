@@ -1,5 +1,7 @@
 """Operators on small analytic inputs."""
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -389,22 +391,26 @@ def test_sinks_and_sources(spark, tmp_path):
     with pytest.raises(ValueError, match="stored already"):
         tables.write_element(one, f"{place}/e")
     tables.write_element(one.withColumn("value", F.lit(1.0)), f"{place}/e", overwrite=True)
-    assert spark.read.parquet(f"{place}/e").agg(F.sum("value")).first()[0] == 6.0
+    assert tables.read_stored(spark, f"{place}/e").agg(F.sum("value")).first()[0] == 6.0
     tables.write_table(one, f"{place}/t", "x")
     with pytest.raises(ValueError, match="stored already"):
         tables.write_table(one, f"{place}/t", "x")
-    assert {r.path.rpartition(".")[2] for r in tables.list_files(spark, f"{place}/e/roi=R0/element=A", "*.parquet").collect()} == {"parquet"}
+    one.write.parquet(f"{place}/l")
+    assert {r.path.rpartition(".")[2] for r in tables.list_files(spark, f"{place}/l", "*.parquet").collect()} == {"parquet"}
     ring = [{"row": 1.0, "col": 2.0}]
     shapes = spark.createDataFrame([("R0", "a", ring), ("R0", "b", ring)], "roi string, shape_key string, ring array<struct<row:double,col:double>>")
     tables.write_shapes(shapes, f"{place}/s", order="yx")
-    tables.write_shapes(shapes.where("shape_key = 'c'"), f"{place}/s", order="yx", layers=["a"])
-    back = spark.read.parquet(f"{place}/s").collect()
-    assert [(r.shape_key, r.ring[0].x, r.ring[0].y) for r in back] == [("b", 2.0, 1.0)]
+    tables.write_shapes(shapes.where("shape_key = 'a'").withColumn("roi", F.lit("R1")), f"{place}/s", order="yx")  # another ROI's layer of the name
+    tables.write_shapes(shapes.where("shape_key = 'c'"), f"{place}/s", order="yx", layers=["a"], rois=shapes)
+    back = tables.read_stored(spark, f"{place}/s").collect()
+    assert sorted((r.roi, r.shape_key, r.ring[0].x, r.ring[0].y) for r in back) == [("R0", "b", 2.0, 1.0), ("R1", "a", 2.0, 1.0)]
+    tables.write_shapes(shapes.limit(0), f"{place}/s", layers=["a"])
+    assert [(r.roi, r.shape_key) for r in tables.read_stored(spark, f"{place}/s").collect()] == [("R0", "b")]
     cut_ = on_slide(one, "s")
-    with pytest.raises(ValueError, match="no pixels for R9"):
-        tables.assemble_rois(cut_, f"{place}/a", expected=spark.createDataFrame([("R0",), ("R9",)], "roi string"))
+    with pytest.raises(ValueError, match="no pixels for t R0"):
+        tables.assemble_rois(cut_, f"{place}/a", expected=spark.createDataFrame([("s", "R0"), ("t", "R0")], "slide string, roi string"))
     tables.assemble_rois(cut_, f"{place}/a", allowed=["A"], tile=2)
-    assert spark.read.parquet(f"{place}/a").count() == 6
+    assert tables.read_stored(spark, f"{place}/a").count() == 6
     table = spark.createDataFrame([("s", "r", 4, 8, 4, 8, "polygon", [{"row": 4.0, "col": 8.0}])], ROI)
     tables.write_rois(table, f"{place}/r", f"{place}/csv")
     assert tables.read_rois(spark, f"{place}/r", 2).first().polygon_vertices[0].col == 2.0
@@ -486,3 +492,261 @@ def test_segmented_objects_across_seams(spark):
     assert ((found > 0) == (image > 0)).all() and got.count() == (image > 0).sum()
     assert sorted(int(found[y, x]) for y, x in boxes) == list(range(1, len(boxes) + 1))
     assert all((found[y : y + 4, x : x + 4] == found[y, x]).all() for y, x in boxes)
+
+
+def test_slides_with_equal_names_of_rois(spark, tmp_path):
+    """Two slides' ROI_000 are stored in turn, measured and masked apart."""
+    px = on_slide(pixels(spark, np.full((12, 12), 1.0)), "s").unionByName(on_slide(pixels(spark, np.full((12, 12), 100.0)), "t"))
+    area = np.zeros((12, 12), int)
+    area[2:6, 2:6] = 1
+    lb = on_slide(labels(spark, area), "s").unionByName(on_slide(labels(spark, area.T[::-1].copy()), "t"))
+    place = f"file://{tmp_path}/a"
+    for slide in "st":
+        tables.assemble_rois(px.where(F.col("slide") == slide), place, tile=4)
+    assert {(r.slide, r.v, r.n) for r in tables.read_stored(spark, place).groupBy("slide").agg(F.avg("value").alias("v"), F.count("*").alias("n")).collect()} == {("s", 1.0, 144), ("t", 100.0, 144)}
+    got = {r.slide: r["mean"] for r in intensity.intensity(px, lb).collect()}
+    assert got == {"s": 1.0, "t": 100.0}
+    frame = on_slide(extent(spark, 12, 12), "s").unionByName(on_slide(extent(spark, 12, 12), "t"))
+    for of in (lambda l, e: masks.expand(l, 2, e), lambda l, e: masks.erode(l, 1, e), lambda l, e: masks.ring(l, e, 2, 1), lambda l, e: masks.blob(l, e, (6, 6), 1)):
+        both = of(lb, frame)
+        for slide in "st":
+            alone = of(lb.where(F.col("slide") == slide).drop("slide"), frame.where(F.col("slide") == slide).drop("slide"))
+            assert sorted(map(tuple, both.where(F.col("slide") == slide).drop("slide").collect())) == sorted(map(tuple, alone.collect()))
+    ring = [{"x": 0.0, "y": 0.0}, {"x": 9.0, "y": 0.0}, {"x": 9.0, "y": 6.0}, {"x": 0.0, "y": 6.0}]
+    shapes = spark.createDataFrame([("s", "R0", "qc_exclude_A", ring)], "slide string, roi string, shape_key string, ring array<struct<x:double,y:double>>")
+    table = plan.quantify(px, lb, shapes, properties=list(regions.PROPERTIES))
+    assert {(r.slide, r.feature, r.value, r.keep) for r in table.collect()} == {(s, f"A_{m}_cell", v, s == "t") for s, v in (("s", 1.0), ("t", 100.0)) for m in ("mean", "median")}
+    assert {r.label: (r.num_pixels_cell, len(r.coords_cell)) for r in table.collect()} == {1: (16, 16)} and "moments_hu-6_cell" in table.columns and "inertia_tensor-1-0_cell" in table.columns
+    assert enhance.percentiles(px, [0.5]).count() == 2 and segment.label_components(lb, 12).select("slide", "label").distinct().count() == 2
+    with pytest.raises(ValueError, match="slide"):
+        intensity.intensity(px, lb.drop("slide"))
+
+
+def test_stores_read_few_files_of_a_tile(spark, tmp_path):
+    place, image = f"file://{tmp_path}/s", np.arange(64.0 * 64).reshape(64, 64)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # as many files as there are shuffle partitions
+    try:
+        tables.write_element(on_slide(pixels(spark, image), "s"), place, tile=8)
+        tables.write_element(on_slide(pixels(spark, image), "t"), place, tile=8)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    from cellgrid.sources.store import Store, curve, curve_of
+
+    store = Store.open(spark, place)
+    one = store.files({"slide": "s"}, [(3, 5)])
+    assert store.key == ["slide", "roi", "element"] and store.tile == 8 and len(one) <= 2 < 4 <= len(store.files()) / 2
+    got = tables.read_stored(spark, place, {"slide": "s"}, [(3, 5)]).collect()
+    assert sorted(r.value for r in got) == sorted(image[24:32, 40:48].ravel())
+    assert tables.read_stored(spark, place, {"slide": "u"}).count() == 0
+    places = spark.range(256).select((F.col("id") % 16).alias("y"), F.floor(F.col("id") / 16).alias("x")).withColumn("z", curve(F.col("y"), F.col("x"))).collect()
+    assert all(r.z == curve_of(r.y, r.x) for r in places) and sorted(r.z for r in places) == list(range(256))
+
+
+def test_a_table_is_replaced_by_what_it_gives(spark, tmp_path, monkeypatch):
+    from cellgrid.sources.store import Store
+
+    place = f"file://{tmp_path}/t"
+    rows = [("s", "R0", 1, "A_mean_cell", 1.0), ("s", "R0", 2, "A_mean_cell", 2.0), ("t", "R0", 1, "A_mean_cell", 3.0)]
+    table = spark.createDataFrame(rows, "slide string, roi string, label int, feature string, value double")
+    tables.write_table(table, place, "objects")
+    tables.write_table(table.where("slide = 't'"), place, "others")
+    points = spark.createDataFrame([("s", "R0", 1, 1.0, 1.0)], "slide string, roi string, label int, x double, y double")
+    ring = [{"x": 0.0, "y": 0.0}, {"x": 2.0, "y": 0.0}, {"x": 2.0, "y": 2.0}]
+    shapes = spark.createDataFrame([("s", "R0", "qc_exclude_A", ring)], "slide string, roi string, shape_key string, ring array<struct<x:double,y:double>>")
+    with monkeypatch.context() as m:  # the files are there, but the write ends before its commit
+        m.setattr(Store, "_commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            plan.rewrite_qc(spark, place, "objects", points, shapes)
+    stored_ = lambda: {(r.table_name, r.slide, r.label): r.asDict().get("keep") for r in tables.read_stored(spark, place).collect()}
+    assert set(stored_().values()) == {None} and len(stored_()) == 4
+    plan.rewrite_qc(spark, place, "objects", points, shapes)
+    got = tables.read_stored(spark, place, {"table_name": "objects"}).collect()
+    assert {(r.slide, r.label): r.keep for r in got} == {("s", 1): False, ("s", 2): True, ("t", 1): True}
+    assert tables.read_stored(spark, place, {"table_name": "others"}).count() == 1
+    store = Store.open(spark, place)
+    base = store.version()
+    store._commit(store.manifest(), base)
+    with pytest.raises(RuntimeError, match="another write"):
+        store._commit(store.manifest(), base)
+    assert store.clean() > 0 and tables.read_stored(spark, place).count() == 4
+    (tmp_path / "t" / "claims" / str(store.version() + 1)).touch()  # a writer died while it committed
+    with pytest.raises(RuntimeError, match="unlock"):
+        tables.write_table(table, place, "objects", overwrite=True)
+    store.unlock()
+    tables.write_table(table, place, "objects", overwrite=True)
+
+
+def test_filling_over_strips(spark):
+    rng = np.random.default_rng(4)
+    area = np.where(rng.random((60, 50)) < 0.62, 1, 0)
+    spiral = np.zeros((60, 50), int)
+    spiral[5:55, 5:45], spiral[8:52, 8:42], spiral[20:40, 15:30], spiral[25:30, 18:25] = 2, 0, 2, 0  # a ring, an island in it, a hole in that
+    want = {k: {r.label: r.area_filled for r in regions.filled(labels(spark, a)).collect()} for k, a in (("a", area), ("s", spiral))}
+    assert want["s"] == {2: 50 * 40}
+    for strip in (2, 3, 7, 16):
+        for k, a in (("a", area), ("s", spiral)):
+            assert {r.label: r.area_filled for r in regions.filled(labels(spark, a), strip).collect()} == want[k]
+
+
+def test_hulls_of_random_objects(spark):
+    rng = np.random.default_rng(6)
+    area = np.zeros((90, 90), int)
+    for k in range(1, 10):
+        y, x = (10 + 30 * i for i in divmod(k - 1, 3))
+        pts = rng.integers(-9, 10, (rng.integers(1, 30), 2))
+        area[y + pts[:, 0], x + pts[:, 1]] = k
+    got = {r.label: r for r in regions.hull(labels(spark, area)).collect()}
+    for k in range(1, 10):
+        y, x = np.nonzero(area == k)
+        pts = np.concatenate([np.stack([y + a, x + b], 1) for a, b in ((0.5, 0), (-0.5, 0), (0, 0.5), (0, -0.5))])
+        feret = max(np.hypot(*(pts - p).T).max() for p in pts)
+        # a centre is in the hull if no line through two corners has it on one side and all corners on the other
+        lines = [(p, q) for p in pts for q in pts if (p != q).any() and (((q - p)[0] * (pts - p)[:, 1] - (q - p)[1] * (pts - p)[:, 0]) >= 0).all()]
+        inside = sum(all((q - p)[0] * (j - p[1]) - (q - p)[1] * (i - p[0]) >= -1e-9 for p, q in lines) for i in range(y.min(), y.max() + 1) for j in range(x.min(), x.max() + 1))
+        assert got[k].feret_diameter_max == pytest.approx(feret) and got[k].area_convex == inside and got[k].area == len(y)
+
+
+def test_nearest_seeds():
+    rng = np.random.default_rng(8)
+    for h, w, share in ((1, 9, 0.3), (9, 1, 0.3), (17, 23, 0.02), (20, 20, 0.3), (8, 8, 0.0)):
+        seeds = np.where(rng.random((h, w)) < share, rng.integers(1, 2**31 - 1, (h, w)), 0).astype(np.int32)
+        d2, label = masks.nearest(seeds)
+        ys, xs = np.nonzero(seeds)
+        for y in range(h):
+            for x in range(w):
+                own = sorted(((a - y) ** 2 + (b - x) ** 2, seeds[a, b]) for a, b in zip(ys, xs))
+                assert (d2[y, x], label[y, x]) == (own[0] if own else (np.iinfo(np.int64).max, 0))
+
+
+def test_model_is_loaded_once_a_worker(spark, tmp_path):
+    image = np.random.default_rng(5).integers(0, 9, (64, 64)).astype(float)
+
+    def load():
+        (tmp_path / f"load-{uuid.uuid4().hex}").touch()
+
+        def batch(parts):
+            assert 1 <= len(parts) <= 3
+            (tmp_path / f"batch-{uuid.uuid4().hex}").touch()
+            return [{"bright": (p[0] > 4).astype("int32")} for p in parts]
+
+        return batch
+
+    got = segment.segment_objects(pixels(spark, image), None, ["A"], tile=8, halo=1, load=load, batch=3)
+    assert (array(got, (64, 64)) == (image > 4)).all()
+    loads, batches = (len(list(tmp_path.glob(f"{k}-*"))) for k in ("load", "batch"))
+    assert loads <= spark.sparkContext.defaultParallelism < batches < 64  # fewer than tiles, more than loads
+    with pytest.raises(ValueError):
+        segment.segment_objects(pixels(spark, image), None, ["A"])
+
+
+def test_suppression_of_a_long_chain(spark, monkeypatch):
+    """Each box overlaps the next and is outranked by it: a box depends on all those after it."""
+    n = 10_000
+    boxes = spark.range(n).selectExpr("'s' as slide", "id as ordinal", "int(id % 100 * 9) as x", "int(id div 100 * 20) as y", "int(10) as w", "int(10) as h", "id / 10000.0D as predicted_iou")
+    rounds = []
+    monkeypatch.setattr(rois, "stored", lambda df, of=rois.stored: rounds.append(1) or of(df))
+    kept = {r.ordinal for r in rois.nms(boxes).collect()}
+    assert len(rounds) <= 4  # the overlaps, and one round
+    assert kept == {100 * row + c for row in range(100) for c in range(99, -1, -2)}
+    rng = np.random.default_rng(2)
+    rows = [("s", int(i), int(rng.integers(0, 900)), int(rng.integers(0, 900)), int(rng.integers(5, 60)), int(rng.integers(5, 60)), float(rng.integers(0, 20))) for i in range(600)]
+    some = spark.createDataFrame(rows, "slide string, ordinal bigint, x int, y int, w int, h int, predicted_iou double")
+    want = []
+    for b in sorted(rows, key=lambda r: (-r[6], r[1])):
+        if not any(b[2] < k[2] + k[4] and k[2] < b[2] + b[4] and b[3] < k[3] + k[5] and k[3] < b[3] + b[5] for k in want):
+            want.append(b)
+    assert {r.ordinal for r in rois.nms(some, cell=16, most=20).collect()} == {b[1] for b in want}  # small tiles, several rounds
+
+
+def test_clipping_into_parts(spark):
+    arch = [(-5, 0), (20, 0), (20, 10), (-2, 10), (-2, 20), (20, 20), (20, 30), (-5, 30)]
+    comb = [(5, 5), (5, 60), (-5, 50), (-5, 40), (3, 35), (-5, 30), (-5, 20), (2, 15)]
+    inside = [(1, 1), (5, 1), (5, 5)]
+    rows = [(k, [{"row": float(r), "col": float(c)} for r, c in ring]) for k, ring in enumerate((arch, comb, inside, [(-9, 0), (-1, 5), (-9, 9)]))] + [(4, None)]
+    got = geometry.clip_rings(spark.createDataFrame(rows, "id int, ring array<struct<row:double,col:double>>"), F.lit(100), F.lit(25)).collect()
+    parts = {(r.id, r.part): {(v.row, v.col) for v in r.ring} for r in got}
+    assert parts[0, 0] == {(0, 0), (20, 0), (20, 10), (0, 10)} and parts[0, 1] == {(0, 20), (20, 20), (20, 25), (0, 25)}
+    assert parts[2, 0] == set(inside) and {k for k, _ in parts} == {0, 1, 2}
+    area = lambda ring: abs(sum(a[0] * b[1] - a[1] * b[0] for a, b in zip(ring, [*ring[1:], ring[0]]))) / 2
+    rng = np.random.default_rng(3)
+    for _ in range(40):  # stars, cut by a frame; the area that is left against a count of fine cells
+        turn, far = np.sort(rng.random(9)) * 2 * np.pi, rng.uniform(2, 14, 9)
+        ring = [(10 + f * np.sin(t), 10 + f * np.cos(t)) for t, f in zip(turn, far)]
+        left = geometry.clip_ring(ring, 16.0, 18.0)
+        y, x = (g.ravel() for g in np.mgrid[0.05:16:0.1, 0.05:18:0.1])
+        odd = np.zeros(len(y), bool)
+        for (ay, ax), (by, bx) in zip(ring, [*ring[1:], ring[0]]):
+            odd ^= ((ay > y) != (by > y)) & (x < (bx - ax) * (y - ay) / (by - ay) + ax)
+        assert sum(map(area, left)) == pytest.approx(odd.sum() * 0.01, abs=2.0)
+        assert all(0 <= r <= 16 and 0 <= c <= 18 for part in left for r, c in part)
+
+
+def test_sketches_of_tiles_merge(spark):
+    rng = np.random.default_rng(12)
+    image = rng.gamma(2, 50, (200, 200))
+    area = np.ones((200, 200), int)
+    area[:, :3] = 2  # few pixels: exact
+    sketched = intensity.sketches(pixels(spark, image), labels(spark, area), 32)
+    assert sketched.count() >= 49
+    got = {r.label: (r.n, r.value) for r in intensity.quantiles(sketched, 0.5).collect()}
+    for k in (1, 2):
+        own = np.sort(image[area == k])
+        rank = np.searchsorted(own, got[k][1]) / len(own)
+        assert got[k][0] == len(own) and abs(rank - 0.5) < (intensity.RANK_ERROR if k == 1 else 0.005)
+    one = {r.label: r.median_approx for r in intensity.intensity(pixels(spark, image), labels(spark, area), ["median_approx"]).collect()}
+    assert abs((image[area == 1] < one[1]).mean() - 0.5) < intensity.RANK_ERROR
+
+
+def test_shared_steps_run_once(spark):
+    count = spark.sparkContext.accumulator(0)
+
+    def counted(df):
+        def run(batches):
+            for pdf in batches:
+                count.add(len(pdf))
+                yield pdf
+
+        return df.mapInPandas(run, df.schema)
+
+    one = labels(spark, np.eye(5, dtype=int))
+    twice = [(counted, ["a"], ["b"]), (lambda b: b.where("y < 3"), ["b"], ["c"]), (lambda b: b.where("y >= 3"), ["b"], ["d"]), (lambda c, d: c.unionByName(d), ["c", "d"], ["e"])]
+    made = plan.run_steps({"a": one}, twice)
+    assert made["e"].count() == 5 and count.value == 5
+    made = plan.run_steps({"a": one}, [(counted, ["a"], ["b"]), (lambda b: b, ["b"], ["c"])])
+    assert count.value == 5  # nothing is worked out until it is read
+    made = plan.run_steps({"a": one}, [(counted, ["a"], ["b"]), (lambda b: b, ["b"], ["c"])], keep=["b"])
+    assert made["c"].count() == made["b"].count() == 5 and count.value == 10
+    # a name that is made anew
+    made = plan.run_steps({"a": one}, [(counted, ["a"], ["a"]), (lambda a: a.limit(1), ["a"], ["a"])])
+    assert made["a"].count() == 1
+    with pytest.raises(ValueError, match="no step makes"):
+        plan.run_steps({"a": one}, twice, keep=["z"])
+
+
+def test_slides_are_assembled_once_they_are_complete(spark, tmp_path, monkeypatch):
+    px, frame, table = two_slides(spark)
+    frame = frame.unionByName(frame.withColumn("element", F.lit("B")))
+    place, schema = f"file://{tmp_path}", "slide string, element string, y int, x int, value double"
+    calls = []
+    monkeypatch.setattr(arrivals, "assemble_rois", lambda own, store, of=arrivals.assemble_rois: calls.append(sorted({r.slide for r in own.select("slide").distinct().collect()})) or of(own, store))
+
+    def arrive(*dfs, **more):
+        for df in dfs:
+            df.select("slide", "element", F.col("y").cast("int"), F.col("x").cast("int"), "value").coalesce(1).write.mode("append").parquet(f"{place}/in")
+        q = arrivals.stream_cut(spark, f"{place}/in", schema, table, frame, f"{place}/out", f"{place}/state", store=f"{place}/store", **more)
+        q.awaitTermination()
+
+    a, b = px, px.withColumns({"element": F.lit("B"), "value": F.col("value") * 10})
+    s, t = F.col("slide") == "s", F.col("slide") == "t"
+    arrive(a.where(s), a.where(t), b.where(s), b.where(s).withColumn("value", F.lit(-1.0)))  # four files in a trigger, one channel twice
+    assert calls == [["s"]]
+    broken = arrivals.cut
+    monkeypatch.setattr(arrivals, "cut", lambda *a_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(Exception, match="lost"):
+        arrive(b.where(t), files=1)
+    monkeypatch.setattr(arrivals, "cut", broken)
+    arrive(a.where(s).withColumn("value", F.lit(-2.0)), px.withColumn("element", F.lit("X")))  # restarts; a late repeat, and a channel nobody asked for
+    assert calls == [["s"], ["t"]]
+    got = {(r.slide, r.roi, r.element): (r.n, r.v) for r in tables.read_stored(spark, f"{place}/store").groupBy("slide", "roi", "element").agg(F.count("*").alias("n"), F.avg("value").alias("v")).collect()}
+    assert got.keys() == {("s", "a", "A"), ("s", "a", "B"), ("t", "b", "A"), ("t", "b", "B")} and got["t", "b", "B"] == (49, 20.0) and got["s", "a", "A"] == (225, 1.0)
+    assert got["s", "a", "B"] in ((225, 10.0), (225, -1.0))  # of two files in one trigger, the first by name
