@@ -2,27 +2,29 @@
 
 Words get ids in order of frequency, and pairs of ids are counted by direct-address tiling: the plane of pairs is cut into
 square tiles; a tile with many occurrences (that of the most frequent words, say) is an array with a counter for each of
-its pairs, which ``bincount`` fills; the pairs of all other tiles are sorted and counted as coordinates. Frequent pairs are
-ranked in turn, and pairs of pairs that overlap in a word are counted the same way: those are phrases of three words.
+its pairs, which ``bincount`` fills; the pairs of all other tiles are sorted and counted as coordinates. For phrases of
+three words the frequent pairs are ranked in turn, slice by slice, and (pair, next word) is counted the same way.
 
 Texts are encoded slice by slice. A slice holds a bounded number of words (or one longer text) with a dictionary of its
 own. Words that are too rare for any phrase never get an id; ids go back to the slices by a join of the slices'
-dictionaries, so that nothing is broadcast, however large the vocabulary grows.
+dictionaries, however large the vocabulary grows. A bitmap of bounded size tells slices which pairs are frequent; where
+it errs, a phrase is counted in vain and falls to its own count.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellgrid.llm._runs import text_slices
-from cellgrid.llm._shared import discard, shared_dir, stored
+from cellgrid.llm._shared import discard, shared_dir, split_join, stored
 
 #: Words of a slice.
 TOKENS = 1 << 21
@@ -33,6 +35,9 @@ SIDE, DENSE = 1024, 1 << 16
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 
+#: Bits of the bitmap of frequent pairs, at most (64 MB), and of a piece of it that one group of rows makes (32 KB).
+MOST_BITS, PIECE_BITS = 1 << 29, 1 << 18
+
 #: A byte that no UTF-8 text holds stands for the end of a piece.
 END = b"\xff"
 
@@ -58,8 +63,8 @@ def tile_counts(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
         counts = np.bincount((i[mine] % SIDE * SIDE + j[mine] % SIDE).astype(np.int64), minlength=SIDE * SIDE)
         at = np.flatnonzero(counts)
         found.append((int(name >> np.uint64(32)) * SIDE + at // SIDE, int(name & np.uint64(0xFFFFFFFF)) * SIDE + at % SIDE, counts[at]))
-    codes, counts = np.unique(i[rest] << np.uint64(32) | j[rest], return_counts=True)
-    found.append(((codes >> np.uint64(32)).astype(np.int64), (codes & np.uint64(0xFFFFFFFF)).astype(np.int64), counts))
+    codes, counts = np.unique(_codes(i[rest], j[rest]), return_counts=True)
+    found.append((*_apart(codes), counts))
     return tuple(np.concatenate([f[k] for f in found]).astype(np.int64) for k in range(3))
 
 
@@ -110,9 +115,9 @@ def encoded_slices(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "slice bigint, lang string, part int, tokens binary, word string, at int, n bigint")
 
 
-def ranked(df: DataFrame, n: str, ties: list[str], path: str) -> DataFrame:
-    """``df`` with ``id``: its place (from 0) in its ``lang`` by ``n`` descending, then ``ties``; sorted over all tasks."""
-    order = ["lang", F.desc(n), *ties]
+def ranked(df: DataFrame, order: list[Column | str], path: str) -> DataFrame:
+    """``df`` with ``id``: its place (from 0) in its ``lang`` in the given order; sorted over all tasks."""
+    order = ["lang", *order]
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = stored(dealt.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}), path)
     ranges = placed.groupBy("lang", "__part").agg(F.min("__at").alias("first"), F.count("*").alias("rows"))
@@ -133,51 +138,83 @@ def _word_ids(tokens: np.ndarray, at: np.ndarray, id_: np.ndarray) -> np.ndarray
     return of[tokens]
 
 
-def _counted(key: tuple, i: np.ndarray, j: np.ndarray) -> pa.Table:
-    i, j, n = tile_counts(i, j)
-    return pa.table({"slice": pa.array(np.full(len(n), key[0].as_py())), "lang": pa.array([key[1].as_py()] * len(n), pa.string()), "i": i, "j": j, "n": n})
+def _codes(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return i.astype(np.uint64) << np.uint64(32) | j.astype(np.uint64)
 
 
-def _pairs_of(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    words = _word_ids(_tokens(left), right["at"].to_numpy(), right["id"].to_numpy())
-    both = (words[:-1] >= 0) & (words[1:] >= 0)
-    return _counted(key, words[:-1][both], words[1:][both])
+def _apart(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (codes >> np.uint64(32)).astype(np.int64), (codes & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def _triples_of(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-    is_word = right["at"].is_valid().to_numpy()
-    at, i, j, id_ = (right[c].fill_null(0).to_numpy() for c in ("at", "i", "j", "id"))
-    words = _word_ids(_tokens(left), at[is_word], id_[is_word])
-    pair = i[~is_word].astype(np.uint64) << np.uint64(32) | j[~is_word].astype(np.uint64)
-    order = np.argsort(pair)
-    pair, pair_id = pair[order], id_[~is_word][order]
-    both = (words[:-1] >= 0) & (words[1:] >= 0)
-    code = words[:-1][both].astype(np.uint64) << np.uint64(32) | words[1:][both].astype(np.uint64)
-    place = np.minimum(np.searchsorted(pair, code), max(len(pair) - 1, 0))
-    pairs = np.full(len(both), -1, np.int64)
-    if len(pair):
-        pairs[both] = np.where(pair[place] == code, pair_id[place], -1)
-    next_ = (pairs[:-1] >= 0) & (pairs[1:] >= 0)
-    return _counted(key, pairs[:-1][next_], pairs[1:][next_])
+def _slots(lang: str, codes: np.ndarray, bits: int) -> np.ndarray:
+    """Places of pairs in a bitmap of a power of two of bits: a multiplicative hash, once more after a fold."""
+    h = (codes ^ np.uint64(zlib.crc32(lang.encode()) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(31)) * np.uint64(0x94D049BB133111EB)
+    return h >> np.uint64(64 - (bits.bit_length() - 1))
 
 
-SLICE = ["slice", "lang"]
-COUNTS = "slice bigint, lang string, i bigint, j bigint, n bigint"
+def pair_bitmap(pairs: DataFrame) -> tuple[Broadcast, int]:
+    """A bitmap of pairs ``lang, i, j``, broadcast, and its number of bits: 16 or more for each pair, but at most MOST_BITS.
 
+    Where it is full, it lets more pairs pass; its size stays bounded.
+    """
+    bits = max(PIECE_BITS, min(MOST_BITS, 1 << (pairs.count() * 16).bit_length()))
 
-def _summed(counts: DataFrame, least: int) -> DataFrame:
-    return counts.groupBy("lang", "i", "j").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = _codes(batch["i"].to_numpy(), batch["j"].to_numpy())
+            for lang in batch["lang"].unique().to_pylist():
+                at = _slots(lang, codes[pc.equal(batch["lang"], lang).to_numpy(zero_copy_only=False)], bits).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(at // PIECE_BITS), pa.array(at % PIECE_BITS)], ["piece", "slot"])
 
+    def packed(key: tuple, rows: pa.Table) -> pa.Table:
+        own = np.zeros(PIECE_BITS, bool)
+        own[rows["slot"].to_numpy()] = True
+        return pa.table({"piece": [key[0].as_py()], "bits": [np.packbits(own, bitorder="little").tobytes()]})
 
-def spread(rows: DataFrame, ids: DataFrame, column: str, hot: int = 4096, salts: int = 32) -> DataFrame:
-    """``rows`` joined with ``ids`` (``lang, id`` and more columns) where ``column`` is the id.
+    found = pairs.mapInArrow(slots, "piece bigint, slot bigint").groupBy("piece").applyInArrow(packed, "piece bigint, bits binary").collect()
+    whole = bytearray(bits // 8)
+    for r in found:
+        whole[r.piece * PIECE_BITS // 8 : (r.piece + 1) * PIECE_BITS // 8] = r.bits
+    return pairs.sparkSession.sparkContext.broadcast(bytes(whole)), bits
 
-    As ids are ranks of frequency, only the first ``hot`` ones of a language can be those of many rows: these are copied
-    ``salts`` times, and their rows are dealt over the copies.
-    """
-    salted = rows.withColumn("__salt", F.when(F.col(column) < hot, F.pmod(F.xxhash64("i", "j"), F.lit(salts))).otherwise(0))
-    copies = ids.withColumn("__salt", F.explode(F.when(F.col("id") < hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))).withColumnRenamed("id", column)
-    return salted.withColumn("__salt", F.col("__salt").cast("int")).join(copies, ["lang", column, "__salt"]).drop("__salt")
+
+def _table(key: tuple, n: np.ndarray, **columns: np.ndarray) -> pa.Table:
+    return pa.table({"slice": pa.array(np.full(len(n), key[0].as_py())), "lang": pa.array([key[1].as_py()] * len(n), pa.string()), **columns, "n": n})
+
+
+def _pairs_of(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    words = _word_ids(_tokens(left), right["at"].to_numpy(), right["id"].to_numpy())
+    both = (words[:-1] >= 0) & (words[1:] >= 0)
+    i, j, n = tile_counts(words[:-1][both], words[1:][both])
+    return _table(key, n, i=i, j=j)
+
+
+def _triples_of(frequent: Broadcast, bits: int):
+    """Phrases of three words, both of whose pairs are in the bitmap."""
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        words = _word_ids(_tokens(left), right["at"].to_numpy(), right["id"].to_numpy())
+        place = np.flatnonzero((words[:-1] >= 0) & (words[1:] >= 0))
+        codes, of = np.unique(_codes(words[place], words[place + 1]), return_inverse=True)
+        slots = _slots(key[1].as_py(), codes, bits)
+        known = np.frombuffer(frequent.value, np.uint8)[(slots >> np.uint64(3)).astype(np.int64)] >> (slots & np.uint64(7)).astype(np.uint8) & 1 == 1
+        pair = np.full(len(words), -1, np.int64)
+        pair[place] = np.where(known[of], of, -1)
+        at = np.flatnonzero((pair[:-1] >= 0) & (pair[1:] >= 0)) if len(pair) else place
+        # pairs are ranked by how often they begin a phrase, so that frequent ones share tiles
+        often = np.bincount(pair[at], minlength=len(codes))
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        p, k, n = tile_counts(rank[pair[at]], words[at + 2])
+        i, j = _apart(codes[order[p]])
+        return _table(key, n, i=i, j=j, k=k)
+
+    return run
+
+
+SLICE = ["slice", "lang"]
 
 
 def exact_score(a: Column, left: Column, right: Column) -> Column:
@@ -204,28 +241,28 @@ def phrases(docs: DataFrame, least: int = 10, share: int = 50, lang: str = "lang
     words = local.groupBy("lang", "word").agg(F.sum("n").alias("f"))
     words = stored(words, f"{path}/words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = stored(ranked(words.where(F.col("f") >= least), "f", ["word"], f"{path}/word_order"), f"{path}/word_ids")
+    words = stored(ranked(words.where(F.col("f") >= least), [F.desc("f"), "word"], f"{path}/word_order"), f"{path}/word_ids")
     known = stored(local.join(words.select("lang", "word", "id"), ["lang", "word"]).select(*SLICE, "at", "id"), f"{path}/known")
-    found = tokens.groupBy(*SLICE).cogroup(known.groupBy(*SLICE)).applyInArrow(_pairs_of, COUNTS)
-    found = stored(found, f"{path}/pairs")
-    pairs = stored(ranked(_summed(found, least), "a", ["i", "j"], f"{path}/pair_order"), f"{path}/pair_ids")
-    known_pairs = found.select(*SLICE, "i", "j").join(pairs.select("lang", "i", "j", "id"), ["lang", "i", "j"])
-    dictionary = known.select(*SLICE, "at", F.lit(None).cast("bigint").alias("i"), F.lit(None).cast("bigint").alias("j"), "id").unionByName(
-        known_pairs.select(*SLICE, F.lit(None).cast("int").alias("at"), "i", "j", "id"))
-    triples = tokens.groupBy(*SLICE).cogroup(dictionary.groupBy(*SLICE)).applyInArrow(_triples_of, COUNTS)
-    triples = stored(_summed(triples, least), f"{path}/triples")
-
-    first = spread(pairs, words.select("lang", "id", F.col("word").alias("w1"), F.col("f").alias("f1")), "i")
-    named = spread(first.withColumnRenamed("id", "pair"), words.select("lang", "id", F.col("word").alias("w2"), F.col("f").alias("f2")), "j")
-    named = stored(named.select("lang", F.col("pair").alias("id"), "w1", "w2", "f1", "f2", "a"), f"{path}/named")
-    head = spread(triples, named.select("lang", "id", "w1", "w2", "f1", F.col("a").alias("f12")), "i")
-    whole = spread(head, named.select("lang", "id", F.col("w2").alias("w3"), F.col("f2").alias("f3"), F.col("a").alias("f23")), "j")
+    sides = tokens.groupBy(*SLICE).cogroup(known.groupBy(*SLICE))
+    pairs = sides.applyInArrow(_pairs_of, "slice bigint, lang string, i bigint, j bigint, n bigint")
+    pairs = stored(pairs.groupBy("lang", "i", "j").agg(F.sum("n").alias("a")).where(F.col("a") >= least), f"{path}/pairs")
+    triples = sides.applyInArrow(_triples_of(*pair_bitmap(pairs)), "slice bigint, lang string, i bigint, j bigint, k bigint, n bigint")
+    triples = stored(triples.groupBy("lang", "i", "j", "k").agg(F.sum("n").alias("a")).where(F.col("a") >= least), f"{path}/triples")
+
+    def word(column: str, name: str, count: str) -> DataFrame:
+        return words.select("lang", F.col("id").alias(column), F.col("word").alias(name), F.col("f").alias(count))
+
+    first = split_join(pairs, word("i", "w1", "f1"), ["lang", "i"], ["j"])
+    named = stored(split_join(first, word("j", "w2", "f2"), ["lang", "j"], ["i"]), f"{path}/named")
+    head = split_join(triples, named.select("lang", "i", "j", "w1", "w2", "f1", F.col("a").alias("f12")), ["lang", "i", "j"], ["k"])
+    tail = named.select("lang", F.col("i").alias("j"), F.col("j").alias("k"), F.col("w2").alias("w3"), F.col("f2").alias("f3"), F.col("a").alias("f23"))
+    whole = split_join(head, tail, ["lang", "j", "k"], ["i"])
     one, two = exact_score(F.col("a"), F.col("f1"), F.col("f23")), exact_score(F.col("a"), F.col("f12"), F.col("f3"))
     whole = whole.withColumns({"one": one, "two": two})
     cut = lambda x, y: F.when(F.col("one") <= F.col("two"), F.col(x)).otherwise(F.col(y))
     long = whole.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", cut("f1", "f12").alias("l"), cut("f23", "f3").alias("r"), F.least("one", "two").alias("score"))
-    inside = triples.select("lang", F.col("i").alias("id"), "a").unionByName(triples.select("lang", F.col("j").alias("id"), "a")).groupBy("lang", "id").agg(F.max("a").alias("longer"))
-    short = named.join(inside, ["lang", "id"], "left").where(F.coalesce(100 * F.col("longer") < share * F.col("a"), F.lit(True)))
+    inside = triples.select("lang", "i", "j", "a").unionByName(triples.select("lang", F.col("j").alias("i"), F.col("k").alias("j"), "a")).groupBy("lang", "i", "j").agg(F.max("a").alias("longer"))
+    short = named.join(inside, ["lang", "i", "j"], "left").where(F.coalesce(100 * F.col("longer") < share * F.col("a"), F.lit(True)))
     short = short.select("lang", F.concat_ws(" ", "w1", "w2").alias("phrase"), "a", F.col("f1").alias("l"), F.col("f2").alias("r"), exact_score(F.col("a"), F.col("f1"), F.col("f2")).alias("score"))
     out = stored(short.unionByName(long).join(totals, "lang"))
     discard(path, spark)
@@ -238,10 +275,6 @@ def top_phrases(docs: DataFrame, least: int = 10, share: int = 50, top: int = 20
     A null language counts as ``und``, a null text as empty; repeated rows count each. Texts of any length count whole (one
     text at a time must fit a task). An empty table gives no rows; columns other than the two don't matter.
     """
-    all_ = phrases(docs, least, share, lang, text)
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    # the first of each part of a language, then of those
-    part = all_.withColumn("__part", F.pmod(F.xxhash64("phrase"), F.lit(256)))
-    few = part.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "__part").orderBy(*order))).where(F.col("rank") <= top).drop("__part")
-    few = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("bigint")).where(F.col("rank") <= top)
-    return few.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    found = phrases(docs, least, share, lang, text)
+    placed = ranked(found, [F.desc("score"), F.desc("a"), "phrase"], shared_dir(docs.sparkSession)).where(F.col("id") < top)
+    return placed.select("lang", (F.col("id") + 1).alias("rank"), "phrase", "a", "l", "r", "n", "score")

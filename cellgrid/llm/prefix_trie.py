@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellgrid.llm._shared import discard, shared_dir, stored
+from cellgrid.llm._shared import discard, shared_dir, split_join, stored
 
 KEY = ["depth", "k1", "k2"]
 NODE = ["conv_id", "depth"]
@@ -77,16 +77,6 @@ def prefixes(turns: DataFrame) -> DataFrame:
     return keyed.select("conv_id", *KEY, "p1", "p2", "chars", "last")
 
 
-def split_join(rows: DataFrame, one: DataFrame, keys: list[str], by: list[str], salts: int = 256) -> DataFrame:
-    """``rows`` joined with ``one`` (a row for each key at most), where any number of rows may share a key.
-
-    Each key is split into up to ``salts`` keys by a hash of ``by``: first these meet ``one``, then the rows meet them.
-    """
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64(F.lit("salt"), *by), F.lit(salts)))
-    few = salted.select(*keys, "__salt").distinct().join(one, keys)
-    return salted.join(few, [*keys, "__salt"]).drop("__salt")
-
-
 def trie_nodes(prefix: DataFrame, convs: DataFrame, path: str) -> DataFrame:
     """Nodes ``conv_id (smallest member), depth, parent_conv_id, n_convs, chars, k1, k2``; the root's keys are 0.
 
