@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,29 +42,40 @@ def first_dapi(channels: DataFrame) -> DataFrame:
     return channels.where((F.upper("marker") != "DAPI") | (F.col("channel") == "001_DAPI"))
 
 
+def _listed(names: DataFrame | Sequence[str], column: str, like: DataFrame) -> DataFrame:
+    """A list of names as a table of the column."""
+    if isinstance(names, DataFrame):
+        return names.select(column)
+    return like.sparkSession.createDataFrame([(n,) for n in names], f"{column} string")
+
+
+def _given(names: DataFrame | Sequence[str]) -> bool:
+    return isinstance(names, DataFrame) or bool(names)
+
+
 def select_channels(parsed: DataFrame, include=(), exclude=(), use=(), ignore=()) -> DataFrame:
     """One channel per marker.
 
     A marker with an included channel uses that, whatever else holds; other channels lose the excluded ones and all
-    nuclear stains but the first, and the latest round is taken. ``use`` and ``ignore`` then choose among markers.
+    nuclear stains but the first, and the latest round is taken. ``use`` and ``ignore`` then choose among markers. All four
+    are lists of names, or tables with a column ``channel`` (the first two) or ``marker``.
     """
     if parsed.isEmpty():
         raise ValueError("no file name fits")
-    channels = dedupe_channels(parsed)
-    named = F.col("channel").isin(*include) if include else F.lit(False)
-    chosen = latest_round(channels.where(named))
-    rest = channels.where(~F.col("channel").isin(*exclude)) if exclude else channels
+    rest = channels = dedupe_channels(parsed)
+    chosen = latest_round(channels.join(_listed(include, "channel", parsed), "channel", "left_semi"))
+    if _given(exclude):
+        rest = rest.join(_listed(exclude, "channel", parsed), "channel", "left_anti")
     rest = latest_round(first_dapi(rest)).join(chosen, "marker", "left_anti")
     out = chosen.unionByName(rest)
-    if use:
-        out = out.where(F.col("marker").isin(*use))
-    return out.where(~F.col("marker").isin(*ignore)) if ignore else out
+    if _given(use):
+        out = out.join(_listed(use, "marker", parsed), "marker", "left_semi")
+    return out.join(_listed(ignore, "marker", parsed), "marker", "left_anti") if _given(ignore) else out
 
 
-def unknown_markers(parsed: DataFrame, use: list[str]) -> DataFrame:
+def unknown_markers(parsed: DataFrame, use: DataFrame | Sequence[str]) -> DataFrame:
     """``marker``: those asked for that no file has."""
-    asked = parsed.sparkSession.createDataFrame([(m,) for m in use], "marker string")
-    return asked.join(parsed.select("marker"), "marker", "left_anti")
+    return _listed(use, "marker", parsed).distinct().join(parsed.select("marker"), "marker", "left_anti")
 
 
 def unused_files(parsed: DataFrame, selected: DataFrame) -> DataFrame:
@@ -73,3 +86,10 @@ def unused_files(parsed: DataFrame, selected: DataFrame) -> DataFrame:
 def missing_channels(selected: DataFrame, files: DataFrame) -> DataFrame:
     """Selected channels whose files are not in the listing."""
     return selected.join(files.select("path"), "path", "left_anti")
+
+
+def require_channels(selected: DataFrame, files: DataFrame) -> DataFrame:
+    """``selected``, if the listing has all of its files; one that is absent is an error."""
+    if gone := missing_channels(selected, files).orderBy("channel").limit(5).collect():
+        raise FileNotFoundError("selected files are absent: " + ", ".join(f"{r.channel} ({r.path})" for r in gone))
+    return selected

@@ -26,17 +26,20 @@ def _known(asked: Sequence[str] | None, df: DataFrame, what: str) -> list[str]:
 def quantify(
     pixels: DataFrame, labels: DataFrame, shapes: DataFrame | None = None, masks: Mapping[str, str] | None = None, annotate: str = "cell",
     metrics: Sequence[str] = ("mean", "median"), channels: Sequence[str] | None = None, properties: Sequence[str] = regions.DEFAULT, prefix: str = "qc_exclude",
+    catalog: DataFrame | None = None,
 ) -> DataFrame:
     """``[slide,] roi, label, feature, value, keep`` and ``<property>_<mask>``: each object's features beside its morphology.
 
     ``masks`` names the label elements by suffix (all elements under their own names, if left out). An object is a label
     of any of them; its features are all of channel x metric x mask, null where a mask lacks the label or no pixel lies
     under it. With ``shapes``, ``keep`` is false for features of a marker one of whose shapes covers the object's
-    centroid in the mask ``annotate``. Masks and channels that are not there are an error that names those that are.
+    centroid in the mask ``annotate``. Masks and channels that are not there are an error that names those that are. What
+    there is comes from ``catalog(element, kind)``, with the kinds ``image`` and ``labels``; without one, from a pass over all pixels.
     """
-    masks = dict(masks) if masks else {m: m for m in _known(None, labels, "masks")}
-    _known(list(masks.values()), labels, "masks")
-    channels = _known(channels, pixels, "channels")
+    there = lambda kind, df: df if catalog is None else catalog.where(F.col("kind") == kind)
+    masks = dict(masks) if masks else {m: m for m in _known(None, there("labels", labels), "masks")}
+    _known(list(masks.values()), there("labels", labels), "masks")
+    channels = _known(channels, there("image", pixels), "channels")
     if shapes is not None and (annotate not in masks or "centroid" not in properties):
         raise ValueError(f"exclusion needs the centroid of {annotate!r}; there are {list(masks)}")
     suffix = F.coalesce(*[F.when(F.col("element") == e, s) for s, e in masks.items()])

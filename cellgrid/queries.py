@@ -207,9 +207,9 @@ _CHOSEN = "(SELECT * FROM deduped WHERE round = 2)"
 _SELECT = f"WITH chosen AS ({_LATEST.format(_CHOSEN)}), rest AS ({_LATEST.format(_DAPI)}), selected AS (SELECT * FROM chosen UNION ALL SELECT * FROM rest WHERE marker NOT IN (SELECT marker FROM chosen)) "
 
 
-def _second_round(spark, d) -> list[str]:
-    """Names of the channels of one round: at most as many as there are markers."""
-    return [r.channel for r in channel_dedupe(spark, d).where("round = 2").select("channel").collect()]
+def _second_round(spark, d):
+    """The channels of one round."""
+    return channel_dedupe(spark, d).where("round = 2").select("channel")
 
 
 @query("channel_latest", _LATEST.format(_DAPI))
@@ -244,7 +244,7 @@ def channels_missing(spark, d):
 
 @query("channel_unknown", "SELECT marker FROM (SELECT 'Brand' || p_brand_ AS marker FROM (SELECT DISTINCT p_partkey % 90 AS p_brand_ FROM part)) WHERE marker NOT IN (SELECT marker FROM parsed)")
 def channel_unknown(spark, d):
-    asked = [f"Brand{r.k}" for r in spark.read.parquet(f"{d}/part.parquet").select((F.col("p_partkey") % 90).alias("k")).distinct().collect()]
+    asked = spark.read.parquet(f"{d}/part.parquet").select(F.concat(F.lit("Brand"), (F.col("p_partkey") % 90).cast("string")).alias("marker"))
     return channels.unknown_markers(channel_parse(spark, d), asked)
 
 
@@ -901,7 +901,9 @@ LEFT JOIN hits h ON h.roi = obs.roi AND h.label = obs.label AND h.shape_key = 'q
 
 @query("quantify", _QUANTIFY)
 def quantify(spark, d):
-    return _rounded(plan.quantify(fx.dense_image(spark, d), both_masks(spark, d), fx.shapes(spark, d)))
+    images = fx.extent(spark, d).select("roi", "element", F.lit("image").alias("kind"))
+    named = images.select("roi", F.explode(F.array(*map(F.lit, _MASKS))).alias("element"), F.lit("labels").alias("kind"))
+    return _rounded(plan.quantify(fx.dense_image(spark, d), both_masks(spark, d), fx.shapes(spark, d), catalog=images.unionByName(named)))
 
 
 # pixels and labels of every window, each from the window's corner

@@ -271,6 +271,13 @@ def test_channel_rules(spark):
     assert pick(include=["003_CD3"], exclude=["003_CD3"])["CD3"] == "003_CD3"
     assert set(pick(use=["CD3", "DAPI"], ignore=["DAPI"])) == {"CD3"}
     assert [r.marker for r in channels.unknown_markers(parsed, ["CD3", "CD99"]).collect()] == ["CD99"]
+    table = lambda column, *names: spark.createDataFrame([(n,) for n in names], f"{column} string")
+    assert pick(include=table("channel", "001_CD3"), use=table("marker", "CD3", "DAPI"), ignore=table("marker", "DAPI")) == {"CD3": "001_CD3"}
+    assert "DAPI" not in pick(exclude=table("channel", "001_DAPI")) and pick(include=table("channel"), use=table("marker")) == {}
+    chosen = channels.select_channels(parsed)
+    assert channels.require_channels(chosen, parsed) is chosen
+    with pytest.raises(FileNotFoundError, match="003_CD3"):
+        channels.require_channels(chosen, parsed.where("channel <> '003_CD3'"))
     with pytest.raises(ValueError):
         channels.select_channels(parsed.limit(0))
 
