@@ -6,23 +6,32 @@ and so on until a level lets nothing wrong pass. A key's answer is that of the f
 levels were made over every key of the corpus, the answer is exact for all of them, and needs no join.
 
 Everything is DataFrame functions: a level is one row with an array of 64-bit words, read by the plan as a scalar
-subquery. The size of every level is checked: beyond ``max_bits`` the keys are split by hash into more shards, with a
-cascade each. Rows are read once, whatever the number of shards; each shard's levels are asked for its own rows alone.
+subquery. The size of every level is checked: beyond ``max_bits`` the keys are split by hash into shards with a cascade
+each. Rows are then written once, in a folder for each shard and without a shuffle, and each shard is a job of its own
+that reads its folder and its own levels alone: no plan ever holds the levels of two shards.
 """
 
 from __future__ import annotations
 
 import functools
+import math
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from cellgrid.llm._shared import shared_dir, stored
-
+from cellgrid.llm._shared import bigints, discard, shared_dir, stored
 
 #: Levels beyond which a cascade is taken to be broken; each leaves a small share of the keys.
 MOST_LEVELS = 64
+#: Bits for each key and hashes of the levels after the first: they hold few keys, and err on few.
+LATER_BITS, LATER_HASHES = 6, 3
+#: Shards whose jobs run at the same time.
+AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -69,29 +78,50 @@ def _passes(key: Column, level: Level) -> Column:
     return functools.reduce(lambda a, b: a & b, hits)
 
 
+def _slot(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("shard"), key), F.lit(shards))
+
+
+def _at_once(spark: SparkSession, do: Callable, args: Iterable) -> list:
+    """``do`` of each argument, some of them at the same time, as each starts Spark jobs of its own."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(do), args))
+
+
 def build_cascade(keys: DataFrame, bits_per_key: int = 10, hashes: int = 4, max_bits: int = 1 << 28) -> list[Cascade]:
     """Cascades that tell the listed from the other keys of ``keys(key string, listed boolean)``.
 
     ``keys`` is the complete universe: repeated keys count once, a key that is listed once is listed, null keys are
-    left out. ``max_bits`` bounds every level (32 MB as it stands) and so what a plan broadcasts at once: where a level
-    would be larger, all is built anew with twice the shards. An empty list gives cascades that list nothing.
+    left out. ``max_bits`` bounds every level (32 MB as it stands). The number of shards follows from the number of keys
+    and the errors to expect of the first level; a shard that outgrows the bound all the same is split in two. An empty
+    list gives cascades that list nothing.
     """
     spark = keys.sparkSession
     base = stored(
         keys.where(F.col("key").isNotNull()).groupBy("key").agg(F.bool_or(F.coalesce("listed", F.lit(False))).alias("listed"))
     )
-    n = base.where("listed").count()
-    shards = max(1, -(-n * bits_per_key // max_bits))
-    while True:
-        found = []
-        for s in range(shards):
-            keys = base.where(F.pmod(F.xxhash64(F.lit("shard"), "key"), F.lit(shards)) == s)
-            if (one := _one(keys, bits_per_key, hashes, s, shards, max_bits, spark)) is None:
-                break
-            found.append(one)
-        if len(found) == shards:
-            return found
-        shards *= 2
+    count = base.agg(F.count_if("listed").alias("listed"), F.count_if(~F.col("listed")).alias("others")).first()
+    errors = count.others * (1 - math.exp(-hashes / bits_per_key)) ** hashes if count.listed else 0
+    shards = max(1, math.ceil(max(count.listed * bits_per_key, errors * LATER_BITS) * 1.1 / max_bits))
+    if shards > 1:
+        base.withColumn("slot", _slot(F.col("key"), shards)).write.partitionBy("slot").parquet(at := shared_dir(spark))
+        discard(base)
+        base = spark.read.schema("key string, listed boolean, slot bigint").parquet(at)
+        base._stored_at = at
+
+    def one(part: tuple[int, int]) -> Cascade | None:
+        shard, of = part
+        own = base if shards == 1 else base.where(F.col("slot") == shard % shards)
+        own = own if of == shards else own.where(_slot(F.col("key"), of) == shard)
+        return _one(own.select("key", "listed"), bits_per_key, hashes, shard, of, max_bits, spark)
+
+    todo, found = [(s, shards) for s in range(shards)], []
+    while todo:
+        made = _at_once(spark, one, todo)
+        found += [c for c in made if c is not None]
+        todo = [half for (s, of), c in zip(todo, made) if c is None for half in ((s, 2 * of), (s + of, 2 * of))]
+    discard(base)
+    return found
 
 
 def _one(keys: DataFrame, bits_per_key: int, hashes: int, shard: int, shards: int, max_bits: int, spark: SparkSession) -> Cascade | None:
@@ -102,9 +132,10 @@ def _one(keys: DataFrame, bits_per_key: int, hashes: int, shard: int, shards: in
         number = len(levels)
         if number >= MOST_LEVELS:
             raise RuntimeError(f"the cascade does not end: {n} keys are left after {number} levels")
-        # the later levels hold few keys, and err on few
-        size, k = max(64, -(-n * (bits_per_key if not levels else 6) // 64) * 64), hashes if not levels else 3
+        size, k = max(64, -(-n * (LATER_BITS if levels else bits_per_key) // 64) * 64), LATER_HASHES if levels else hashes
         if size > max(64, max_bits):
+            for level in levels:
+                discard(level.bits)
             return None
         set_bits = (
             inside.select(F.explode(F.array(*_places(F.col("key"), number, size, k))).alias("p"))
@@ -128,13 +159,32 @@ def _in_cascade(key: Column, cascade: Cascade) -> Column:
 
 
 def with_listed(df: DataFrame, key: str, cascades: list[Cascade], out: str = "listed") -> DataFrame:
-    """``df`` with a boolean column ``out``: whether ``key`` is listed. Null keys are not."""
-    shard = F.pmod(F.xxhash64(F.lit("shard"), F.col(key)), F.lit(len(cascades)))
-    answer = F.lit(False)
-    for c in cascades:
-        own = _in_cascade(F.col(key), c)
-        answer = own if len(cascades) == 1 else F.when(shard == c.shard, own).otherwise(answer)
-    return df.withColumn(out, F.coalesce(F.col(key).isNotNull() & answer, F.lit(False)))
+    """``df`` with a boolean column ``out``: whether ``key`` is listed. Null keys are not.
+
+    One cascade is a column of the plan. Several are a job each over the rows of their shard, which are written to shared
+    storage before and after.
+    """
+    def told(rows: DataFrame, cascade: Cascade) -> DataFrame:
+        return rows.withColumn(out, F.coalesce(F.col(key).isNotNull() & _in_cascade(F.col(key), cascade), F.lit(False)))
+
+    if len(cascades) == 1:
+        return told(df, cascades[0])
+    spark = df.sparkSession
+    most = max(c.shards for c in cascades)
+    place = {r: i for i, c in enumerate(cascades) for r in range(c.shard, most, c.shards)}
+    own = F.coalesce(F.get(bigints([place[r] for r in range(most)]), _slot(F.col(key), most).cast("int")), F.lit(0))
+    dealt, done = shared_dir(spark), shared_dir(spark)
+    df.withColumn("__shard", own).write.partitionBy("__shard").parquet(dealt)
+    rows = spark.read.schema(df.withColumn("__shard", own).schema).parquet(dealt)
+
+    def judge(i: int) -> StructType:
+        judged = told(rows.where(F.col("__shard") == i).drop("__shard"), cascades[i])
+        judged.write.parquet(f"{done}/shard={i}")
+        return judged.schema
+
+    schemas = _at_once(spark, judge, range(len(cascades)))
+    discard(dealt, spark)
+    return spark.read.schema(schemas[0]).parquet(f"{done}/shard=*")
 
 
 def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
@@ -150,18 +200,27 @@ def longest_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return out
 
 
-def filter_urls(pages: DataFrame, listed_names: list[str], rules: list[tuple[str, str, str]], url: str = "url", **bloom) -> DataFrame:
+def hosts_under(hosts: DataFrame, names: DataFrame) -> DataFrame:
+    """``hosts(key)`` with ``listed``: whether one of the host's dot-separated labels is in the table ``names(name)``.
+
+    ``hosts`` has each host once; the list may be of any size, as it is joined by label.
+    """
+    labels = hosts.select("key", F.explode(F.array_distinct(F.split("key", r"\."))).alias("name"))
+    found = labels.join(names.select("name").distinct(), "name", "left_semi").select("key").distinct()
+    return hosts.select("key", F.lit(False).alias("listed")).unionByName(found.withColumn("listed", F.lit(True)))
+
+
+def filter_urls(pages: DataFrame, names: DataFrame, rules: list[tuple[str, str, str]], url: str = "url", **bloom) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict``, in place of columns of these names.
 
-    A host is listed if one of its dot-separated labels is in ``listed_names``; the cascade over all hosts of ``pages``
-    then answers for each row. The verdict is that of the longest rule, else ``block`` for listed hosts and ``allow``
-    for all others. Null urls and urls without ``://`` have an empty host and path, fit no rule and are allowed; urls of
-    any length are judged whole; an empty table gives no rows; repeated rows are judged alike.
+    A host is listed if one of its dot-separated labels is in the table ``names(name string)``, which is joined with the
+    hosts once, when the cascade is built; the cascade over all hosts of ``pages`` then answers for each row. The verdict
+    is that of the longest rule, else ``block`` for listed hosts and ``allow`` for all others. Null urls and urls without
+    ``://`` have an empty host and path, fit no rule and are allowed; urls of any length are judged whole; null and
+    repeated names change nothing; an empty table gives no rows; repeated rows are judged alike.
     """
     host, path = host_of(F.col(url)), path_of(F.col(url))
-    hosts = pages.select(host.alias("key")).distinct()
-    listed = F.arrays_overlap(F.split("key", r"\."), F.array(*map(F.lit, listed_names))) if listed_names else F.lit(False)
-    cascades = build_cascade(hosts.withColumn("listed", listed), **bloom)
+    cascades = build_cascade(hosts_under(pages.select(host.alias("key")).distinct(), names), **bloom)
     judged = with_listed(pages.withColumns({"host": host, "path": path}), "host", cascades, "__listed")
     judged = judged.withColumn("__rule", longest_rule(F.col("host"), F.col("path"), rules))
     verdict = F.coalesce(F.col("__rule.verdict"), F.when(F.col("__listed"), "block").otherwise("allow"))

@@ -90,16 +90,39 @@ def test_cascade_is_exact(spark):
         assert got.count() == 4000 and got.where("listed <> truth").count() == 0
 
 
+def test_many_shards(spark, monkeypatch):
+    keys = spark.range(40_000).select(F.concat(F.lit("host"), F.col("id")).alias("key"), (F.col("id") % 2 == 0).alias("listed"))
+    cascades = url_filter.build_cascade(keys, max_bits=8192)
+    assert len(cascades) >= 26 and max(level.size for c in cascades for level in c.levels) <= 8192
+    assert {r for c in cascades for r in range(c.shard, 1 << 10, c.shards)} == set(range(1 << 10))
+    seen = []
+    passes = url_filter._passes
+    monkeypatch.setattr(url_filter, "_passes", lambda key, level: seen.append(level) or passes(key, level))
+    rows = keys.withColumnRenamed("listed", "truth").unionByName(spark.createDataFrame([(None, False)], "key string, truth boolean"))
+    got = url_filter.with_listed(rows, "key", cascades)
+    assert len(seen) == sum(len(c.levels) for c in cascades)  # each level in one job
+    assert got.count() == 40_001 and got.where("listed <> truth").count() == 0 and sorted(got.columns) == ["key", "listed", "truth"]
+
+
+def test_url_filter_in_shards(spark):
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("h"), F.col("id"))), F.lit(".a.org/x")).alias("url"))
+    names = spark.range(0, 3000, 5).select(F.concat(F.lit("h"), F.col("id")).alias("name")).unionByName(spark.createDataFrame([("hot",), ("hot",), (None,)], "name string"))
+    one, many = (url_filter.filter_urls(pages, names, [], max_bits=bits) for bits in (1 << 28, 1 << 12))
+    assert {(r.page_id, r.verdict) for r in one.collect()} == {(i, "block" if i % 3 == 0 or i % 5 == 0 else "allow") for i in range(3000)}
+    assert one.dtypes == many.dtypes and one.exceptAll(many).isEmpty() and many.exceptAll(one).isEmpty()
+
+
 def test_url_parts_and_rules(spark):
     urls = [None, "", "no scheme", "http://EXAMPLE.com", "https://a.example.com/en/7?x#y", "x://com/en/1", "http://xcom/en/1", "http://b.spam-farm.org/q://z", "http://x.net/de/1", "http://x.net/de/1"]
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string").withColumn("rule", F.lit(1))
-    got = [(r.host, r.path, r.rule, r.verdict) for r in url_filter.filter_urls(pages, queries.BLOCKED_NAMES, queries.URL_RULES).orderBy("page_id").collect()]
+    names = spark.createDataFrame([(n,) for n in queries.BLOCKED_NAMES], "name string")
+    got = [(r.host, r.path, r.rule, r.verdict) for r in url_filter.filter_urls(pages, names, queries.URL_RULES).orderBy("page_id").collect()]
     assert got[:3] == [("", "", None, "allow")] * 3
     assert got[3:] == [
         ("example.com", "", None, "allow"), ("a.example.com", "/en/7", "example.com/en/7", "allow"), ("com", "/en/1", "com/en/", "block"),
         ("xcom", "/en/1", None, "allow"), ("b.spam-farm.org", "/q://z", None, "block"), ("x.net", "/de/1", "net/de/", "block"), ("x.net", "/de/1", "net/de/", "block"),
     ]
-    assert url_filter.filter_urls(pages.limit(0), [], []).count() == 0
+    assert url_filter.filter_urls(pages.limit(0), names.limit(0), []).count() == 0
 
 
 # ---- line dedup
@@ -356,7 +379,7 @@ def test_columns_with_clashing_names(spark, awkward):
     n, labels = len(AWKWARD), spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id bigint, quality int")
     assert line_dedup.dedup_lines(wide).agg(F.count("*"), F.sum("n_lines")).first()[0] == n
     assert substring.remove_repeats(wide).agg(F.count("*"), F.sum("n_words")).first()[0] == n
-    judged = url_filter.filter_urls(wide, ["b"], []).select("host", "verdict", "kept").distinct().collect()
+    judged = url_filter.filter_urls(wide, spark.createDataFrame([("b",)], "name string"), []).select("host", "verdict", "kept").distinct().collect()
     assert [tuple(r) for r in judged] == [("a.b", "block", "own kept")]
     assert simhash.near_components(wide).count() == mixing.mix(wide, [1.0]).count() == n
     assert quality.score_quality(wide, labels).count() == fingerprint.fingerprint_edits(wide).count() == n
