@@ -20,6 +20,8 @@ from cellgrid.llm._shared import SPACE, ascii_lower, discard, shared_dir, stored
 
 LONG_MAX = (1 << 63) - 1
 HASH = ["h1", "h2"]
+#: Lines of a batch, beyond which there are more batches.
+BATCH_LINES = 1 << 31
 
 
 def line_key(line: Column) -> Column:
@@ -80,9 +82,9 @@ class Runs:
 def repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_out: int = 3) -> DataFrame:
     """Lines to drop, ``doc, row_key, pos``: a line whose key an earlier document holds.
 
-    ``docs`` has ``doc`` (bigint, not null), ``row_key`` (tells rows of one doc apart) and ``text``. ``batches`` ranges
-    of doc, of about as many rows each, are taken one after the other; a new call on later documents would go on with
-    the same runs.
+    ``docs`` has ``doc`` (bigint, not null), ``row_key`` (tells rows of one doc apart) and ``text``. At least ``batches``
+    ranges of doc, of about as many lines each and ``BATCH_LINES`` at most, are taken one after the other (a document
+    is never divided); a new call on later documents would go on with the same runs.
     """
     spark = docs.sparkSession
     lines = docs.select("doc", "row_key", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
@@ -90,6 +92,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fan_o
     lines = lines.select("doc", "row_key", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit("line"), "key").alias("h2"))
     at = shared_dir(spark)
     lines = stored(lines, at)
+    batches = max(batches, -(-lines.count() // BATCH_LINES))
     # approximate quantiles of the ids; rows without one (counted as the last) don't shift them
     shares = [i / batches for i in range(1, batches)]
     inner = lines.where(F.col("doc") < LONG_MAX).agg(F.percentile_approx("doc", F.array(*map(F.lit, shares)), F.lit(10_000))).first()[0] if shares else []

@@ -156,6 +156,16 @@ def test_batches_hold_as_many_rows_each(spark, monkeypatch):
     assert out.agg(F.sum("n_dropped")).first()[0] == 0 and len(sizes) == 3 and min(sizes) > 20 and max(sizes) < 30
 
 
+def test_batches_grow_with_the_lines(spark, monkeypatch):
+    made = []
+    add = line_dedup.Runs.add
+    monkeypatch.setattr(line_dedup.Runs, "add", lambda self, keys: (made.append(1), add(self, keys)))
+    monkeypatch.setattr(line_dedup, "BATCH_LINES", 10)
+    docs = spark.createDataFrame([(i, f"line number {i % 40} of this") for i in range(100)], "doc_id bigint, text string")
+    out = line_dedup.dedup_lines(docs, batches=2, fan_out=2)
+    assert {r.doc_id for r in out.where("n_dropped = 1").collect()} == set(range(40, 100)) and len(made) == 9
+
+
 def test_runs_go_when_a_batch_fails(spark, monkeypatch):
     monkeypatch.setattr(line_dedup.Runs, "first_seen", lambda self, keys: keys.withColumn("seen", F.raise_error(F.lit("lost")).cast("bigint")))
     with pytest.raises(Exception, match="lost"):
