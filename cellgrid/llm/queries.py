@@ -17,7 +17,7 @@ BLOCKED_NAMES = ["ads-track", "spam-farm", "casino-win", "adult-x", "cheap-pills
 URL_RULES = [
     ("com", "/en/", "block"),
     ("example.com", "/en/7", "allow"),
-    ("net", "/de/", "block"),
+    ("net", "/de/", "allow"),
     ("example.net", "/de/8", "block"),
     ("org", "/es/", "block"),
 ]

@@ -120,11 +120,20 @@ def test_url_parts_and_rules(spark):
     assert got[:3] == [("", "", None, "allow")] * 3
     assert got[3:] == [
         ("example.com", "", None, "allow"), ("a.example.com", "/en/7", "example.com/en/7", "allow"), ("com", "/en/1", "com/en/", "block"),
-        ("xcom", "/en/1", None, "allow"), ("b.spam-farm.org", "/q://z", None, "block"), ("x.net", "/de/1", "net/de/", "block"), ("x.net", "/de/1", "net/de/", "block"),
+        ("xcom", "/en/1", None, "allow"), ("b.spam-farm.org", "/q://z", None, "block"), ("x.net", "/de/1", "net/de/", "allow"), ("x.net", "/de/1", "net/de/", "allow"),
     ]
     assert url_filter.filter_urls(pages.limit(0), names.limit(0), []).count() == 0
 
 
+def test_url_rules_are_those_of_the_contract(spark):
+    words = [(h + p, verdict) for h, p, verdict in queries.URL_RULES]
+    assert words == [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
+    pages = spark.createDataFrame([(0, "http://a.net/de/8"), (1, "http://example.net/de/81"), (2, "http://example.net/de/7"), (3, "http://spam-farm.net/de/")], "page_id bigint, url string")
+    names = spark.createDataFrame([(n,) for n in queries.BLOCKED_NAMES], "name string")
+    got = [r.verdict for r in url_filter.filter_urls(pages, names, queries.URL_RULES).orderBy("page_id").collect()]
+    assert got == ["allow", "block", "allow", "allow"]
+
+
 # ---- line dedup
 
 
