@@ -15,6 +15,7 @@ of spaces and around line feeds. Each part is segmented once and remembered, up
 
 from __future__ import annotations
 
+import ctypes
 import math
 import re
 import uuid
@@ -31,8 +32,8 @@ from cellgrid.llm._runs import Recall, places, sums, text_slices
 MARK = "▁"
 #: Scores are kept as multiples of 1 / SCALE, so that sums are exact and ties are ties.
 SCALE = 1 << 20
-#: Cells of a Viterbi table; texts under which each is searched by itself; rows that are decoded at once.
-CELLS, FEW, ROWS = 1 << 21, 8, 1000
+#: Cells of a Viterbi table; texts under which each is searched by itself; rows that are decoded, bytes that are encoded at once.
+CELLS, FEW, ROWS, BYTES = 1 << 20, 8, 1000, 1 << 21
 
 
 @dataclass(frozen=True)
@@ -260,10 +261,20 @@ class Segmenter:
 _LAST: dict[str, Segmenter] = {}
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: a worker keeps what its earlier tasks have freed, beside the JVM that needs it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # glibc has it
+        trim(0)
+
+
 def _segmenter(key: str, vocabulary: Vocabulary) -> Segmenter:
     if key not in _LAST:
         _LAST.clear()
+        _give_back()
         _LAST[key] = Segmenter(vocabulary)
+    _give_back()
     return _LAST[key]
 
 
@@ -274,7 +285,7 @@ def encoder(spark: SparkSession, vocabulary: Vocabulary):
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         segmenter = _segmenter(key, shared.value)
-        found = [segmenter.encode(part) for part in text_slices(texts.fill_null(""))]
+        found = [segmenter.encode(part) for part in text_slices(texts.fill_null(""), BYTES)]
         values = np.concatenate([f for f, _ in found] or [np.empty(0)]).astype(np.int32)
         offsets = np.concatenate([[0], np.cumsum(np.concatenate([s for _, s in found] or [np.empty(0)]))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values), mask=texts.is_null())

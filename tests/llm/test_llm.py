@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cellgrid.llm import fingerprint, line_dedup, mixing, near_text, piece_codec, quality, queries, simhash, substring, token_store, topk_search, url_filter
+from cellgrid.llm._runs import text_slices
 from cellgrid.llm._shared import Ranges
 
 SF = "/root/testdata/sf0.001"
@@ -239,6 +240,21 @@ def test_pieces_that_no_vocabulary_covers(monkeypatch):
     assert broken.to_pylist() == ["\ufffd", ""]
 
 
+def test_sentencepiece_slices_bound_what_a_worker_holds():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    segmenter = piece_codec.Segmenter(piece_codec.load_vocabulary(MODEL))
+    letters = rng.integers(97, 123, (2400, 400, 8), dtype=np.uint8)
+    texts = pa.array([b" ".join(bytes(w) for w in doc).decode() for doc in letters])
+    tracemalloc.start()
+    for part in text_slices(texts, piece_codec.BYTES):
+        segmenter.encode(part)
+    top = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert top < 120e6
+
+
 def test_pieces_round_trip(spark, awkward):
     out = piece_codec.decode_ids(piece_codec.encode_texts(awkward.withColumn("ids", F.lit("clash")), MODEL), MODEL, out="back").collect()
     assert [(r.text, r.back) for r in out] == [(r.text, r.text) for r in out]
