@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellgrid.functions import geometry
 from cellgrid.operators import channels, cut, enhance, intensity, masks, objects, regions, rois, segment
 from cellgrid.plans import quantify as plan
-from cellgrid.sources import tables
+from cellgrid.sources import fixtures, tables
 from cellgrid.streaming import arrivals
 
 
@@ -757,3 +757,11 @@ def test_slides_are_assembled_once_they_are_complete(spark, tmp_path, monkeypatc
     got = {(r.slide, r.roi, r.element): (r.n, r.v) for r in tables.read_stored(spark, f"{place}/store").groupBy("slide", "roi", "element").agg(F.count("*").alias("n"), F.avg("value").alias("v")).collect()}
     assert got.keys() == {("s", "a", "A"), ("s", "a", "B"), ("t", "b", "A"), ("t", "b", "B")} and got["t", "b", "B"] == (49, 20.0) and got["s", "a", "A"] == (225, 1.0)
     assert got["s", "a", "B"] in ((225, 10.0), (225, -1.0))  # of two files in one trigger, the first by name
+
+
+@pytest.mark.parametrize("grid", ["mask", "dense_image", "slide_image"])
+def test_grids_are_planned_with_their_size(spark, grid):
+    """A grid that is taken for one row is broadcast, however large it is."""
+    df = getattr(fixtures, grid)(spark, "/root/testdata/sf0.001")
+    df = df.where("value > 0") if "value" in df.columns else df
+    assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= 8 * df.count()
