@@ -765,3 +765,14 @@ def test_grids_are_planned_with_their_size(spark, grid):
     df = getattr(fixtures, grid)(spark, "/root/testdata/sf0.001")
     df = df.where("value > 0") if "value" in df.columns else df
     assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= 8 * df.count()
+
+
+def test_blob_is_written_out_by_many_tasks(spark, monkeypatch):
+    points = spark.createDataFrame([("R0", y, x) for y in range(20, 60) for x in range(20, 60)], "roi string, y int, x int")
+    frame = spark.createDataFrame([("R0", 90, 80)], "roi string, height int, width int")
+    whole = masks.blob(points, frame, (9, 8), 1)
+    assert whole.count() == whole.distinct().count() > 0
+    monkeypatch.setattr(masks, "PIXELS", 900)
+    dealt = masks.blob(points, frame, (9, 8), 1)
+    assert dealt.select(F.spark_partition_id()).distinct().count() > 1
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
