@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,18 +31,18 @@ def mask_intensity(cand_pixels: DataFrame, pixels: DataFrame, min_int: float | N
     return means if min_int is None else means.where(F.col("mean_int") > min_int)
 
 
-def overlap_pairs(boxes: DataFrame, cell: int = 128, key: str = "ordinal") -> DataFrame:
-    """``slide, a, b`` (a < b): overlapping boxes of a slide.
+def overlap_pairs(boxes: DataFrame, cell: int = 128, key: str = "ordinal", carry: Sequence[str] = ()) -> DataFrame:
+    """``slide, a, b`` (a < b): overlapping boxes of a slide, and both boxes' columns in ``carry`` as ``a_`` and ``b_`` with their names.
 
     Boxes meet in grid cells, an equi-join. Two boxes may share several cells; the pair counts in the cell that holds
     the top left corner of what they share, so that no pair comes twice.
     """
     at = lambda n, e: F.sequence(F.floor(F.col(n) / cell), F.floor((F.col(n) + F.greatest(F.col(e), F.lit(1)) - 1) / cell))
     spread = boxes.withColumn("cx", F.explode(at("x", "w"))).withColumn("cy", F.explode(at("y", "h")))
-    side = lambda p: spread.select("slide", "cx", "cy", *[F.col(c).alias(f"{p}_{c}") for c in (key, "x", "y", "w", "h")])
+    side = lambda p: spread.select("slide", "cx", "cy", *[F.col(c).alias(f"{p}_{c}") for c in dict.fromkeys((key, "x", "y", "w", "h", *carry))])
     both = side("a").join(side("b"), ["slide", "cx", "cy"]).where((F.col(f"a_{key}") < F.col(f"b_{key}")) & boxes_overlap("a_", "b_"))
     home = (F.floor(F.greatest("a_x", "b_x") / cell) == F.col("cx")) & (F.floor(F.greatest("a_y", "b_y") / cell) == F.col("cy"))
-    return both.where(home).select("slide", F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"))
+    return both.where(home).select("slide", F.col(f"a_{key}").alias("a"), F.col(f"b_{key}").alias("b"), *[f"{p}_{c}" for p in "ab" for c in carry])
 
 
 def nms(boxes: DataFrame, score: str = "predicted_iou", key: str = "ordinal", cell: int = 128, most: int = 50_000) -> DataFrame:
@@ -51,12 +53,13 @@ def nms(boxes: DataFrame, score: str = "predicted_iou", key: str = "ordinal", ce
     all neighbours removed it stays. What waits for another tile is left to the next round, which shifts the tiles by half
     their side, so that rounds are as many as the tiles that a chain of overlaps crosses, not as the boxes in it.
     """
-    ranked = boxes.select("slide", F.col(key).alias("id"), F.col(score).cast("double").alias("s"), "x", "y")
-    a, b = ranked.toDF("slide", "a", "sa", "xa", "ya"), ranked.toDF("slide", "b", "sb", "xb", "yb")
-    pairs = overlap_pairs(boxes, cell, key).join(a, ["slide", "a"]).join(b, ["slide", "b"])
-    first = (F.col("sa") > F.col("sb")) | ((F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")))
-    of = lambda n, hi: F.when(first if hi else ~first, F.col(f"{n}a" if n else "a")).otherwise(F.col(f"{n}b" if n else "b"))
-    live = stored(pairs.select("slide", of("", True).alias("hi"), of("", False).alias("lo"), of("s", False).alias("s"), of("x", False).alias("x"), of("y", False).alias("y")))
+    # pairs bring score and place along, which joins with the boxes would take two shuffles for
+    pairs = overlap_pairs(boxes, cell, key, list(dict.fromkeys([score, "x", "y"])))
+    sa, sb = (F.col(f"{p}_{score}").cast("double") for p in "ab")
+    first = (sa > sb) | ((sa == sb) & (F.col("a") < F.col("b")))
+    lower = lambda c: F.when(first, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}"))
+    hi, lo = F.when(first, F.col("a")).otherwise(F.col("b")), F.when(first, F.col("b")).otherwise(F.col("a"))
+    live = stored(pairs.select("slide", hi.alias("hi"), lo.alias("lo"), lower(score).cast("double").alias("s"), lower("x").alias("x"), lower("y").alias("y")))
     span = live.agg(F.count("*").alias("n"), *[(F.max(c) - F.min(c) + 1).alias(c) for c in ("x", "y")], F.countDistinct("slide").alias("slides")).first()
     id_type = dict(live.dtypes)["lo"]
     gone = live.select("slide", "lo").limit(0)
@@ -65,15 +68,15 @@ def nms(boxes: DataFrame, score: str = "predicted_iou", key: str = "ordinal", ce
 
     def settle(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["s", "lo"], ascending=[False, True])
-        kept: dict = {}  # by box: True if it stays, False if not
-        kept.update((h, True) for h in pdf.hi[pdf.top])
-        for lo, his in pdf.groupby("lo", sort=False).hi:
-            states = [kept.get(h) for h in his]
-            if True in states:
-                kept[lo] = False
-            elif None not in states:
-                kept[lo] = True
-        own = [lo for lo in pdf.lo.unique() if lo in kept]
+        kept = dict.fromkeys(pdf.hi[pdf.top].tolist(), True)  # by box: True if it stays, False if not
+        los, his = pdf.lo.to_numpy(), pdf.hi.tolist()
+        begin = np.flatnonzero(np.append(True, los[1:] != los[:-1])).tolist()
+        own = []
+        for at, end in zip(begin, [*begin[1:], len(his)]):
+            states = [kept.get(h) for h in his[at:end]]
+            if True in states or None not in states:
+                own.append(lo := los[at].item() if hasattr(los[at], "item") else los[at])
+                kept[lo] = True not in states
         return pd.DataFrame({"slide": pdf.slide.iloc[0], "id": own, "kept": [kept[k] for k in own]})
 
     r = 0

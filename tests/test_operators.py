@@ -776,3 +776,8 @@ def test_blob_is_written_out_by_many_tasks(spark, monkeypatch):
     dealt = masks.blob(points, frame, (9, 8), 1)
     assert dealt.select(F.spark_partition_id()).distinct().count() > 1
     assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+
+
+def test_overlap_pairs_carry_columns(spark):
+    boxes = spark.createDataFrame([("S0", 1, 0, 0, 9, 9, 0.5), ("S0", 2, 5, 5, 9, 9, 0.75), ("S1", 3, 5, 5, 9, 9, 1.0)], "slide string, ordinal bigint, x int, y int, w int, h int, s double")
+    assert [tuple(r) for r in rois.overlap_pairs(boxes, carry=["s", "x"]).collect()] == [("S0", 1, 2, 0.5, 0, 0.75, 5)]
