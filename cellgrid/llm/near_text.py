@@ -1,14 +1,17 @@
 """Near-duplicates by exact shingle similarity, with SimHash bits for candidates.
 
-Each set of shingles gets 512 SimHash bits. Bits of two sets of Jaccard similarity J differ with a probability of about
+Each set of shingles gets 512 SimHash bits. The first 64 are its fingerprint: fingerprints within ``BITS`` bits meet at the
+anchors of :func:`~cellgrid.llm.simhash.near_links`, whatever the size of the sets, and what meets is tested on the whole sets.
+
+At a similarity of 0.8 fingerprints are further apart than anchors can cover, so the other bits lead to what is left. Bits of two sets of Jaccard similarity J differ with a probability of about
 acos(2J / (1 + J)) / pi, so sets meet in a table keyed by k of the bits with a probability of (1 - that)^k. There are as
 many tables as make a miss at the least similarity improbable (``MISSED``); k grows with the rows beyond 16 million, so
 that a bucket holds some thousand unrelated sets at most. In small sets bits differ more often; those meet by their least
 hashes instead, as many as two similar sets must share one of (the prefix filter of Chaudhuri et al., 2006).
 
 What meets is only a candidate: a pair is linked if the similarity of its whole shingle sets, as hashes, reaches the limit
-(in blocks hashes have 32 bits, which adds a shared one to a pair of sets of 400 with a probability of 0.004 %). First, neighbours in a few tables are tested, which joins large groups of copies with a few links a text. Then,
-in all tables, texts that the first round left apart are compared in blocks: a bucket's task marks the texts that may have
+(in blocks hashes have 32 bits, which adds a shared one to a pair of sets of 400 with a probability of 0.004 %). First, what
+anchors link and neighbours in a few tables are tested, which joins large groups of copies with a few links a text. Then, in all tables, texts that the first round left apart are compared in blocks: a bucket's task marks the texts that may have
 a partner there, by two words of SimHash bits and then by all of them (a pair counts in the first of the tables in which
 it meets alone); the sets of those left are sent to the bucket, and a task gives links that connect what is connected in it, not its pairs. So the links connect exactly what all candidates
 would connect.
@@ -26,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellgrid.llm._shared import crowded, discard, in_chunks, shared_dir, stored, whole_groups
-from cellgrid.llm.simhash import star_labels
+from cellgrid.llm.simhash import near_links, star_labels
 
 WORDS = 8  # 64-bit words of SimHash bits
+#: Differing bits of fingerprints that anchors cover.
+BITS = 4
 MISSED = 1e-3
 #: Standard deviations above the expected differences in bits at which a candidate is left out.
 SPREAD = 4.5
@@ -177,7 +182,26 @@ def _neighbours(nodes: DataFrame, chosen: np.ndarray, similarity: float) -> Data
     hot = crowded(lambda some: _dealt(some, chosen, FEW), nodes, "node", ["bucket"], LARGE)
     part = F.pmod(F.shiftrightunsigned("f0", 40), F.coalesce("chunks", F.lit(1)))
     dealt = dealt.join(hot, "bucket", "left").select("bucket", part.alias("i"), "node", "n", "f0", "f1")
-    return dealt.repartition("bucket", "i").sortWithinPartitions("bucket", "i").mapInPandas(run, "a bigint, b bigint").distinct()
+    return dealt.repartition("bucket", "i").sortWithinPartitions("bucket", "i").mapInPandas(run, "a bigint, b bigint")
+
+
+def _covered(nodes: DataFrame) -> DataFrame:
+    """``a, b``: pairs by anchor covering, which connect all nodes that fingerprints within ``BITS`` bits connect."""
+
+    @F.pandas_udf("bigint")
+    def first_word(bits: pd.Series) -> pd.Series:
+        return pd.Series(np.frombuffer(b"".join(bits), "<i8")[::WORDS])
+
+    printed = stored(nodes.select("node", first_word("bits").alias("fp")))
+    classes = stored(printed.groupBy("fp").agg(F.min("node").alias("least")))
+    same = printed.join(classes, "fp").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    found = near_links(classes.select("fp"), BITS).distinct()
+    for x in "ab":
+        found = found.join(classes.select(F.col("fp").alias(f"{x}0"), F.col("least").alias(x)), f"{x}0")
+    found = stored(same.unionByName(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
+    discard(printed)
+    discard(classes)
+    return found
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -314,7 +338,9 @@ def keep_one(docs: DataFrame, width: int = 5, similarity: float = 0.8, doc_id: s
     discard(rows)
     chosen = tables(classes.count(), similarity)
     nodes = classes.where("n > 0")
-    links = _verified(_neighbours(nodes.withColumn("label", F.col("node")), chosen, similarity), given, width, similarity)
+    covered = _covered(nodes)
+    links = _verified(covered.unionByName(_neighbours(nodes.withColumn("label", F.col("node")), chosen, similarity)).distinct(), given, width, similarity)
+    discard(covered)
     named = stored(nodes.join(star_labels(links), "node", "left").withColumn("label", F.coalesce("label", "node")))
     active = _active(named, chosen, similarity)
     sets = stored(_sets(given, active.select(F.col("node").alias("row")).distinct(), width, 32))

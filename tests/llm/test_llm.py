@@ -708,3 +708,34 @@ def test_near_dedup_equals_brute_force(spark, awkward, documents, monkeypatch):
     kept = near_text.keep_one(awkward)
     assert kept.columns == awkward.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 1, 2, 3, 5, 6, 7]
     assert near_text.keep_one(awkward.limit(0)).count() == 0
+
+
+def test_near_dedup_covers_fingerprints_by_anchors(spark, monkeypatch):
+    rng = np.random.default_rng(31)
+    fps = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    for k in range(240):  # chains of up to 4 changed bits, and some equal ones
+        flips = rng.choice(64, k % 6, replace=False) if k % 6 < 5 else []
+        fps = np.append(fps, fps[rng.integers(len(fps))] ^ np.uint64(sum(1 << int(i) for i in flips)))
+    bits = [np.concatenate([[fp], rng.integers(0, 1 << 63, near_text.WORDS - 1, dtype=np.uint64)]).astype("<u8").tobytes() for fp in fps]
+    nodes = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(bits)], "node bigint, bits binary")
+
+    def connected(pairs):
+        label = np.arange(len(fps))
+        for _ in fps:
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label.tolist()
+
+    near = np.argwhere(np.triu(np.bitwise_count(fps[:, None] ^ fps[None]) <= 4, 1))
+    assert connected(near) == connected([(r.a, r.b) for r in near_text._covered(nodes).collect()])
+
+    # what anchors cover goes without any other candidate, if the whole sets are alike
+    monkeypatch.setattr(near_text, "_neighbours", lambda nodes, *_: nodes.selectExpr("node as a", "node as b").limit(0))
+    monkeypatch.setattr(near_text, "_active", lambda named, *_: near_text.stored(named.selectExpr("0L as bucket", "node").limit(0)))
+    texts = []
+    for _ in range(60):
+        base = [f"w{x}" for x in rng.integers(0, 10**9, 601)]
+        texts += [base[:600], base[:599] + base[600:]]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    kept = {r.doc_id for r in near_text.keep_one(df).collect()}
+    assert set(range(0, 120, 2)) <= kept and len(kept) <= 66
