@@ -312,6 +312,21 @@ def test_intensity_and_registry(spark):
         intensity.register_metric("mean", F.avg)
 
 
+def test_pixels_under_labels_meet_by_tiles(spark):
+    """As by a join on pixels, with labels that overlap, are null or large, and places below zero; an object stays in one partition."""
+    rng, big = np.random.default_rng(5), 2**60
+    at = [("S0" if i % 2 else "S1", "R0", int(y), int(x)) for i, (y, x) in enumerate(rng.integers(-70, 140, (3000, 2)))]
+    px = spark.createDataFrame([(*p, "AB"[i % 2], float(i)) for i, p in enumerate(at)] + [("S0", "R0", None, 1, "A", 1.0)], "slide string, roi string, y int, x int, element string, value double")
+    names = [big, big + 1, None, 7, 7]
+    lb = spark.createDataFrame([(*p, [None, "cell", "nucleus"][i % 3], names[i % 5]) for i, p in enumerate(at[::2] + at[::3])] + [("S0", "R0", None, 1, "cell", 1), (None, "R0", 0, 0, "cell", 1)], "slide string, roi string, y int, x int, element string, label bigint")
+    on = ["slide", "roi", "y", "x"]
+    plain = lb.withColumnRenamed("element", "mask").join(px.withColumnRenamed("element", "channel"), on).select(*on, "mask", "label", "channel", "value")
+    assert sorted(map(repr, intensity.under(px, lb).collect())) == sorted(map(repr, plain.collect()))
+    area = np.arange(128 * 128).reshape(128, 128) // 128 // 16 * 8 + np.arange(128) // 16 + 1
+    places = intensity.under(pixels(spark, area), labels(spark, area)).select("label", F.spark_partition_id()).distinct()
+    assert places.count() == 64
+
+
 def test_exclusion_by_marker(spark):
     points = spark.createDataFrame([("R0", 1, 10.0, 10.0), ("R0", 2, 50.0, 50.0), ("R0", 3, 20.0, 5.0), ("R0", 4, None, None)], "roi string, label int, x double, y double")
     ring = [{"x": 0.0, "y": 0.0}, {"x": 20.0, "y": 0.0}, {"x": 20.0, "y": 20.0}, {"x": 0.0, "y": 20.0}]
