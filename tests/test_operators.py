@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from cellgrid import queries
 from cellgrid.functions import geometry
 from cellgrid.operators import channels, cut, enhance, intensity, masks, objects, regions, rois, segment
 from cellgrid.plans import quantify as plan
@@ -782,6 +783,30 @@ def test_grids_are_planned_with_their_size(spark, grid):
     assert df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= 8 * df.count()
 
 
+def broadcast_rows(plan):
+    """The most rows that a broadcast of an executed plan holds."""
+    name, most = plan.getClass().getSimpleName(), 0
+    if name == "BroadcastExchangeExec":
+        most = plan.metrics().apply("numOutputRows").value()
+    inner = "executedPlan" if name == "AdaptiveSparkPlanExec" else "plan" if name.endswith("QueryStageExec") else None
+    children = [getattr(plan, inner)()] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+    return max([most, *map(broadcast_rows, children)])
+
+
+@pytest.mark.parametrize("chosen", ["true", "element in ('click', 'view')"])
+@pytest.mark.parametrize("grid", ["dense_image", "slide_image"])
+def test_grids_are_not_broadcast(spark, grid, chosen):
+    """Lines of a grid are few; the grid that is made from them is not."""
+    large = spark.range(100_000).select(F.col("id").cast("int").alias("y"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        df = getattr(fixtures, grid)(spark, "/root/testdata/sf0.001").where(chosen).join(large, "y")
+        assert len(df.collect()) > 720 * 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert 0 < broadcast_rows(df._jdf.queryExecution().executedPlan()) <= 720
+
+
 def test_blob_is_written_out_by_many_tasks(spark, monkeypatch):
     points = spark.createDataFrame([("R0", y, x) for y in range(20, 60) for x in range(20, 60)], "roi string, y int, x int")
     frame = spark.createDataFrame([("R0", 90, 80)], "roi string, height int, width int")
