@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from cellgrid.functions.keys import element_key, roi_key
 from cellgrid.operators.masks import disk
 from cellgrid.operators.tiles import by_tile
+from cellgrid.sources.storage import stored
 
 
 def renamed(pattern: str) -> Column:
@@ -20,12 +21,13 @@ def percentiles(pixels: DataFrame, shares: list[float], margin: float = 0.002) -
     """``[slide,] roi, element, p``: exact percentiles of each element, with linear interpolation.
 
     Approximate percentiles a little below and above bracket each one; only values in a bracket are counted and ordered,
-    so that no task holds an element's values.
+    so that no task holds an element's values. Brackets are stored before pixels meet them: they are taken for as large as
+    the sketches they come from, and pixels would be shuffled by element, of which there may be few.
     """
     key = element_key(pixels)
     probes = [min(1.0, max(0.0, s + d)) for s in shares for d in (-margin, margin)]
     rough = F.percentile_approx("value", F.array(*map(F.lit, probes)), F.lit(10_000)).alias("b")
-    rough = pixels.groupBy(*key).agg(rough, F.count("value").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+    rough = stored(pixels.groupBy(*key).agg(rough, F.count("value").alias("n"), F.min("value").alias("least"), F.max("value").alias("most")))
     at = pixels.select(*key, "value").join(rough, key)
     few = F.col("n") * margin < 8  # there, a bracket may miss the rank by its rounding
     end = lambda i, all_: F.when(few, F.col(all_)).otherwise(F.col("b")[i])
@@ -47,7 +49,8 @@ def percentiles(pixels: DataFrame, shares: list[float], margin: float = 0.002) -
 def normalize(pixels: DataFrame, low: float = 1.0, high: float = 99.0, approx: bool = False, pattern: str = "${input}") -> DataFrame:
     """Values between two percentiles of their element, scaled to 0..1 as float; a flat element is an error.
 
-    Percentiles are exact with linear interpolation, or approximate if that is enough.
+    Percentiles are exact with linear interpolation, or approximate if that is enough. They are worked out and stored
+    first, as in :func:`percentiles`.
     """
     if not 0 <= low < high <= 100:
         raise ValueError("percentiles must satisfy 0 <= low < high <= 100")
@@ -55,7 +58,7 @@ def normalize(pixels: DataFrame, low: float = 1.0, high: float = 99.0, approx: b
     shares = [low / 100, high / 100]
     rough = F.percentile_approx("value", F.array(*map(F.lit, shares))).alias("p")
     limits = pixels.groupBy(*key).agg(rough) if approx else percentiles(pixels, shares)
-    limits = limits.select(*key, F.col("p")[0].alias("lo"), F.col("p")[1].alias("hi"))
+    limits = stored(limits.select(*key, F.col("p")[0].alias("lo"), F.col("p")[1].alias("hi")))
     width = F.col("hi") - F.col("lo")
     width = F.when(width > 0, width).otherwise(F.raise_error(F.concat(F.lit("no contrast in "), "element")).cast("double"))
     v = F.least(F.greatest((F.col("value") - F.col("lo")) / width, F.lit(0.0)), F.lit(1.0)).cast("float")

@@ -807,6 +807,14 @@ def test_grids_are_not_broadcast(spark, grid, chosen):
     assert 0 < broadcast_rows(df._jdf.queryExecution().executedPlan()) <= 720
 
 
+def test_pixels_meet_percentiles_without_a_shuffle(spark):
+    """Elements are few, so that a shuffle by element would leave all pixels to few tasks."""
+    df = queries.queries()["normalize_fanout"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    assert "SortMergeJoin" not in plan.toString() and broadcast_rows(plan) <= 720
+
+
 def test_blob_is_written_out_by_many_tasks(spark, monkeypatch):
     points = spark.createDataFrame([("R0", y, x) for y in range(20, 60) for x in range(20, 60)], "roi string, y int, x int")
     frame = spark.createDataFrame([("R0", 90, 80)], "roi string, height int, width int")
