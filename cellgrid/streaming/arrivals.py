@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -51,26 +51,35 @@ def stream_cut(
 
     A slide all of whose channels have come is assembled in ``store``, in the batch that brings the last one. What a batch
     does replaces what an earlier try of the same batch did, so that a restart neither loses nor repeats a channel or slide.
+    What a batch has brought is a table beside its pixels, which names the batches that hold a slide's channels.
     """
+    come_to = f"{out}/_arrived"
 
     def one(batch: DataFrame, number: int) -> None:
-        new = batch.collect()  # as many rows as a trigger's files hold channels
-        if not new:
+        batch.write.mode("overwrite").parquet(f"{come_to}/batch={number}")
+        come = spark.read.schema(ARRIVED).parquet(f"{come_to}/batch={number}")
+        paths = sorted(r.file for r in come.select("file").distinct().collect())  # as many as a trigger takes
+        if not paths:
             return
-        come = spark.createDataFrame([(r.slide, r.element, r.file) for r in new], "slide string, element string, file string")
-        pixels = spark.read.schema(schema).parquet(*sorted({r.file for r in new})).withColumn("file", F.col("_metadata.file_path"))
-        fresh = pixels.join(F.broadcast(come), ["slide", "element", "file"]).drop("file")
-        cut(fresh, rois, elements, margin).write.mode("overwrite").partitionBy("slide").parquet(f"{out}/batch={number}")
-        if store and (ready := sorted({r.slide for r in new if r.ready})):
-            own = cut_channels(spark, out).where(F.col("slide").isin(ready)).where(F.col("batch") <= number).drop("batch")
-            assemble_rois(own, store)
+        place = lambda c: F.array_position(F.array(*map(F.lit, paths)), c).cast("int").alias("file")
+        new = come.select("slide", "element", place(F.col("file")))
+        pixels = spark.read.schema(schema).parquet(*paths).select("*", place(F.col("_metadata.file_path")))
+        fresh = pixels.join(F.broadcast(new), ["slide", "element", "file"]).drop("file")
+        cut(fresh, rois, elements, margin).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        ready = come.where("ready").select("slide")
+        if store and not ready.isEmpty():
+            held = spark.read.schema(f"{ARRIVED}, batch bigint").parquet(come_to).where(F.col("batch") <= number).join(ready, "slide", "left_semi")
+            batches = [r.batch for r in held.select("batch").distinct().collect()]
+            assemble_rois(cut_channels(spark, out, batches).drop("batch").join(ready, "slide", "left_semi"), store)
 
     return arrivals(spark, source, schema, elements, files).writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def cut_channels(spark: SparkSession, out: str) -> DataFrame:
-    """What the stream has cut: ``slide, roi, element, y, x, value``, and the ``batch``."""
-    return spark.read.schema("roi string, element string, y int, x int, value double, batch bigint, slide string").parquet(out).select("slide", "roi", "element", "y", "x", "value", "batch")
+def cut_channels(spark: SparkSession, out: str, batches: Sequence[int] | None = None) -> DataFrame:
+    """What the stream has cut, in some batches or all: ``slide, roi, element, y, x, value``, and the ``batch``."""
+    folders = [out] if batches is None else [f"{out}/batch={b}" for b in sorted(batches)]
+    cut_ = spark.read.schema("slide string, roi string, element string, y int, x int, value double, batch bigint").option("basePath", out).parquet(*folders)
+    return cut_.select("slide", "roi", "element", "y", "x", "value", "batch")
 
 
 def ready_slides(cut_channels: DataFrame, expected: DataFrame) -> DataFrame:

@@ -775,6 +775,35 @@ def test_slides_are_assembled_once_they_are_complete(spark, tmp_path, monkeypatc
     assert got["s", "a", "B"] in ((225, 10.0), (225, -1.0))  # of two files in one trigger, the first by name
 
 
+def test_files_of_cut_slides_are_as_few_as_tasks(spark, tmp_path, monkeypatch):
+    """Sixty slides, of which half are assembled in a later batch, from the batches that hold their channels."""
+    slides = spark.range(60).select(F.concat(F.lit("s"), F.col("id")).alias("slide"), F.col("id"))
+    px = slides.select("slide", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("y"), F.col("id").cast("double").alias("value")).withColumn("x", F.explode(F.array(F.lit(0), F.lit(1))))
+    frame = slides.select("slide", F.explode(F.array(F.lit("A"), F.lit("B"))).alias("element"), F.lit(4).alias("height"), F.lit(2).alias("width"))
+    table = slides.select("slide", F.lit("r").alias("roi"), F.lit(1).alias("row_start"), F.lit(3).alias("row_stop"), F.lit(0).alias("column_start"), F.lit(2).alias("column_stop"), F.lit("rectangle").alias("poly_type"), F.lit(None).cast("array<struct<row:double,col:double>>").alias("polygon_vertices"))
+    place, schema, half = f"file://{tmp_path}", "slide string, element string, y int, x int, value double", F.xxhash64("slide") % 2 == 0
+    taken = []
+    monkeypatch.setattr(arrivals, "assemble_rois", lambda own, store, of=arrivals.assemble_rois: taken.append(sorted({f.split("batch=")[1].split("/")[0] for f in own.inputFiles() if "_arrived" not in f})) or of(own, store))
+    for turn in (px.withColumn("element", F.lit("A")).where(half), px.withColumn("element", F.lit("A")).where(~half), px.withColumn("element", F.lit("B")).where(~half)):
+        turn.select("slide", "element", "y", "x", "value").coalesce(1).write.mode("append").parquet(f"{place}/in")
+        arrivals.stream_cut(spark, f"{place}/in", schema, table, frame, f"{place}/out", f"{place}/state", store=f"{place}/store").awaitTermination()
+    n = px.where(~half).select("slide").distinct().count()
+    assert 0 < n < 60 and taken == [["1", "2"]]
+    assert len(list(tmp_path.glob("out/batch=*/**/*.parquet"))) <= 12  # four tasks a batch
+    got = tables.read_stored(spark, f"{place}/store").groupBy("slide").agg(F.count("*").alias("n"), F.countDistinct("value").alias("v")).collect()
+    assert len(got) == n and {(r.n, r.v) for r in got} == {(8, 1)}
+
+
+def test_arriving_files_grow_in_number(spark, tmp_path, monkeypatch):
+    image = fixtures.slide_image(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(queries, "_MOST", 1 << 14)
+    queries._arrive(spark, "/root/testdata/sf0.001", image, f"file://{tmp_path}/in")
+    back = spark.read.parquet(f"file://{tmp_path}/in").withColumn("file", F.input_file_name())
+    assert back.select("file").distinct().count() > 3
+    assert back.select("file", "slide", "element").distinct().count() == image.select("slide", "element").distinct().count()
+    assert back.count() == image.count()
+
+
 @pytest.mark.parametrize("grid", ["mask", "dense_image", "slide_image"])
 def test_grids_are_planned_with_their_size(spark, grid):
     """A grid that is taken for one row is broadcast, however large it is."""
