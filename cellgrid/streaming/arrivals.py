@@ -19,9 +19,8 @@ ARRIVED = "slide string, element string, file string, ready boolean"
 def _arrived(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """New channels of a slide, each with the first file that brought it; ``ready`` with the one that completes the slide."""
     seen = set(state.get[0]) if state.exists else set()
-    rows = pd.concat(list(batches)).sort_values(["file", "element"])
     out = []
-    for element, file, n in zip(rows.element, rows.file, rows.n_expected):
+    for file, element, n in sorted(r for b in batches for r in zip(b.file.tolist(), b.element.tolist(), b.n_expected.tolist())):
         if element not in seen:
             seen.add(element)
             out.append((key[0], element, file, len(seen) == n))
