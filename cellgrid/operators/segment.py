@@ -102,7 +102,8 @@ def segment_objects(
         each = [*key, "element", "ty", "tx", "label"]
         number = F.row_number().over(Window.partitionBy(*key, "element").orderBy("ty", "tx", "label"))
         numbers = found.select(*each).distinct().withColumn("number", number)
-        found = found.join(numbers, each).groupBy(*key, "element", "y", "x").agg(F.min("number").alias("label"))
+        # stored labels take so little room that all of their pixels would be broadcast
+        found = found.hint("merge").join(numbers, each).groupBy(*key, "element", "y", "x").agg(F.min("number").alias("label"))
     return found.select(*key, "element", "y", "x", "label")
 
 

@@ -844,6 +844,12 @@ def test_pixels_meet_percentiles_without_a_shuffle(spark):
     assert "SortMergeJoin" not in plan.toString() and broadcast_rows(plan) <= 720
 
 
+def test_pixels_of_objects_are_not_broadcast(spark):
+    df = queries.queries()["segment_instances"](spark, "/root/testdata/sf0.001")
+    assert len(df.collect()) > 0
+    assert broadcast_rows(df._jdf.queryExecution().executedPlan()) == 0
+
+
 def test_blob_is_written_out_by_many_tasks(spark, monkeypatch):
     points = spark.createDataFrame([("R0", y, x) for y in range(20, 60) for x in range(20, 60)], "roi string, y int, x int")
     frame = spark.createDataFrame([("R0", 90, 80)], "roi string, height int, width int")
