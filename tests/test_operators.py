@@ -45,6 +45,20 @@ def test_subtract_and_multiply(spark):
     assert array(masks.multiply(labels(spark, across), labels(spark, down)), (3, 3))[1, 1] == 6
 
 
+def test_products_beyond_32_bits(spark, tmp_path):
+    own = labels(spark, np.full((2, 2), 50_000))
+    assert {r.label for r in masks.multiply(own, own, kind="bigint").collect()} == {2_500_000_000}
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        masks.multiply(own, own).collect()
+    # a tall image has labels up to 46,380
+    spark.sql("select timestamp'2024-01-01' as ts, 15459L as user_id, 'click' as event_type, 1.0D as value").write.parquet(f"file://{tmp_path}/events.parquet")
+    found = queries.queries()["mask_multiply"](spark, f"file://{tmp_path}")
+    most = found.agg(F.max("label").alias("label"), F.count("*").alias("n")).first()
+    cells = fixtures.mask(spark, f"file://{tmp_path}", nucleus=True).agg(F.max("label").alias("label"), F.count("*").alias("n")).first()
+    assert most.n == cells.n and most.label == cells.label**2 > 1 << 31
+    assert dict(queries.queries()["mask_multiply"](spark, "/root/testdata/sf0.001").dtypes)["label"] == "int"
+
+
 def test_ring_around_a_pixel(spark):
     one = np.zeros((11, 11), int)
     one[5, 5] = 1
